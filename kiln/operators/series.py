@@ -72,7 +72,9 @@ def _order_number(df: DataFrame, col: str) -> Column:
             else F.unix_micros(F.col(col))
     if isinstance(dt, T.DateType):
         return F.unix_date(F.col(col)).cast("long")
-    return F.col(col).cast("double")
+    if isinstance(dt, (T.NumericType, T.BooleanType)):
+        return F.col(col).cast("double")
+    return F.lit(0.0)  # no numeric order: one bucket per key
 
 
 def sequence(df: DataFrame, keys: Sequence[str], order: Sequence[str],

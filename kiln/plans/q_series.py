@@ -218,7 +218,7 @@ def _vec_round_sql(v: str) -> str:
 
 
 HORIZON = 30
-FWD_SQL = "WITH " + DAILY_SQL + """,
+FWD_CTES = DAILY_SQL + """,
 d AS (SELECT series, ts, price, row_number() OVER (PARTITION BY series ORDER BY ts) AS rn,
              count(*) OVER (PARTITION BY series) AS n FROM daily),
 f AS (
@@ -232,7 +232,8 @@ v AS (
   SELECT series, ts,
     CASE WHEN rn + """ + str(HORIZON) + """ <= n AND list_sum(cnt) > 0
          THEN list_transform(cnt, lambda c: c / list_sum(cnt)) END AS y_bins
-  FROM h)
+  FROM h)"""
+FWD_SQL = "WITH " + FWD_CTES + """
 SELECT series, ts, """ + _vec_round_sql("y_bins") + """ AS y_bins,
   round(CASE WHEN y_bins IS NOT NULL AND list_sum(y_bins) <> 0 THEN
     list_sum(list_transform(list_zip(y_bins, """ + repr(A.bin_midpoints()) + """), lambda z: z[1] * z[2])) / list_sum(y_bins) END, 6) AS ev
