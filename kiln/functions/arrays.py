@@ -49,25 +49,27 @@ def clip(c: Column, lo: float, hi: float) -> Column:
     return F.least(F.greatest(c, F.lit(lo)), F.lit(hi))
 
 
-def _in_bin(lo: float, hi: float, last: bool):
-    def cond(x):
-        parts = []
-        if not math.isinf(lo):
-            parts.append(x >= F.lit(lo))
-        if not math.isinf(hi):
-            parts.append(x <= F.lit(hi) if last else x < F.lit(hi))
-        c = ~F.isnan(x)
-        for p in parts:
-            c = c & p
-        return c
-    return cond
+def bin_index(x: Column, edges: Sequence[float]) -> Column:
+    """Bin of ``x`` over ``edges``: bins [a, b), the last one [a, b]; null for NaN
+    or values outside the edges."""
+    n = len(edges) - 1
+    expr = F.when(F.isnan(x) | x.isNull(), F.lit(None))
+    lo = edges[0]
+    if not math.isinf(lo):
+        expr = expr.when(x < F.lit(lo), F.lit(None))
+    for i in range(n - 1):
+        expr = expr.when(x < F.lit(edges[i + 1]), F.lit(i))
+    hi = edges[-1]
+    last = F.lit(n - 1) if math.isinf(hi) else F.when(x <= F.lit(hi), F.lit(n - 1))
+    return expr.otherwise(last)
 
 
 def histogram(arr: Column, edges: Sequence[float]) -> Column:
-    """Counts per bin, bins [a, b) and the last one [a, b]; NaN counts nowhere."""
+    """Counts per bin of the array values, bins [a, b) and the last [a, b]."""
     n = len(edges) - 1
-    return F.array(*[F.size(F.filter(arr, _in_bin(edges[i], edges[i + 1], i == n - 1))).cast("long")
-                     for i in range(n)])
+    idx = F.transform(arr, lambda x: bin_index(x, edges))
+    return F.aggregate(idx, F.array_repeat(F.lit(0).cast("long"), n),
+                       lambda acc, i: F.transform(acc, lambda c, j: F.when(j == i, c + 1).otherwise(c)))
 
 
 def total(arr: Column) -> Column:

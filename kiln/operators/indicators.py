@@ -200,12 +200,12 @@ def forward_return_hist(df: DataFrame, keys: Sequence[str], price: str, edges: S
                 "_ahead": F.count(F.lit(1)).over(ahead)}
     d = S.rolling(df, keys, build, after=horizon)
     p = F.col(price)
-    rets = F.transform("_fut", lambda x: (x - p) / p)
-    counts = A.histogram(rets, edges)
-    total = F.aggregate(counts, F.lit(0).cast("long"), lambda a, x: a + x)
-    vec = F.transform(counts, lambda c: c / total)
-    ok = (F.col("_ahead") == horizon) & (total > 0)
-    return d.withColumn(out, F.when(ok, vec)).drop("_fut", "_ahead")
+    # staged projections: each array is computed once and referenced by name
+    d = d.withColumn("_cnt", A.histogram(F.transform("_fut", lambda x: (x - p) / p), edges))
+    d = d.withColumn("_tot", F.aggregate("_cnt", F.lit(0).cast("long"), lambda a, x: a + x))
+    ok = (F.col("_ahead") == horizon) & (F.col("_tot") > 0)
+    vec = F.transform("_cnt", lambda c: c / F.col("_tot"))
+    return d.withColumn(out, F.when(ok, vec)).drop("_fut", "_ahead", "_cnt", "_tot")
 
 
 # W17 ------------------------------------------------------------------------

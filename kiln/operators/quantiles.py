@@ -26,7 +26,7 @@ def grouped_quantiles(df: DataFrame, by: Sequence[str], col: str, probs: Sequenc
 
 
 def column_quantiles(df: DataFrame, col: str, probs: Sequence[float],
-                     fanout: int = 4096, max_collect: int = 50_000) -> list[float | None]:
+                     fanout: int = 4096, max_collect: int = 200_000) -> list[float | None]:
     """Exact quantiles of one numeric column (nulls and NaN skipped)."""
     return multi_quantiles(df, {col: probs}, fanout, max_collect)[col]
 
@@ -75,11 +75,14 @@ def multi_quantiles(df: DataFrame, spec: dict[str, Sequence[float]], fanout: int
 
     while len(found) < len(targets):
         todo = [t for t in targets if t not in found]
+        groups: dict[tuple, list] = {}
         for t in [t for t in todo if state[t]["count"] <= max_collect]:
-            c, r = t
-            s_ = state[t]
-            vals = [row[0] for row in d.filter(member(c, s_["chain"])).select(c).orderBy(c).collect()]
-            found[t] = vals[r - s_["below"]]  # at most max_collect values
+            groups.setdefault((t[0], tuple(state[t]["chain"])), []).append(t)
+        for (c, chain), ts_ in groups.items():
+            # one sorted collect per (column, bucket chain): at most max_collect values
+            vals = [row[0] for row in d.filter(member(c, list(chain))).select(c).orderBy(c).collect()]
+            for t in ts_:
+                found[t] = vals[t[1] - state[t]["below"]]
         wide = [t for t in todo if t not in found]
         if not wide:
             break

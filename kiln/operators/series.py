@@ -77,21 +77,49 @@ def _order_number(df: DataFrame, col: str) -> Column:
     return F.lit(0.0)  # no numeric order: one bucket per key
 
 
+def key_stats(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """(number of keys, rows of the largest key): one aggregate, small result."""
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"))
+    r = per_key.agg(F.count(F.lit(1)).alias("k"), F.max("_c").alias("m")).first()
+    return int(r["k"] or 0), int(r["m"] or 0)
+
+
+def _tag(col: Column, single: bool, size: int) -> Column:
+    return col.alias(SEQ, metadata={"kiln_single_block": single, "kiln_block_rows": size})
+
+
+def single_block(df: DataFrame) -> bool:
+    """True when ``sequence`` measured every key to fit one block."""
+    try:
+        return bool(df.schema[SEQ].metadata.get("kiln_single_block", False))
+    except (KeyError, IndexError):
+        return False
+
+
 def sequence(df: DataFrame, keys: Sequence[str], order: Sequence[str],
              target_rows: int | None = None, broadcast_stats: bool | None = None) -> DataFrame:
     """Add ``_seq`` (1-based position of the row in its key, by ``order``) and ``_n``.
 
     ``order`` must be unique inside a key (add a tie-break column otherwise).
-    A key is cut into buckets of equal width on the first order column, about
-    ``target_rows`` rows each, so a hot key spreads over many tasks; bucket counts
-    are prefix-summed on a small table.  Every step is a pure function of the
-    row values, so a recomputed partition gets the same numbers.
+    One small aggregate measures the keys first.  When every key holds at most
+    ``target_rows`` rows, each key is one block: a plain window numbers the rows
+    and ``_seq`` is tagged so later operators use one task per key.  Otherwise a
+    key is cut into buckets of equal width on the first order column, about
+    ``target_rows`` rows each, so a hot key spreads over many tasks; bucket
+    counts are prefix-summed on a small table.  Every step is a pure function of
+    the row values, so a recomputed partition gets the same numbers.
     """
     keys, order = list(keys), list(order)
     spark = df.sparkSession
     target = target_rows or block_rows(spark)
+    n_keys, biggest = key_stats(df, keys)
+    if biggest <= target:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        whole = Window.partitionBy(*keys)
+        return (df.withColumn(SEQ, _tag(F.row_number().over(w).cast("long"), True, target))
+                  .withColumn(CNT, F.count(F.lit(1)).over(whole).cast("long")))
     if broadcast_stats is None:
-        broadcast_stats = few_keys(df, keys)
+        broadcast_stats = n_keys <= _conf_int(spark, "kiln.series.maxBroadcastKeys", MAX_BROADCAST_KEYS)
     small = F.broadcast if broadcast_stats else (lambda x: x)
     t = _order_number(df, order[0])
     d = df.withColumn("_t", t)
@@ -108,13 +136,15 @@ def sequence(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     off = cnt.select(*keys, "_bk", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
     d = d.join(small(off), [*keys, "_bk"], "inner")
     w = Window.partitionBy(*keys, "_bk").orderBy(*order)
-    return (d.withColumn(SEQ, (F.row_number().over(w) + F.col("_off")).cast("long"))
+    return (d.withColumn(SEQ, _tag((F.row_number().over(w) + F.col("_off")).cast("long"), False, target))
              .withColumn(CNT, F.col(CNT).cast("long"))
              .drop("_t", "_lo", "_w", "_bk", "_off"))
 
 
 def blocked(df: DataFrame, before: int = 0, after: int = 0, size: int | None = None) -> DataFrame:
     """Assign ``_blk`` and add halo copies of neighbour rows (``_halo`` true)."""
+    if single_block(df):
+        return df.withColumn(BLK, F.lit(0).cast("long")).withColumn(HALO, F.lit(False))
     size = size or block_rows(df.sparkSession)
     if before > size or after > size:
         raise ValueError("window frame larger than the block size")
@@ -168,6 +198,8 @@ def scan_fill(df: DataFrame, keys: Sequence[str], cols: dict[str, str],
         loc = {f"{o}__loc": F.last(i, ignorenulls=True).over(w) for o, i in cols.items()}
         edge = {f"{o}__edge": F.max_by(F.col(i), F.when(F.col(i).isNotNull(), F.col(SEQ)))
                 for o, i in cols.items()}
+    if single_block(df):
+        return b.withColumns({o: loc[f"{o}__loc"] for o in cols}).drop(BLK, HALO)
     local = b.withColumns(loc)
     blocks = local.groupBy(*keys, BLK).agg(*[v.alias(k) for k, v in edge.items()])
     if backward:
@@ -188,6 +220,9 @@ def scan_sum(df: DataFrame, keys: Sequence[str], cols: dict[str, Column]) -> Dat
     b = blocked(df).withColumns({f"{o}__x": F.coalesce(e, F.lit(0.0)) for o, e in cols.items()})
     w = block_window(keys).rowsBetween(Window.unboundedPreceding, 0)
     local = b.withColumns({f"{o}__loc": F.sum(f"{o}__x").over(w) for o in cols})
+    if single_block(df):
+        return local.withColumns({o: F.col(f"{o}__loc") for o in cols}) \
+            .drop(*[f"{o}__{s_}" for o in cols for s_ in ("x", "loc")], BLK, HALO)
     blocks = local.groupBy(*keys, BLK).agg(*[F.sum(f"{o}__x").alias(f"{o}__tot") for o in cols])
     bw = Window.partitionBy(*keys).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
     carry = blocks.select(*keys, BLK, *[F.coalesce(F.sum(f"{o}__tot").over(bw), F.lit(0.0)).alias(f"{o}__carry")
@@ -245,6 +280,10 @@ def ewm(df: DataFrame, keys: Sequence[str], specs: dict[str, tuple[str, float]])
     extra = [T.StructField(f"{o}__{s}", T.DoubleType()) for o in specs for s in ("f", "z", "m")]
     schema = T.StructType(list(b.schema.fields) + extra)
     local = b.groupBy(*keys, BLK).applyInPandas(_ewm_local(keys, specs, schema.names), schema)
+    null = F.lit(None).cast("double")
+    if single_block(df):
+        out = local.withColumns({o: F.nanvl(F.col(f"{o}__f"), null) for o in specs})
+        return out.drop(*[f"{o}__{s_}" for o in specs for s_ in ("f", "z", "m")], BLK, HALO)
     last = lambda c: F.max_by(F.col(c), F.col(SEQ))
     blocks = local.groupBy(*keys, BLK).agg(
         *[last(f"{o}__z").alias(f"{o}__ze") for o in specs],
@@ -254,7 +293,6 @@ def ewm(df: DataFrame, keys: Sequence[str], specs: dict[str, tuple[str, float]])
                            + [T.StructField(f"{o}__c", T.DoubleType()) for o in specs])
     carry = blocks.groupBy(*keys).applyInPandas(_ewm_carry(keys, list(specs)), cschema)
     out = _carry_join(local, carry, keys)
-    null = F.lit(None).cast("double")
     out = out.withColumns({o: F.coalesce(
         F.col(f"{o}__z") + F.col(f"{o}__m") * F.nanvl(F.col(f"{o}__c"), null),
         F.nanvl(F.col(f"{o}__f"), null)) for o in specs})

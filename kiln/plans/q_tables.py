@@ -391,17 +391,16 @@ def _tumbling_sql() -> str:
     means = ", ".join(f"avg(y_bins[{i + 1}]) AS m{i}" for i in range(len(mids)))
     ev = " + ".join(f"m{i} * {m!r}" for i, m in enumerate(mids))
     return f"""WITH {q_series.FWD_CTES},
-g AS (SELECT series, ts, y_bins, row_number() OVER (PARTITION BY series ORDER BY ts) AS rn
-      FROM v WHERE y_bins IS NOT NULL),
+g AS (SELECT series, ts, y_bins, row_number() OVER (PARTITION BY series ORDER BY ts) AS rn FROM v),
 b AS (SELECT series, CAST(floor((rn - 1) / 7) AS INTEGER) AS block, {means}
-      FROM g WHERE rn <= 150 GROUP BY 1, 2)
+      FROM g WHERE rn <= 150 AND y_bins IS NOT NULL GROUP BY 1, 2)
 SELECT series, block, round({ev}, 6) + 0.0 AS ev FROM b"""
 
 
 @query("a19_tumbling_profile", _tumbling_sql(), covers=("A19",))
 def tumbling(spark, sf_dir):
+    # blocks by row position in the series; rows without a full horizon are skipped
     s = q_series.forward_frame(spark, sf_dir).filter(F.col("y_bins").isNotNull())
-    s = S.sequence(s.drop(S.SEQ, S.CNT), ["series"], ["ts"])
     t = AG.tumbling_profile(s, ["series"], S.SEQ, "y_bins", A.bin_midpoints())
     return t.select("series", "block", _r(F.col("ev")).alias("ev"))
 
