@@ -126,7 +126,7 @@ def normalize_probs(arr: Column) -> Column:
 
 def argmax(arr: Column) -> Column:
     """0-based index of the largest entry, first one on ties."""
-    return F.array_position(arr, F.array_max(arr)) - 1
+    return (F.array_position(arr, F.array_max(arr)) - 1).cast("int")
 
 
 def ranked(arr: Column) -> Column:

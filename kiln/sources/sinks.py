@@ -83,7 +83,7 @@ BASELINE_STRATEGIES = ("Perfect Foresight", "Hold Benchmark")
 
 
 def metric_rows(metrics: DataFrame, strategy: str = "strategy", metric: str = "metric",
-                value: str = "value") -> DataFrame:
+                value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """Long metrics table (strategy, metric, value) -> (key, value) rows to log:
     baselines dropped, only allowed prefixes, key ``{last word}.{metric_}``
     sanitised (characters other than word, space, ``- . : /`` removed)."""
@@ -98,7 +98,7 @@ def metric_rows(metrics: DataFrame, strategy: str = "strategy", metric: str = "m
     key = F.concat(last_word, F.lit("."), F.regexp_replace(F.col(metric), " ", "_"))
     key = F.regexp_replace(key, r"[^\w\s\-.:/]", "")
     return (metrics.filter(~baseline & allowed)
-                   .select(s.alias("strategy"), key.alias("key"), F.col(value).cast("double").alias("value")))
+                   .select(*keep, s.alias("strategy"), key.alias("key"), F.col(value).cast("double").alias("value")))
 
 
 def append_metrics(rows: DataFrame, path: str, run: str) -> None:
