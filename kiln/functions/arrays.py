@@ -94,7 +94,7 @@ def distribution_moments(arr: Column, centers: Sequence[float]) -> dict[str, Col
     c = lit_array(centers)
     mean = dot(arr, centers)
     cdf = F.aggregate(arr, F.array().cast("array<double>"),
-                      lambda acc, x: F.concat(acc, F.array(F.coalesce(F.element_at(acc, -1), F.lit(0.0)) + x)))
+                      lambda acc, x: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0.0)) + x)))
     # F.array_position is 1-based; 0 means "not found"
     idx = F.array_position(F.transform(cdf, lambda v: v >= 0.5), True)
     median = F.when(idx > 0, F.element_at(c, F.when(idx > 0, idx).otherwise(F.lit(1)).cast("int")))
@@ -142,33 +142,52 @@ def top_mass(arr: Column, n: int) -> Column:
 
 
 # ----------------------------------------------------------- E9 distances
-def _norm_clip(arr: Column) -> Column:
-    s = total(arr)
-    return F.transform(arr, lambda p: F.least(F.greatest(p / s, F.lit(1e-9)), F.lit(1 - 1e-9)))
+def _norm(arr: Column) -> Column:
+    s = F.aggregate(arr, F.lit(0.0), lambda a, x: a + x)
+    return F.transform(arr, lambda p: p / s)
+
+
+def _clip_arr(arr: Column, lo: float, hi: float) -> Column:
+    return F.transform(arr, lambda p: F.least(F.greatest(p, F.lit(lo)), F.lit(hi)))
+
+
+def _zsum(a: Column, b: Column, f) -> Column:
+    return F.aggregate(F.zip_with(a, b, f), F.lit(0.0), lambda acc, x: acc + x)
+
+
+def _rel_entr(x: Column, y: Column) -> Column:
+    return F.when(x > 0, x * F.log(x / y)).when(x == 0, F.lit(0.0))
 
 
 def distances(p_true: Column, p_pred: Column, centers: Sequence[float],
-              normalize: bool = False) -> dict[str, Column]:
-    """Per-row KL, JS (squared distance, natural log), cross-entropy, L1, L2,
-    earth mover (sum |cdf diff| * centre gap)."""
+              normalize: bool = True) -> dict[str, Column]:
+    """E9 per row.  ``normalize=True``: rows normalised then clipped to
+    [1e-9, 1-1e-9] (KL, JS, cross-entropy); ``False``: only clipped at 1e-9
+    (KL, cross-entropy) and JS on the raw rows.  KL and JS normalise their
+    inputs again (relative entropy of distributions, natural log); JS is the
+    squared Jensen-Shannon distance.  L1 / L2 are sums over bins of the raw
+    rows; earth mover = sum |cdf difference| x centre gap on normalised rows."""
+    eps = 1e-9
     if normalize:
-        p_true, p_pred = _norm_clip(p_true), _norm_clip(p_pred)
-    eps = F.lit(1e-12)
-
-    def zsum(a, b, f):
-        return F.aggregate(F.zip_with(a, b, f), F.lit(0.0), lambda acc, x: acc + x)
-
-    kl = zsum(p_true, p_pred, lambda t, q: t * F.log((t + eps) / (q + eps)))
-    m = F.zip_with(p_true, p_pred, lambda t, q: 0.5 * (t + q))
-    js = 0.5 * zsum(p_true, m, lambda t, x: t * F.log((t + eps) / (x + eps))) \
-        + 0.5 * zsum(p_pred, m, lambda t, x: t * F.log((t + eps) / (x + eps)))
-    ce = -zsum(p_true, p_pred, lambda t, q: t * F.log(q + eps))
-    l1 = zsum(p_true, p_pred, lambda t, q: F.abs(t - q))
-    l2 = F.sqrt(zsum(p_true, p_pred, lambda t, q: (t - q) * (t - q)))
-    diff = F.zip_with(p_true, p_pred, lambda t, q: t - q)
+        t = _clip_arr(_norm(p_true), eps, 1 - eps)
+        q = _clip_arr(_norm(p_pred), eps, 1 - eps)
+        ja, jb = t, q
+    else:
+        t = _clip_arr(p_true, eps, 1.0)
+        q = _clip_arr(p_pred, eps, 1.0)
+        ja, jb = p_true, p_pred
+    tn, qn = _norm(t), _norm(q)
+    kl = _zsum(tn, qn, lambda x, y: x * F.log(x / y))
+    a, b = _norm(ja), _norm(jb)
+    m = F.zip_with(a, b, lambda x, y: 0.5 * (x + y))
+    js = 0.5 * _zsum(a, m, _rel_entr) + 0.5 * _zsum(b, m, _rel_entr)
+    ce = -_zsum(p_true, q, lambda x, y: x * F.log(y))
+    l1 = _zsum(p_true, p_pred, lambda x, y: F.abs(x - y))
+    l2 = _zsum(p_true, p_pred, lambda x, y: (x - y) * (x - y))
+    diff = F.zip_with(_norm(p_true), _norm(p_pred), lambda x, y: x - y)
     cum = F.aggregate(diff, F.array().cast("array<double>"),
-                      lambda acc, x: F.concat(acc, F.array(F.coalesce(F.element_at(acc, -1), F.lit(0.0)) + x)))
-    gaps = [b - a for a, b in zip(centers[:-1], centers[1:])]
+                      lambda acc, x: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0.0)) + x)))
+    gaps = [b_ - a_ for a_, b_ in zip(centers[:-1], centers[1:])]
     emd = F.aggregate(F.zip_with(F.slice(cum, 1, len(gaps)), lit_array(gaps), lambda d, g: F.abs(d) * g),
                       F.lit(0.0), lambda acc, x: acc + x)
     return {"kl": kl, "js": js, "cross_entropy": ce, "l1": l1, "l2": l2, "emd": emd}
