@@ -98,7 +98,8 @@ def _code_expr(col: Column, categories: Sequence) -> Column:
     if not categories:
         return F.lit(-1)
     arr = F.array(*[F.lit(v) for v in categories])
-    return (F.array_position(arr, col.cast(T.StringType()) if isinstance(categories[0], str) else col) - 1).cast("int")
+    pos = F.array_position(arr, col.cast(T.StringType()) if isinstance(categories[0], str) else col)
+    return (F.coalesce(pos, F.lit(0)) - 1).cast("int")
 
 
 def _is_numeric(df: DataFrame, c: str) -> bool:
@@ -285,3 +286,78 @@ class SpendFeatures(StepEstimator):
         all_zero = not row["any_nonzero"]
         return {"categories": None if all_zero else sorted(row["cats"]), "all_zero": all_zero,
                 "thresholds": thresholds}
+
+
+# ------------------------------------------------------------------ F4
+# Id / time columns the generic transformer drops, null markers.
+RAW_DROP = ("TransactionID", "TransactionDT")
+FIT_NULL = "NaN_placeholder_fit"
+APPLY_NULL = "NaN_placeholder_transform"
+NEW_NULL = "missing_new_col"
+
+
+def own_codes(df: DataFrame, col: str, null_text: str) -> DataFrame:
+    """Codes of a column by its own sorted distinct values (dense rank - 1),
+    from a distinct-value table numbered on the series machinery."""
+    from kiln.operators import series as S
+    v = F.coalesce(F.col(col).cast("string"), F.lit(null_text))
+    vals = df.select(v.alias("_v")).distinct().withColumn("_k", F.lit(0))
+    seq = S.sequence(vals, ["_k"], ["_v"]).select("_v", (F.col(S.SEQ) - 1).cast("int").alias("_code"))
+    from kiln.operators import joins as J
+    out = J.lookup_join(df.withColumn("_v", v), seq, "_v", "left")
+    return out.withColumn(col, F.col("_code")).drop("_v", "_code")
+
+
+class RawModel(StateModel):
+    def _transform(self, df):
+        st = self.st
+        d = df.drop(*[c for c in RAW_DROP if c in df.columns])
+        out = {}
+        for c in d.columns:
+            if c in st["medians"]:
+                out[c] = F.coalesce(X.lenient_double(c), F.lit(st["medians"][c]))
+            elif c in st["modes"]:
+                filled = F.coalesce(F.col(c).cast("string"), F.lit(str(st["modes"][c])))
+                out[c] = _code_expr(filled, st["categories"].get(c, []))
+        d = d.withColumns(out)
+        for c in d.columns:
+            if c in st["medians"] or c in st["modes"]:
+                continue
+            if _is_numeric(d, c):
+                d = d.withColumn(c, F.coalesce(F.col(c), F.lit(0)))
+            else:
+                d = own_codes(d, c, NEW_NULL)
+        return d
+
+
+class RawTransformer(StepEstimator):
+    """fit medians (numeric), modes and sorted category lists (others, nulls
+    as a placeholder category) in one pass each; apply: lenient numbers with the
+    median, categories filled with the mode then coded (unseen -> -1); columns
+    unseen at fit: numbers filled with 0, text coded by its own categories."""
+    model_class = RawModel
+
+    def __init__(self, max_categories: int = 100_000):
+        super().__init__(max_categories=max_categories)
+
+    def fit_state(self, df):
+        d = df.drop(*[c for c in RAW_DROP if c in df.columns])
+        numeric = [c for c in d.columns if _is_numeric(d, c)]
+        other = [c for c in d.columns if c not in numeric]
+        med = Q.multi_quantiles(d, {c: [0.5] for c in numeric}) if numeric else {}
+        modes, cats = {}, {}
+        if other:
+            row = d.agg(*[F.mode(F.col(c), True).alias(c) for c in other]).first()
+            modes = {c: (row[c] if row[c] is not None else "missing") for c in other}
+            long = d.select(F.explode(F.array(*[
+                F.struct(F.lit(c).alias("k"), F.coalesce(F.col(c).cast("string"), F.lit(FIT_NULL)).alias("v"))
+                for c in other])).alias("x")).select("x.*").distinct()
+            sizes = {r["k"]: r["n"] for r in long.groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()}
+            too_big = [k for k, n in sizes.items() if n > self.cfg["max_categories"]]
+            if too_big:
+                raise ValueError(f"columns with more than {self.cfg['max_categories']} categories: {too_big}")
+            for r in long.collect():  # bounded: at most max_categories per column
+                cats.setdefault(r["k"], []).append(r["v"])
+            cats = {k: sorted(v) for k, v in cats.items()}
+        return {"medians": {c: med[c][0] for c in numeric}, "modes": modes, "categories": cats,
+                "columns": list(df.columns)}
