@@ -204,7 +204,8 @@ def scan_fill(df: DataFrame, keys: Sequence[str], cols: dict[str, str],
     blocks = local.groupBy(*keys, BLK).agg(*[v.alias(k) for k, v in edge.items()])
     if backward:
         bw = Window.partitionBy(*keys).orderBy(F.col(BLK).desc()).rowsBetween(Window.unboundedPreceding, -1)
-        carry = blocks.select(*keys, BLK, *[F.first(f"{o}__edge", ignorenulls=True).over(bw).alias(f"{o}__carry")
+        # frame runs from the last block down to the next one: the nearest is last
+        carry = blocks.select(*keys, BLK, *[F.last(f"{o}__edge", ignorenulls=True).over(bw).alias(f"{o}__carry")
                                             for o in cols])
     else:
         bw = Window.partitionBy(*keys).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
