@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from kiln.plans import q_backtest, q_eval, q_features, q_relational, q_series, q_stats, q_tables  # noqa: F401
+from kiln.plans import q_backtest, q_eval, q_features, q_models, q_relational, q_series, q_stats, q_tables  # noqa: F401
 from kiln.plans.registry import COVERS, ORACLE, QUERIES  # noqa: F401
 from kiln.session import ensure_checkpoint_dir
 
