@@ -211,14 +211,33 @@ def forward_return_hist(df: DataFrame, keys: Sequence[str], price: str, edges: S
 # W17 ------------------------------------------------------------------------
 def lagged_moments(df: DataFrame, keys: Sequence[str], vec: str, centers: Sequence[float],
                    windows: Sequence[int] = (30, 45, 60)) -> DataFrame:
-    """Moments of the distribution ``vec`` of row i-w (exact, not sampled)."""
+    """Moments of the distribution ``vec`` of row i-w (exact, not sampled):
+    mean (dot product), median (first centre with cdf >= 0.5), population skew
+    and excess kurtosis.  Each intermediate array is its own projection, so no
+    higher-order subtree is evaluated twice."""
     d = S.rolling(df, keys, lambda w: {f"_lag{k}": F.lag(vec, k).over(w) for k in windows},
                   before=max(windows))
-    out = {}
+    c = A.lit_array(centers)
     for k in windows:
-        m = A.distribution_moments(F.col(f"_lag{k}"), centers)
-        out[f"y_mean_prev{k}d"] = m["mean"]
-        out[f"y_median_prev{k}d"] = m["median"]
-        out[f"y_skew_prev{k}d"] = m["skew"]
-        out[f"y_kurtosis_prev{k}d"] = m["kurtosis"]
-    return d.withColumns(out).drop(*[f"_lag{k}" for k in windows])
+        v = F.col(f"_lag{k}")
+        d = d.withColumn(f"_s{k}", F.aggregate(v, F.lit(0.0), lambda a, x: a + x))
+        d = d.withColumn(f"_mu{k}", A.dot(F.transform(v, lambda x: x / F.col(f"_s{k}")), centers))
+        d = d.withColumn(f"_cm{k}", F.aggregate(
+            F.zip_with(v, c, lambda p, x: F.struct((p / F.col(f"_s{k}")).alias("q"), (x - F.col(f"_mu{k}")).alias("d"))),
+            F.struct(F.lit(0.0).alias("m2"), F.lit(0.0).alias("m3"), F.lit(0.0).alias("m4")),
+            lambda acc, z: F.struct((acc["m2"] + z["q"] * F.pow(z["d"], 2)).alias("m2"),
+                                    (acc["m3"] + z["q"] * F.pow(z["d"], 3)).alias("m3"),
+                                    (acc["m4"] + z["q"] * F.pow(z["d"], 4)).alias("m4"))))
+        cdf = F.aggregate(v, F.array().cast("array<double>"),
+                          lambda acc, x: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)),
+                                                                          F.lit(0.0)) + x)))
+        idx = F.array_position(F.transform(cdf, lambda x: x >= 0.5), True)
+        m2, m3, m4 = (F.col(f"_cm{k}")[m] for m in ("m2", "m3", "m4"))
+        ok = v.isNotNull() & (F.col(f"_s{k}") > 0) & (m2 > 0)
+        d = d.withColumns({
+            f"y_mean_prev{k}d": F.when(v.isNotNull(), A.dot(v, centers)),
+            f"y_median_prev{k}d": F.when(v.isNotNull() & (idx > 0),
+                                         F.element_at(c, F.greatest(idx, F.lit(1)).cast("int"))),
+            f"y_skew_prev{k}d": F.when(ok, m3 / F.pow(m2, 1.5)),
+            f"y_kurtosis_prev{k}d": F.when(ok, m4 / (m2 * m2) - 3.0)})
+    return d.drop(*[f"_{p}{k}" for k in windows for p in ("lag", "s", "mu", "cm")])

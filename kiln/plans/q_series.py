@@ -251,3 +251,41 @@ def forward_hist(spark, sf_dir):
     return s.select("series", "ts",
                     F.transform("y_bins", lambda x: F.round(x, 6) + F.lit(0.0)).alias("y_bins"),
                     (F.round(A.expected_value(F.col("y_bins"), A.bin_midpoints()), 6) + F.lit(0.0)).alias("ev"))
+
+
+# Moments of the distribution w rows back ---------------------------------------
+def _moments_sql() -> str:
+    c = repr(A.bin_centers())
+    parts = []
+    for k in (30, 45, 60):
+        v = f"lag{k}"
+        s = f"list_sum({v})"
+        mu = f"list_sum(list_transform(list_zip({v}, {c}), lambda z: z[1] / {s} * z[2]))"
+
+        def central(p, v=v, s=s, mu=mu):
+            return f"list_sum(list_transform(list_zip({v}, {c}), lambda z: z[1] / {s} * power(z[2] - {mu}, {p})))"
+        cdf = f"list_transform(range(1, 19), lambda i: list_sum({v}[1:i]))"
+        med = f"{c}[list_position(list_transform({cdf}, lambda x: x >= 0.5), true)]"
+        ok = f"{v} IS NOT NULL AND {s} > 0 AND {central(2)} > 0"
+        parts += [f"round(CASE WHEN {v} IS NOT NULL THEN list_sum(list_transform(list_zip({v}, {c}), lambda z: z[1] * z[2])) END, 9) AS y_mean_prev{k}d",
+                  f"CASE WHEN {v} IS NOT NULL THEN {med} END AS y_median_prev{k}d",
+                  f"round(CASE WHEN {ok} THEN {central(3)} / power({central(2)}, 1.5) END, 6) AS y_skew_prev{k}d",
+                  f"round(CASE WHEN {ok} THEN {central(4)} / ({central(2)} * {central(2)}) - 3.0 END, 6) AS y_kurtosis_prev{k}d"]
+    lags = ", ".join(f"lag(y_bins, {k}) OVER (PARTITION BY series ORDER BY ts) AS lag{k}" for k in (30, 45, 60))
+    return ("WITH " + FWD_CTES + f""",
+l AS (SELECT series, ts, {lags} FROM v)
+SELECT series, ts, """ + ",\n  ".join(parts) + "\nFROM l")
+
+
+MOMENT_COLS = [f"y_{m}_prev{k}d" for k in (30, 45, 60) for m in ("mean", "median", "skew", "kurtosis")]
+
+
+@query("w17_lagged_moments", unsign(_moments_sql(), MOMENT_COLS), covers=("W17", "W18"))
+def lagged_moments(spark, sf_dir):
+    s = forward_frame(spark, sf_dir)
+    m = I.lagged_moments(s, KEYS, "y_bins", A.bin_centers())
+    out = []
+    for k in (30, 45, 60):
+        out += [_r([f"y_mean_prev{k}d"], 9)[0], (F.col(f"y_median_prev{k}d") + F.lit(0.0)).alias(f"y_median_prev{k}d"),
+                *_r([f"y_skew_prev{k}d", f"y_kurtosis_prev{k}d"])]
+    return m.select("series", "ts", *out)
