@@ -108,3 +108,28 @@ def chunk_profile(spark, sf_dir):
             F.max("value").alias("max"), (F.round(F.corr("value", "user_id"), 9) + F.lit(0.0)).alias("corr_user"),
             F.sum((F.col("event_type") == "purchase").cast("long")).alias("purchases"))
     return ST.stream_metrics(spark, path, schema, per_batch).drop("batch_id")
+
+
+@query("u05_pluggable_source", """
+SELECT chunk_no, count(*) AS n FROM (SELECT CAST(event_id % 4 AS BIGINT) AS chunk_no FROM events) GROUP BY 1""",
+       covers=("U5", "S3", "O4"))
+def pluggable_source(spark, sf_dir):
+    """A named reader (``chunks``) over chunk files named merged_chunk_<n>."""
+    path = scratch_path(spark, f"named-chunks-{uuid.uuid4().hex}")
+    e = load(spark, sf_dir, "events")
+    for c in range(N_CHUNKS):
+        e.filter(F.col("event_id") % N_CHUNKS == c).write.parquet(f"{path}/tmp_{c}")
+    # rename part files to merged_chunk_<n>.parquet through the Hadoop file system
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(conf)
+    i = 0
+    for c in range(N_CHUNKS):
+        for st in fs.listStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/tmp_{c}")):
+            name = st.getPath().getName()
+            if name.endswith(".parquet"):
+                fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(f"{path}/merged_chunk_{c}_{i}.parquet"))
+                i += 1
+    df = ST.read_source(spark, "chunks", path, fmt="parquet", pattern="merged_chunk_*")
+    return df.groupBy(F.regexp_extract("chunk", r"merged_chunk_(\d+)_", 1).cast("long").alias("chunk_no")) \
+             .agg(F.count(F.lit(1)).alias("n"))

@@ -485,3 +485,47 @@ def chronological(spark, sf_dir):
     d = O.chronological_split(daily_prices(spark, sf_dir), ["series"], "ts", 0.2, 0.2)
     return d.groupBy("series", "split").agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("first_ts"),
                                             F.max("ts").alias("last_ts"))
+
+
+# Macro-column selection on a wide aligned table, then W2 on those columns -----------
+@query("p08_macro_columns", """
+WITH d AS (SELECT date_trunc('day', ts) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2)
+SELECT day, n AS CLICK_price FROM d WHERE event_type = 'click'""", covers=("P8",))
+def macro_columns(spark, sf_dir):
+    from kiln.operators import schema as P
+    e = load(spark, sf_dir, "events").withColumn("day", F.date_trunc("day", "ts"))
+    per = e.groupBy("day", "event_type").agg(F.count(F.lit(1)).alias("value"))
+    wide = J.outer_align({"CLICK_price": per.filter("event_type = 'click'").withColumnRenamed("day", "ts"),
+                          "Close": per.filter("event_type = 'view'").withColumnRenamed("day", "ts")})
+    macro = P.macro_columns([c for c in wide.columns if c != "ts"], ohlc=P.RAW_MARKERS)
+    keep = [c for c in macro if not P.is_raw_column(c) or c.endswith("_price")]
+    return wide.select(F.col("ts").alias("day"), *[F.col(c).cast("long").alias(c) for c in keep]) \
+               .filter(F.col("CLICK_price").isNotNull())
+
+
+# Per-column suggestions from moments, distinct counts and target correlation ---------
+SUG_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _sugg_sql() -> str:
+    parts = []
+    for c in SUG_COLS:
+        parts.append(f"""SELECT '{c}' AS column, avg({c}) AS mean, stddev_samp({c}) AS std, min({c}) AS mn, max({c}) AS mx,
+  avg(power({c} - (SELECT avg({c}) FROM lineitem), 3)) / power(var_pop({c}), 1.5) AS skew, kurtosis_pop({c}) AS kurt,
+  count(DISTINCT {c}) AS nd, corr({c}, l_linenumber) AS tc FROM lineitem""")
+    return "WITH m AS (" + " UNION ALL ".join(parts) + """)
+SELECT "column", list_filter([CASE WHEN abs(coalesce(std, 0)) <= 1e-8 THEN 'drop_zero_variance'
+                                 WHEN std > 50 OR abs(mean) > 100 OR mx - mn > 100 THEN 'normalize_high_range' END,
+                            CASE WHEN abs(skew) > 1 OR abs(kurt) > 3 THEN 'transform_non_gaussian' END,
+                            CASE WHEN nd < 10 THEN 'encode_discrete' END,
+                            CASE WHEN abs(tc) < 0.05 THEN 'low_target_correlation' END], lambda x: x IS NOT NULL) AS suggestions
+FROM m"""
+
+
+@query("a22_feature_suggestions", _sugg_sql(), covers=("A22", "A11", "A2", "A12"))
+def feature_suggestions(spark, sf_dir):
+    li = load(spark, sf_dir, "lineitem")
+    mom = AG.moments(li, SUG_COLS)
+    dist = AG.distinct_profile(li, SUG_COLS)
+    corr = AG.correlations(li, SUG_COLS, target="l_linenumber")
+    return AG.feature_suggestions(mom, dist, corr).select("column", "suggestions")
