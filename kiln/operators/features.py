@@ -361,3 +361,61 @@ class RawTransformer(StepEstimator):
             cats = {k: sorted(v) for k, v in cats.items()}
         return {"medians": {c: med[c][0] for c in numeric}, "modes": modes, "categories": cats,
                 "columns": list(df.columns)}
+
+
+# ------------------------------------------------------------------ F5
+class PassengerModel(StateModel):
+    def _transform(self, df):
+        st, cfg = self.st, self.cfg
+        d = df.drop(*[c for c in (cfg["id_col"],) if c in df.columns])
+        for c in cfg["bool_cols"]:
+            if c in d.columns:
+                d = d.withColumn(c, X.text_to_bool(c, null_as_false=True))
+        for c in cfg["code_cols"]:
+            if c in d.columns:
+                d = d.withColumn(c, _code_expr(F.col(c), st["codes"].get(c) or []))
+        svc = [c for c in cfg["service_cols"] if c in d.columns]
+        d = P.spend_features(d, svc, st["spend_categories"], st["all_zero"])
+        age = cfg["age_col"]
+        if age in d.columns:
+            fill = st["age_median"]
+            if fill is None:
+                own = Q.column_quantiles(d, age, [0.5])[0]
+                fill = own if own is not None else 30.0
+            d = d.withColumn(age, F.coalesce(F.col(age).cast("double"), F.lit(fill)))
+        cab = cfg["cabin_col"]
+        if cab in d.columns:
+            deck, num, side = X.split_code(cab)
+            d = d.withColumns({"deck": _code_expr(deck, st["deck"] or []), "cabin_num": num,
+                               "side": _code_expr(side, st["side"] or [])}).drop(cab)
+        return d.drop(*[c for c in cfg["drop_cols"] if c in d.columns])
+
+
+class PassengerTransformer(StepEstimator):
+    """domain raw transformer: id dropped (P2), text booleans null -> false
+    (P11), category codes (F8), service totals and arg-max category (P16, P17),
+    age median with fallback (F3), ``deck/num/side`` split (P12); name-like
+    columns dropped after the word features used them."""
+    model_class = PassengerModel
+
+    def __init__(self, id_col="PassengerId", bool_cols=("CryoSleep", "VIP"), code_cols=("HomePlanet", "Destination"),
+                 service_cols=("RoomService", "FoodCourt", "ShoppingMall", "Spa", "VRDeck"), age_col="Age",
+                 cabin_col="Cabin", drop_cols=("Name", "Ticket")):
+        super().__init__(id_col=id_col, bool_cols=list(bool_cols), code_cols=list(code_cols),
+                         service_cols=list(service_cols), age_col=age_col, cabin_col=cabin_col,
+                         drop_cols=list(drop_cols))
+
+    def fit_state(self, df):
+        cfg = self.cfg
+        codes = CategoryCodes([c for c in cfg["code_cols"] if c in df.columns]).fit_state(df)["categories"]
+        svc = [c for c in cfg["service_cols"] if c in df.columns]
+        spend = SpendFeatures(svc).fit_state(df) if svc else {"categories": None, "all_zero": True}
+        age = Q.column_quantiles(df, cfg["age_col"], [0.5])[0] if cfg["age_col"] in df.columns else None
+        deck = side = None
+        if cfg["cabin_col"] in df.columns:
+            dk, _, sd = X.split_code(cfg["cabin_col"])
+            parts = df.select(dk.alias("d"), sd.alias("s"))
+            deck = sorted(r[0] for r in parts.select("d").distinct().collect() if r[0] is not None)
+            side = sorted(r[0] for r in parts.select("s").distinct().collect() if r[0] is not None)
+        return {"codes": codes, "spend_categories": spend["categories"], "all_zero": spend["all_zero"],
+                "age_median": age, "deck": deck, "side": side}
