@@ -157,7 +157,9 @@ def _sharpe(mean: Column, std: Column, n: Column, periods: int) -> Column:
 
 
 def kpis(eq: DataFrame, pos: DataFrame, keys: Sequence[str], p: Params) -> DataFrame:
-    """Long KPI table (keys, strategy, metric, value)."""
+    """Long KPI table (keys, strategy, metric, value) from three passes:
+    conditional aggregates over the daily returns (all-time and last-N
+    metrics), tumbling-window metrics, and trade statistics over the closes."""
     k = list(keys) + ["strategy"]
     # daily returns: previous value, V0 before the first row
     r = S.rolling(eq, k, lambda w: {"_prev": F.lag("value", 1).over(w)}, before=1)
@@ -165,41 +167,31 @@ def kpis(eq: DataFrame, pos: DataFrame, keys: Sequence[str], p: Params) -> DataF
     ret = F.when(F.col("daily_pnl") == 0, F.lit(0.0)).otherwise(
         F.coalesce(F.col("value") / F.coalesce("_prev", F.lit(p.initial)) - 1, F.lit(0.0)))
     r = r.withColumn("ret", ret)
-    last = F.col(S.SEQ) == F.col(S.CNT)
-    base = r.groupBy(*k).agg(
-        F.max_by("value", S.SEQ).alias("final"), F.avg("ret").alias("mean"), F.stddev_samp("ret").alias("std"),
-        F.count(F.lit(1)).alias("n"))
+    seq, n = F.col(S.SEQ), F.col(S.CNT)
+    aggs = [F.max_by("value", S.SEQ).alias("final"), F.avg("ret").alias("mean"),
+            F.stddev_samp("ret").alias("std"), F.count(F.lit(1)).alias("cnt")]
+    for nd in (10, 30, 60):
+        tail = seq >= F.greatest(n - nd + 1, F.lit(1))
+        aggs += [F.avg(F.when(tail, F.col("ret"))).alias(f"m{nd}"),
+                 F.stddev_samp(F.when(tail, F.col("ret"))).alias(f"s{nd}"),
+                 F.count(F.when(tail, 1)).alias(f"c{nd}"),
+                 F.max(F.when(seq == n - nd, F.col("value"))).alias(f"v{nd}")]
+    base = r.groupBy(*k).agg(*aggs)
     m = {
         "Final Portfolio Value": F.col("final"),
         "Total Return (%)": (F.col("final") / p.initial - 1) * 100,
-        "Sharpe Ratio (Annualized, All-Time)": _sharpe(F.col("mean"), F.col("std"), F.col("n"), p.periods),
+        "Sharpe Ratio (Annualized, All-Time)": _sharpe(F.col("mean"), F.col("std"), F.col("cnt"), p.periods),
         "Avg Daily Return (%)": F.col("mean") * 100,
-        "Std Dev Daily Return (%)": F.when(F.col("n") > 1, F.col("std") * 100).otherwise(F.lit(0.0)),
+        "Std Dev Daily Return (%)": F.when(F.col("cnt") > 1, F.col("std") * 100).otherwise(F.lit(0.0)),
     }
-    out = [base.select(*k, F.explode(F.array(*[F.struct(F.lit(n).alias("metric"), e.cast("double").alias("value"))
-                                              for n, e in m.items()])).alias("x")).select(*k, "x.*")]
-    closes = pos.filter("closed").select(*k, "close_seq", "trade_pnl", "dir")
-    for n_days in (10, 30, 60):
-        lo = F.greatest(F.col(S.CNT) - n_days + 1, F.lit(1))
-        tail = r.filter(F.col(S.SEQ) >= lo).groupBy(*k).agg(
-            F.avg("ret").alias("mean"), F.stddev_samp("ret").alias("std"), F.count(F.lit(1)).alias("n"))
-        out.append(tail.select(*k, F.lit(f"sharpe_ratio_last_{n_days}_trading_days").alias("metric"),
-                               _sharpe(F.col("mean"), F.col("std"), F.col("n"), p.periods).alias("value")))
-        # value N rows before the end (V0 when the series is shorter)
-        start = r.filter(F.col(S.SEQ) == F.col(S.CNT) - n_days).select(*k, F.col("value").alias("_v0"))
-        endv = r.filter(last).select(*k, F.col("value").alias("_v1"), S.CNT)
-        rt = endv.join(start, k, "left").select(
-            *k, F.lit(f"running_total_returns_last_{n_days}_trading_days").alias("metric"),
-            ((F.col("_v1") / F.coalesce("_v0", F.lit(p.initial)) - 1) * 100).alias("value"))
-        out.append(rt)
-        # closes whose close row is within the last N rows
-        cl = closes.join(endv.select(*k, S.CNT), k, "inner").filter(
-            F.col("close_seq") >= F.greatest(F.col(S.CNT) - n_days + 1, F.lit(1)))
-        wr = cl.groupBy(*k).agg(F.avg(F.when(F.col("trade_pnl") > WIN_EPS, 100.0).otherwise(0.0)).alias("value"))
-        traded = endv.filter(F.col("strategy") != BENCHMARK).select(*k)
-        out.append(traded.join(wr, k, "left").select(
-            *k, F.lit(f"win_rate_last_{n_days}_trading_days").alias("metric"),
-            F.coalesce("value", F.lit(0.0)).alias("value")))
+    for nd in (10, 30, 60):
+        m[f"sharpe_ratio_last_{nd}_trading_days"] = _sharpe(F.col(f"m{nd}"), F.col(f"s{nd}"), F.col(f"c{nd}"),
+                                                            p.periods)
+        m[f"running_total_returns_last_{nd}_trading_days"] = \
+            (F.col("final") / F.coalesce(F.col(f"v{nd}"), F.lit(p.initial)) - 1) * 100
+    out = [base.select(*k, F.explode(F.array(*[F.struct(F.lit(name).alias("metric"), e.cast("double").alias("value"))
+                                                for name, e in m.items()])).alias("x")).select(*k, "x.*")]
+    closes = pos.filter("closed").select(*k, "close_seq", "trade_pnl", "dir", S.CNT)
     out += rolling_window_kpis(r, closes, k, p)
     out += trade_stats(closes, endv_keys(r, k), k)
     res = out[0]
@@ -242,13 +234,17 @@ def rolling_window_kpis(r: DataFrame, closes: DataFrame, k: Sequence[str], p: Pa
 
 # B12 ------------------------------------------------------------------------
 def trade_stats(closes: DataFrame, strategies: DataFrame, k: Sequence[str]) -> list[DataFrame]:
-    """Totals, win / loss / breakeven %, long and short win % per strategy."""
+    """Totals, win / loss / breakeven %, long and short win %, and win rate of
+    the closes in the last 10 / 30 / 60 rows, per strategy (one aggregate)."""
     win = F.col("trade_pnl") > WIN_EPS
     loss = F.col("trade_pnl") < -WIN_EPS
-    g = closes.groupBy(*k).agg(
-        F.count(F.lit(1)).alias("t"), F.sum(win.cast("int")).alias("w"), F.sum(loss.cast("int")).alias("l"),
-        F.sum((F.col("dir") == 1).cast("int")).alias("bt"), F.sum(((F.col("dir") == 1) & win).cast("int")).alias("bw"),
-        F.sum((F.col("dir") == -1).cast("int")).alias("st"), F.sum(((F.col("dir") == -1) & win).cast("int")).alias("sw"))
+    aggs = [F.count(F.lit(1)).alias("t"), F.sum(win.cast("int")).alias("w"), F.sum(loss.cast("int")).alias("l"),
+            F.sum((F.col("dir") == 1).cast("int")).alias("bt"), F.sum(((F.col("dir") == 1) & win).cast("int")).alias("bw"),
+            F.sum((F.col("dir") == -1).cast("int")).alias("st"), F.sum(((F.col("dir") == -1) & win).cast("int")).alias("sw")]
+    for nd in (10, 30, 60):
+        recent = F.col("close_seq") >= F.greatest(F.col(S.CNT) - nd + 1, F.lit(1))
+        aggs.append(F.avg(F.when(recent, F.when(win, 100.0).otherwise(0.0))).alias(f"wr{nd}"))
+    g = closes.groupBy(*k).agg(*aggs)
     g = strategies.join(g, k, "left").na.fill(0, ["t", "w", "l", "bt", "bw", "st", "sw"])
 
     def pct(a, b):
@@ -259,6 +255,8 @@ def trade_stats(closes: DataFrame, strategies: DataFrame, k: Sequence[str]) -> l
          .otherwise(F.lit(0.0)),
          "Buy Wins (%)": pct("bw", "bt"), "Total Buy Trades": F.col("bt").cast("double"),
          "Short Wins (%)": pct("sw", "st"), "Total Short Trades": F.col("st").cast("double")}
+    for nd in (10, 30, 60):
+        m[f"win_rate_last_{nd}_trading_days"] = F.coalesce(F.col(f"wr{nd}"), F.lit(0.0))
     return [g.select(*k, F.explode(F.array(*[F.struct(F.lit(n).alias("metric"), e.cast("double").alias("value"))
                                             for n, e in m.items()])).alias("x")).select(*k, "x.*")]
 

@@ -27,11 +27,14 @@ def accuracy(df: DataFrame, label: str = "label", pred: str = "pred", model: str
 
 
 def confusion(df: DataFrame, label: str = "label", pred: str = "pred", model: str | None = None) -> DataFrame:
-    """Long confusion matrix over the union of true and predicted classes, zeros included."""
+    """Long confusion matrix over the union of true and predicted classes, zeros
+    included.  The predictions are read once: classes come from the (small)
+    count table, which is kept in memory for its several consumers."""
     g = _grp(model)
     counts = df.groupBy(*g, F.col(label).alias("true_label"), F.col(pred).alias("pred_label")).agg(
-        F.count(F.lit(1)).alias("count"))
-    classes = (df.select(*g, F.col(label).alias("c")).union(df.select(*g, F.col(pred).alias("c"))).distinct())
+        F.count(F.lit(1)).alias("count")).persist()
+    classes = (counts.select(*g, F.col("true_label").alias("c"))
+               .union(counts.select(*g, F.col("pred_label").alias("c"))).distinct())
     grid = classes.withColumnRenamed("c", "true_label").join(classes.withColumnRenamed("c", "pred_label"), g or None,
                                                              "inner" if g else "cross")
     return grid.join(counts, [*g, "true_label", "pred_label"], "left").na.fill(0, ["count"])
@@ -41,7 +44,7 @@ def confusion(df: DataFrame, label: str = "label", pred: str = "pred", model: st
 def per_class(df: DataFrame, label: str = "label", pred: str = "pred", model: str | None = None) -> DataFrame:
     """Precision, recall, F1 (zero division -> 0) and support per class."""
     g = _grp(model)
-    cm = confusion(df, label, pred, model)
+    cm = confusion(df, label, pred, model).persist()  # classes^2 rows, three consumers
     tp = cm.filter(F.col("true_label") == F.col("pred_label")).select(*g, F.col("true_label").alias("class"),
                                                                      F.col("count").alias("tp"))
     sup = cm.groupBy(*g, F.col("true_label").alias("class")).agg(F.sum("count").alias("support"))
@@ -136,10 +139,39 @@ def regression_metrics(df: DataFrame, y: str, yhat: str, group: Sequence[str] =
 # E9 / E10 / E11 --------------------------------------------------------------
 def distribution_losses(df: DataFrame, p_true: str, p_pred: str, centers: Sequence[float],
                         normalize: bool = True, group: Sequence[str] = ()) -> DataFrame:
-    """Row means of KL, JS, cross-entropy, L1, L2 and earth mover's distance."""
-    m = A.distances(F.col(p_true), F.col(p_pred), centers, normalize)
-    d = df.select(*group, *[v.alias(k) for k, v in m.items()])
-    return d.groupBy(*group).agg(*[F.avg(k).alias(k) for k in m])
+    """Row means of KL, JS, cross-entropy, L1, L2 and earth mover's distance.
+
+    Same definitions as ``arrays.distances``; every intermediate array is its
+    own projection so no lambda subtree is evaluated twice."""
+    eps = 1e-9
+    t, q = F.col(p_true), F.col(p_pred)
+    d = df.select(*group, t.alias("_t"), q.alias("_q"))
+    if normalize:
+        d = d.withColumns({"_tc": A._clip_arr(A._norm(F.col("_t")), eps, 1 - eps),
+                           "_qc": A._clip_arr(A._norm(F.col("_q")), eps, 1 - eps)})
+        ja, jb = "_tc", "_qc"
+    else:
+        d = d.withColumns({"_tc": A._clip_arr(F.col("_t"), eps, 1.0), "_qc": A._clip_arr(F.col("_q"), eps, 1.0)})
+        ja, jb = "_t", "_q"
+    d = d.withColumns({"_tn": A._norm(F.col("_tc")), "_qn": A._norm(F.col("_qc")),
+                       "_a": A._norm(F.col(ja)), "_b": A._norm(F.col(jb)),
+                       "_tt": A._norm(F.col("_t")), "_qq": A._norm(F.col("_q"))})
+    d = d.withColumns({"_m": F.zip_with("_a", "_b", lambda x, y: 0.5 * (x + y)),
+                       "_diff": F.zip_with("_tt", "_qq", lambda x, y: x - y)})
+    d = d.withColumn("_cum", F.aggregate("_diff", F.array().cast("array<double>"),
+                                         lambda acc, x: F.concat(acc, F.array(
+                                             F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0.0)) + x))))
+    gaps = [b_ - a_ for a_, b_ in zip(centers[:-1], centers[1:])]
+    m = {
+        "kl": A._zsum(F.col("_tn"), F.col("_qn"), lambda x, y: x * F.log(x / y)),
+        "js": 0.5 * A._zsum(F.col("_a"), F.col("_m"), A._rel_entr) + 0.5 * A._zsum(F.col("_b"), F.col("_m"), A._rel_entr),
+        "cross_entropy": -A._zsum(F.col("_t"), F.col("_qc"), lambda x, y: x * F.log(y)),
+        "l1": A._zsum(F.col("_t"), F.col("_q"), lambda x, y: F.abs(x - y)),
+        "l2": A._zsum(F.col("_t"), F.col("_q"), lambda x, y: (x - y) * (x - y)),
+        "emd": F.aggregate(F.zip_with(F.slice("_cum", 1, len(gaps)), A.lit_array(gaps), lambda x, g: F.abs(x) * g),
+                           F.lit(0.0), lambda acc, x: acc + x),
+    }
+    return d.groupBy(*group).agg(*[F.avg(v).alias(k) for k, v in m.items()])
 
 
 def directional_loss(probs: Column, label: Column, centers: Sequence[float], right: float = 1.2) -> Column:

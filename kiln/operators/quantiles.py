@@ -78,11 +78,19 @@ def multi_quantiles(df: DataFrame, spec: dict[str, Sequence[float]], fanout: int
         groups: dict[tuple, list] = {}
         for t in [t for t in todo if state[t]["count"] <= max_collect]:
             groups.setdefault((t[0], tuple(state[t]["chain"])), []).append(t)
-        for (c, chain), ts_ in groups.items():
-            # one sorted collect per (column, bucket chain): at most max_collect values
-            vals = [row[0] for row in d.filter(member(c, list(chain))).select(c).orderBy(c).collect()]
-            for t in ts_:
-                found[t] = vals[t[1] - state[t]["below"]]
+        if groups:
+            # one job for every finished bucket: (group id, value) pairs, each
+            # bucket holding at most max_collect values
+            keys = list(groups)
+            tags = [F.when(member(c, list(chain)), F.struct(F.lit(gi).alias("g"), F.col(c).alias("v")))
+                    for gi, (c, chain) in enumerate(keys)]
+            got: dict[int, list] = {}
+            for row in d.select(F.explode(F.array_compact(F.array(*tags))).alias("x")).select("x.*").collect():
+                got.setdefault(row["g"], []).append(row["v"])
+            for gi, key in enumerate(keys):
+                vals = sorted(got.get(gi, []))
+                for t in groups[key]:
+                    found[t] = vals[t[1] - state[t]["below"]]
         wide = [t for t in todo if t not in found]
         if not wide:
             break

@@ -116,15 +116,15 @@ def _float_text(c: Column) -> Column:
     return F.trim(c.cast("string")).try_cast("double")
 
 
-def validation_error(schema: dict[str, str]) -> Column:
+def validation_error(schema: dict[str, str], parsed: dict[str, Column] | None = None) -> Column:
     """First failing column in schema order: null -> ``Missing value in {col}``;
     text that is not a number -> the conversion error message."""
     expr = None
     for col, kind in schema.items():
         c = F.col(f"`{col}`")
-        bad_cast = c.isNotNull() & _float_text(c).isNull()
-        py = "float" if kind == "double" else "int"
-        msg_cast = F.concat(F.lit(f"could not convert string to {py}: '"), c.cast("string"), F.lit("'")) \
+        num = parsed[col] if parsed else _float_text(c)
+        bad_cast = c.isNotNull() & num.isNull()
+        msg_cast = F.concat(F.lit("could not convert string to float: '"), c.cast("string"), F.lit("'")) \
             if kind == "double" else \
             F.concat(F.lit("invalid literal for int() with base 10: '"), c.cast("string"), F.lit("'"))
         step = F.when(c.isNull(), F.lit(f"Missing value in {col}")).when(bad_cast, msg_cast)
@@ -135,13 +135,15 @@ def validation_error(schema: dict[str, str]) -> Column:
 def validate_rows(df: DataFrame, schema: dict[str, str], index: str | None = None
                   ) -> tuple[DataFrame, DataFrame]:
     """Split into (valid, rejected).  Valid rows are cast (``int`` truncates);
-    rejected rows carry ``error`` and the row as JSON."""
-    err = validation_error(schema)
-    tagged = df.withColumn("_error", err)
+    rejected rows carry ``error`` and the row as JSON.  Each field is parsed
+    once (a staged projection), then the error is derived from the parsed values."""
+    names = {c: f"_num{i}" for i, c in enumerate(schema)}
+    staged = df.withColumns({n: _float_text(F.col(f"`{c}`")) for c, n in names.items()})
+    tagged = staged.withColumn("_error", validation_error(schema, {c: F.col(n) for c, n in names.items()}))
     casts = []
     for c in df.columns:
         if c in schema:
-            v = _float_text(F.col(f"`{c}`"))
+            v = F.col(names[c])
             casts.append((v.cast("int") if schema[c] == "int" else v).alias(c))
         else:
             casts.append(F.col(f"`{c}`"))
@@ -153,6 +155,21 @@ def validate_rows(df: DataFrame, schema: dict[str, str], index: str | None = Non
     return valid, rejected
 
 
+def outcome_counts(df: DataFrame, schema: dict[str, str], value: str | None = None) -> DataFrame:
+    """One pass: rows per outcome (``valid`` or the error) and, for valid rows,
+    the sum of ``value`` after its cast."""
+    names = {c: f"_num{i}" for i, c in enumerate(schema)}
+    staged = df.withColumns({n: _float_text(F.col(f"`{c}`")) for c, n in names.items()})
+    err = validation_error(schema, {c: F.col(n) for c, n in names.items()})
+    t = staged.withColumn("outcome", F.coalesce(err, F.lit("valid")))
+    aggs = [F.count(F.lit(1)).alias("n")]
+    if value:
+        v = F.col(names[value])
+        v = v.cast("int") if schema[value] == "int" else v
+        aggs.append(F.sum(F.when(F.col("outcome") == "valid", v.cast("long"))).alias(f"{value}_sum"))
+    return t.groupBy("outcome").agg(*aggs)
+
+
 # P15 ------------------------------------------------------------------------
 def task_type(df: DataFrame, target: str) -> str:
     """binary (<=2 distinct numeric), multinomial (<15), regression, multilabel

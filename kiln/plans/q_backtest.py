@@ -14,6 +14,7 @@ from kiln.operators import series as S
 from kiln.plans.inputs import DAILY_SQL, daily_prices
 from kiln.plans.registry import query
 from kiln.plans.sqlkit import unsign
+from kiln.session import cut_lineage
 from kiln.sources import sinks as K
 
 KEYS = ["series"]
@@ -30,19 +31,25 @@ def scored_prices(spark, sf_dir):
     price = F.when(F.dayofyear("ts") % 17 == 0, F.lit(None)).otherwise(F.col("price"))
     day = F.date_format("ts", "yyyy-MM-dd")
     w = [(F.conv(F.substring(F.md5(F.concat_ws("|", F.col("series"), day, F.lit(str(i)))), 1, 6), 16, 10)
-          .cast("long") % 1000 + 1) for i in range(N_CLASSES)]
-    total = w[0]
-    for x in w[1:]:
-        total = total + x
-    probs = F.array(*[x / total for x in w])
-    return d.select("series", "ts", price.alias("price"), probs.alias("probs"))
-
-
-def _run(spark, sf_dir):
+          .cast("long") % 1000 + 1).alias(f"_w{i}") for i in range(N_CLASSES)]
+    # staged: weights, their total, then the probability row (each computed once)
+    d = d.select("series", "ts", price.alias("price"), *w)
+    tot = F.col("_w0")
+    for i in range(1, N_CLASSES):
+        tot = tot + F.col(f"_w{i}")
+    d = d.withColumn("_tot", tot)
+    probs = F.array(*[F.col(f"_w{i}") / F.col("_tot") for i in range(N_CLASSES)])
+    return d.select("series", "ts", "price", probs.alias("probs"))
+
+
+def _run(spark, sf_dir, materialize: bool = False):
     d = scored_prices(spark, sf_dir)
     seq = S.sequence(d, KEYS, ["ts"])
     sig = B.signals(seq, KEYS, "price", "probs", CLASS_EV, PARAMS, MODEL)
     pos = B.positions(sig, KEYS, "price", PARAMS)
+    if materialize:
+        # positions feed several KPI passes: written once to the shared checkpoint folder
+        pos = cut_lineage(pos)
     eq = B.equity(pos, B.benchmark(seq, KEYS, PARAMS), KEYS)
     return seq, pos, eq
 
@@ -203,7 +210,7 @@ KPI_SQL = _kpi_sql()
 @query("b14_backtest_kpis", unsign(KPI_SQL + "\nSELECT series, strategy, metric, round(value, 6) AS value FROM kpi",
                                    ["value"]), covers=("B9", "B10", "B11", "B12", "B14", "J10", "E1"))
 def backtest_kpis(spark, sf_dir):
-    _, pos, eq = _run(spark, sf_dir)
+    _, pos, eq = _run(spark, sf_dir, materialize=True)
     k = B.kpis(eq, pos, KEYS, PARAMS)
     return k.select("series", "strategy", "metric", (F.round("value", 6) + F.lit(0.0)).alias("value"))
 
@@ -216,7 +223,7 @@ SELECT k.series, k.strategy,
 FROM kpi k JOIN (SELECT series, max(n) AS n FROM sc GROUP BY 1) m USING (series)
 WHERE metric = 'Total Return (%)' AND strategy <> 'Hold Benchmark'""", ["apr_pct"]), covers=("B13",))
 def apr(spark, sf_dir):
-    _, pos, eq = _run(spark, sf_dir)
+    _, pos, eq = _run(spark, sf_dir, materialize=True)
     k = B.kpis(eq, pos, KEYS, PARAMS)
     a = B.apr(k, eq, KEYS + ["strategy"], PARAMS.periods)
     return a.select("series", "strategy", (F.round("apr_pct", 6) + F.lit(0.0)).alias("apr_pct"))
@@ -243,6 +250,6 @@ FROM kpi WHERE strategy NOT LIKE '%Perfect Foresight%' AND strategy NOT LIKE '%H
 
 @query("k06_metrics_sink", unsign(_metric_sql(), ["value"]), covers=("K6", "U4", "U6"))
 def metrics_sink(spark, sf_dir):
-    _, pos, eq = _run(spark, sf_dir)
+    _, pos, eq = _run(spark, sf_dir, materialize=True)
     rows = K.metric_rows(B.kpis(eq, pos, KEYS, PARAMS), keep=["series"])
     return rows.withColumn("value", F.round("value", 6) + F.lit(0.0))

@@ -26,13 +26,18 @@ def predictions(spark, sf_dir):
     out = None
     for name, rule in MODELS.items():
         boost = F.expr(rule)
-        w = [(F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(name), F.col("vec_id").cast("string"), F.lit(str(i)))),
-                                 1, 6), 16, 10).cast("long") % 1000 + 1
-              + F.when(boost & (F.col("label") == i), F.lit(3000)).otherwise(F.lit(0))) for i in range(N_CLASSES)]
-        tot = w[0]
-        for x in w[1:]:
-            tot = tot + x
-        d = e.select(F.lit(name).alias("model"), "vec_id", "label", F.array(*[x / tot for x in w]).alias("probs"))
+        w = {f"_w{i}": (F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(name), F.col("vec_id").cast("string"),
+                                                              F.lit(str(i)))), 1, 6), 16, 10).cast("long") % 1000 + 1
+                        + F.when(boost & (F.col("label") == i), F.lit(3000)).otherwise(F.lit(0)))
+             for i in range(N_CLASSES)}
+        # staged: weights, then their total, then the row (each computed once)
+        d = e.select(F.lit(name).alias("model"), "vec_id", "label", *[v.alias(k) for k, v in w.items()])
+        tot = F.col("_w0")
+        for i in range(1, N_CLASSES):
+            tot = tot + F.col(f"_w{i}")
+        d = d.withColumn("_tot", tot)
+        d = d.select("model", "vec_id", "label",
+                     F.array(*[F.col(f"_w{i}") / F.col("_tot") for i in range(N_CLASSES)]).alias("probs"))
         out = d if out is None else out.unionByName(d)
     return out.withColumn("pred", A.argmax(F.col("probs")))
 
@@ -206,7 +211,7 @@ def _vectors(spark, sf_dir):
 def distribution_losses(spark, sf_dir):
     """Row-mean KL / JS / CE / L1 / L2 / EMD per series, both normalisation modes
     (rows-only: the oracle lacks array entropy helpers)."""
-    v = _vectors(spark, sf_dir)
+    v = _vectors(spark, sf_dir).persist()  # one row per series day, read by both modes
     c = A.bin_centers()
     a = E.distribution_losses(v, "p_true", "p_pred", c, True, ["series"]).withColumn("normalized", F.lit(True))
     b = E.distribution_losses(v, "p_true", "p_pred", c, False, ["series"]).withColumn("normalized", F.lit(False))

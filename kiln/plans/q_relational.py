@@ -276,13 +276,10 @@ FROM tagged GROUP BY coalesce(error, 'valid')"""
 def validate(spark, sf_dir):
     rows = _wine_rows_spark(spark, sf_dir)
     P.check_contract(rows, expected=list(WINE_SCHEMA))
-    valid, rejected = P.validate_rows(rows, WINE_SCHEMA, index="row_id")
+    _, rejected = P.validate_rows(rows, WINE_SCHEMA, index="row_id")
     K.write_rejected(rejected, _fresh(spark, "rejected"))
-    v = valid.agg(F.lit("valid").alias("outcome"), F.count(F.lit(1)).alias("n"),
-                  F.sum(F.col("quality").cast("long")).alias("quality_sum"))
-    r = rejected.groupBy(F.col("error").alias("outcome")).agg(
-        F.count(F.lit(1)).alias("n"), F.lit(None).cast("long").alias("quality_sum"))
-    return v.unionByName(r)
+    counts = P.outcome_counts(rows, WINE_SCHEMA, value="quality")
+    return counts.select("outcome", "n", F.col("quality_sum").cast("long").alias("quality_sum"))
 
 
 # Task-type inference over several candidate targets ---------------------------
