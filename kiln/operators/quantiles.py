@@ -94,32 +94,39 @@ def multi_quantiles(df: DataFrame, spec: dict[str, Sequence[float]], fanout: int
         wide = [t for t in todo if t not in found]
         if not wide:
             break
-        tags = [F.when(member(t[0], state[t]["chain"]),
-                       F.struct(F.lit(i).alias("t"),
-                                bucket(t[0], state[t]["lo"], state[t]["w"]).alias("b"),
-                                F.col(t[0]).alias("v")))
-                for i, t in enumerate(wide)]
+        # one tag per (column, bucket chain): targets in the same bucket share it
+        wgroups: dict[tuple, list] = {}
+        for t in wide:
+            wgroups.setdefault((t[0], tuple(state[t]["chain"])), []).append(t)
+        gkeys = list(wgroups)
+        tags = []
+        for gi, (c, chain) in enumerate(gkeys):
+            t0 = wgroups[(c, chain)][0]
+            tags.append(F.when(member(c, list(chain)),
+                               F.struct(F.lit(gi).alias("t"), bucket(c, state[t0]["lo"], state[t0]["w"]).alias("b"),
+                                        F.col(c).alias("v"))))
         rows = (d.select(F.explode(F.array_compact(F.array(*tags))).alias("x"))
                  .groupBy("x.t", "x.b").agg(F.count(F.lit(1)).alias("c"), F.min("x.v").alias("mn"),
                                             F.max("x.v").alias("mx"))
-                 .collect())  # at most targets * fanout rows
+                 .collect())  # at most groups * fanout rows
         per: dict[int, list] = {}
         for row in rows:
             per.setdefault(row["t"], []).append((row["b"], row["c"], row["mn"], row["mx"]))
-        for i, t in enumerate(wide):
-            c, r = t
-            s_ = state[t]
-            acc = s_["below"]
-            for b, cnt, mn, mx in sorted(per.get(i, [])):
-                if acc + cnt > r:
-                    if mn == mx:
-                        found[t] = mn
-                    else:
-                        state[t] = {"chain": s_["chain"] + [(s_["lo"], s_["w"], b)],
-                                    "lo": s_["lo"] + b * s_["w"], "w": s_["w"] / fanout,
-                                    "below": acc, "count": cnt}
-                    break
-                acc += cnt
+        for gi, key in enumerate(gkeys):
+            for t in wgroups[key]:
+                c, r = t
+                s_ = state[t]
+                acc = s_["below"]
+                for b, cnt, mn, mx in sorted(per.get(gi, [])):
+                    if acc + cnt > r:
+                        if mn == mx:
+                            found[t] = mn
+                        else:
+                            state[t] = {"chain": s_["chain"] + [(s_["lo"], s_["w"], b)],
+                                        "lo": s_["lo"] + b * s_["w"], "w": s_["w"] / fanout,
+                                        "below": acc, "count": cnt}
+                        break
+                    acc += cnt
     out: dict[str, list[float | None]] = {}
     for c in cols:
         n = st[f"n_{c}"]
