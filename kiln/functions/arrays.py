@@ -45,8 +45,8 @@ def lit_array(values: Sequence[float]) -> Column:
 
 
 def clip(c: Column, lo: float, hi: float) -> Column:
-    """P20: clip to [lo, hi]; null stays null."""
-    return F.least(F.greatest(c, F.lit(lo)), F.lit(hi))
+    """P20: clip to [lo, hi]; null stays null (``greatest`` alone would skip it)."""
+    return F.when(c.isNotNull(), F.least(F.greatest(c, F.lit(lo)), F.lit(hi)))
 
 
 def bin_index(x: Column, edges: Sequence[float]) -> Column:

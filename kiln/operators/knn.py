@@ -1,7 +1,8 @@
 """Exact k-nearest neighbours without emitting all pairs.
 
 Candidates come from buckets of one anchor coordinate (the donors' highest
-variance coordinate with no nulls).  For euclidean and for nan-euclidean
+variance coordinate, preferring one with no nulls; donors lacking it are
+searched by every query).  For euclidean and for nan-euclidean
 distance, |x_a - y_a| <= d(x, y) whenever coordinate a is present in both, so
 after a first round over the query's bucket and its two neighbours a query is
 final when its k-th distance fits inside the searched strip.  The rest get a
@@ -64,12 +65,16 @@ def neighbours(queries: DataFrame, donors: DataFrame, qkey: str, dkey: str, vec:
     def bucket(v: Column) -> Column:
         return F.least(F.greatest(F.floor((v - F.lit(lo)) / F.lit(w)), F.lit(0)), F.lit(nb - 1)).cast("long")
 
-    d = donors.select(F.col(dkey).alias("_dk"), F.col(vec).alias("_dv"), bucket(F.col(vec)[a]).alias("_b"))
+    # donors without the anchor coordinate have no projection bound: bucket -1,
+    # which every query searches
+    d = donors.select(F.col(dkey).alias("_dk"), F.col(vec).alias("_dv"),
+                      F.when(F.col(vec)[a].isNotNull(), bucket(F.col(vec)[a]))
+                       .otherwise(F.lit(-1).cast("long")).alias("_b"))  # greatest() skips nulls
     q = queries.select(*qk, F.col(vec).alias("_qv"), F.col(vec)[a].alias("_s"))
     q = q.withColumn("_qb", F.when(F.col("_s").isNotNull(), bucket(F.col("_s"))))
 
     def candidates(qq: DataFrame, lo_b: Column, hi_b: Column) -> DataFrame:
-        e = qq.withColumn("_b", F.explode(F.sequence(lo_b, hi_b)))
+        e = qq.withColumn("_b", F.explode(F.array_union(F.sequence(lo_b, hi_b), F.array(F.lit(-1).cast("long")))))
         j = e.join(d, "_b", "inner")
         if donor_filter is not None:
             j = j.filter(donor_filter(F.col("_qv"), F.col("_dv")))
@@ -122,7 +127,8 @@ def knn_predict(train: DataFrame, test: DataFrame, key: str, vec: str, label: st
 
 
 # F6 -------------------------------------------------------------------------
-def impute_slots(train: DataFrame, data: DataFrame, key: str, vec: str, k: int = 9) -> DataFrame:
+def impute_slots(train: DataFrame, data: DataFrame, key: str, vec: str, k: int = 9,
+                 bucket_donors: int = 256) -> DataFrame:
     """(key, j, value) for every missing coordinate: mean over the k nearest
     donors having coordinate j, or the train mean of j without donors."""
     dims = train.select(F.max(F.size(vec))).first()[0]
@@ -135,7 +141,7 @@ def impute_slots(train: DataFrame, data: DataFrame, key: str, vec: str, k: int =
     def has_slot(qv, dv):
         return F.element_at(dv, (F.col("_j") + 1).cast("int")).isNotNull()
     nb = neighbours(miss, donors, key, "_donor", vec, k, metric="nan_euclidean", slot="_j",
-                    donor_filter=has_slot)
+                    donor_filter=has_slot, bucket_donors=bucket_donors)
     vals = nb.join(donors.withColumnRenamed(vec, "_dv"), "_donor") \
              .withColumn("_y", F.element_at("_dv", (F.col("_j") + 1).cast("int")))
     filled = vals.groupBy(key, "_j").agg(F.avg("_y").alias("value"))
