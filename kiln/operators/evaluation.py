@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kiln.functions import arrays as A
+from kiln.operators import quantiles as Q
 from kiln.operators import series as S
 
 
@@ -195,7 +196,10 @@ def label_losses(df: DataFrame, label: str, probs: str, group: Sequence[str] = (
 # E12 / E13 ------------------------------------------------------------------
 def true_class_probability(df: DataFrame, label: str, probs: str, group: Sequence[str] = ()) -> DataFrame:
     p = F.element_at(F.col(probs), (F.col(label) + 1).cast("int"))
-    return df.groupBy(*group, label).agg(F.count(F.lit(1)).alias("n"), F.percentile(p, [0.25, 0.5, 0.75]).alias("q"))
+    d = df.select(*group, label, p.alias("_p"))
+    n = d.groupBy(*group, label).agg(F.count(F.lit(1)).alias("n"))
+    q = Q.grouped_quantiles(d, [*group, label], "_p", [0.25, 0.5, 0.75])
+    return n.join(q, [*group, label])
 
 
 def top_n_mass(df: DataFrame, probs: str, n_classes: int, group: Sequence[str] = ()) -> DataFrame:
@@ -204,4 +208,4 @@ def top_n_mass(df: DataFrame, probs: str, n_classes: int, group: Sequence[str] =
     cum = F.aggregate(sorted_desc, F.array().cast("array<double>"),
                       lambda acc, x: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0.0)) + x)))
     d = df.select(*group, F.posexplode(cum).alias("top_n", "mass")).withColumn("top_n", F.col("top_n") + 1)
-    return d.groupBy(*group, "top_n").agg(F.percentile("mass", [0.25, 0.5, 0.75]).alias("q"))
+    return Q.grouped_quantiles(d, [*group, "top_n"], "mass", [0.25, 0.5, 0.75])

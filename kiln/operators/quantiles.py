@@ -16,13 +16,46 @@ from pyspark.sql import functions as F
 
 
 def percentile_cols(col: str, probs: Sequence[float]) -> Column:
-    """Exact percentile aggregate (values per group are merged in one task)."""
+    """Spark's exact percentile aggregate (a group's values merge in one task);
+    kept for small, bounded groups only."""
     return F.percentile(F.col(col), list(probs))
 
 
 def grouped_quantiles(df: DataFrame, by: Sequence[str], col: str, probs: Sequence[float],
                       out: str = "q") -> DataFrame:
-    return df.groupBy(*by).agg(percentile_cols(col, probs).alias(out))
+    """Exact quantiles per group without gathering a group in one task.
+
+    Rows are numbered by value inside each group on the series machinery (a
+    hot group is cut into value buckets numbered in parallel), only the two
+    rows around each target rank are kept, and a tiny aggregate interpolates:
+    ``(hi - h) * v_lo + (h - lo) * v_hi`` with h = (n - 1) p, as Spark's
+    ``percentile`` and ``quantile_cont`` do.  Result: one array column."""
+    from kiln.operators import series as S
+    by = list(by)
+    d = df.select(*by, F.col(col).cast("double").alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    seq = S.sequence(d, by, ["_v"])
+    n1 = F.col(S.CNT) - 1
+    ranks = []
+    picks = []
+    for i, p in enumerate(probs):
+        h = n1 * F.lit(float(p))
+        lo, hi = (F.floor(h) + 1).cast("long"), (F.ceil(h) + 1).cast("long")
+        ranks += [lo, hi]
+        picks.append((i, h, lo, hi))
+    # one membership test (a long OR chain makes constraint inference explode)
+    few = seq.filter(F.array_contains(F.array(*ranks), F.col(S.SEQ)))  # <= 2 rows per target per group
+    aggs = [F.first(S.CNT).alias("_n")]
+    for i, h, lo, hi in picks:
+        aggs += [F.max(F.when(F.col(S.SEQ) == lo, F.col("_v"))).alias(f"_a{i}"),
+                 F.max(F.when(F.col(S.SEQ) == hi, F.col("_v"))).alias(f"_b{i}")]
+    g = few.groupBy(*by).agg(*aggs)
+    vals = []
+    for i, p in enumerate(probs):
+        h = (F.col("_n") - 1) * F.lit(float(p))
+        lo0, hi0 = F.floor(h), F.ceil(h)
+        vals.append(F.when(lo0 == hi0, F.col(f"_a{i}"))
+                    .otherwise((hi0 - h) * F.col(f"_a{i}") + (h - lo0) * F.col(f"_b{i}")))
+    return g.select(*by, F.array(*vals).alias(out))
 
 
 def column_quantiles(df: DataFrame, col: str, probs: Sequence[float],

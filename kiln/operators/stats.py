@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kiln.functions import special as SP
+from kiln.operators import quantiles as Q
 from kiln.operators import series as S
 
 Z95 = 1.959963984540054  # fixed value: two-sided 95 % normal quantile
@@ -76,17 +77,16 @@ def proportion_intervals(df: DataFrame, category: str, target: str) -> DataFrame
 
 # T3 / T4 / T6 ----------------------------------------------------------------
 def group_stats(df: DataFrame, value: str, group: str) -> DataFrame:
-    """Per group: n, mean, sample variance, median, population skew/kurtosis."""
+    """Per group: n, mean, sample variance, population skew / kurtosis."""
     return df.filter(F.col(value).isNotNull()).groupBy(group).agg(
         F.count(F.lit(1)).alias("n"), F.avg(value).alias("mean"), F.var_samp(value).alias("var"),
-        F.percentile(F.col(value), 0.5).alias("median"),
         F.skewness(value).alias("skew"), F.kurtosis(value).alias("kurt"))
 
 
 def levene(df: DataFrame, value: str, group: str) -> DataFrame:
     """Median-centred Levene W with (k-1, N-k) degrees of freedom."""
     d = df.filter(F.col(value).isNotNull())
-    med = d.groupBy(group).agg(F.percentile(F.col(value), 0.5).alias("_med"))
+    med = Q.grouped_quantiles(d, [group], value, [0.5]).select(group, F.col("q")[0].alias("_med"))
     z = d.join(F.broadcast(med), group).withColumn("_z", F.abs(F.col(value) - F.col("_med")))
     per = z.groupBy(group).agg(F.count(F.lit(1)).alias("ni"), F.avg("_z").alias("zi"),
                                F.sum("_z").alias("_sz"))
