@@ -52,19 +52,6 @@ def _cols(names: Sequence[str]) -> list[Column]:
     return [F.col(n) for n in names]
 
 
-def few_keys(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> bool:
-    """Cheap size check: approximate number of distinct series keys <= limit.
-
-    Reads only the key columns (pruned scan, partial aggregation)."""
-    limit = limit or _conf_int(df.sparkSession, "kiln.series.maxBroadcastKeys",
-                               MAX_BROADCAST_KEYS)
-    if not keys:
-        return True
-    key = F.struct(*_cols(keys)) if len(keys) > 1 else F.col(keys[0])
-    n = df.select(F.approx_count_distinct(key).alias("n")).first()["n"]
-    return n <= limit
-
-
 def _order_number(df: DataFrame, col: str) -> Column:
     dt = df.schema[col].dataType
     if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
