@@ -32,3 +32,20 @@ def test_closed_trades_close_hold_rows_later(spark):
     closed = pos.filter("closed")
     assert closed.filter(F.col("close_seq") != F.col("_seq") + p.hold).count() == 0
     assert pos.filter("closed AND _seq + 5 > _n").count() == 0
+
+
+def test_multi_block_backtest_equals_single_block(spark):
+    """Positions, equity and trade P&L are identical when every series is cut
+    into 7-row blocks (halo rows + block scans) and when it is one block."""
+    def collect():
+        pos, _ = _run(spark)
+        return sorted((r["strategy"], r["_seq"], round(r["value"], 6), r["dir"],
+                       None if r["trade_pnl"] is None else round(r["trade_pnl"], 6), r["closed"])
+                      for r in pos.collect())
+    single = collect()
+    spark.conf.set("kiln.series.blockRows", "7")
+    try:
+        multi = collect()
+    finally:
+        spark.conf.unset("kiln.series.blockRows")
+    assert single == multi
