@@ -45,8 +45,10 @@ def word_features(df: DataFrame, stats: DataFrame, text: str, key: str, drop_tex
     Tokens are exploded with their position and joined to the statistics table
     (broadcast only after a size check), then reduced per row with ``min_by``."""
     toks = df.select(F.col(key), F.posexplode(tokens(F.col(text))).alias("pos", "token"))
-    j = J.lookup_join(toks, stats.select("token", "class1_rate", "p_value"), "token", "inner")
-    j = j.filter(F.col("p_value") < 1.0)
+    # only tokens that can win (p below 1, rate off 0.5) take part in the join
+    useful = stats.select("token", "class1_rate", "p_value") \
+        .filter((F.col("p_value") < 1.0) & (F.col("class1_rate") != 0.5))
+    j = J.lookup_join(toks, useful, "token", "inner")
     pos = F.col("class1_rate") > 0.5
     neg = F.col("class1_rate") < 0.5
     order = F.struct(F.col("p_value"), F.col("pos"))
