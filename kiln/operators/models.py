@@ -71,13 +71,15 @@ def estimator(name: str, task: str, n_features: int = 0, n_classes: int = 2, lab
 
 # M2 / M15 --------------------------------------------------------------------
 def class_weights(df: DataFrame, label: str, how: str = "balanced", out: str = "weight") -> DataFrame:
-    """``balanced``: n / (k * count_c); ``inverse``: 1 / count_c (window counts)."""
-    cnt = F.count(F.lit(1)).over(Window.partitionBy(label))
+    """``balanced``: n / (k * count_c); ``inverse``: 1 / count_c.  Class counts
+    are a small aggregate joined back (no window over a class or over all rows)."""
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_cnt"))
     if how == "inverse":
-        return df.withColumn(out, 1.0 / cnt)
-    n = F.count(F.lit(1)).over(Window.partitionBy())
-    k = F.approx_count_distinct(label).over(Window.partitionBy())
-    return df.withColumn(out, n / (k * cnt))
+        w = counts.select(label, (1.0 / F.col("_cnt")).alias(out))
+    else:
+        tot = counts.agg(F.sum("_cnt").alias("_n"), F.count(F.lit(1)).alias("_k"))
+        w = counts.crossJoin(tot).select(label, (F.col("_n") / (F.col("_k") * F.col("_cnt"))).alias(out))
+    return df.join(F.broadcast(w), label, "left")  # one row per class
 
 
 # M10 ------------------------------------------------------------------------

@@ -429,8 +429,7 @@ SELECT o_custkey, o_orderkey, o_orderdate FROM (
 WHERE r = 1""", covers=("A21",))
 def first_per_key(spark, sf_dir):
     o = load(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
-    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    return o.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")
+    return AG.first_per_key(o, ["o_custkey"], ["o_orderdate", "o_orderkey"])
 
 
 # O3 -------------------------------------------------------------------------------
