@@ -161,8 +161,9 @@ class CategoryCodes(StepEstimator):
     F9: ``on_unseen='error'`` (ordinal encoder).  One job: unpivot + distinct."""
     model_class = CodesModel
 
-    def __init__(self, cols: Sequence[str] = (), on_unseen: str = "minus_one", prefix: str = ""):
-        super().__init__(cols=list(cols), on_unseen=on_unseen, prefix=prefix)
+    def __init__(self, cols: Sequence[str] = (), on_unseen: str = "minus_one", prefix: str = "",
+                 max_categories: int = 100_000):
+        super().__init__(cols=list(cols), on_unseen=on_unseen, prefix=prefix, max_categories=max_categories)
 
     def fit_state(self, df):
         cols = self.cfg["cols"]
@@ -170,7 +171,12 @@ class CategoryCodes(StepEstimator):
             return {"categories": {}}
         long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("k"), F.col(c).cast("string").alias("v"))
                                               for c in cols])).alias("x")).select("x.*")
-        vals = long.filter(F.col("v").isNotNull()).distinct().collect()  # distinct categories only
+        distinct = long.filter(F.col("v").isNotNull()).distinct()
+        limit = self.cfg.get("max_categories", 100_000)
+        big = [r["k"] for r in distinct.groupBy("k").count().filter(F.col("count") > limit).collect()]
+        if big:  # checked before anything is gathered on the driver
+            raise ValueError(f"columns with more than {limit} categories: {big}; use own_codes")
+        vals = distinct.collect()  # at most max_categories per column
         cats: dict[str, list] = {c: [] for c in cols}
         for r in vals:
             cats[r["k"]].append(r["v"])
