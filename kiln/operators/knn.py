@@ -55,8 +55,9 @@ def neighbours(queries: DataFrame, donors: DataFrame, qkey: str, dkey: str, vec:
     dims = donors.select(F.max(F.size(vec))).first()[0]
     a = _anchor(donors, vec, dims)
     st = donors.agg(F.min(F.col(vec)[a]).alias("lo"), F.max(F.col(vec)[a]).alias("hi"),
-                    F.count(F.lit(1)).alias("n")).first()
+                    F.count(F.lit(1)).alias("n"), F.count(F.when(F.col(vec)[a].isNull(), 1)).alias("u")).first()
     lo, hi, n = float(st["lo"]), float(st["hi"]), int(st["n"])
+    unanchored = int(st["u"]) > 0
     nb = max(1, math.ceil(n / bucket_donors))
     w = (hi - lo) / nb if hi > lo else 1.0
     dist = nan_euclidean if metric == "nan_euclidean" else euclidean
@@ -74,7 +75,10 @@ def neighbours(queries: DataFrame, donors: DataFrame, qkey: str, dkey: str, vec:
     q = q.withColumn("_qb", F.when(F.col("_s").isNotNull(), bucket(F.col("_s"))))
 
     def candidates(qq: DataFrame, lo_b: Column, hi_b: Column) -> DataFrame:
-        e = qq.withColumn("_b", F.explode(F.array_union(F.sequence(lo_b, hi_b), F.array(F.lit(-1).cast("long")))))
+        span = F.sequence(lo_b, hi_b)
+        if unanchored:
+            span = F.array_union(span, F.array(F.lit(-1).cast("long")))
+        e = qq.withColumn("_b", F.explode(span))
         j = e.join(d, "_b", "inner")
         if donor_filter is not None:
             j = j.filter(donor_filter(F.col("_qv"), F.col("_dv")))
