@@ -5,10 +5,13 @@ key and an order column.  A naive ``Window.partitionBy(key).orderBy(ts)`` puts a
 whole key into one task, which fails when one key holds a large share of the
 data.  Instead:
 
-* ``sequence`` numbers the rows of each key (``_seq``, 1-based): a key is cut
-  into equal-width buckets of its order column (sized from a per-key extent
-  table), bucket counts are prefix-summed on a small table, and rows are numbered
-  inside (key, bucket), so a hot key spreads over many tasks.
+* ``sequence`` numbers the rows of each key (``_seq``, 1-based).  It first
+  measures rows per key; when every key fits one block it uses a plain per-key
+  window and tags ``_seq`` (column metadata) so the operators below skip halos
+  and carries.  Otherwise a key is cut into equal-width buckets of its order
+  column (sized from a per-key extent table), bucket counts are prefix-summed
+  on a small table, and rows are numbered inside (key, bucket), so a hot key
+  spreads over many tasks.
 * ``blocked`` cuts each key into blocks of ``block_rows`` consecutive rows and
   copies the few rows a bounded window needs from the neighbouring block
   (halo rows).  Windows then partition by (key, block), so the work spreads over
