@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kiln.llm.common import table
 from kiln.llm.packing import pack
+from kiln.llm.quality import quality
 from kiln.llm.token_counts import token_counts
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -30,3 +31,8 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
+@query
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"))
