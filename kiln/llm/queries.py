@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from kiln.llm.common import table
+from kiln.llm.html_extract import extract
 from kiln.llm.packing import pack
 from kiln.llm.quality import quality
 from kiln.llm.token_counts import token_counts
@@ -36,3 +37,8 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
