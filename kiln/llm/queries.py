@@ -11,6 +11,7 @@ from kiln.llm.common import table
 from kiln.llm.html_extract import extract
 from kiln.llm.packing import pack
 from kiln.llm.quality import quality
+from kiln.llm.simhash import near_duplicates
 from kiln.llm.token_counts import token_counts
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -42,3 +43,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
