@@ -16,6 +16,7 @@ import regex
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # Characters that every Unicode version in use classes alike; texts with others are split by the library.
 UNCERTAIN = regex.compile("[^\u0000-ԯ -⁯₠-ꞿ]")
+LONG = 2000             # rank encoders slow down with the square of such a run without white space
 NONE = np.int32(2 ** 31 - 1)
 
 _split = regex.compile(SPLIT)
@@ -36,9 +37,18 @@ def special_strings(path: str) -> regex.Pattern | None:
     return regex.compile("|".join(map(regex.escape, sorted(added, key=len, reverse=True)))) if added else None
 
 
+def certain(text: str) -> bool:
+    """Whether every version of Unicode splits the text alike."""
+    try:
+        text.encode("latin-1")
+        return True
+    except UnicodeEncodeError:
+        return not UNCERTAIN.search(text)
+
+
 def pre_tokens(text: str, path: str, step: int = 200_000) -> Iterator[list[str]]:
     """Pre-tokens of a text without special strings, in lists of bounded length."""
-    if UNCERTAIN.search(text):
+    if not certain(text):
         spans = library(path).pre_tokenizer.pre_tokenize_str(text)
         yield [text[a:b] for _, (a, b) in spans]
     elif len(text) < 1_000_000:
@@ -53,6 +63,49 @@ def pre_tokens(text: str, path: str, step: int = 200_000) -> Iterator[list[str]]
         yield out
 
 
+def _byte_names() -> dict[int, str]:
+    """Byte-level alphabets print visible Latin-1 bytes as themselves and the rest from U+0100 on."""
+    shown = {b: chr(b) for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173}
+    shown.update((b, chr(256 + i)) for i, b in enumerate(b for b in range(256) if b not in shown))
+    return shown
+
+
+@cache
+def rank_encoder(path: str):
+    """The vocabulary as ranks, or None where ids do not follow the order of the merges."""
+    import tiktoken
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    vocab = model["vocab"]
+    made = [vocab["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+    byte_of = {c: b for b, c in _byte_names().items()}
+    alphabet = [vocab[c] for c in byte_of]
+    if made != sorted(set(made)) or max(alphabet) > min(made):
+        return None
+    plain = {*made, *alphabet}
+    ranks = {bytes(byte_of[c] for c in t): i for t, i in vocab.items() if i in plain}
+    return tiktoken.Encoding("vocabulary", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+
+
+def encoded(texts: list[str], path: str) -> list[bytes]:
+    """Ids of each text as little-endian unsigned 32-bit numbers, as the library gives them.
+
+    Texts that versions of Unicode may split differently, with special strings or
+    with very long runs go to the library itself, the others to the same
+    vocabulary read as ranks.
+    """
+    encoder, special = rank_encoder(path), special_strings(path)
+    out = []
+    for text in texts:
+        if encoder is None or max(map(len, text.split()), default=0) > LONG or not certain(text) or (
+                special and special.search(text)):
+            ids = np.array(library(path).encode(text, add_special_tokens=False).ids, dtype="<u4")
+        else:
+            ids = encoder.encode_to_numpy(text, disallowed_special=())
+        out.append(ids.astype("<u4").tobytes())
+    return out
+
+
 class Merges:
     """The merge table as sorted arrays, applied to many pre-tokens at once."""
 
@@ -60,10 +113,7 @@ class Merges:
         with open(path, encoding="utf-8") as f:
             model = json.load(f)["model"]
         vocab = model["vocab"]
-        # byte-level alphabets print visible Latin-1 bytes as themselves and the rest from U+0100 on
-        visible = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173]
-        shown = {b: chr(b) for b in visible}
-        shown.update((b, chr(256 + i)) for i, b in enumerate(b for b in range(256) if b not in shown))
+        shown = _byte_names()
         self.first = np.array([vocab[shown[b]] for b in range(256)], dtype=np.int64)
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         key = np.array([vocab[a] << 20 | vocab[b] for a, b in pairs], dtype=np.int64)

@@ -26,34 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kiln.llm.bpe import UNCERTAIN, library, pre_tokens, special_strings
+from kiln.llm.bpe import encoded
 from kiln.llm.common import map_texts, written
 
-MEMO = 300_000                      # pre-tokens remembered by a worker; only saves repeated work
-RANKED = 50_000                     # pieces numbered together by one window
-_seen: dict[str, dict[str, bytes]] = {}
-
-
-def token_bytes(texts: list[str], path: str, memo: dict[str, bytes]) -> list[bytes]:
-    """Ids of each text as little-endian unsigned 32-bit numbers, as the library gives them."""
-    tokenizer, special = library(path), special_strings(path)
-
-    def ids(pieces: list[str]) -> list[bytes]:
-        found = tokenizer.encode_batch(pieces, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
-
-    lists: list[list[list[str]] | None] = []
-    for text in texts:      # texts that the library splits differently, or with special strings, go to it whole
-        whole = UNCERTAIN.search(text) or special and special.search(text)
-        lists.append(None if whole else [p for p in pre_tokens(text, path)])
-    unseen = list({t for own in lists if own for part in own for t in part}.difference(memo))
-    if len(memo) + len(unseen) > MEMO:
-        memo.clear()
-        unseen = list({t for own in lists if own for part in own for t in part})
-    for at in range(0, len(unseen), 20_000):
-        memo.update(zip(unseen[at:at + 20_000], ids(unseen[at:at + 20_000]), strict=True))
-    return [ids([text])[0] if own is None else b"".join(b"".join(map(memo.__getitem__, part)) for part in own)
-            for text, own in zip(texts, lists, strict=True)]
+RANKED = 50_000         # pieces numbered together by one window
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -67,9 +43,8 @@ def pieces(docs: DataFrame, path: str, capacity: int, end_id: int, id_col: str =
     """One row per piece, with a random ``salt`` that spreads and orders equal rows; write before use."""
 
     def run(texts: list[str]) -> dict:
-        memo = _seen.setdefault(path, {})
         out: dict[str, list] = {c: [] for c in ("at", "piece", "start", "length", "ids_crc32", "salt")}
-        for at, raw in enumerate(token_bytes(texts, path, memo)):
+        for at, raw in enumerate(encoded(texts, path)):
             raw += end_id.to_bytes(4, "little")
             for k, (start, n) in enumerate(cut(len(raw) // 4, capacity)):
                 row = (at, k, start, n, zlib.crc32(raw[4 * start:4 * (start + n)]), getrandbits(40))
