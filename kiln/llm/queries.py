@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from kiln.llm.common import table
+from kiln.llm.decontamination import contaminated
 from kiln.llm.html_extract import extract
 from kiln.llm.packing import pack
 from kiln.llm.quality import quality
@@ -48,3 +49,8 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
