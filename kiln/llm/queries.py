@@ -13,6 +13,7 @@ from kiln.llm.html_extract import extract
 from kiln.llm.packing import pack
 from kiln.llm.quality import quality
 from kiln.llm.simhash import near_duplicates
+from kiln.llm.suffix_dedup import remove_repeats
 from kiln.llm.token_counts import token_counts
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -54,3 +55,8 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
