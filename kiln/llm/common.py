@@ -95,3 +95,12 @@ def map_texts(df: DataFrame, text_col: str, carry: dict[str, str], columns: dict
                       F.col(f"`{text_col}`").cast("string").alias("__text"))
     schema = ", ".join(f"`{n}` {kind}" for n, kind in [*fields.items(), *columns.items()])
     return taken.mapInArrow(run, schema)
+
+
+def bounded_sample(df: DataFrame, label: str, per_class: int, *keys: str) -> DataFrame:
+    """About ``per_class`` rows of every label (all of a smaller one), chosen by a hash of ``keys``."""
+    counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    share = F.lit(0.0)
+    for value, n in counts.items():
+        share = F.when(F.col(label) == F.lit(value), F.lit(min(1.0, per_class / n))).otherwise(share)
+    return df.where(F.pmod(F.xxhash64(F.lit("sample"), *keys), F.lit(1_000_000)) < share * 1_000_000)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from kiln.llm.common import table
 from kiln.llm.decontamination import contaminated
 from kiln.llm.html_extract import extract
+from kiln.llm.language_id import identify
 from kiln.llm.packing import pack
 from kiln.llm.quality import quality
 from kiln.llm.simhash import near_duplicates
@@ -60,3 +61,8 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 @query
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
