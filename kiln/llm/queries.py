@@ -16,6 +16,7 @@ from kiln.llm.quality import quality
 from kiln.llm.simhash import near_duplicates
 from kiln.llm.suffix_dedup import remove_repeats
 from kiln.llm.token_counts import token_counts
+from kiln.llm.toxicity import toxicity
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -66,3 +67,8 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
