@@ -30,15 +30,16 @@ from kiln.llm.common import bounded_sample, id_remainder, map_texts
 
 PER_CLASS = 4_000           # labelled texts of either kind that are fitted, about
 STEMS = (4, 5, 6)
-CHI_SQUARE, LEAST = 10.83, 4    # a term's dependence on the label (p < 0.001) and texts that hold it
-FACTORS, EPOCHS, RATE, L2 = 8, 12, 0.1, 1e-4
+CHI_SQUARE, LEAST = 25.0, 4     # a term's dependence on the label (p < 1e-6: the terms are many) and texts that hold it
+FACTORS, EPOCHS, RATE, L2 = 8, 40, 0.2, 1e-5
+LINEAR = 25                 # epochs before the factors join: pairs only explain what single terms do not
 MEMO = 300_000              # words remembered by a worker; only saves repeated work
 
 WORD = re.compile(r"[^\W\d_]+")
 
 
 def word_terms(word: str) -> list[int]:
-    return [zlib.crc32(word.encode()), *(zlib.crc32(f"{n}:{word[:n]}".encode()) for n in STEMS if len(word) > n)]
+    return [zlib.crc32(word.encode()), *(zlib.crc32(f"{n}:{word[:n]}".encode()) for n in STEMS if len(word) >= n)]
 
 
 def text_terms(text: str) -> np.ndarray:
@@ -89,22 +90,26 @@ def train(texts: list[np.ndarray], y: np.ndarray, seed: int = 0) -> Machine:
     rows = [np.searchsorted(terms, np.intersect1d(t, terms, assume_unique=True)) for t in texts]
     rng = np.random.default_rng(seed)
     w, v = np.zeros(len(terms)), rng.normal(0, 0.01, (len(terms), FACTORS))
-    w0, g0 = float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1))), 1e-6
-    gw, gv = np.full(len(terms), 1e-6), np.full(v.shape, 1e-6)
-    for _ in range(EPOCHS):
+    w0, g0 = 0.0, 1.0
+    gw, gv = np.full(len(terms), 1.0), np.full(v.shape, 1.0)
+    weight = np.where(y > 0, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))    # both kinds weigh alike
+    for epoch in range(EPOCHS):
         for i in rng.permutation(len(rows)):
             at = rows[i]
             s = v[at].sum(axis=0)
-            x = w0 + w[at].sum() + 0.5 * (s @ s - (v[at] ** 2).sum())
-            error = 1 / (1 + np.exp(-np.clip(x, -35, 35))) - y[i]
+            x = w0 + w[at].sum()
+            if epoch >= LINEAR:
+                x += 0.5 * (s @ s - (v[at] ** 2).sum())
+            error = weight[i] * (1 / (1 + np.exp(-np.clip(x, -35, 35))) - y[i])
             g0 += error ** 2
             w0 -= RATE * error / np.sqrt(g0)
             g = error + L2 * w[at]
             gw[at] += g ** 2
             w[at] -= RATE * g / np.sqrt(gw[at])
-            g = error * (s - v[at]) + L2 * v[at]
-            gv[at] += g ** 2
-            v[at] -= RATE * g / np.sqrt(gv[at])
+            if epoch >= LINEAR:
+                g = error * (s - v[at]) + L2 * v[at]
+                gv[at] += g ** 2
+                v[at] -= RATE * g / np.sqrt(gv[at])
     return Machine(terms, w0, w, v)
 
 
