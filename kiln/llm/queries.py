@@ -12,6 +12,7 @@ from kiln.llm.decontamination import contaminated
 from kiln.llm.html_extract import extract
 from kiln.llm.language_id import identify
 from kiln.llm.packing import pack
+from kiln.llm.pii import personal_data
 from kiln.llm.quality import quality
 from kiln.llm.simhash import near_duplicates
 from kiln.llm.suffix_dedup import remove_repeats
@@ -72,3 +73,8 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
