@@ -44,7 +44,8 @@ SHARD_WORDS = 500_000       # of one shard of the index
 SUPERBLOCKS, BLOCK = 32, 16
 
 WORD = re.compile(r"\w+")
-ANSWER = re.compile(r"\n\s*(?:answer|a)\s*:|[.!?\n]\s*(?=[^.!?\n]*\w[^.!?\n]*[.!?\s]*$)", re.I)
+ANSWER = re.compile(r"\n\s*(?:answer|a)\s*:", re.I)
+LAST_SENTENCE = re.compile(r"[.!?\n]\s*(?=[^.!?\n]*\w[^.!?\n]*[.!?\s]*$)")
 
 
 def words_of(text: str) -> list[str]:
@@ -53,7 +54,7 @@ def words_of(text: str) -> list[str]:
 
 def question_words(text: str) -> int:
     """Words before the answer: what follows an answer mark, else the last sentence, else the last third."""
-    marks = list(ANSWER.finditer(text))
+    marks = list(ANSWER.finditer(text)) or list(LAST_SENTENCE.finditer(text))
     total = len(words_of(text))
     before = len(words_of(text[:marks[-1].end()])) if marks else 0
     return before if 0 < before < total else total - max(1, total // 3)

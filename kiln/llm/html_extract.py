@@ -46,6 +46,7 @@ OTHER = set("""ad ads adv advert adverts advertisement advertising adsense spons
 HEADER = {"header", "head", "masthead", "banner"}
 ARTICLE = {"article", "main"}
 PUNCTUATION = re.compile(r"[.,;:!?…。，！？؟]")
+CUT_OFF = re.compile(r"<[/!a-zA-Z][^<>]*\Z")     # a tag that the page's end cuts off
 SHARE = 0.25            # of the standard deviation of the path scores
 
 
@@ -122,6 +123,8 @@ class _Page(HTMLParser):
         for k in range(len(self.stack) - 1, -1, -1):
             if self.stack[k][0] == tag:
                 return self._pop(k)
+        if tag in BLOCK:                                # an end without a beginning still ends a block
+            self.block += 1
 
     def handle_data(self, data: str) -> None:
         if not self.unread and data:
@@ -152,7 +155,7 @@ def path_scores(nodes: list[tuple[str, str, tuple[int, ...], int, bool]]) -> dic
 def main_text(html: str) -> str:
     """The article's blocks, joined by an empty line."""
     page = _Page()
-    page.feed(html)
+    page.feed(CUT_OFF.sub("", html))
     page.close()
     scores = path_scores(page.nodes)
     if not scores:

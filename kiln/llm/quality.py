@@ -157,16 +157,16 @@ def judged(counts: DataFrame, bounds: DataFrame, groups: list[str]) -> DataFrame
 
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-            source_col: str = "source") -> DataFrame:
+            source_col: str = "source", min_group: int = MIN_GROUP) -> DataFrame:
     """Counts and verdict of every row."""
     groups = ["lang", "source"]
     counts = written(measured(docs, {id_col: id_col, "lang": lang_col, "source": source_col}, text_col), "counts")
-    bounds = written(limits(sketches(counts, groups), groups), "limits")
+    bounds = written(limits(sketches(counts, groups), groups, min_group), "limits")
     return judged(counts, bounds, groups).select(id_col, *COUNTS[:5], "base_failed", "kept")
 
 
 def quality_filter(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
-                   source_col: str = "source") -> DataFrame:
+                   source_col: str = "source", min_group: int = MIN_GROUP) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns.
 
     The texts are measured twice, once for the sketches and once beside the
@@ -174,7 +174,7 @@ def quality_filter(docs: DataFrame, text_col: str = "text", lang_col: str = "lan
     """
     groups = ["__lang", "__source"]
     own = {"__lang": lang_col, "__source": source_col}
-    bounds = written(limits(sketches(measured(docs, own, text_col), groups), groups), "limits")
+    bounds = written(limits(sketches(measured(docs, own, text_col), groups), groups, min_group), "limits")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col(lang_col).alias("__lang"),
                        F.col(source_col).alias("__source"), F.col(text_col).alias("__t"))
     counts = measured(rows, {"__row": "__row", "__lang": "__lang", "__source": "__source"}, "__t")
