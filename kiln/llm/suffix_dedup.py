@@ -244,6 +244,7 @@ def repeated_stretches(docs: DataFrame, crowded: int = CROWDED, bucket: int = BU
     anchors = written(map_texts(docs, "text", {"id": "id", "check": "check"}, kinds, run), "anchors")
     seeds = anchors.groupBy("seed").agg(F.count(F.lit(1)).alias("n"), (F.min("context") != F.max("context")).alias(
         "mixed")).where("n > 1").drop("n")
+    seeds = written(seeds, "seeds")             # a join of two plain shuffles, whose hot keys Spark splits
     anchors = written(anchors.join(seeds, "seed"), "repeated")
     contexts = written(anchors.groupBy("seed", "context", "left", "right", "mixed").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "check", "place")).alias("one")), "contexts")
@@ -266,8 +267,8 @@ def repeated_stretches(docs: DataFrame, crowded: int = CROWDED, bucket: int = BU
         "seed", "context", "lead", "left", "right").mapInArrow(
         _compare, "seed long, context long, left long, right long")
     partly = written(sorted_out.union(_compare_across(suffixes.join(heavy, "seed", "left_semi"))), "partly")
-    covers = whole.union(partly).groupBy("seed", "context").agg(
-        F.max("left").alias("l"), F.max("right").alias("r"))
+    covers = written(whole.union(partly).groupBy("seed", "context").agg(
+        F.max("left").alias("l"), F.max("right").alias("r")), "covers")
     return anchors.join(covers, ["seed", "context"]).select(
         "id", "check", F.struct((F.col("place") - F.col("l")).cast("long").alias("a"),
                                 (F.col("place") + SEED + F.col("r")).cast("long").alias("b")).alias("s")).groupBy(
