@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from kiln.llm.bpe import encoded
 from kiln.llm.common import map_texts, written
 
-RANKED = 50_000         # pieces numbered together by one window
+RANKED = 8_000          # pieces per part: at most so many of one length are numbered by one window, about
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:

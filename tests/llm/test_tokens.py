@@ -59,7 +59,7 @@ def test_token_counts_of_awkward_rows(awkward, no_docs):
     assert token_counts(no_docs, PATH).count() == 0
 
 
-@pytest.mark.parametrize("ranked", [50_000, 3])
+@pytest.mark.parametrize("ranked", [8_000, 3])
 def test_packing_of_awkward_rows(awkward, no_docs, ranked, monkeypatch):
     monkeypatch.setattr(packing, "RANKED", ranked)
     capacity = 256
