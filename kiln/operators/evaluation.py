@@ -134,7 +134,7 @@ def regression_metrics(df: DataFrame, y: str, yhat: str, group: Sequence[str] =
     g = df.groupBy(*group).agg(F.avg(F.abs(e)).alias("mae"), F.avg(e * e).alias("mse"),
                                F.sum(e * e).alias("_sse"), F.var_pop(y).alias("_var"), F.count(F.lit(1)).alias("_n"))
     return g.select(*group, "mae", "mse", F.sqrt("mse").alias("rmse"),
-                    (1 - F.col("_sse") / (F.col("_var") * F.col("_n"))).alias("r2"))
+                    (1 - F.try_divide("_sse", F.col("_var") * F.col("_n"))).alias("r2"))
 
 
 # E9 / E10 / E11 --------------------------------------------------------------

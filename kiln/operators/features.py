@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kiln.functions import scalar as X
+from kiln.operators import aggregates as AG
 from kiln.operators import quantiles as Q
 from kiln.operators import schema as P
 
@@ -135,8 +136,7 @@ class Imputer(StepEstimator):
             row = df.agg(*[F.avg(c).alias(c) for c in cols]).first()
             return {"fills": {c: row[c] for c in cols}}
         if how == "most_frequent":
-            row = df.agg(*[F.mode(F.col(c), True).alias(c) for c in cols]).first()
-            return {"fills": {c: row[c] for c in cols}}
+            return {"fills": AG.modes(df, cols)}
         raise ValueError(how)
 
 
@@ -353,8 +353,7 @@ class RawTransformer(StepEstimator):
         med = Q.multi_quantiles(d, {c: [0.5] for c in numeric}) if numeric else {}
         modes, cats = {}, {}
         if other:
-            row = d.agg(*[F.mode(F.col(c), True).alias(c) for c in other]).first()
-            modes = {c: (row[c] if row[c] is not None else "missing") for c in other}
+            modes = {c: "missing" if v is None else v for c, v in AG.modes(d, other).items()}
             long = d.select(F.explode(F.array(*[
                 F.struct(F.lit(c).alias("k"), F.coalesce(F.col(c).cast("string"), F.lit(FIT_NULL)).alias("v"))
                 for c in other])).alias("x")).select("x.*").distinct()

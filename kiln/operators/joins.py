@@ -9,34 +9,30 @@ from pyspark.sql import functions as F
 
 from kiln.operators import series as S
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
 
-
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """Size check before a broadcast: reads at most ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def lookup_join(fact: DataFrame, dim: DataFrame, on: Sequence[str] | str, how: str = "left",
-                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Fact joined with a dimension; the dimension is broadcast only
-    when its row count is checked to be below ``max_broadcast_rows``, otherwise a
-    shuffle join (AQE may still pick broadcast at run time)."""
-    small = fits_broadcast(dim, max_broadcast_rows)
-    return fact.join(F.broadcast(dim) if small else dim, on, how)
+def lookup_join(fact: DataFrame, dim: DataFrame, on: Sequence[str] | str, how: str = "left") -> DataFrame:
+    """Fact joined with a dimension.  No hint: the optimizer broadcasts
+    the dimension when its measured bytes allow it, and splits hot keys otherwise."""
+    return fact.join(dim, on, how)
 
 
 def outer_align(frames: dict[str, DataFrame], on: str = "ts", value: str = "value") -> DataFrame:
     """N series (on, value) side by side on ``on`` (full outer on all).
 
     One shuffle: union in long form, then one aggregate with a column per name
-    (instead of N-1 chained full outer joins)."""
+    (instead of N-1 chained full outer joins).  A series that repeats a key has
+    no single row to align and is refused."""
     parts = [df.select(F.col(on), F.lit(name).alias("_name"), F.col(value).cast("double").alias("_v"))
              for name, df in frames.items()]
     long = parts[0]
     for p in parts[1:]:
         long = long.unionByName(p)
-    return long.groupBy(on).agg(*[F.max(F.when(F.col("_name") == n, F.col("_v"))).alias(n) for n in frames])
+    cols = []
+    for n in frames:
+        own = F.col("_name") == n
+        twice = F.raise_error(F.concat(F.lit(f"series {n} repeats "), F.col(on).cast("string"))).cast("double")
+        cols.append(F.when(F.count_if(own) > 1, twice).otherwise(F.max(F.when(own, F.col("_v")))).alias(n))
+    return long.groupBy(on).agg(*cols)
 
 
 def full_join(a: DataFrame, b: DataFrame, on: Sequence[str] | str) -> DataFrame:

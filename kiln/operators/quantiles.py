@@ -3,7 +3,7 @@
 ``column_quantiles`` is exact and distributed for one global group: it narrows
 each target rank with bucket-count passes (each pass one aggregate over the
 data, only bucket counts come back), so no task ever holds the whole column.
-``grouped_quantiles`` uses Spark's exact ``percentile`` per group.
+``grouped_quantiles`` numbers distinct values per group on the series machinery.
 """
 
 from __future__ import annotations
@@ -11,47 +11,42 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def percentile_cols(col: str, probs: Sequence[float]) -> Column:
-    """Spark's exact percentile aggregate (a group's values merge in one task);
-    kept for small, bounded groups only."""
-    return F.percentile(F.col(col), list(probs))
-
-
 def grouped_quantiles(df: DataFrame, by: Sequence[str], col: str, probs: Sequence[float],
                       out: str = "q") -> DataFrame:
     """Exact quantiles per group without gathering a group in one task.
 
-    Rows are numbered by value inside each group on the series machinery (a
-    hot group is cut into value buckets numbered in parallel), only the two
-    rows around each target rank are kept, and a tiny aggregate interpolates:
+    Rows are counted per (group, value) first, so a heavily repeated value is one
+    row; the distinct values are numbered on the series machinery (a hot group is
+    cut into parts numbered in parallel) and their running counts tell which
+    values hold the target ranks; a tiny aggregate interpolates:
     ``(hi - h) * v_lo + (h - lo) * v_hi`` with h = (n - 1) p, as Spark's
-    ``percentile`` and ``quantile_cont`` do.  Result: one array column."""
+    ``percentile`` and ``quantile_cont`` do.  Nulls and NaN are skipped; null
+    group values are a group.  Result: one array column."""
     from kiln.operators import series as S
     by = list(by)
     d = df.select(*by, F.col(col).cast("double").alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    seq = S.sequence(d, by, ["_v"])
-    n1 = F.col(S.CNT) - 1
-    ranks = []
-    picks = []
-    for i, p in enumerate(probs):
-        h = n1 * F.lit(float(p))
-        lo, hi = (F.floor(h) + 1).cast("long"), (F.ceil(h) + 1).cast("long")
-        ranks += [lo, hi]
-        picks.append((i, h, lo, hi))
+    per = d.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    size = d.groupBy(*by).agg(F.count(F.lit(1)).alias("_size"))
+    seq = S.sequence(per, by, ["_v"])
+    cum = S.scan_sum(seq, by, {"_upto": F.col("_c").cast("double")})
+    cum = S.keyed_join(cum, size, by, "inner", True)
+    upto, n1 = F.col("_upto").cast("long"), F.col("_size") - 1
+    ranks = [r for p in probs for h in [n1 * F.lit(float(p))] for r in (F.floor(h) + 1, F.ceil(h) + 1)]
     # one membership test (a long OR chain makes constraint inference explode)
-    few = seq.filter(F.array_contains(F.array(*ranks), F.col(S.SEQ)))  # <= 2 rows per target per group
-    aggs = [F.first(S.CNT).alias("_n")]
-    for i, h, lo, hi in picks:
-        aggs += [F.max(F.when(F.col(S.SEQ) == lo, F.col("_v"))).alias(f"_a{i}"),
-                 F.max(F.when(F.col(S.SEQ) == hi, F.col("_v"))).alias(f"_b{i}")]
+    held = F.exists(F.array(*[r.cast("long") for r in ranks]), lambda r: (r <= upto) & (r > upto - F.col("_c")))
+    few = cum.filter(held)              # <= 2 rows per target per group
+    aggs = [F.first("_size").alias("_size")]
+    for i, (lo, hi) in enumerate(zip(ranks[::2], ranks[1::2], strict=True)):
+        aggs += [F.max(F.when((r <= upto) & (r > upto - F.col("_c")), F.col("_v"))).alias(f"_{s}{i}")
+                 for s, r in (("a", lo), ("b", hi))]
     g = few.groupBy(*by).agg(*aggs)
     vals = []
     for i, p in enumerate(probs):
-        h = (F.col("_n") - 1) * F.lit(float(p))
+        h = (F.col("_size") - 1) * F.lit(float(p))
         lo0, hi0 = F.floor(h), F.ceil(h)
         vals.append(F.when(lo0 == hi0, F.col(f"_a{i}"))
                     .otherwise((hi0 - h) * F.col(f"_a{i}") + (h - lo0) * F.col(f"_b{i}")))
@@ -59,31 +54,35 @@ def grouped_quantiles(df: DataFrame, by: Sequence[str], col: str, probs: Sequenc
 
 
 def column_quantiles(df: DataFrame, col: str, probs: Sequence[float],
-                     fanout: int = 4096, max_collect: int = 200_000) -> list[float | None]:
+                     fanout: int = 4096, max_collect: int = 2_000) -> list[float | None]:
     """Exact quantiles of one numeric column (nulls and NaN skipped)."""
     return multi_quantiles(df, {col: probs}, fanout, max_collect)[col]
 
 
 def multi_quantiles(df: DataFrame, spec: dict[str, Sequence[float]], fanout: int = 4096,
-                    max_collect: int = 50_000) -> dict[str, list[float | None]]:
+                    max_collect: int = 2_000) -> dict[str, list[float | None]]:
     """Exact quantiles for several columns with shared passes over the data.
 
     Pass 1 gets count/min/max per column.  Each later pass is one aggregate that
     counts rows per (target rank, bucket) inside the bucket chain known to hold
     the target; only bucket counts reach the driver.  A target whose bucket holds
-    at most ``max_collect`` rows is finished by sorting just those rows."""
+    at most ``max_collect`` rows is finished by sorting just those rows.  Infinite
+    values count at their end of the order and take no part in the passes."""
     cols = list(spec)
     d = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    ok = {c: F.col(c).isNotNull() & ~F.isnan(F.col(c)) for c in cols}
+    inf = float("inf")
+    ok = {c: F.col(c).isNotNull() & ~F.isnan(F.col(c)) & (F.abs(F.col(c)) < inf) for c in cols}
     aggs = []
     for c in cols:
         aggs += [F.count(F.when(ok[c], 1)).alias(f"n_{c}"),
                  F.min(F.when(ok[c], F.col(c))).alias(f"lo_{c}"),
-                 F.max(F.when(ok[c], F.col(c))).alias(f"hi_{c}")]
-    st = d.agg(*aggs).first()
+                 F.max(F.when(ok[c], F.col(c))).alias(f"hi_{c}"),
+                 F.count_if(F.col(c) == -inf).alias(f"under_{c}"), F.count_if(F.col(c) == inf).alias(f"over_{c}")]
+    st = d.agg(*aggs).first().asDict()
     targets, found, state = [], {}, {}
     for c in cols:
-        n, lo, hi = st[f"n_{c}"], st[f"lo_{c}"], st[f"hi_{c}"]
+        finite, under, lo, hi = st[f"n_{c}"], st[f"under_{c}"], st[f"lo_{c}"], st[f"hi_{c}"]
+        n = st[f"n_{c}"] = finite + under + st[f"over_{c}"]
         if not n:
             continue
         for p in spec[c]:
@@ -91,10 +90,14 @@ def multi_quantiles(df: DataFrame, spec: dict[str, Sequence[float]], fanout: int
                 if (c, r) in state:
                     continue
                 targets.append((c, r))
+                state[(c, r)] = {}
+                if not under <= r < under + finite:
+                    found[(c, r)] = -inf if r < under else inf
+                    continue
                 if lo == hi:
                     found[(c, r)] = lo
                 w = (hi - lo) / fanout if hi > lo else 1.0
-                state[(c, r)] = {"chain": [], "lo": lo, "w": w, "below": 0, "count": n}
+                state[(c, r)] = {"chain": [], "lo": lo, "w": w, "below": under, "count": finite}
 
     def bucket(c, lo, w):
         return F.least(F.greatest(F.floor((F.col(c) - F.lit(lo)) / F.lit(w)), F.lit(0)),

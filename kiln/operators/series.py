@@ -8,10 +8,11 @@ data.  Instead:
 * ``sequence`` numbers the rows of each key (``_seq``, 1-based).  It first
   measures rows per key; when every key fits one block it uses a plain per-key
   window and tags ``_seq`` (column metadata) so the operators below skip halos
-  and carries.  Otherwise a key is cut into equal-width buckets of its order
-  column (sized from a per-key extent table), bucket counts are prefix-summed
-  on a small table, and rows are numbered inside (key, bucket), so a hot key
-  spreads over many tasks.
+  and carries.  Otherwise the rows are range-partitioned by key and order (Spark
+  samples the splitters, so parts are even whatever the type or spread of the
+  order columns), written once, numbered inside (key, part), and the counts per
+  (key, part) are prefix-summed on a small table.  Null keys are a key like any
+  other and null order values come first on either path.
 * ``blocked`` cuts each key into blocks of ``block_rows`` consecutive rows and
   copies the few rows a bounded window needs from the neighbouring block
   (halo rows).  Windows then partition by (key, block), so the work spreads over
@@ -31,13 +32,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kiln.session import written
+
 SEQ = "_seq"   # 1-based row position inside the series key
 CNT = "_n"     # number of rows of the series key
 BLK = "_blk"   # block id inside the series key
 HALO = "_halo"  # row copied from a neighbouring block
 
 DEFAULT_BLOCK_ROWS = 1 << 20
-MAX_BROADCAST_KEYS = 1_000_000
+MAX_PARTS = 100_000     # beyond it parts hold more rows
 
 
 def _conf_int(spark, key: str, default: int) -> int:
@@ -51,84 +54,76 @@ def block_rows(spark) -> int:
     return _conf_int(spark, "kiln.series.blockRows", DEFAULT_BLOCK_ROWS)
 
 
-def _cols(names: Sequence[str]) -> list[Column]:
-    return [F.col(n) for n in names]
-
-
-def _order_number(df: DataFrame, col: str) -> Column:
-    dt = df.schema[col].dataType
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(col).cast("timestamp")) if isinstance(dt, T.TimestampNTZType) \
-            else F.unix_micros(F.col(col))
-    if isinstance(dt, T.DateType):
-        return F.unix_date(F.col(col)).cast("long")
-    if isinstance(dt, (T.NumericType, T.BooleanType)):
-        return F.col(col).cast("double")
-    return F.lit(0.0)  # no numeric order: one bucket per key
+def key_stats(df: DataFrame, keys: Sequence[str]) -> tuple[int, int, bool]:
+    """(rows, rows of the largest key, any null in a key): one aggregate, one row."""
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"))
+    null = F.lit(False)
+    for k in keys:
+        null = null | F.col(k).isNull()
+    r = per_key.agg(F.sum("_c").alias("n"), F.max("_c").alias("m"), F.max(null).alias("z")).first()
+    return int(r["n"] or 0), int(r["m"] or 0), bool(r["z"])
 
 
-def key_stats(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
-    """(number of keys, rows of the largest key): one aggregate, small result."""
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"))
-    r = per_key.agg(F.count(F.lit(1)).alias("k"), F.max("_c").alias("m")).first()
-    return int(r["k"] or 0), int(r["m"] or 0)
+def _tag(col: Column, single: bool, size: int, null_keys: bool) -> Column:
+    return col.alias(SEQ, metadata={"kiln_single_block": single, "kiln_block_rows": size, "kiln_null_keys": null_keys})
 
 
-def _tag(col: Column, single: bool, size: int) -> Column:
-    return col.alias(SEQ, metadata={"kiln_single_block": single, "kiln_block_rows": size})
+def _noted(df: DataFrame, name: str, default: bool) -> bool:
+    try:
+        return bool(df.schema[SEQ].metadata.get(name, default))
+    except (KeyError, IndexError):
+        return default
 
 
 def single_block(df: DataFrame) -> bool:
     """True when ``sequence`` measured every key to fit one block."""
-    try:
-        return bool(df.schema[SEQ].metadata.get("kiln_single_block", False))
-    except (KeyError, IndexError):
-        return False
+    return _noted(df, "kiln_single_block", False)
+
+
+def keyed_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, null_keys: bool) -> DataFrame:
+    """Equi-join on ``keys``; where some are null, they match each other."""
+    if not null_keys:
+        return left.join(right, list(keys), how)
+    other = right.withColumnsRenamed({k: f"__{k}" for k in keys})
+    on = F.lit(True)
+    for k in keys:
+        on = on & left[k].eqNullSafe(other[f"__{k}"])
+    return left.join(other, on, how).drop(*[f"__{k}" for k in keys])
 
 
 def sequence(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-             target_rows: int | None = None, broadcast_stats: bool | None = None) -> DataFrame:
+             target_rows: int | None = None) -> DataFrame:
     """Add ``_seq`` (1-based position of the row in its key, by ``order``) and ``_n``.
 
-    ``order`` must be unique inside a key (add a tie-break column otherwise).
-    One small aggregate measures the keys first.  When every key holds at most
-    ``target_rows`` rows, each key is one block: a plain window numbers the rows
-    and ``_seq`` is tagged so later operators use one task per key.  Otherwise a
-    key is cut into buckets of equal width on the first order column, about
-    ``target_rows`` rows each, so a hot key spreads over many tasks; bucket
-    counts are prefix-summed on a small table.  Every step is a pure function of
-    the row values, so a recomputed partition gets the same numbers.
+    ``order`` must be unique inside a key (add a tie-break column otherwise); its
+    nulls come first.  One small aggregate measures the keys first.  When every
+    key holds at most ``target_rows`` rows, each key is one block: a plain window
+    numbers the rows and ``_seq`` is tagged so later operators use one task per
+    key.  Otherwise the rows are dealt by range of (key, order) into parts of
+    about ``target_rows``; a hot key spreads over many of them.  The dealt rows
+    are written to the shared folder, so that part numbers stay what they are
+    when a task runs again.
     """
     keys, order = list(keys), list(order)
-    spark = df.sparkSession
-    target = target_rows or block_rows(spark)
-    n_keys, biggest = key_stats(df, keys)
+    target = target_rows or block_rows(df.sparkSession)
+    total, biggest, null_keys = key_stats(df, keys)
     if biggest <= target:
         w = Window.partitionBy(*keys).orderBy(*order)
         whole = Window.partitionBy(*keys)
-        return (df.withColumn(SEQ, _tag(F.row_number().over(w).cast("long"), True, target))
+        return (df.withColumn(SEQ, _tag(F.row_number().over(w).cast("long"), True, target, null_keys))
                   .withColumn(CNT, F.count(F.lit(1)).over(whole).cast("long")))
-    if broadcast_stats is None:
-        broadcast_stats = n_keys <= _conf_int(spark, "kiln.series.maxBroadcastKeys", MAX_BROADCAST_KEYS)
-    small = F.broadcast if broadcast_stats else (lambda x: x)
-    t = _order_number(df, order[0])
-    d = df.withColumn("_t", t)
-    # one row per key: extent and size
-    ext = d.groupBy(*keys).agg(F.min("_t").alias("_lo"), F.max("_t").alias("_hi"),
-                                F.count(F.lit(1)).alias(CNT))
-    nb = F.greatest(F.lit(1), F.ceil(F.col(CNT) / F.lit(target)))
-    ext = ext.withColumn("_w", (F.col("_hi").cast("double") - F.col("_lo") + 1.0) / nb)
-    d = d.join(small(ext.select(*keys, "_lo", "_w", CNT)), keys, "inner")
-    d = d.withColumn("_bk", F.floor((F.col("_t") - F.col("_lo")) / F.col("_w")).cast("long"))
-    # one row per (key, bucket): prefix sums give each bucket's offset
-    cnt = d.groupBy(*keys, "_bk").agg(F.count(F.lit(1)).alias("_c"))
-    before = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    off = cnt.select(*keys, "_bk", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
-    d = d.join(small(off), [*keys, "_bk"], "inner")
-    w = Window.partitionBy(*keys, "_bk").orderBy(*order)
-    return (d.withColumn(SEQ, _tag((F.row_number().over(w) + F.col("_off")).cast("long"), False, target))
-             .withColumn(CNT, F.col(CNT).cast("long"))
-             .drop("_t", "_lo", "_w", "_bk", "_off"))
+    parts = min(-(-total // target), MAX_PARTS)
+    d = written(df.repartitionByRange(parts, *keys, *order).withColumn("_part", F.spark_partition_id()), "sequenced")
+    # one row per (key, part): prefix sums give each part's offset
+    cnt = d.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_c"))
+    whole = Window.partitionBy(*keys)
+    before = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    off = cnt.select(*keys, "_part", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"),
+                     F.sum("_c").over(whole).cast("long").alias(CNT))
+    d = keyed_join(d, off, [*keys, "_part"], "inner", null_keys)
+    w = Window.partitionBy(*keys, "_part").orderBy(*order)
+    return (d.withColumn(SEQ, _tag((F.row_number().over(w) + F.col("_off")).cast("long"), False, target, null_keys))
+             .drop("_part", "_off"))
 
 
 def blocked(df: DataFrame, before: int = 0, after: int = 0, size: int | None = None) -> DataFrame:
@@ -136,19 +131,15 @@ def blocked(df: DataFrame, before: int = 0, after: int = 0, size: int | None = N
     if single_block(df):
         return df.withColumn(BLK, F.lit(0).cast("long")).withColumn(HALO, F.lit(False))
     size = size or block_rows(df.sparkSession)
-    if before > size or after > size:
-        raise ValueError("window frame larger than the block size")
     idx = F.col(SEQ) - 1
     blk = F.floor(idx / F.lit(size)).cast("long")
-    pos = idx - blk * size
-    tags = F.array_compact(F.array(
-        F.struct(blk.alias("b"), F.lit(False).alias("h")),
-        F.when(pos >= size - before, F.struct((blk + 1).alias("b"), F.lit(True).alias("h"))),
-        F.when((pos < after) & (blk > 0), F.struct((blk - 1).alias("b"), F.lit(True).alias("h"))),
-    )) if (before or after) else F.array(F.struct(blk.alias("b"), F.lit(False).alias("h")))
-    return (df.withColumn("_tag", F.explode(tags))
-              .withColumn(BLK, F.col("_tag.b")).withColumn(HALO, F.col("_tag.h"))
-              .drop("_tag"))
+    if not (before or after):
+        return df.withColumn(BLK, blk).withColumn(HALO, F.lit(False))
+    # a row is also wanted by the blocks that look back or ahead to it, however many they are
+    first = F.floor(F.greatest(idx - after, F.lit(0)) / F.lit(size)).cast("long")
+    last = F.floor((idx + before) / F.lit(size)).cast("long")      # past the last block: halo rows only, dropped
+    return (df.withColumn("_own", blk).withColumn(BLK, F.explode(F.sequence(first, last)))
+              .withColumn(HALO, F.col(BLK) != F.col("_own")).drop("_own"))
 
 
 def block_window(keys: Sequence[str]) -> Window:
@@ -170,7 +161,7 @@ def rolling(df: DataFrame, keys: Sequence[str],
 def _carry_join(local: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
     # ``local`` is hash partitioned on (keys, _blk) by the block window, so only the
     # small carry table moves.
-    return local.join(carry, [*keys, BLK], "left")
+    return keyed_join(local, carry, [*keys, BLK], "left", _noted(local, "kiln_null_keys", True))
 
 
 def scan_fill(df: DataFrame, keys: Sequence[str], cols: dict[str, str],

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kiln.functions import special as SP
@@ -19,34 +19,38 @@ Z95 = 1.959963984540054  # fixed value: two-sided 95 % normal quantile
 
 
 # T1 -------------------------------------------------------------------------
-def contingency_grid(df: DataFrame, row: str, col: str) -> DataFrame:
-    """All (row, col) cells with counts, zero cells included (row/col cast to text)."""
-    d = df.select(F.col(row).cast("string").alias("r"), F.col(col).cast("string").alias("c"))
-    counts = d.groupBy("r", "c").agg(F.count(F.lit(1)).alias("o"))
-    rows = counts.select("r").distinct()
-    cols = counts.select("c").distinct()
-    grid = rows.crossJoin(cols)  # categories x outcomes: both small by construction
-    return grid.join(counts, ["r", "c"], "left").withColumn("o", F.coalesce("o", F.lit(0)).cast("double"))
+def contingency_cells(df: DataFrame, row: str, col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Observed cells (r, c, o) and both marginals (r, rt), (c, ct); categories as text, nulls left out."""
+    d = df.select(F.col(row).cast("string").alias("r"), F.col(col).cast("string").alias("c")).na.drop()
+    cells = d.groupBy("r", "c").agg(F.count(F.lit(1)).cast("double").alias("o"))
+    return (cells, cells.groupBy("r").agg(F.sum("o").alias("rt")), cells.groupBy("c").agg(F.sum("o").alias("ct")))
 
 
 def chi_square(df: DataFrame, row: str, col: str, correction: bool = True) -> DataFrame:
-    """Chi-square independence: statistic, dof, p (Yates correction when dof = 1).
-    Needs at least 2 categories and 2 outcomes, else one row of nulls."""
-    g = contingency_grid(df, row, col)
-    all_ = Window.partitionBy()
-    g = g.select("r", "c", "o", F.sum("o").over(Window.partitionBy("r")).alias("rt"),
-                 F.sum("o").over(Window.partitionBy("c")).alias("ct"), F.sum("o").over(all_).alias("n"),
-                 F.approx_count_distinct("r").over(all_).alias("nr"),
-                 F.approx_count_distinct("c").over(all_).alias("nc"))
-    g = g.withColumn("e", F.col("rt") * F.col("ct") / F.col("n"))
+    """Chi-square independence: statistic, dof (Yates correction when dof = 1).
+    Needs at least 2 categories and 2 outcomes, else one row of nulls.
+
+    Empty cells are not built: each adds its expected count, and all expected
+    counts sum to n.  Only a 2 x 2 table, whose four cells need the correction
+    one by one, is completed from its marginals."""
+    cells, rt, ct = contingency_cells(df, row, col)
+    totals = rt.agg(F.sum("rt").alias("n"), F.count(F.lit(1)).alias("nr")).crossJoin(
+        ct.agg(F.count(F.lit(1)).alias("nc")))                          # one row
+    cells = cells.join(rt, "r").join(ct, "c").crossJoin(F.broadcast(totals)).withColumn("e", F.col("rt") * F.col("ct") / F.col("n"))
+    plain = cells.agg(F.sum(F.pow(F.col("o") - F.col("e"), 2) / F.col("e")).alias("s"), F.sum("e").alias("e"))
+    four = (F.col("nr") == 2) & (F.col("nc") == 2)
+    r2 = rt.crossJoin(F.broadcast(totals)).where(four)                  # two rows or none
+    grid = r2.crossJoin(F.broadcast(ct.crossJoin(F.broadcast(totals)).where(four).select("c", "ct")))
+    grid = grid.join(cells.where(four).select("r", "c", "o"), ["r", "c"], "left")
+    e = F.col("rt") * F.col("ct") / F.col("n")
+    diff = F.abs(F.coalesce("o", F.lit(0.0)) - e)
+    diff = diff - F.least(F.lit(0.5), diff) if correction else diff
+    yates = grid.agg(F.sum(diff * diff / e).alias("y"))
     dof = (F.col("nr") - 1) * (F.col("nc") - 1)
-    diff = F.abs(F.col("o") - F.col("e"))
-    adj = F.when((dof == 1) & F.lit(correction), diff - F.least(F.lit(0.5), diff)).otherwise(diff)
-    stat = g.agg(F.sum(adj * adj / F.col("e")).alias("statistic"), F.first(dof).alias("dof"),
-                 F.first("nr").alias("nr"), F.first("nc").alias("nc"))
     ok = (F.col("nr") >= 2) & (F.col("nc") >= 2)
-    return stat.select(F.when(ok, F.col("statistic")).alias("statistic"),
-                       F.when(ok, F.col("dof")).cast("long").alias("dof"))
+    statistic = F.when(dof == 1, F.col("y")).otherwise(F.col("s") + F.col("n") - F.col("e"))
+    return totals.crossJoin(plain).crossJoin(yates).select(
+        F.when(ok, statistic).alias("statistic"), F.when(ok, dof).cast("long").alias("dof"))
 
 
 def with_chi2_p(stat: DataFrame) -> DataFrame:
@@ -87,16 +91,15 @@ def levene(df: DataFrame, value: str, group: str) -> DataFrame:
     """Median-centred Levene W with (k-1, N-k) degrees of freedom."""
     d = df.filter(F.col(value).isNotNull())
     med = Q.grouped_quantiles(d, [group], value, [0.5]).select(group, F.col("q")[0].alias("_med"))
-    z = d.join(F.broadcast(med), group).withColumn("_z", F.abs(F.col(value) - F.col("_med")))
-    per = z.groupBy(group).agg(F.count(F.lit(1)).alias("ni"), F.avg("_z").alias("zi"),
-                               F.sum("_z").alias("_sz"))
-    within = z.join(F.broadcast(per.select(group, "zi")), group) \
-              .agg(F.sum(F.pow(F.col("_z") - F.col("zi"), 2)).alias("sw"))
-    tot = per.agg(F.sum("ni").alias("N"), F.count(F.lit(1)).alias("k"), (F.sum("_sz") / F.sum("ni")).alias("zbar"))
-    between = per.crossJoin(tot).agg(F.sum(F.col("ni") * F.pow(F.col("zi") - F.col("zbar"), 2)).alias("sb"),
-                                     F.first("N").alias("N"), F.first("k").alias("k"))
-    j = between.crossJoin(within)
-    return j.select(((F.col("N") - F.col("k")) / (F.col("k") - 1) * F.col("sb") / F.col("sw")).alias("W"),
+    z = d.join(med, group).withColumn("_z", F.abs(F.col(value) - F.col("_med")))
+    # sums, sums of squares: sum (z - mean)^2 = sum z^2 - n mean^2, about each group's own mean by var_pop
+    per = z.groupBy(group).agg(F.count(F.lit(1)).alias("ni"), F.avg("_z").alias("zi"), F.sum("_z").alias("_sz"),
+                               (F.var_pop("_z") * F.count(F.lit(1))).alias("_sw"))
+    tot = per.agg(F.sum("ni").alias("N"), F.count(F.lit(1)).alias("k"), (F.sum("_sz") / F.sum("ni")).alias("zbar"),
+                  F.sum("_sw").alias("sw"))                             # one row
+    j = per.crossJoin(F.broadcast(tot)).agg(F.sum(F.col("ni") * F.pow(F.col("zi") - F.col("zbar"), 2)).alias("sb"),
+                                            F.first("N").alias("N"), F.first("k").alias("k"), F.first("sw").alias("sw"))
+    return j.select(F.try_divide((F.col("N") - F.col("k")) * F.col("sb"), (F.col("k") - 1) * F.col("sw")).alias("W"),
                     (F.col("k") - 1).cast("double").alias("df1"), (F.col("N") - F.col("k")).cast("double").alias("df2"))
 
 
@@ -165,7 +168,7 @@ def choose_test(df: DataFrame, value: str, group: str, a, b) -> DataFrame:
                         SP.t_two_sided_udf("t", "df").alias("p_value"))
     mw = mann_whitney(df, value, group, a, b)
     return mw.select(F.lit("mann_whitney").alias("test"), F.col("U").alias("statistic"),
-                     (2 * SP.norm_sf_udf("z")).alias("p_value"))
+                     F.least(F.lit(1.0), 2 * SP.norm_sf_udf("z")).alias("p_value"))
 
 
 # T8 -------------------------------------------------------------------------
@@ -214,8 +217,8 @@ def robust_outliers(df: DataFrame, cols: Sequence[str], contamination: float = 0
                 term = (xs[i] - float(mean[i])) * float(inv[i, j]) * (xs[j] - float(mean[j]))
                 dist = term if dist is None else dist + term
         scored = x.withColumn("_d", dist)
-        cut = scored.approxQuantile("_d", [keep], 1e-4)[0]
+        cut = Q.column_quantiles(scored, "_d", [keep])[0]
         kept = scored.filter(F.col("_d") <= cut).drop("_d")
     scored = x.withColumn("mahalanobis", dist)
-    cut = scored.approxQuantile("mahalanobis", [1 - contamination], 1e-4)[0]
+    cut = Q.column_quantiles(scored, "mahalanobis", [1 - contamination])[0]
     return scored.withColumn("outlier", F.col("mahalanobis") > cut).drop(*[f"_x{i}" for i in range(len(cols))])

@@ -11,7 +11,7 @@ from kiln.functions import scalar as X
 from kiln.operators import schema as P
 from kiln.plans.registry import query
 from kiln.plans.sqlkit import unsign
-from kiln.session import scratch_path
+from kiln.session import scratch_path, written
 from kiln.sources import files as SRC
 from kiln.sources import sinks as K
 from kiln.tables import load
@@ -274,13 +274,13 @@ FROM tagged GROUP BY coalesce(error, 'valid')"""
 
 @query("p14_validate_rows", VALIDATE_SQL, covers=("P13", "P14", "K3"))
 def validate(spark, sf_dir):
-    # the text table is read by the rejected sink and by the counts: kept once
-    rows = _wine_rows_spark(spark, sf_dir).persist()
-    P.check_contract(rows, expected=list(WINE_SCHEMA))
-    _, rejected = P.validate_rows(rows, WINE_SCHEMA, index="row_id")
-    K.write_rejected(rejected, _fresh(spark, "rejected"))
-    counts = P.outcome_counts(rows, WINE_SCHEMA, value="quality")
-    return counts.select("outcome", "n", F.col("quality_sum").cast("long").alias("quality_sum"))
+    rows = _wine_rows_spark(spark, sf_dir)
+    P.check_contract(rows, dict.fromkeys(WINE_SCHEMA, "string"), not_null=["row_id"])
+    # the text table is read once; the sink and the counts read what is written of it
+    tagged = written(P.tagged_rows(rows, WINE_SCHEMA, index="row_id", keep=["quality"]), "validated")
+    K.write_rejected(tagged.where("outcome <> 'valid'").select("row_id", F.col("outcome").alias("error"), "row"),
+                     _fresh(spark, "rejected"))
+    return tagged.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("quality").cast("long")).alias("quality_sum"))
 
 
 # Task-type inference over several candidate targets ---------------------------

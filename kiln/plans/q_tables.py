@@ -81,9 +81,9 @@ def asof_macro(spark, sf_dir):
     li = load(spark, sf_dir, "lineitem")
     macro = li.groupBy((F.date_trunc("month", "l_shipdate") + F.expr("INTERVAL 14 DAYS")).alias("ts")) \
         .agg(F.sum("l_quantity").alias("m_qty"), F.count(F.lit(1)).alias("m_lines"))
-    keys = d.select("series").distinct()
-    keyed = F.broadcast(keys).crossJoin(macro)  # macro is keyed by series (few keys x months)
-    return J.asof_join(d, keyed, ["series"], "ts", ["m_qty", "m_lines"])
+    # the macro table holds for every series: one shared key, whose rows the series machinery spreads
+    d, macro = d.withColumn("_all", F.lit(0)), macro.withColumn("_all", F.lit(0))
+    return J.asof_join(d, macro, ["_all"], "ts", ["m_qty", "m_lines"]).drop("_all")
 
 
 # J6 ---------------------------------------------------------------------------
@@ -145,9 +145,9 @@ def align_counts(spark, sf_dir):
     b = c.filter((F.col("c_acctbal") <= 0) & (F.col("c_mktsegment") != "BUILDING")).groupBy("c_mktsegment") \
         .agg(F.count(F.lit(1)).alias("n_neg"))
     j = J.align_counts(a, b, "c_mktsegment", "n_pos", "n_neg")
-    w = Window.partitionBy()  # one row per category: a handful of rows
-    return j.withColumn("prop_diff", _r(F.col("n_pos") / F.sum("n_pos").over(w)
-                                        - F.col("n_neg") / F.sum("n_neg").over(w), 9))
+    totals = j.agg(F.sum("n_pos").alias("_p"), F.sum("n_neg").alias("_n"))     # one row
+    return j.crossJoin(F.broadcast(totals)).withColumn(
+        "prop_diff", _r(F.try_divide("n_pos", "_p") - F.try_divide("n_neg", "_n"), 9)).drop("_p", "_n")
 
 
 # J10 --------------------------------------------------------------------------
@@ -486,20 +486,24 @@ def chronological(spark, sf_dir):
                                             F.max("ts").alias("last_ts"))
 
 
-# Macro-column selection on a wide aligned table, then W2 on those columns -----------
+# Names of a wide aligned table by role: side series, and what a model may see ---------
 @query("p08_macro_columns", """
 WITH d AS (SELECT date_trunc('day', ts) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2)
-SELECT day, n AS CLICK_price FROM d WHERE event_type = 'click'""", covers=("P8",))
+SELECT day, 'CLICK_price' AS name, CAST(n AS DOUBLE) AS value, false AS is_feature FROM d WHERE event_type = 'click'
+UNION ALL SELECT day, 'VIEWS', CAST(n AS DOUBLE), false FROM d WHERE event_type = 'view'
+UNION ALL SELECT day, 'VIEWS_ma', CAST(n AS DOUBLE) / 2, true FROM d WHERE event_type = 'view'""", covers=("P8",))
 def macro_columns(spark, sf_dir):
     from kiln.operators import schema as P
-    e = load(spark, sf_dir, "events").withColumn("day", F.date_trunc("day", "ts"))
-    per = e.groupBy("day", "event_type").agg(F.count(F.lit(1)).alias("value"))
-    wide = J.outer_align({"CLICK_price": per.filter("event_type = 'click'").withColumnRenamed("day", "ts"),
-                          "Close": per.filter("event_type = 'view'").withColumnRenamed("day", "ts")})
-    macro = P.macro_columns([c for c in wide.columns if c != "ts"], ohlc=P.RAW_MARKERS)
-    keep = [c for c in macro if not P.is_raw_column(c) or c.endswith("_price")]
-    return wide.select(F.col("ts").alias("day"), *[F.col(c).cast("long").alias(c) for c in keep]) \
-               .filter(F.col("CLICK_price").isNotNull())
+    e = load(spark, sf_dir, "events").withColumn("ts", F.date_trunc("day", "ts"))
+    per = e.groupBy("ts", "event_type").agg(F.count(F.lit(1)).alias("value"))
+    views = per.filter("event_type = 'view'")
+    wide = J.outer_align({"CLICK_price": per.filter("event_type = 'click'"), "Close": per.filter("event_type = 'purchase'"),
+                          "VIEWS": views, "VIEWS_ma": views.withColumn("value", F.col("value") / 2),
+                          "- -": views})
+    names = [c for c in wide.columns if c != "ts"]
+    macro, features = P.macro_columns(names), P.feature_columns(names)
+    long = wide.select(F.col("ts").alias("day"), *macro).unpivot("day", macro, "name", "value").na.drop(subset=["value"])
+    return long.withColumn("is_feature", F.col("name").isin(features))
 
 
 # Per-column suggestions from moments, distinct counts and target correlation ---------
@@ -513,11 +517,11 @@ def _sugg_sql() -> str:
   avg(power({c} - (SELECT avg({c}) FROM lineitem), 3)) / power(var_pop({c}), 1.5) AS skew, kurtosis_pop({c}) AS kurt,
   count(DISTINCT {c}) AS nd, corr({c}, l_linenumber) AS tc FROM lineitem""")
     return "WITH m AS (" + " UNION ALL ".join(parts) + """)
-SELECT "column", list_filter([CASE WHEN abs(coalesce(std, 0)) <= 1e-8 THEN 'drop_zero_variance'
-                                 WHEN std > 50 OR abs(mean) > 100 OR mx - mn > 100 THEN 'normalize_high_range' END,
-                            CASE WHEN abs(skew) > 1 OR abs(kurt) > 3 THEN 'transform_non_gaussian' END,
-                            CASE WHEN nd < 10 THEN 'encode_discrete' END,
-                            CASE WHEN abs(tc) < 0.05 THEN 'low_target_correlation' END], lambda x: x IS NOT NULL) AS suggestions
+SELECT "column", list_sort(list_filter([CASE WHEN abs(coalesce(std, 0)) <= 1e-8 THEN 'constant'
+                                 WHEN std > 50 OR abs(mean) > 100 OR mx - mn > 100 THEN 'wide_scale' END,
+                            CASE WHEN abs(skew) > 1 OR abs(kurt) > 3 THEN 'odd_shape' END,
+                            CASE WHEN nd < 10 THEN 'few_values' END,
+                            CASE WHEN abs(tc) < 0.05 THEN 'weak_target_link' END], lambda x: x IS NOT NULL)) AS suggestions
 FROM m"""
 
 

@@ -6,8 +6,8 @@ settings that are unset so a cluster's own configuration always wins.
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,21 +56,21 @@ def prepare(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The folder in ``spark.checkpoint.dir``, which driver and executors share.
 
-    On a cluster the launcher sets it to shared storage and it is used as is.
-    Only when it is unset (unit tests) a private folder is created.
+    Where the setting is absent, a plain local session (one process, so any
+    folder is shared) gets a temporary folder; any other master must name one.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
-    if current:
-        return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="kiln-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
-    sc.setCheckpointDir(conf_dir)
-    return conf_dir
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="kiln-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(base)
+    return base.rstrip("/")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -81,5 +81,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "kiln-tables", name)
+    return f"{ensure_checkpoint_dir(spark)}/kiln-tables/{name}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a table below the shared folder and read it back."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
