@@ -1,138 +1,228 @@
-"""Exact k-nearest neighbours without emitting all pairs.
-
-Candidates come from buckets of one anchor coordinate (the donors' highest
-variance coordinate, preferring one with no nulls; donors lacking it are
-searched by every query).  For euclidean and for nan-euclidean
-distance, |x_a - y_a| <= d(x, y) whenever coordinate a is present in both, so
-after a first round over the query's bucket and its two neighbours a query is
-final when its k-th distance fits inside the searched strip.  The rest get a
-second round over exactly the strip of half-width = their k-th distance (all
-donors if fewer than k were found, or if the query lacks the anchor).  The
-answer is exact; the work is bounded by the geometry, not by n x m.
+"""Exact k-nearest neighbours in blocks.
+
+Donors are dealt to cells around a few sampled pivots, and cells to blocks of a
+bounded number of rows; queries are dealt to blocks as well.  A query block and
+a donor block are scored together as arrays (one matrix product), and only each
+query's k best of the block leave the task.  Two rounds keep the answer exact:
+the nearest cell gives an upper bound of the k-th distance; then only cells are
+visited whose lower bound does not exceed it.  The lower bound of a cell is the
+distance to its bounding box, and for complete vectors also the distance to its
+pivot less its radius (triangle inequality).  With missing coordinates the box
+counts only those that all donors of the cell have, which never overstates the
+nan-euclidean distance.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
+from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def nan_euclidean(x: Column, y: Column) -> Column:
-    """sqrt(D / P * sum over coordinates present in both of (x - y)^2); null when P = 0."""
-    pairs = F.zip_with(x, y, lambda a, b: F.struct(F.when(a.isNotNull() & b.isNotNull(), (a - b) * (a - b))
-                                                   .alias("sq")))
-    acc = F.aggregate(pairs, F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("p")),
-                      lambda c, z: F.struct((c["s"] + F.coalesce(z["sq"], F.lit(0.0))).alias("s"),
-                                            (c["p"] + F.when(z["sq"].isNotNull(), 1).otherwise(0)).alias("p")))
-    d = F.size(x)
-    return F.when(acc["p"] > 0, F.sqrt(d / acc["p"] * acc["s"]))
-
-
-def euclidean(x: Column, y: Column) -> Column:
-    return F.sqrt(F.aggregate(F.zip_with(x, y, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda c, v: c + v))
-
-
-def _anchor(donors: DataFrame, vec: str, dims: int) -> int:
-    aggs = []
-    for i in range(dims):
-        v = F.col(vec)[i]
-        aggs += [F.var_pop(v).alias(f"v{i}"), F.count(F.when(v.isNull(), 1)).alias(f"n{i}")]
-    r = donors.agg(*aggs).first()
-    full = [i for i in range(dims) if r[f"n{i}"] == 0]
-    pool = full or list(range(dims))
-    return max(pool, key=lambda i: (r[f"v{i}"] or 0.0, -i))
+from kiln.session import written
+
+CELLS, BLOCK = 64, 4096
+
+
+def _matrix(column) -> np.ndarray:
+    """A column of equally long lists as rows; null coordinates as NaN."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
+
+
+def _squares(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Squared nan-euclidean distances of all rows (plain euclidean without NaN); inf without a shared coordinate."""
+    hx, hy = ~np.isnan(x), ~np.isnan(y)
+    x0, y0 = np.where(hx, x, 0.0), np.where(hy, y, 0.0)
+    s = (x0 * x0) @ hy.T + hx @ (y0 * y0).T - 2 * (x0 @ y0.T)
+    p = hx.astype(float) @ hy.T.astype(float)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(p > 0, np.maximum(s, 0) * x.shape[1] / p, np.inf)
+
+
+def _distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The same row by row, summed in coordinate order."""
+    both = ~np.isnan(x) & ~np.isnan(y)
+    d = np.where(both, x - y, 0.0)
+    s = np.zeros(len(x))
+    for i in range(x.shape[1]):
+        s += d[:, i] * d[:, i]
+    return np.sqrt(x.shape[1] / both.sum(axis=1) * s)
+
+
+@dataclass
+class Cells:
+    """Pivots, radii and boxes; a few rows whatever the number of donors."""
+
+    pivots: np.ndarray
+    radius: np.ndarray          # inf where a donor lacks a coordinate
+    low: np.ndarray             # box of the coordinates that all donors of the cell have, else -inf
+    high: np.ndarray
+    blocks: np.ndarray
+
+    def nearest(self, x: np.ndarray) -> np.ndarray:
+        d = _squares(x, self.pivots)
+        d[:, self.blocks == 0] = np.inf
+        return d.argmin(axis=1)
+
+    def bounds(self, x: np.ndarray) -> np.ndarray:
+        """Lower bound of the distance from every row to every cell's donors."""
+        out = np.empty((len(x), len(self.pivots)))
+        share = x.shape[1] / np.maximum((~np.isnan(x)).sum(axis=1), 1)
+        complete = ~np.isnan(x).any(axis=1)
+        for c in range(len(self.pivots)):
+            gap = np.fmax(np.fmax(self.low[c] - x, x - self.high[c]), 0.0)
+            out[:, c] = np.sqrt(share * np.nansum(gap * gap, axis=1))
+            if np.isfinite(self.radius[c]):
+                ball = np.sqrt(((x - self.pivots[c]) ** 2).sum(axis=1)) - self.radius[c]
+                out[:, c] = np.where(complete, np.fmax(out[:, c], ball), out[:, c])
+        return out * (1 - 1e-12) - 1e-12
+
+
+def _score(k: int, qk: list[str], slot: str | None):
+    def fn(left: pa.Table, right: pa.Table) -> pa.Table:
+        schema = pa.schema([left.schema.field(c) for c in qk] + [right.schema.field("_dk"), ("dist", pa.float64())])
+        if not left.num_rows or not right.num_rows:
+            return schema.empty_table()
+        x, y = _matrix(left.column("_v")), _matrix(right.column("_v"))
+        donor = np.asarray(right.column("_dk").to_pylist(), dtype=object)
+        s = _squares(x, y)
+        if slot:
+            s = np.where(~np.isnan(y.T[left.column(slot).to_numpy()]), s, np.inf)
+        m = min(k, s.shape[1])
+        kth = np.partition(s, m - 1, axis=1)[:, m - 1]
+        # the product form rounds: keep all that may belong, then measure those exactly
+        row, col = np.nonzero((s <= (kth * (1 + 1e-9) + 1e-9)[:, None]) & np.isfinite(s))
+        dist = _distance(x[row], y[col])
+        order = sorted(range(len(row)), key=lambda i: (row[i], dist[i], donor[col[i]]))
+        rank = np.zeros(len(row), dtype=np.int64)
+        for at in range(1, len(order)):
+            rank[at] = rank[at - 1] + 1 if row[order[at]] == row[order[at - 1]] else 0
+        order = np.array(order, dtype=np.int64)[rank < k] if len(order) else np.empty(0, dtype=np.int64)
+        return pa.Table.from_arrays([left.column(c).take(pa.array(row[order])).combine_chunks() for c in qk]
+                                    + [right.column("_dk").take(pa.array(col[order])).combine_chunks(),
+                                       pa.array(dist[order])], schema=schema)
+    return fn
+
+
+def _deal(donors: DataFrame, dims: int, cells: int, block: int) -> tuple[DataFrame, Cells]:
+    """Donors with their cell and block, and the cells' bounds."""
+    some = donors.orderBy(F.xxhash64("_dk")).limit(cells)               # pivots: at most ``cells`` rows
+    pivots = _matrix(some.select("_v").toArrow().column("_v"))
+    column_means = np.where(np.isnan(pivots).all(axis=0), 0.0, np.nanmean(np.where(np.isnan(pivots).all(axis=0), 0.0, pivots), axis=0))
+    pivots = np.where(np.isnan(pivots), column_means, pivots)
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            s = _squares(_matrix(b.column("_v")), pivots)
+            cell = s.argmin(axis=1).astype(np.int32)
+            d = np.sqrt(s[np.arange(len(cell)), cell])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell), pa.array(d)], names=["_dk", "_v", "_cell", "_far"])
+
+    kind = donors.schema["_dk"].dataType.simpleString()
+    placed = written(donors.mapInArrow(assign, f"_dk {kind}, _v array<double>, _cell int, _far double"), "donors")
+    v = [F.col("_v")[i] for i in range(dims)]
+    stats = placed.groupBy("_cell").agg(
+        F.count(F.lit(1)).alias("n"), F.max("_far").alias("far"),
+        F.array(*[F.min(x) for x in v]).alias("low"), F.array(*[F.max(x) for x in v]).alias("high"),
+        F.array(*[F.count(x) for x in v]).alias("have")).collect()      # one row per cell
+    c = Cells(pivots, np.zeros(len(pivots)), np.full(pivots.shape, -np.inf), np.full(pivots.shape, np.inf),
+              np.zeros(len(pivots), dtype=np.int64))
+    for r in stats:
+        i, whole = r["_cell"], np.array(r["have"]) == r["n"]
+        c.blocks[i] = -(-r["n"] // block)
+        c.radius[i] = r["far"] * (1 + 1e-9) if whole.all() else np.inf
+        c.low[i] = np.where(whole, np.array(r["low"], dtype=float), -np.inf)
+        c.high[i] = np.where(whole, np.array(r["high"], dtype=float), np.inf)
+    blocks = F.element_at(F.array(*[F.lit(int(b)) for b in c.blocks]), F.col("_cell") + 1)
+    return placed.withColumn("_block", F.pmod(F.xxhash64("_dk"), blocks).cast("int")).drop("_far"), c
 
 
 def neighbours(queries: DataFrame, donors: DataFrame, qkey: str, dkey: str, vec: str, k: int,
-               metric: str = "euclidean", donor_filter=None, slot: str | None = None,
-               bucket_donors: int = 256) -> DataFrame:
+               slot: str | None = None, cells: int = CELLS, block: int = BLOCK) -> DataFrame:
     """Rows (qkey[, slot], dkey, dist, rank) of the k nearest donors per query.
 
-    ``donor_filter(q, d)`` optionally restricts donors per query (e.g. donors
-    that have the column being imputed); ``slot`` is an extra query key."""
-    dims = donors.select(F.max(F.size(vec))).first()[0]
-    a = _anchor(donors, vec, dims)
-    st = donors.agg(F.min(F.col(vec)[a]).alias("lo"), F.max(F.col(vec)[a]).alias("hi"),
-                    F.count(F.lit(1)).alias("n"), F.count(F.when(F.col(vec)[a].isNull(), 1)).alias("u")).first()
-    lo, hi, n = float(st["lo"]), float(st["hi"]), int(st["n"])
-    unanchored = int(st["u"]) > 0
-    nb = max(1, math.ceil(n / bucket_donors))
-    w = (hi - lo) / nb if hi > lo else 1.0
-    dist = nan_euclidean if metric == "nan_euclidean" else euclidean
+    ``slot`` is a further query key: the coordinate that a donor must have.
+    Distances are nan-euclidean; ties go to the smaller donor key."""
     qk = [qkey] + ([slot] if slot else [])
-
-    def bucket(v: Column) -> Column:
-        return F.least(F.greatest(F.floor((v - F.lit(lo)) / F.lit(w)), F.lit(0)), F.lit(nb - 1)).cast("long")
-
-    # donors without the anchor coordinate have no projection bound: bucket -1,
-    # which every query searches
-    d = donors.select(F.col(dkey).alias("_dk"), F.col(vec).alias("_dv"),
-                      F.when(F.col(vec)[a].isNotNull(), bucket(F.col(vec)[a]))
-                       .otherwise(F.lit(-1).cast("long")).alias("_b"))  # greatest() skips nulls
-    q = queries.select(*qk, F.col(vec).alias("_qv"), F.col(vec)[a].alias("_s"))
-    q = q.withColumn("_qb", F.when(F.col("_s").isNotNull(), bucket(F.col("_s"))))
-
-    def candidates(qq: DataFrame, lo_b: Column, hi_b: Column) -> DataFrame:
-        span = F.sequence(lo_b, hi_b)
-        if unanchored:
-            span = F.array_union(span, F.array(F.lit(-1).cast("long")))
-        e = qq.withColumn("_b", F.explode(span))
-        j = e.join(d, "_b", "inner")
-        if donor_filter is not None:
-            j = j.filter(donor_filter(F.col("_qv"), F.col("_dv")))
-        j = j.withColumn("dist", dist(F.col("_qv"), F.col("_dv"))).filter(F.col("dist").isNotNull())
-        r = Window.partitionBy(*qk).orderBy("dist", "_dk")
-        return j.withColumn("rank", F.row_number().over(r)).filter(F.col("rank") <= k)
-
-    # round 1: own bucket and both neighbours (queries with the anchor present)
-    has = q.filter(F.col("_qb").isNotNull())
-    r1 = candidates(has, F.greatest(F.col("_qb") - 1, F.lit(0)), F.least(F.col("_qb") + 1, F.lit(nb - 1)))
-    kth = r1.groupBy(*qk).agg(F.count(F.lit(1)).alias("_c"), F.max("dist").alias("_dk_"))
-    chk = has.join(kth, qk, "left").withColumn(
-        "_margin", F.least(F.col("_s") - (F.lit(lo) + (F.col("_qb") - 1) * w),
-                           (F.lit(lo) + (F.col("_qb") + 2) * w) - F.col("_s")))
-    edge_lo = F.col("_qb") - 1 <= 0
-    edge_hi = F.col("_qb") + 1 >= nb - 1
-    # the strip is unbounded on a side whose outer bucket is the first / last one
-    margin = F.when(edge_lo & edge_hi, F.lit(float("inf"))) \
-        .when(edge_lo, F.lit(lo) + (F.col("_qb") + 2) * w - F.col("_s")) \
-        .when(edge_hi, F.col("_s") - (F.lit(lo) + (F.col("_qb") - 1) * w)).otherwise(F.col("_margin"))
-    done = (F.col("_c") >= k) & (F.col("_dk_") <= margin)
-    final_keys = chk.filter(done).select(*qk)
-    todo = chk.filter(~done | F.col("_c").isNull()).select(*qk, "_qv", "_s", "_qb", "_c", "_dk_")
-    out1 = r1.join(final_keys, qk, "left_semi")
-    # round 2: strip of half-width = k-th distance found (everything when fewer than k)
-    full = (F.col("_c").isNull()) | (F.col("_c") < k)
-    r = F.col("_dk_")
-    lo_b = F.when(full, F.lit(0)).otherwise(bucket(F.col("_s") - r))
-    hi_b = F.when(full, F.lit(nb - 1)).otherwise(bucket(F.col("_s") + r))
-    todo = todo.withColumns({"_lob": lo_b, "_hib": hi_b}).drop("_c", "_dk_")
-    out2 = candidates(todo, F.col("_lob"), F.col("_hib"))
-    # queries without the anchor coordinate compare with every donor
-    none = q.filter(F.col("_qb").isNull())
-    out3 = candidates(none, F.lit(0), F.lit(nb - 1))
-    cols = [*qk, F.col("_dk").alias(dkey), "dist", "rank"]
-    return out1.select(*cols).unionByName(out2.select(*cols)).unionByName(out3.select(*cols))
+    d = donors.select(F.col(dkey).alias("_dk"), F.col(vec).cast("array<double>").alias("_v"))
+    dims = int(d.agg(F.max(F.size("_v"))).first()[0] or 0)
+    if not dims:
+        kind = donors.schema[dkey].dataType
+        return queries.select(*qk, F.lit(None).cast(kind).alias(dkey), F.lit(0.0).alias("dist"), F.lit(0).alias("rank")).limit(0)
+    placed, c = _deal(d, dims, cells, block)
+    n_blocks = max(1, -(-queries.count() // block))
+    q = queries.select(*qk, F.col(vec).cast("array<double>").alias("_v")).withColumn(
+        "_qb", F.pmod(F.xxhash64(*qk), F.lit(n_blocks)).cast("int"))
+    key_ddl = ", ".join(f"`{x}` {q.schema[x].dataType.simpleString()}" for x in qk)
+
+    def visits(rows: DataFrame, first: bool) -> DataFrame:
+        """One row per query and cell to visit: the nearest one, or all others that may hold a neighbour."""
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                if not b.num_rows:
+                    continue
+                x = _matrix(b.column("_v"))
+                near = c.nearest(x)
+                if first:
+                    row, cell = np.arange(len(x)), near
+                else:
+                    limit = b.column("_kth").to_numpy(zero_copy_only=False)
+                    may = (c.bounds(x) <= limit[:, None]) & (c.blocks > 0)
+                    may[np.arange(len(x)), near] = False
+                    row, cell = np.nonzero(may)
+                own = b.take(pa.array(row))
+                yield pa.RecordBatch.from_arrays([*[own.column(n) for n in (*qk, "_v", "_qb")], pa.array(cell.astype(np.int32))],
+                                                 names=[*qk, "_v", "_qb", "_cell"])
+        return rows.mapInArrow(run, f"{key_ddl}, _v array<double>, _qb int, _cell int")
+
+    blocks = F.element_at(F.array(*[F.lit(int(b)) for b in c.blocks]), F.col("_cell") + 1)
+    dealt = placed.withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
+    kind = placed.schema["_dk"].dataType.simpleString()
+
+    def scored(v: DataFrame) -> DataFrame:
+        v = v.withColumn("_block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        keys = ["_cell", "_block", "_qb"]
+        return v.groupBy(*keys).cogroup(dealt.groupBy(*keys)).applyInArrow(
+            _score(k, qk, slot), f"{key_ddl}, _dk {kind}, dist double")
+
+    def best(rows: DataFrame) -> DataFrame:
+        w = Window.partitionBy(*qk).orderBy("dist", "_dk")
+        return rows.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+    one = written(best(scored(visits(q, True))).drop("rank"), "round-one")
+    kth = one.groupBy(*qk).agg(F.when(F.count(F.lit(1)) >= k, F.max("dist")).alias("_kth"))
+    rest = q.join(kth, qk, "left").withColumn("_kth", F.coalesce("_kth", F.lit(float("inf"))))
+    two = scored(visits(rest, False))
+    return best(one.unionByName(two)).select(*qk, F.col("_dk").alias(dkey), "dist", "rank")
 
 
 # M6 -------------------------------------------------------------------------
 def knn_predict(train: DataFrame, test: DataFrame, key: str, vec: str, label: str, k: int = 5,
-                regression: bool = False) -> DataFrame:
-    """Uniform-weight vote (smallest label on ties) or mean of the k nearest."""
+                regression: bool = False, weights: str = "uniform") -> DataFrame:
+    """Vote (smallest label on ties) or mean of the k nearest.  ``weights`` is
+    ``uniform`` or ``distance`` (1 / distance; donors at distance zero alone count if there are any)."""
     nb = neighbours(test, train.withColumnRenamed(key, "_donor"), key, "_donor", vec, k)
     j = nb.join(train.select(F.col(key).alias("_donor"), F.col(label).alias("_y")), "_donor")
+    w: Column = F.lit(1.0)
+    if weights == "distance":
+        least = j.groupBy(key).agg(F.min("dist").alias("_least"))
+        j = j.join(least, key)
+        w = F.when(F.col("_least") == 0, (F.col("dist") == 0).cast("double")).otherwise(F.try_divide(F.lit(1.0), "dist"))
+    j = j.withColumn("_w", w)
     if regression:
-        return j.groupBy(key).agg(F.avg("_y").alias("prediction"))
-    votes = j.groupBy(key, "_y").agg(F.count(F.lit(1)).alias("_v"))
-    w = Window.partitionBy(key).orderBy(F.col("_v").desc(), F.col("_y"))
-    return votes.withColumn("_r", F.row_number().over(w)).filter("_r = 1").select(key, F.col("_y").alias("prediction"))
+        return j.groupBy(key).agg((F.sum(F.col("_w") * F.col("_y")) / F.sum("_w")).alias("prediction"))
+    votes = j.groupBy(key, "_y").agg(F.sum("_w").alias("_v"))
+    return votes.groupBy(key).agg(F.min_by("_y", F.struct(-F.col("_v"), F.col("_y"))).alias("prediction"))
 
 
 # F6 -------------------------------------------------------------------------
 def impute_slots(train: DataFrame, data: DataFrame, key: str, vec: str, k: int = 9,
-                 bucket_donors: int = 256) -> DataFrame:
+                 cells: int = CELLS, block: int = BLOCK) -> DataFrame:
     """(key, j, value) for every missing coordinate: mean over the k nearest
     donors having coordinate j, or the train mean of j without donors."""
     dims = train.select(F.max(F.size(vec))).first()[0]
@@ -141,11 +231,7 @@ def impute_slots(train: DataFrame, data: DataFrame, key: str, vec: str, k: int =
     miss = data.select(key, vec, F.explode(F.filter(F.sequence(F.lit(0), F.lit(dims - 1)),
                                                     lambda i: F.col(vec)[i].isNull())).alias("_j"))
     donors = train.select(F.col(key).alias("_donor"), vec)
-
-    def has_slot(qv, dv):
-        return F.element_at(dv, (F.col("_j") + 1).cast("int")).isNotNull()
-    nb = neighbours(miss, donors, key, "_donor", vec, k, metric="nan_euclidean", slot="_j",
-                    donor_filter=has_slot, bucket_donors=bucket_donors)
+    nb = neighbours(miss, donors, key, "_donor", vec, k, slot="_j", cells=cells, block=block)
     vals = nb.join(donors.withColumnRenamed(vec, "_dv"), "_donor") \
              .withColumn("_y", F.element_at("_dv", (F.col("_j") + 1).cast("int")))
     filled = vals.groupBy(key, "_j").agg(F.avg("_y").alias("value"))

@@ -21,7 +21,7 @@ from kiln.sources import files as SRC
 from kiln.sources import sinks as K
 from kiln.tables import load
 
-DIMS = 8
+DIMS = 64
 
 
 def _emb(spark, sf_dir):

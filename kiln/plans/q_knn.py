@@ -1,4 +1,4 @@
-"""k-nearest-neighbour queries (J12, M6, F6) on ``embeddings`` (8 leading
+"""k-nearest-neighbour queries (J12, M6, F6) on ``embeddings`` (all 64
 dimensions), donors = hash-split train rows, queries = test rows."""
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from kiln.plans.registry import query
 from kiln.plans.sqlkit import unsign
 from kiln.tables import load
 
-DIMS = 8
+DIMS = 64
 K = 5
 
 
@@ -65,6 +65,24 @@ def knn_classifier(spark, sf_dir):
     return KNN.knn_predict(train, test, "vec_id", "v", "label", K)
 
 
+@query("m06_knn_distance_weights", PAIRS_SQL + f""",
+w AS (SELECT q, y, CASE WHEN min(dist) OVER (PARTITION BY q) = 0 THEN CAST(dist = 0 AS DOUBLE) ELSE 1 / dist END AS w
+      FROM r WHERE rank <= {K}),
+v AS (SELECT q, y, sum(w) AS votes FROM w GROUP BY 1, 2)
+SELECT q AS vec_id, arg_min(y, (-votes, y)) AS prediction FROM v GROUP BY q""", covers=("M6",))
+def knn_distance_weights(spark, sf_dir):
+    train, test = _split(spark, sf_dir)
+    return KNN.knn_predict(train, test, "vec_id", "v", "label", K, weights="distance")
+
+
+@query("m06_knn_regression", unsign(PAIRS_SQL + f"""
+SELECT q AS vec_id, round(avg(y), 9) AS prediction FROM r WHERE rank <= {K} GROUP BY q""", ["prediction"]), covers=("M6",))
+def knn_regression(spark, sf_dir):
+    train, test = _split(spark, sf_dir)
+    return KNN.knn_predict(train, test, "vec_id", "v", "label", K, regression=True).select(
+        "vec_id", (F.round("prediction", 9) + F.lit(0.0)).alias("prediction"))
+
+
 IMPUTE_K = 9
 
 

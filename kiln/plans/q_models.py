@@ -1,4 +1,4 @@
-"""Model queries (M1-M15) on ``embeddings`` (16 leading dimensions, 10 classes),
+"""Model queries (M1-M15) on ``embeddings`` (all 64 dimensions, 10 classes),
 split 80/20 by the md5 hash of ``vec_id``; binary tasks on documents + labels."""
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from kiln.operators import splits as O
 from kiln.plans.registry import query
 from kiln.tables import load
 
-DIMS = 16
+DIMS = 64
 COLS = [f"e{i}" for i in range(DIMS)]
 
 

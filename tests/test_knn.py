@@ -23,7 +23,7 @@ def test_neighbours_exact_with_small_buckets(spark):
     df, x = _data(spark)
     q = df.filter("id % 5 = 0")
     d = df.filter("id % 5 != 0").withColumnRenamed("id", "donor")
-    got = KNN.neighbours(q, d, "id", "donor", "v", k=4, bucket_donors=8)
+    got = KNN.neighbours(q, d, "id", "donor", "v", k=4, cells=12, block=8)
     got = {(r["id"], r["rank"]): r["donor"] for r in got.collect()}
     donors = [i for i in range(len(x)) if i % 5 != 0]
     for qi in range(0, len(x), 5):
@@ -36,7 +36,7 @@ def test_imputation_matches_brute_force(spark):
     df, _ = _data(spark, holes=True)
     train = df.filter("id % 3 != 0")
     data = df.filter("id % 3 = 0")
-    got = {(r["id"], r["j"]): r["value"] for r in KNN.impute_slots(train, data, "id", "v", k=3, bucket_donors=8).collect()}
+    got = {(r["id"], r["j"]): r["value"] for r in KNN.impute_slots(train, data, "id", "v", k=3, cells=12, block=8).collect()}
     tr = [(r["id"], r["v"]) for r in train.collect()]
     dims = 4
     means = [np.mean([v[j] for _, v in tr if v[j] is not None]) for j in range(dims)]

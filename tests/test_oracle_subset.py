@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+from decimal import Decimal
 
 import duckdb
 import pytest
@@ -16,6 +17,8 @@ NAMES = ["w15_bar_indicators", "w01_moving_average", "j04_asof_macro", "a03_desc
 
 
 def _norm(v):
+    if isinstance(v, Decimal):
+        v = float(v)
     if isinstance(v, float):
         return "NaN" if math.isnan(v) else v
     if isinstance(v, (list, tuple)):
