@@ -8,9 +8,10 @@ the driver; PCA is MLlib PCA on centred data.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import GaussianMixture, KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -32,6 +33,30 @@ def scaled_vector(cols: Sequence[str], lo: Sequence[float], hi: Sequence[float])
                      for c, a, b in zip(cols, lo, hi)])
 
 
+def second_moments(df: DataFrame, vec: str) -> tuple[int, np.ndarray, np.ndarray]:
+    """(rows, mean, population covariance) of an array column.
+
+    Every task adds up its own sums and cross products as arrays; their entries
+    are summed by position, so d + d * d + 1 rows reach the driver."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
+            own = np.concatenate(([len(x)], x.sum(axis=0), (x.T @ x).ravel()))
+            total = own if total is None else total + own
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["i", "v"])
+
+    parts = df.select(F.col(vec).cast("array<double>")).mapInArrow(run, "i long, v double")
+    sums = np.array([r["v"] for r in parts.groupBy("i").agg(F.sum("v").alias("v")).orderBy("i").collect()])
+    d = int(round((np.sqrt(4 * len(sums) - 3) - 1) / 2))
+    n = sums[0]
+    mean = sums[1:d + 1] / n
+    return int(n), mean, sums[d + 1:].reshape(d, d) / n - np.outer(mean, mean)
+
+
 # F16 ------------------------------------------------------------------------
 def kmeans_features(train: DataFrame, data: DataFrame, vec: str, k: int = 5, seed: int = 42) -> DataFrame:
     """Cluster id and euclidean distance to every centre (k capped by row count)."""
@@ -61,13 +86,7 @@ def fast_ica(train: DataFrame, vec: str, n_components: int, max_iter: int = 300,
     components of a row x are W K (x - mean)."""
     dims = train.select(F.max(F.size(vec))).first()[0]
     xs = [F.col(vec)[i] for i in range(dims)]
-    r = train.agg(F.count(F.lit(1)).alias("n"), *[F.avg(x).alias(f"m{i}") for i, x in enumerate(xs)],
-                  *[F.covar_pop(xs[i], xs[j]).alias(f"c{i}_{j}") for i in range(dims) for j in range(i, dims)]).first()
-    mean = np.array([r[f"m{i}"] for i in range(dims)])
-    cov = np.zeros((dims, dims))
-    for i in range(dims):
-        for j in range(i, dims):
-            cov[i, j] = cov[j, i] = r[f"c{i}_{j}"]
+    _, mean, cov = second_moments(train, vec)
     vals, vecs = np.linalg.eigh(cov)
     order = np.argsort(vals)[::-1][:n_components]
     K = (vecs[:, order] / np.sqrt(np.maximum(vals[order], 1e-12))).T  # n_components x dims

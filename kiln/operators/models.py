@@ -79,42 +79,53 @@ def class_weights(df: DataFrame, label: str, how: str = "balanced", out: str = "
     else:
         tot = counts.agg(F.sum("_cnt").alias("_n"), F.count(F.lit(1)).alias("_k"))
         w = counts.crossJoin(tot).select(label, (F.col("_n") / (F.col("_k") * F.col("_cnt"))).alias(out))
-    return df.join(F.broadcast(w), label, "left")  # one row per class
+    return df.join(w, label, "left")
 
 
 # M10 ------------------------------------------------------------------------
-def fit_predict(est, train: DataFrame, test: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Fit on train, score test: prediction plus the class-probability array."""
-    model = est.fit(train)
-    out = model.transform(test)
+def predictions(model, data: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Predictions of a fitted model, with the class-probability array where it has one."""
+    out = model.transform(data)
     cols = [*keep, F.col("prediction")]
     if "probability" in out.columns:
         cols.append(vector_to_array("probability").alias("probs"))
     return out.select(*cols)
 
 
+def fit_predict(est, train: DataFrame, test: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Fit on train, score test."""
+    return predictions(est.fit(train), test, keep)
+
+
 # M5 -------------------------------------------------------------------------
 def gaussian_nb(train: DataFrame, test: DataFrame, cols: Sequence[str], label: str, key: str,
                 var_smoothing: float = 1e-9) -> DataFrame:
     """Gaussian naive Bayes: class priors, per-class mean / population variance
     (+ var_smoothing x largest feature variance), arg-max log density (first
-    class on ties).  Fit = two aggregates; scoring = broadcast join of the
-    (classes x features) table."""
+    class on ties).  Fit = two aggregates; scoring reads the class table as one
+    broadcast value."""
     cols = list(cols)
     stats = train.groupBy(label).agg(F.count(F.lit(1)).alias("_n"),
                                      *[F.avg(c).alias(f"_m{i}") for i, c in enumerate(cols)],
                                      *[F.var_pop(c).alias(f"_v{i}") for i, c in enumerate(cols)])
     eps = train.agg(F.greatest(*[F.var_pop(c) for c in cols]).alias("_e") if len(cols) > 1
                     else F.var_pop(cols[0]).alias("_e"))
-    tot = train.agg(F.count(F.lit(1)).alias("_total"))
-    st = stats.crossJoin(eps).crossJoin(tot)  # classes x 1 x 1 rows
-    ll = F.log(F.col("_n") / F.col("_total"))
-    for i, c in enumerate(cols):
-        var = F.col(f"_v{i}") + F.lit(var_smoothing) * F.col("_e")
-        ll = ll - 0.5 * (F.log(2 * math.pi * var) + F.pow(F.col(c) - F.col(f"_m{i}"), 2) / var)
-    scored = test.select(key, *cols).crossJoin(F.broadcast(st)).select(key, F.col(label).alias("_c"),
-                                                                      ll.alias("_ll"))
-    return scored.groupBy(key).agg(F.min_by("_c", F.struct(-F.col("_ll"), F.col("_c"))).alias("prediction"))
+    # one row per class, kept as one array value: scoring is a projection of each
+    # test row over it, not a row per pair
+    model = stats.crossJoin(eps).agg(F.sort_array(F.collect_list(F.struct(
+        F.col(label).alias("c"), F.col("_n").alias("n"),
+        F.array(*[F.col(f"_m{i}") for i in range(len(cols))]).alias("m"),
+        F.array(*[F.col(f"_v{i}") + F.lit(var_smoothing) * F.col("_e") for i in range(len(cols))]).alias("v")))).alias("_model"))
+    total = F.aggregate("_model", F.lit(0).cast("long"), lambda a, x: a + x["n"])
+    x = F.array(*[F.col(c) for c in cols])
+
+    def density(k):
+        terms = F.zip_with(F.zip_with(x, k["m"], lambda a, b: a - b), k["v"],
+                           lambda d, v: F.log(2 * math.pi * v) + d * d / v)
+        return F.log(k["n"] / F.col("_total")) - 0.5 * F.aggregate(terms, F.lit(0.0), lambda a, t: a + t)
+    scored = test.select(key, *cols).crossJoin(F.broadcast(model)).withColumn("_total", total)
+    best = F.array_min(F.transform("_model", lambda k: F.struct((-density(k)).alias("l"), k["c"].alias("c"))))
+    return scored.select(key, best["c"].alias("prediction"))
 
 
 # M9 -------------------------------------------------------------------------
@@ -154,9 +165,49 @@ def grid(**axes) -> list[dict]:
 
 
 # M12 ------------------------------------------------------------------------
-def importance_table(model, cols: Sequence[str]) -> list[tuple[str, float]]:
-    imp = model.featureImportances.toArray()
-    return sorted(zip(cols, [float(x) for x in imp]), key=lambda t: -t[1])
+def feature_feedback(train: DataFrame, test: DataFrame, cols: Sequence[str], label: str,
+                     thresholds: Sequence[float], bins: int = 10) -> tuple[DataFrame, DataFrame]:
+    """Feedback on features, and a score per importance threshold.
+
+    (feature, importance, corr, mutual_info, rank, kept): forest importance,
+    correlation and binned mutual information with the label, rank by importance,
+    kept under the best threshold.  (threshold, features, score): accuracy on
+    ``test`` of boosted trees on the features at or above each threshold."""
+    from kiln.operators import aggregates as AG
+    from kiln.operators import evaluation as E
+    from kiln.operators import quantiles as Q
+    cols = list(cols)
+    forest = estimator("random_forest", "classification", numTrees=50, maxDepth=8, label=label).fit(train)
+    imp = dict(zip(cols, map(float, forest.featureImportances.toArray())))
+    corr = {r["a"]: r["corr"] for r in AG.correlations(train, cols, target=label).collect()}    # one row per feature
+    edges = Q.multi_quantiles(train, {c: [i / bins for i in range(1, bins)] for c in cols})
+    # all features binned in one projection, all joint counts in one aggregate
+    binned = train.select(label, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"),
+                 sum(((F.col(c) > F.lit(e)).cast("int") for e in sorted(set(edges[c]))), F.lit(0)).alias("bin"))
+        for c in cols])).alias("x")).select(label, "x.*")
+    joint = binned.groupBy("feature", "bin", label).agg(F.count(F.lit(1)).alias("nxy"))
+    per_bin = joint.groupBy("feature", "bin").agg(F.sum("nxy").alias("nx"))
+    per_label = joint.groupBy("feature", label).agg(F.sum("nxy").alias("ny"))
+    total = joint.groupBy("feature").agg(F.sum("nxy").alias("n"))
+    mi = joint.join(per_bin, ["feature", "bin"]).join(per_label, ["feature", label]).join(total, "feature")
+    mi = mi.groupBy("feature").agg(F.sum(F.col("nxy") / F.col("n") * F.log(
+        F.col("nxy") * F.col("n") / (F.col("nx") * F.col("ny")))).alias("mi"))
+    mi = {r["feature"]: max(0.0, r["mi"]) for r in mi.collect()}
+    scores = []
+    n_classes = train.select(label).distinct().count()
+    for t in thresholds:
+        keep = [c for c in cols if imp[c] >= t] or cols
+        tr, te = (assemble(d.drop(FEATURES), keep) for d in (train, test))
+        model = estimator("gbt", "classification", n_classes=n_classes, label=label, maxIter=5, maxDepth=3).fit(tr)
+        pred = model.transform(te).withColumnRenamed("prediction", "pred")
+        scores.append((float(t), keep, float(E.accuracy(pred, label, "pred").first()[0])))
+    best = max(scores, key=lambda s: (s[2], -len(s[1])))
+    order = sorted(cols, key=lambda c: -imp[c])
+    rows = [(c, imp[c], float(corr.get(c) or 0.0), mi.get(c, 0.0), order.index(c) + 1, c in best[1]) for c in cols]
+    spark = train.sparkSession
+    return (spark.createDataFrame(rows, "feature string, importance double, corr double, mutual_info double, rank int, kept boolean"),
+            spark.createDataFrame([(t, len(k), s) for t, k, s in scores], "threshold double, features int, score double"))
 
 
 # M13 / M14 --------------------------------------------------------------------

@@ -6,8 +6,8 @@ get a p-value through the Arrow UDFs in ``functions.special``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -188,37 +188,29 @@ def segment_shift(train: DataFrame, val: DataFrame, cluster: str, ev: str,
 
 
 # T9 -------------------------------------------------------------------------
-def robust_outliers(df: DataFrame, cols: Sequence[str], contamination: float = 0.01,
-                    passes: int = 4, keep: float = 0.75) -> DataFrame:
-    """Multivariate outlier flag: covariance on the kept rows (one aggregate per
-    pass, a small d x d matrix to the driver), Mahalanobis distance as an
-    expression, keep the ``keep`` share closest; after the last pass flag the
-    ``contamination`` share with the largest distance."""
-    import numpy as np
-    cols = list(cols)
-    x = df.select("*", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"_x{i}") for i, c in enumerate(cols)])
-    xs = [F.col(f"_x{i}") for i in range(len(cols))]
-    kept = x
-    dist = None
+def _mahalanobis(mean: np.ndarray, inverse: np.ndarray):
+    """Squared distance of an array column from ``mean``, as an Arrow function."""
+    @F.pandas_udf("double")
+    def distance(v: pd.Series) -> pd.Series:
+        z = np.stack(v.to_numpy()) - mean if len(v) else np.zeros((0, len(mean)))
+        return pd.Series(np.einsum("ij,jk,ik->i", z, inverse, z))
+    return distance
+
+
+def robust_outliers(df: DataFrame, vec: str, contamination: float = 0.01, passes: int = 4, keep: float = 0.75) -> DataFrame:
+    """Multivariate outlier flag: covariance on the kept rows (a d x d matrix to
+    the driver per pass), Mahalanobis distance, keep the ``keep`` share closest;
+    after the last pass flag the ``contamination`` share with the largest
+    distance.  Missing coordinates count as 0."""
+    from kiln.operators.clustering import second_moments
+    x = df.withColumn("_x", F.transform(vec, lambda v: F.coalesce(v.cast("double"), F.lit(0.0))))
+    kept, scored = x, None
     for _ in range(passes):
-        aggs = [F.avg(c).alias(f"m{i}") for i, c in enumerate(xs)]
-        aggs += [F.covar_samp(a, b).alias(f"c{i}_{j}") for i, a in enumerate(xs) for j, b in enumerate(xs) if j >= i]
-        r = kept.agg(*aggs).first()
-        k = len(cols)
-        mean = np.array([r[f"m{i}"] for i in range(k)])
-        cov = np.zeros((k, k))
-        for i in range(k):
-            for j in range(i, k):
-                cov[i, j] = cov[j, i] = r[f"c{i}_{j}"] or 0.0
-        inv = np.linalg.pinv(cov)
-        dist = None
-        for i in range(k):
-            for j in range(k):
-                term = (xs[i] - float(mean[i])) * float(inv[i, j]) * (xs[j] - float(mean[j]))
-                dist = term if dist is None else dist + term
-        scored = x.withColumn("_d", dist)
-        cut = Q.column_quantiles(scored, "_d", [keep])[0]
-        kept = scored.filter(F.col("_d") <= cut).drop("_d")
-    scored = x.withColumn("mahalanobis", dist)
+        n, mean, cov = second_moments(kept, "_x")
+        inv = np.linalg.pinv(cov * n / max(1, n - 1))
+
+        scored = x.withColumn("mahalanobis", _mahalanobis(mean, inv)("_x"))
+        cut = Q.column_quantiles(scored, "mahalanobis", [keep])[0]
+        kept = scored.filter(F.col("mahalanobis") <= cut)
     cut = Q.column_quantiles(scored, "mahalanobis", [1 - contamination])[0]
-    return scored.withColumn("outlier", F.col("mahalanobis") > cut).drop(*[f"_x{i}" for i in range(len(cols))])
+    return scored.withColumn("outlier", F.col("mahalanobis") > cut).drop("_x")

@@ -10,6 +10,7 @@ from kiln.operators import evaluation as E
 from kiln.plans import q_series
 from kiln.plans.registry import query
 from kiln.plans.sqlkit import unsign
+from kiln.session import written
 from kiln.tables import load
 
 N_CLASSES = 10
@@ -159,11 +160,13 @@ def roc_curve(spark, sf_dir):
     return pts.select("threshold", _r(F.col("fpr"), 9).alias("fpr"), _r(F.col("tpr"), 9).alias("tpr"))
 
 
-@query("e06_roc_trapezoid_auc", None, covers=("E6",))
+@query("e06_roc_trapezoid_auc", unsign("WITH p AS (" + ROC_SQL + """),
+l AS (SELECT fpr, tpr, lag(fpr, 1, 0.0) OVER w AS pf, lag(tpr, 1, 0.0) OVER w AS pt FROM p WINDOW w AS (ORDER BY threshold DESC))
+SELECT round(sum((fpr - pf) * (tpr + pt) / 2), 6) AS auc FROM l""", ["auc"]), covers=("E6",))
 def roc_area(spark, sf_dir):
-    """Trapezoid area under the ROC points (equals the rank AUC; rows-only)."""
+    """Trapezoid area under the ROC points."""
     pts = E.roc_points(_binary_scores(spark, sf_dir), "score", F.col("quality") == 1)
-    return E.trapezoid_auc(pts)
+    return E.trapezoid_auc(pts).select(_r(F.col("auc")).alias("auc"))
 
 
 # E7 + E8 ---------------------------------------------------------------------------
@@ -207,24 +210,60 @@ def _vectors(spark, sf_dir):
     return v.select("series", "ts", F.col("y_bins").alias("p_true"), pred.alias("p_pred"))
 
 
-@query("e09_distribution_losses", None, covers=("E9",))
+def _losses_sql(normalize: bool) -> str:
+    """Row losses by list functions; ``t`` and ``q`` are the true and predicted vectors."""
+    def norm(v):
+        return f"list_transform({v}, lambda x: x / list_sum({v}))"
+
+    def clip(v, hi):
+        return f"list_transform({v}, lambda x: least(greatest(x, 1e-9), {hi}))"
+
+    def zsum(a, b, f):
+        return f"list_sum(list_transform(list_zip({a}, {b}), lambda z: {f}))"
+
+    tc, qc = ("tn0", "qn0") if normalize else ("t", "q")
+    hi = "1 - 1e-9" if normalize else "1.0"
+    a, b = ("tc", "qc") if normalize else ("t", "q")
+    rel = "CASE WHEN z[1] > 0 THEN z[1] * ln(z[1] / z[2]) WHEN z[1] = 0 THEN 0.0 END"
+    gaps = [y - x for x, y in zip(A.bin_centers()[:-1], A.bin_centers()[1:])]
+    return f"""SELECT series, {str(normalize).lower()} AS normalized, {zsum('tk', 'qk', 'z[1] * ln(z[1] / z[2])')} AS kl,
+  0.5 * {zsum('a', 'm', rel)} + 0.5 * {zsum('b', 'm', rel)} AS js, -{zsum('t', 'qc', 'z[1] * ln(z[2])')} AS cross_entropy,
+  {zsum('t', 'q', 'abs(z[1] - z[2])')} AS l1, {zsum('t', 'q', '(z[1] - z[2]) * (z[1] - z[2])')} AS l2,
+  list_sum(list_transform(range(1, {len(gaps) + 1}), lambda i: abs(list_sum(diff[1:i])) * {gaps!r}[i])) AS emd
+FROM (SELECT *, list_transform(list_zip(a, b), lambda z: 0.5 * (z[1] + z[2])) AS m FROM (
+  SELECT *, {norm('tc')} AS tk, {norm('qc')} AS qk, {norm(a)} AS a, {norm(b)} AS b,
+    list_transform(list_zip(tn0, qn0), lambda z: z[1] - z[2]) AS diff FROM (
+    SELECT *, {clip(tc, hi)} AS tc, {clip(qc, hi)} AS qc FROM (
+      SELECT series, t, q, {norm('t')} AS tn0, {norm('q')} AS qn0 FROM pq))))"""
+
+
+PQ_SQL = "WITH " + q_series.FWD_CTES + """,
+pq AS (SELECT series, y_bins AS t, list_transform(y_bins, lambda x: 0.7 * x + 0.3 / 18) AS q FROM v WHERE y_bins IS NOT NULL)"""
+LOSSES = ("kl", "js", "cross_entropy", "l1", "l2", "emd")
+
+
+@query("e09_distribution_losses", unsign(PQ_SQL + ", x AS (" + _losses_sql(True) + " UNION ALL " + _losses_sql(False) + """)
+SELECT series, normalized, """ + ", ".join(f"round(avg({c}), 6) AS {c}" for c in LOSSES) + " FROM x GROUP BY 1, 2", LOSSES),
+       covers=("E9",))
 def distribution_losses(spark, sf_dir):
-    """Row-mean KL / JS / CE / L1 / L2 / EMD per series, both normalisation modes
-    (rows-only: the oracle lacks array entropy helpers)."""
-    v = _vectors(spark, sf_dir).persist()  # one row per series day, read by both modes
+    """Row-mean KL / JS / CE / L1 / L2 / EMD per series, both normalisation modes."""
+    v = written(_vectors(spark, sf_dir), "vectors")     # read by both modes
     c = A.bin_centers()
-    a = E.distribution_losses(v, "p_true", "p_pred", c, True, ["series"]).withColumn("normalized", F.lit(True))
-    b = E.distribution_losses(v, "p_true", "p_pred", c, False, ["series"]).withColumn("normalized", F.lit(False))
-    return a.unionByName(b)
+    both = [E.distribution_losses(v, "p_true", "p_pred", c, n, ["series"]).withColumn("normalized", F.lit(n))
+            for n in (True, False)]
+    return both[0].unionByName(both[1]).select("series", "normalized", *[_r(F.col(k), 6).alias(k) for k in LOSSES])
 
 
-@query("e10_directional_loss", None, covers=("E10",))
+@query("e10_directional_loss", unsign(PQ_SQL + f""",
+e AS (SELECT series, q, list_position(t, list_max(t)) AS i,
+             list_sum(list_transform(list_zip(q, {A.bin_centers()!r}), lambda z: z[1] * z[2])) AS ev FROM pq)
+SELECT series, round(avg((1 - sqrt(q[i])) * CASE WHEN ev > {A.bin_centers()!r}[i] THEN 1.2 ELSE 1.0 END), 6) AS directional_loss
+FROM e GROUP BY 1""", ["directional_loss"]), covers=("E10",))
 def directional(spark, sf_dir):
-    """Mean asymmetric Hellinger-style loss per series, true bin = arg-max of the
-    realised distribution (rows-only)."""
+    """Mean asymmetric Hellinger-style loss per series, true bin = arg-max of the realised distribution."""
     v = _vectors(spark, sf_dir).withColumn("true_bin", A.argmax(F.col("p_true")))
     loss = E.directional_loss(F.col("p_pred"), F.col("true_bin"), A.bin_centers())
-    return v.groupBy("series").agg(F.avg(loss).alias("directional_loss"))
+    return v.groupBy("series").agg(_r(F.avg(loss), 6).alias("directional_loss"))
 
 
 # E11 / E12 / E13 ----------------------------------------------------------------------

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,16 +54,24 @@ REGISTRY_SCHEMA = T.StructType([
 
 def register_version(spark: SparkSession, path: str, description: str, target: str,
                      config: dict | None = None) -> str:
-    """Append ``v{max+1}`` to the registry table at ``path`` and return it."""
+    """Claim the next free version at ``path`` and return its name.
+
+    Every version is a folder of its own that must not exist yet; Spark refuses
+    to write over one, so of two writers after the same number one goes on to
+    the next."""
+    cur = 0
     if _has_files(spark, path):
-        cur = spark.read.parquet(path).agg(F.max("version_no").alias("m")).first()["m"] or 0
-    else:
-        cur = 0
-    nxt = int(cur) + 1
-    row = spark.createDataFrame([(f"v{nxt}", nxt, description, target,
-                                  json.dumps(config or {}, sort_keys=True))], REGISTRY_SCHEMA)
-    row.write.mode("append").parquet(path)
-    return f"v{nxt}"
+        cur = spark.read.schema(REGISTRY_SCHEMA).parquet(path).agg(F.max("version_no").alias("m")).first()["m"] or 0
+    while True:
+        cur = int(cur) + 1
+        row = spark.createDataFrame([(f"v{cur}", cur, description, target, json.dumps(config or {}, sort_keys=True))],
+                                    REGISTRY_SCHEMA)
+        try:
+            row.coalesce(1).write.mode("error").parquet(f"{path}/entry={cur}")
+            return f"v{cur}"
+        except AnalysisException as e:
+            if "ALREADY_EXISTS" not in str(e):
+                raise
 
 
 # K5 -------------------------------------------------------------------------
@@ -101,14 +110,12 @@ def metric_rows(metrics: DataFrame, strategy: str = "strategy", metric: str = "m
                    .select(*keep, s.alias("strategy"), key.alias("key"), F.col(value).cast("double").alias("value")))
 
 
-def append_metrics(rows: DataFrame, path: str, run: str) -> None:
-    rows.withColumn("run", F.lit(run)).write.mode("append").parquet(path)
+def append_metrics(rows: DataFrame, path: str, run: str, column: str = "run") -> None:
+    """Append metric rows to a run log, each marked with its run."""
+    rows.withColumn(column, F.lit(run)).write.mode("append").parquet(path)
 
 
 # K7 -------------------------------------------------------------------------
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
-
-def select_existing(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.select(*[c for c in cols if c in df.columns])
