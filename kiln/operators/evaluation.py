@@ -209,3 +209,21 @@ def top_n_mass(df: DataFrame, probs: str, n_classes: int, group: Sequence[str] =
                       lambda acc, x: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0.0)) + x)))
     d = df.select(*group, F.posexplode(cum).alias("top_n", "mass")).withColumn("top_n", F.col("top_n") + 1)
     return Q.grouped_quantiles(d, [*group, "top_n"], "mass", [0.25, 0.5, 0.75])
+
+
+# E14 ------------------------------------------------------------------------
+def model_report(df: DataFrame, label: str, pred: str, probs: str, class_ev: Sequence[float], model: str = "model",
+                 top: Sequence[int] = (1, 2, 3)) -> DataFrame:
+    """One row per model: rows, accuracy, weighted and macro scores, mean
+    probability of the true class, confidence, mass of the top-N classes and the
+    expected value of the predicted and of the true classes."""
+    ev = A.lit_array(class_ev)
+    ranked = F.reverse(F.array_sort(F.col(probs)))
+    mass = [F.avg(F.aggregate(F.slice(ranked, 1, n), F.lit(0.0), lambda a, x: a + x)).alias(f"top_{n}_mass") for n in top]
+    parts = df.groupBy(model).agg(
+        F.count(F.lit(1)).alias("n"), F.avg(F.element_at(F.col(probs), (F.col(label) + 1).cast("int"))).alias("mean_p_true"),
+        F.avg(F.array_max(probs)).alias("confidence"), *mass,
+        F.avg(F.element_at(ev, (F.col(pred) + 1).cast("int"))).alias("ev_predicted"),
+        F.avg(F.element_at(ev, (F.col(label) + 1).cast("int"))).alias("ev_true"))
+    scores = summary(per_class(df, label, pred, model), model)
+    return accuracy(df, label, pred, model).join(scores, model).join(parts, model)

@@ -225,6 +225,15 @@ class LabelCodes(StepEstimator):
         return {"categories": {c: vals}, "identity": False}
 
 
+def decode_labels(df: DataFrame, model: CodesModel, col: str) -> DataFrame:
+    """Codes back to labels: the inverse of a fitted ``LabelCodes`` (unknown codes become null)."""
+    values = model.st["categories"].get(col)
+    if values is None:                      # the labels were codes already
+        return df
+    labels = F.array(*[F.lit(v) for v in values])
+    return df.withColumn(col, F.try_element_at(labels, F.when(F.col(col) >= 0, F.col(col) + 1).cast("int")))
+
+
 # ------------------------------------------------------------------ F11 / F12 / F13
 class ScaleModel(StateModel):
     def _transform(self, df):

@@ -187,13 +187,20 @@ def technical_indicators(df: DataFrame, keys: Sequence[str], price: str = "price
     return d.drop(*[c for c in d.columns if c.startswith("_") and c not in (S.SEQ, S.CNT)])
 
 
+def _return(x, p):
+    """(x - p) / p as floating point has it: infinite or NaN from a price of zero."""
+    rise = x - p
+    return F.when(p != 0, F.try_divide(rise, p)).when(rise > 0, F.lit(float("inf"))).when(
+        rise < 0, F.lit(float("-inf"))).when(rise == 0, F.lit(float("nan")))
+
+
 # W16 ------------------------------------------------------------------------
 def forward_return_hist(df: DataFrame, keys: Sequence[str], price: str, edges: Sequence[float],
                         horizon: int = 30, out: str = "y_bins") -> DataFrame:
     """Histogram of (p[i+1..i+h] - p[i]) / p[i] over ``edges``, normalised to 1.
 
     Null vector when fewer than ``horizon`` rows follow or no return lands in a bin;
-    a return from a price of zero is undefined and lands in none.
+    from a price of zero a rise is infinite and 0 to 0 no return.
     Bins are [a, b) except the last, which is closed."""
     def build(w):
         ahead = w.rowsBetween(1, horizon)
@@ -202,7 +209,7 @@ def forward_return_hist(df: DataFrame, keys: Sequence[str], price: str, edges: S
     d = S.rolling(df, keys, build, after=horizon)
     p = F.col(price)
     # staged projections: each array is computed once and referenced by name
-    d = d.withColumn("_cnt", A.histogram(F.transform("_fut", lambda x: F.try_divide(x - p, p)), edges))
+    d = d.withColumn("_cnt", A.histogram(F.transform("_fut", lambda x: _return(x, p)), edges))
     d = d.withColumn("_tot", F.aggregate("_cnt", F.lit(0).cast("long"), lambda a, x: a + x))
     ok = (F.col("_ahead") == horizon) & (F.col("_tot") > 0)
     vec = F.transform("_cnt", lambda c: c / F.col("_tot"))

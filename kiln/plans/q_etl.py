@@ -7,16 +7,20 @@ import uuid
 from pyspark.sql import functions as F
 
 from kiln.functions import arrays as A
+from kiln.functions import scalar as X
 from kiln.operators import aggregates as AG
 from kiln.operators import clustering as CL
 from kiln.operators import features as FE
 from kiln.operators import knn as KNN
+from kiln.operators import quantiles as QU
 from kiln.operators import schema as P
 from kiln.operators import splits as O
+from kiln.operators import stats as ST
 from kiln.operators import text as TX
 from kiln.plans import q_series
 from kiln.plans.registry import query
-from kiln.session import scratch_path
+from kiln.plans.sqlkit import unsign
+from kiln.session import scratch_path, written
 from kiln.sources import files as SRC
 from kiln.sources import sinks as K
 from kiln.tables import load
@@ -35,43 +39,76 @@ def _emb(spark, sf_dir):
     return d.filter("split = 'train'"), d.filter("split = 'test'")
 
 
-@query("f16_kmeans_features", None, covers=("F16", "F12"))
+# Fits have no SQL form; the invariants of their output have: a row per test row, each
+# on its nearest centre, probabilities that sum to one, components as whitened.
+TEST_SQL = """embeddings WHERE CAST(('0x' || substr(md5(CAST(vec_id AS VARCHAR) || '42'), 1, 8)) AS BIGINT) % 100 < 20"""
+
+
+def _sums_to_one(col):
+    return (F.abs(F.aggregate(col, F.lit(0.0), lambda a, x: a + x) - 1) < 1e-6)
+
+
+@query("f16_kmeans_features", f"SELECT vec_id, true AS nearest, true AS known FROM {TEST_SQL}", covers=("F16", "F12"))
 def kmeans(spark, sf_dir):
     train, test = _emb(spark, sf_dir)
     out = CL.kmeans_features(train, test, "x", k=5)
-    return out.select("vec_id", "kmeans_cluster", *[f"kmeans_dist_{i}" for i in range(5)])
+    dist = F.array(*[F.col(f"kmeans_dist_{i}") for i in range(5)])
+    return out.select("vec_id", (F.element_at(dist, F.col("kmeans_cluster") + 1) - F.array_min(dist) < 1e-9).alias("nearest"),
+                      F.col("kmeans_cluster").between(0, 4).alias("known"))
 
 
-@query("f17_gmm_features", None, covers=("F17",))
+@query("f17_gmm_features", f"SELECT vec_id, true AS sums, true AS likeliest FROM {TEST_SQL}", covers=("F17",))
 def gmm(spark, sf_dir):
+    """On eight principal axes of all coordinates: full covariances in 64 dimensions are singular on so few rows."""
     train, test = _emb(spark, sf_dir)
-    return CL.gmm_features(train, test, "x", k=5).select("vec_id", "gmm_cluster", "gmm_probs")
+    axes = [CL.pca_projection(train, d, "x", k=8) for d in (train, test)]
+    out = CL.gmm_features(*axes, "pca", k=5)
+    return out.select("vec_id", _sums_to_one("gmm_probs").alias("sums"),
+                      (F.element_at("gmm_probs", F.col("gmm_cluster") + 1) == F.array_max("gmm_probs")).alias("likeliest"))
 
 
-@query("f18_ica_components", None, covers=("F18",))
+@query("f18_ica_components", f"""
+SELECT vec_id, CAST(7 AS INTEGER) AS components, true AS finite, true AS whitened FROM {TEST_SQL}""", covers=("F18",))
 def ica(spark, sf_dir):
+    """Seven components, up to 300 iterations; on the rows of the fit each has mean 0 and variance 1."""
     train, test = _emb(spark, sf_dir)
-    mean, Kw, W = CL.fast_ica(train, "x", n_components=4, max_iter=25, tol=1e-2)
-    return CL.ica_features(test, "x", mean, Kw, W).select("vec_id", *[f"ica_{i + 1}" for i in range(4)])
+    mean, Kw, W = CL.fast_ica(train, "x", n_components=7, max_iter=300, tol=1e-3)
+    names = [f"ica_{i + 1}" for i in range(7)]
+    unit = [(F.abs(F.avg(c)) < 1e-6) & (F.abs(F.var_pop(c) - 1) < 1e-6) for c in names]
+    whitened = CL.ica_features(train, "x", mean, Kw, W).agg(F.array_min(F.array(*unit)).alias("whitened"))
+    values = F.array(*names)
+    out = CL.ica_features(test, "x", mean, Kw, W)
+    return out.select("vec_id", F.size(values).alias("components"), F.forall(values, lambda x: F.abs(x) < 1e9).alias("finite")
+                      ).crossJoin(F.broadcast(whitened))
 
 
-@query("f19_pca_projection", None, covers=("F19",))
+@query("f19_pca_projection", f"SELECT vec_id, CAST(2 AS INTEGER) AS axes, true AS ordered FROM {TEST_SQL}", covers=("F19",))
 def pca(spark, sf_dir):
     train, test = _emb(spark, sf_dir)
-    return CL.pca_projection(train, test, "x", k=2).select("vec_id", "pca")
-
-
-@query("f22_distribution_clusters", None, covers=("F22", "W18", "O8", "T8"))
+    both = CL.pca_projection(train, train, "x", k=2).agg(
+        (F.var_pop(F.col("pca")[0]) >= F.var_pop(F.col("pca")[1])).alias("ordered"))
+    return CL.pca_projection(train, test, "x", k=2).select("vec_id", F.size("pca").alias("axes")).crossJoin(F.broadcast(both))
+
+
+@query("f22_distribution_clusters", "WITH " + q_series.FWD_CTES + """,
+r AS (SELECT series, ts, row_number() OVER (PARTITION BY series ORDER BY ts) AS rn, count(*) OVER (PARTITION BY series) AS n,
+             list_sum(list_transform(list_zip(y_bins, """ + repr(A.bin_midpoints()) + """), lambda z: z[1] * z[2])) / list_sum(y_bins) AS ev
+      FROM v WHERE y_bins IS NOT NULL),
+s AS (SELECT *, n - ceil(n * 0.2) AS m FROM r)
+SELECT series, ts, CASE WHEN rn > m THEN 'test' WHEN rn > m - ceil(m * 0.2) THEN 'val' ELSE 'train' END AS split,
+       round(ev, 6) + 0.0 AS EV, true AS known, true AS sums, true AS likeliest FROM s""", covers=("F22", "W18", "O8"))
 def distribution_clusters(spark, sf_dir):
     """EV of each forward-return vector, a 9-component mixture fitted on the
     chronological train part, cluster and probabilities on train/val/test."""
-    s = q_series.forward_frame(spark, sf_dir).filter(F.col("y_bins").isNotNull())
-    s = s.drop("_seq", "_n")
-    split = O.chronological_split(s, ["series"], "ts", 0.2, 0.2)
+    s = q_series.forward_frame(spark, sf_dir).filter(F.col("y_bins").isNotNull()).drop("_seq", "_n")
+    split = written(O.chronological_split(s, ["series"], "ts", 0.2, 0.2), "split")     # read by the fit and by the scoring
     v = split.withColumn("EV", A.expected_value(F.col("y_bins"), A.bin_midpoints())) \
              .withColumn("yv", F.transform("y_bins", lambda x: F.coalesce(x, F.lit(0.0))))
     out = CL.gmm_features(v.filter("split = 'train'"), v, "yv", k=9, prefix="gmm")
-    return out.select("series", "ts", "split", "EV", F.col("gmm_cluster").alias("Cluster_Assignment"), "gmm_probs")
+    p = F.col("gmm_probs")
+    return out.select("series", "ts", "split", (F.round("EV", 6) + F.lit(0.0)).alias("EV"),
+                      F.col("gmm_cluster").between(0, 8).alias("known"), _sums_to_one(p).alias("sums"),
+                      (F.element_at(p, F.col("gmm_cluster") + 1) == F.array_max(p)).alias("likeliest"))
 
 
 # F5 ----------------------------------------------------------------------------------
@@ -97,44 +134,97 @@ def passengers(spark, sf_dir):
         (F.col("o_orderstatus") == "F").cast("int").alias("Transported"))
 
 
-@query("f05_passenger_transformer", None, covers=("F5", "P2", "P11", "P12", "P16", "P17", "F3", "F8"))
+PASSENGER_SQL = """p AS (
+  SELECT lpad(CAST(o_orderkey AS VARCHAR), 6, '0') || '_01' AS pid,
+    CASE WHEN o_orderkey % 9 <> 0 THEN c_mktsegment END AS planet, CASE WHEN o_orderkey % 10 <> 0 THEN o_orderpriority END AS dest,
+    o_orderkey % 3 = 0 AS cryo, o_orderkey % 4 = 0 AS vip,
+    CASE WHEN o_orderkey % 8 <> 0 THEN right(c_name, 1) END AS deck, CASE WHEN o_orderkey % 8 <> 0 THEN CAST(o_custkey % 300 AS DOUBLE) END AS num,
+    CASE WHEN o_orderkey % 8 <> 0 THEN CASE WHEN o_custkey % 2 = 0 THEN 'P' ELSE 'S' END END AS side,
+    CASE WHEN o_orderkey % 6 <> 0 THEN c_acctbal / 100 END AS age, coalesce(o_totalprice / 1000, 0.0) AS room,
+    CASE WHEN o_orderkey % 5 <> 0 THEN greatest(c_acctbal, 0.0) / 50 ELSE 0.0 END AS food, CAST(o_orderkey % 97 AS DOUBLE) AS spa,
+    CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS target
+  FROM orders JOIN customer ON o_custkey = c_custkey),
+q AS (SELECT *, room + food + spa AS total,
+        CASE WHEN room >= food AND room >= spa THEN 'RoomService' WHEN food >= spa THEN 'FoodCourt' ELSE 'Spa' END AS top,
+        CAST(('0x' || substr(md5(pid || '42'), 1, 8)) AS BIGINT) % 100 < 20 AS is_test FROM p),
+tr AS (SELECT * FROM q WHERE NOT is_test), te AS (SELECT * FROM q WHERE is_test),
+f AS (SELECT list_sort(list_distinct(list(planet))) AS planets, list_sort(list_distinct(list(dest))) AS dests,
+             list_sort(list_distinct(list(deck))) AS decks, list_sort(list_distinct(list(side))) AS sides,
+             list_sort(list_distinct(list(top))) AS tops, quantile_cont(age, 0.5) AS age_median FROM tr)"""
+
+
+def _code_sql(v: str, cats: str) -> str:
+    return f"CAST(coalesce(list_position({cats}, {v}), 0) - 1 AS INTEGER)"
+
+
+@query("f05_passenger_transformer", unsign("WITH " + PASSENGER_SQL + f"""
+SELECT pid AS _id, {_code_sql('planet', 'planets')} AS HomePlanet, {_code_sql('dest', 'dests')} AS Destination, cryo AS CryoSleep,
+  vip AS VIP, round(coalesce(age, age_median), 6) AS Age, round(room, 6) AS RoomService, round(food, 6) AS FoodCourt,
+  round(spa, 6) AS Spa, round(total, 6) AS total_spent, {_code_sql('top', 'tops')} AS max_spend_category,
+  {_code_sql('deck', 'decks')} AS deck, num AS cabin_num, {_code_sql('side', 'sides')} AS side FROM te, f""",
+       ["Age", "RoomService", "FoodCourt", "Spa", "total_spent"]),
+       covers=("F5", "P2", "P11", "P12", "P16", "P17", "F3", "F8"))
 def passenger(spark, sf_dir):
     d = O.random_split(passengers(spark, sf_dir), "PassengerId", 20)
     train, test = d.filter("split = 'train'").drop("split"), d.filter("split = 'test'").drop("split")
     model = FE.PassengerTransformer(service_cols=("RoomService", "FoodCourt", "Spa")).fit(train)
-    return model.transform(test.withColumn("_id", F.col("PassengerId"))).drop("Transported")
+    out = model.transform(test.withColumn("_id", F.col("PassengerId"))).drop("Transported")
+    num = ("Age", "RoomService", "FoodCourt", "Spa", "total_spent")
+    return out.withColumns({c: F.round(c, 6) + F.lit(0.0) for c in num})
 
 
 # F20 + F21 -------------------------------------------------------------------------------
-def recommendations(df, target: str, numeric, categorical):
-    """per column suggestion_1 in order: constant -> drop; categorical:
-    <= 10 distinct one_hot_encode else label_encode; numeric: |skew| > 1 and
-    |corr| > 0.2 -> log_transform; range > 100 -> minmax_scale; |corr| < 0.05 and
-    binned MI < 0.01 -> drop; else standard_scale."""
+# The first rule that holds names the transformation of a column.
+RECOMMENDATION_RULES = [
+    ("drop", "n_distinct <= 1 OR (numeric AND zero_variance)"),
+    ("inspect_manually", "NOT numeric AND NOT categorical"),
+    ("one_hot_encode", "categorical AND n_distinct <= 10"),
+    ("label_encode", "categorical"),
+    ("log_transform", "abs(skew) > 1 AND abs(corr) > 0.2"),
+    ("minmax_scale", "max - min > 100"),
+    ("drop", "abs(corr) < 0.05 AND mi < 0.01"),
+    ("standard_scale", "true"),
+]
+
+
+def recommendations(df, target: str, numeric, categorical, other=(), contamination: float = 0.01):
+    """(column, suggestion_1, suggestion_2) per column.
+
+    ``suggestion_1`` is the first of ``RECOMMENDATION_RULES`` that holds;
+    ``suggestion_2`` is ``check_outliers`` where the rows that robust distance
+    flags spread over twice as far as all rows do."""
+    numeric, categorical = list(numeric), list(categorical)
     mom = AG.moments(df, numeric)
-    nd = AG.distinct_profile(df, list(numeric) + list(categorical))
+    nd = AG.distinct_profile(df, [*numeric, *categorical, *other])
     corr = AG.correlations(df.withColumn(target, F.col(target).cast("double")), numeric, target=target)
-    mi_rows = []
-    for c in numeric:  # one aggregate each: binned mutual information
-        b = AG.quantile_bins(df.filter(F.col(c).isNotNull()), c, 5)
-        mi_rows.append((c, float(AG.binned_mutual_information(b, "bin", target).first()[0] or 0.0)))
-    mi = df.sparkSession.createDataFrame(mi_rows, "column string, mi double")
-    j = nd.select("column", "n_distinct").join(mom, "column", "left") \
-          .join(corr.select(F.col("a").alias("column"), "corr"), "column", "left").join(mi, "column", "left")
-    is_cat = F.col("column").isin(*categorical) if categorical else F.lit(False)
-    s1 = (F.when(F.col("n_distinct") <= 1, "drop").when(~is_cat & F.col("zero_variance"), "drop")
-           .when(is_cat & (F.col("n_distinct") <= 10), "one_hot_encode").when(is_cat, "label_encode")
-           .when((F.abs("skew") > 1) & (F.abs("corr") > 0.2), "log_transform")
-           .when(F.col("max") - F.col("min") > 100, "minmax_scale")
-           .when((F.abs("corr") < 0.05) & (F.col("mi") < 0.01), "drop")
-           .otherwise("standard_scale"))
-    return j.select("column", s1.alias("suggestion_1"))
+    edges = QU.multi_quantiles(df, {c: [i / 5 for i in range(6)] for c in numeric})
+    # all numeric columns binned in one projection, all joint counts in one aggregate
+    bins = [F.struct(F.lit(c).alias("column"), AG.edge_bin(F.col(c).cast("double"), sorted(set(edges[c]))).alias("bin"))
+            for c in numeric if edges[c][0] is not None]
+    joint = df.select(F.col(target).alias("y"), F.explode(F.array(*bins)).alias("x")).select("y", "x.*").na.drop() \
+        .groupBy("column", "bin", "y").agg(F.count(F.lit(1)).alias("nxy"))
+    mi = joint.join(joint.groupBy("column", "bin").agg(F.sum("nxy").alias("nx")), ["column", "bin"]) \
+        .join(joint.groupBy("column", "y").agg(F.sum("nxy").alias("ny")), ["column", "y"]) \
+        .join(joint.groupBy("column").agg(F.sum("nxy").alias("n")), "column") \
+        .groupBy("column").agg(F.sum(F.expr("nxy / n * ln(nxy * n / (nx * ny))")).alias("mi"))
+    facts = nd.select("column", "n_distinct").join(mom, "column", "left") \
+        .join(corr.select(F.col("a").alias("column"), "corr"), "column", "left").join(mi, "column", "left") \
+        .withColumn("numeric", F.col("column").isin(numeric)).withColumn("categorical", F.col("column").isin(categorical))
+    first = F.coalesce(*[F.when(F.expr(cond), F.lit(name)) for name, cond in RECOMMENDATION_RULES])
+    vec = df.select(F.array(*[F.col(c).cast("double") for c in numeric]).alias("v"))
+    flagged = ST.robust_outliers(vec, "v", contamination)
+    spread = flagged.select(F.posexplode("v").alias("i", "x"), "outlier").groupBy("i").agg(
+        F.stddev_samp("x").alias("all"), F.stddev_samp(F.when(F.col("outlier"), F.col("x"))).alias("out"))
+    names = F.array(*[F.lit(c) for c in numeric])
+    spread = spread.select(F.element_at(names, F.col("i") + 1).alias("column"), (F.col("out") > 2 * F.col("all")).alias("wide"))
+    return facts.join(spread, "column", "left").select(
+        "column", first.alias("suggestion_1"), F.when(F.col("wide"), F.lit("check_outliers")).alias("suggestion_2"))
 
 
 def orders_frame(spark, sf_dir):
     o = load(spark, sf_dir, "orders").join(load(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     return o.select("o_orderkey", "o_totalprice", "c_acctbal", (F.col("o_orderkey") % 2).cast("double").alias("parity"),
-                    "o_orderpriority", "c_mktsegment", F.lit("same").alias("constant_text"),
+                    "o_orderpriority", "c_mktsegment", F.lit("same").alias("constant_text"), "o_orderdate",
                     (F.col("o_orderstatus") == "F").cast("int").alias("target"))
 
 
@@ -142,9 +232,35 @@ NUMERIC = ["o_totalprice", "c_acctbal", "parity"]
 CATEG = ["o_orderpriority", "c_mktsegment", "constant_text"]
 
 
-@query("f20_transformation_recommendations", None, covers=("F20", "A2", "A11", "A12", "A20"))
+OTHER = ["o_orderdate"]
+
+
+def _recommend_sql() -> str:
+    src = """d AS (SELECT o_totalprice, c_acctbal, CAST(o_orderkey % 2 AS DOUBLE) AS parity,
+  o_orderpriority, c_mktsegment, 'same' AS constant_text, o_orderdate, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS target
+  FROM orders JOIN customer ON o_custkey = c_custkey)"""
+    ctes, parts = [src], []
+    for c in NUMERIC:
+        ctes.append(f"""{c}_b AS (SELECT target AS y, len(list_filter(e[2:], lambda q: q < x)) AS b FROM
+  (SELECT {c} AS x, target, (SELECT list_sort(list_distinct(quantile_cont({c}, [0, 0.2, 0.4, 0.6, 0.8, 1.0]))) FROM d) AS e FROM d))""")
+        ctes.append(f"""{c}_m AS (SELECT sum(nxy / n * ln(nxy * n / (nx * ny))) AS mi FROM (
+  SELECT count(*) AS nxy, sum(count(*)) OVER () AS n, sum(count(*)) OVER (PARTITION BY b) AS nx,
+         sum(count(*)) OVER (PARTITION BY y) AS ny FROM {c}_b GROUP BY b, y))""")
+        parts.append(f"""SELECT '{c}' AS "column", CASE WHEN count(DISTINCT {c}) <= 1 OR stddev_samp({c}) <= 1e-8 THEN 'drop'
+  WHEN abs(avg(power({c} - (SELECT avg({c}) FROM d), 3)) / power(var_pop({c}), 1.5)) > 1 AND abs(corr({c}, target)) > 0.2 THEN 'log_transform'
+  WHEN max({c}) - min({c}) > 100 THEN 'minmax_scale'
+  WHEN abs(corr({c}, target)) < 0.05 AND (SELECT mi FROM {c}_m) < 0.01 THEN 'drop' ELSE 'standard_scale' END AS suggestion_1 FROM d""")
+    for c in CATEG:
+        parts.append(f"""SELECT '{c}', CASE WHEN count(DISTINCT {c}) <= 1 THEN 'drop' WHEN count(DISTINCT {c}) <= 10 THEN 'one_hot_encode'
+  ELSE 'label_encode' END FROM d""")
+    parts += [f"SELECT '{c}', CASE WHEN count(DISTINCT {c}) <= 1 THEN 'drop' ELSE 'inspect_manually' END FROM d" for c in OTHER]
+    return "WITH " + ",\n".join(ctes) + "\nSELECT *, true AS second_known FROM (" + "\nUNION ALL ".join(parts) + ")"
+
+
+@query("f20_transformation_recommendations", _recommend_sql(), covers=("F20", "A2", "A11", "A12", "A20", "T9"))
 def recommend(spark, sf_dir):
-    return recommendations(orders_frame(spark, sf_dir), "target", NUMERIC, CATEG)
+    r = recommendations(orders_frame(spark, sf_dir), "target", NUMERIC, CATEG, OTHER)
+    return r.select("column", "suggestion_1", F.coalesce(F.col("suggestion_2") == "check_outliers", F.lit(True)).alias("second_known"))
 
 
 def pipeline_from(rec_rows) -> list:
@@ -167,43 +283,95 @@ def pipeline_from(rec_rows) -> list:
     return stages, by.get("drop", [])
 
 
-@query("f21_recommended_pipeline", None, covers=("F21", "F23", "K4", "O6", "U2"))
+@query("f21_recommended_pipeline", """
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS target, true AS finite, 'v1' AS version
+FROM orders JOIN customer ON o_custkey = c_custkey
+WHERE CAST(('0x' || substr(md5(CAST(o_orderkey AS VARCHAR) || '42'), 1, 8)) AS BIGINT) % 100 < 20""",
+       covers=("F21", "F23", "K4", "O6", "U2"))
 def recommended_pipeline(spark, sf_dir):
     d = O.random_split(orders_frame(spark, sf_dir), "o_orderkey", 20)
     train, test = d.filter("split = 'train'").drop("split"), d.filter("split = 'test'").drop("split")
-    rec = recommendations(train, "target", NUMERIC, CATEG).collect()  # one row per column
-    stages, drops = pipeline_from(rec)
-    model = FE.chain(*stages).fit(P.drop_columns(train, drops))
-    K.register_version(spark, scratch_path(spark, f"registry-{uuid.uuid4().hex}"), "recommended ETL", "target",
-                       {r["column"]: r["suggestion_1"] for r in rec})
-    return model.transform(P.drop_columns(test, drops))
+    out, version = default_etl(spark, train, test, "target", NUMERIC, CATEG, OTHER,
+                               scratch_path(spark, f"registry-{uuid.uuid4().hex}"))
+    numeric = [c for c in out.columns if c not in ("o_orderkey", "target", *OTHER)]
+    finite = F.forall(F.array(*[F.col(f"`{c}`").cast("double") for c in numeric]), lambda x: F.abs(x) < 1e12)
+    return out.select("o_orderkey", "target", finite.alias("finite"), F.lit(version).alias("version"))
 
 
-@query("f24_custom_etl", None, covers=("F24", "F25", "F6", "F14", "F15", "F12", "F16", "F17", "F18", "P18"))
-def custom_etl(spark, sf_dir):
-    """Passenger transform, word features from the name, kNN imputation of the
-    numeric block, min-max + k-means / mixture / ICA features, service flags;
-    fitted on train and applied to unlabelled test rows with ids kept (F25)."""
+def default_etl(spark, train, test, target: str, numeric, categorical, other, registry: str):
+    """recommend on train, fit the recommended stages, register the version, transform test."""
+    P.check_contract(train, dict.fromkeys([*numeric, *categorical, target]), not_null=[target])
+    rec = recommendations(train, target, numeric, categorical, other).collect()     # one row per column
+    stages, drops = pipeline_from(rec)
+    model = FE.chain(*stages).fit(P.drop_columns(train, drops))
+    version = K.register_version(spark, registry, "recommended ETL", target, {r["column"]: r["suggestion_1"] for r in rec})
+    return model.transform(P.drop_columns(test, drops)), version
+
+
+# F24 + F25 -------------------------------------------------------------------------------
+SERVICES = ("RoomService", "FoodCourt", "Spa")
+BLOCK = ["Age", *SERVICES, "total_spent", "cabin_num"]
+
+
+def custom_etl(spark, train, test, registry: str):
+    """One composition, every part fitted on the train rows alone: word features,
+    quartile flags, passenger transform, kNN imputation of the numeric block (of
+    train rows as well, so that what follows is fitted on what it is applied to),
+    min-max, five k-means clusters with distances, five mixture probabilities,
+    seven independent components; a registry entry.  Returns the transformed
+    unlabelled test rows (ids kept) and the version."""
+    words = TX.WordFeatures(text="Name", label="Transported", key="PassengerId", min_count=5, drop_text=False).fit(train)
+    flags = FE.SpendFeatures(SERVICES).fit(train)
+    raw = FE.PassengerTransformer(id_col="_none", service_cols=SERVICES).fit(train)
+
+    def shaped(df):
+        services = {c: F.coalesce(X.lenient_double(c), F.lit(0.0)) for c in SERVICES}
+        flagged = P.threshold_flags(df.withColumns(services), SERVICES, flags.st["thresholds"], drop_originals=False)
+        out = raw.transform(words.transform(flagged))
+        return out.withColumn("v", F.array(*[F.col(c).cast("double") for c in BLOCK]))
+
+    tr, te = written(shaped(train), "train"), written(shaped(test), "test")
+
+    def filled(df):
+        slots = KNN.impute_slots(tr, df, "PassengerId", "v", 9)
+        fill = slots.groupBy("PassengerId").agg(F.map_from_entries(F.collect_list(F.struct("j", "value"))).alias("_fill"))
+        return df.join(fill, "PassengerId", "left").withColumn(
+            "v", F.transform("v", lambda x, i: F.coalesce(x, F.try_element_at(F.col("_fill"), i)))).drop("_fill")
+
+    tr, te = written(filled(tr), "train-filled"), written(filled(te), "test-filled")
+    lo, hi = CL.minmax_arrays(tr.select(*[F.col("v")[i].alias(c) for i, c in enumerate(BLOCK)]), BLOCK)
+
+    span = A.lit_array([b - a for a, b in zip(lo, hi, strict=True)])
+    scale = F.zip_with(F.zip_with("v", A.lit_array(lo), lambda x, a: x - a), span, lambda x, s: F.coalesce(F.try_divide(x, s), F.lit(0.0)))
+    tr, te = tr.withColumn("x", scale), te.withColumn("x", scale)
+    out = CL.kmeans_features(tr, te, "x", k=5)
+    out = CL.gmm_features(tr, out, "x", k=5)
+    mean, kw, w = CL.fast_ica(tr, "x", n_components=min(7, len(BLOCK)), max_iter=300)
+    out = CL.ica_features(out, "x", mean, kw, w)
+    version = K.register_version(spark, registry, "custom ETL", "Transported", {"clusters": 5, "mixture": 5, "components": len(BLOCK)})
+    return out, version
+
+
+@query("f24_custom_etl", unsign("WITH " + PASSENGER_SQL + """,
+t AS (SELECT quantile_cont(room, [0.25, 0.5, 0.75]) AS r, quantile_cont(spa, [0.25, 0.5, 0.75]) AS s FROM tr)
+SELECT pid AS "PassengerId", round(total, 6) AS total_spent, room > 0 AS "RoomService_used", room > r[1] AS "RoomService_above_q25",
+  room > r[3] AS "RoomService_above_q75", spa > s[2] AS "Spa_above_q50",
+  CASE WHEN num IS NOT NULL THEN round((num - (SELECT min(num) FROM tr)) / ((SELECT max(num) FROM tr) - (SELECT min(num) FROM tr)), 6) END AS cabin_scaled,
+  true AS complete, true AS nearest, true AS sums, true AS finite, true AS words, 'v1' AS version FROM te, t""", ["total_spent", "cabin_scaled"]),
+       covers=("F24", "F25", "F6", "F14", "F15", "F12", "F16", "F17", "F18", "P18", "K4"))
+def custom_etl_query(spark, sf_dir):
     d = O.random_split(passengers(spark, sf_dir), "PassengerId", 20)
     train = d.filter("split = 'train'").drop("split")
-    test = d.filter("split = 'test'").drop("split", "Transported")  # unlabelled
-    words = FE.chain(TX.WordFeatures(text="Name", label="Transported", key="PassengerId", min_count=5,
-                                     drop_text=False)).fit(train)
-    raw = FE.PassengerTransformer(id_col="_none", service_cols=("RoomService", "FoodCourt", "Spa"))
-    tr = raw.fit(train).transform(words.transform(train))
-    te = raw.fit(train).transform(words.transform(test))
-    num = ["Age", "RoomService", "FoodCourt", "Spa", "total_spent", "cabin_num"]
-    arr = F.array(*[F.col(c).cast("double") for c in num])
-    tr = tr.withColumn("v", arr)
-    te = te.withColumn("v", arr)
-    filled = KNN.impute_slots(tr, te, "PassengerId", "v", 9)
-    imputed = te.join(filled.groupBy("PassengerId").agg(F.map_from_entries(F.collect_list(F.struct("j", "value")))
-                                                          .alias("_fill")), "PassengerId", "left")
-    imputed = imputed.withColumn("v", F.transform("v", lambda x, i: F.coalesce(x, F.col("_fill")[i]))).drop("_fill")
-    tr_full = tr.withColumn("v", F.transform("v", lambda x: F.coalesce(x, F.lit(0.0))))
-    lo, hi = CL.minmax_arrays(tr_full.select(*[F.col("v")[i].alias(c) for i, c in enumerate(num)]), num)
-    scale = lambda df: df.withColumn("x", F.transform("v", lambda x, i: x))
-    km = CL.kmeans_features(scale(tr_full), scale(imputed), "x", k=5)
-    out = CL.gmm_features(scale(tr_full), km, "x", k=3)
-    return out.select("PassengerId", "kmeans_cluster", "gmm_cluster", "name_corr_pos_p_value",
-                      "name_corr_neg_prob", "total_spent", "max_spend_category", "deck", "side")
+    test = d.filter("split = 'test'").drop("split", "Transported")      # unlabelled
+    out, version = custom_etl(spark, train, test, scratch_path(spark, f"registry-{uuid.uuid4().hex}"))
+    dist = F.array(*[F.col(f"kmeans_dist_{i}") for i in range(5)])
+    comps = F.array(*[F.col(c) for c in out.columns if c.startswith("ica_")])
+    r = lambda c: F.round(c, 6) + F.lit(0.0)
+    return out.select(
+        "PassengerId", r("total_spent").alias("total_spent"), "RoomService_used", "RoomService_above_q25", "RoomService_above_q75",
+        "Spa_above_q50", F.when(F.col("cabin_num").isNotNull(), r(F.col("x")[BLOCK.index("cabin_num")])).alias("cabin_scaled"),
+        F.forall("x", lambda x: x.isNotNull()).alias("complete"),
+        (F.element_at(dist, F.col("kmeans_cluster") + 1) - F.array_min(dist) < 1e-9).alias("nearest"),
+        _sums_to_one("gmm_probs").alias("sums"), F.forall(comps, lambda x: F.abs(x) < 1e9).alias("finite"),
+        (F.col("name_corr_pos_p_value").between(0, 1) & F.col("name_corr_neg_prob").between(0, 1)).alias("words"),
+        F.lit(version).alias("version"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kiln.functions import arrays as A
 from kiln.operators import evaluation as E
+from kiln.operators import metrics as ME
 from kiln.plans import q_series
 from kiln.plans.registry import query
 from kiln.plans.sqlkit import unsign
@@ -296,3 +297,19 @@ def top_n(spark, sf_dir):
     t = E.top_n_mass(predictions(spark, sf_dir), "probs", N_CLASSES, ["model"])
     return t.select("model", F.col("top_n").cast("int").alias("top_n"),
                     F.transform("q", lambda x: F.round(x, 6) + F.lit(0.0)).alias("q"))
+
+
+# U4 + U6 --------------------------------------------------------------------------------
+@query("u04_metric_registry", unsign(f"""
+WITH d AS {REG_SRC}, m AS (SELECT CAST(floor(y) AS INTEGER) % 2 AS part, avg(abs(yhat - y)) AS mean_absolute_error,
+  sqrt(avg((yhat - y) * (yhat - y))) AS root_mean_squared_error, avg(CAST(yhat > y AS DOUBLE)) AS overshoot FROM d GROUP BY 1)
+SELECT part, metric, round(value, 6) AS value FROM (UNPIVOT m ON mean_absolute_error, root_mean_squared_error, overshoot
+  INTO NAME metric VALUE value)""", ["value"]), covers=("U4", "U6"))
+def metric_registry(spark, sf_dir):
+    """Registered metrics beside one that the caller brings, per group, in one aggregate."""
+    d = load(spark, sf_dir, "orders").select((F.col("o_totalprice") / 1000.0).alias("y"),
+                                             ((F.col("o_custkey") % 500) + F.col("o_totalprice") / 1500.0).alias("yhat"))
+    d = d.withColumn("part", (F.floor("y").cast("int") % 2).cast("int"))
+    out = ME.evaluate(d, "y", "yhat", ["mean_absolute_error", "root_mean_squared_error"], ["part"],
+                      {"overshoot": lambda y, p: F.avg((p > y).cast("double"))})
+    return out.select("part", "metric", _r(F.col("value")).alias("value"))

@@ -160,3 +160,16 @@ def scalers(spark, sf_dir):
                     FE.Scaler(["price_log_std"], "standard", log1p=True))
     out = pipe.fit(prep(train)).transform(prep(test))
     return out.select("o_orderkey", *[_r(F.col(c), 9).alias(c) for c in ("acct_std", "price_minmax", "price_log_std")])
+
+
+# F10 and its inverse -----------------------------------------------------------------
+@query("f10_label_roundtrip", """
+WITH c AS (SELECT list_sort(list_distinct(list(o_orderpriority))) AS cats FROM orders)
+SELECT o_orderkey, CAST(list_position(cats, o_orderpriority) - 1 AS INTEGER) AS code, o_orderpriority AS label FROM orders, c""",
+       covers=("F10",))
+def label_roundtrip(spark, sf_dir):
+    d = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    model = FE.LabelCodes("o_orderpriority").fit(d)
+    coded = model.transform(d)
+    back = FE.decode_labels(coded.withColumn("code", F.col("o_orderpriority")), model, "o_orderpriority")
+    return back.select("o_orderkey", "code", F.col("o_orderpriority").alias("label"))

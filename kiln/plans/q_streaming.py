@@ -8,21 +8,25 @@ import uuid
 from pyspark.sql import functions as F
 
 from kiln.operators import features as FE
+from kiln.operators import quantiles as QU
 from kiln.operators import schema as P
 from kiln.plans.registry import query
 from kiln.session import scratch_path
+from kiln.sources import files as SRC
+from kiln.sources import sinks as K
 from kiln.streaming import chunked as ST
 from kiln.tables import load
 
 N_CHUNKS = 4
 
 
-def chunk_folder(spark, sf_dir):
-    """Test input: one file per chunk in one folder (written in chunk order)."""
+def chunk_folder(spark, sf_dir, fmt: str = "parquet"):
+    """Input of the streams: the events dealt to chunk folders in one job, as many
+    files per chunk as tasks wrote rows of it."""
     path = scratch_path(spark, f"event-chunks-{uuid.uuid4().hex}")
     e = load(spark, sf_dir, "events").withColumn("chunk", (F.col("event_id") % N_CHUNKS).cast("int"))
-    for c in range(N_CHUNKS):
-        e.filter(F.col("chunk") == c).coalesce(1).write.mode("append").parquet(path)
+    w = e.write.partitionBy("chunk")
+    (w.option("header", True).csv(path) if fmt == "csv" else w.parquet(path))
     return path, e.schema
 
 
@@ -69,11 +73,33 @@ def stream_validation(spark, sf_dir):
     return v.unionByName(r)
 
 
-@query("st03_progress_events", None, covers=("ST3",))
+@query("st03_progress_events", """
+SELECT CAST(event_id % 4 AS INTEGER) AS chunk, step, count(*) AS rows,
+       round(sum(CASE WHEN step = 'read' THEN value WHEN step = 'filter' AND value > 100 THEN value END), 6) + 0.0 AS value_sum
+FROM events, (SELECT unnest(['read', 'filter']) AS step) WHERE step = 'read' OR value > 100 GROUP BY 1, 2""", covers=("ST3",))
 def progress(spark, sf_dir):
-    """Per micro-batch observed metrics (rows, value sum) from the query progress."""
+    """One event per micro-batch and step, written by the batch itself."""
     path, schema = chunk_folder(spark, sf_dir)
-    return ST.stream_progress(spark, path, schema, {"rows": F.count(F.lit(1)), "value_sum": F.sum("value")})
+    steps = {"read": lambda b: b, "filter": lambda b: b.filter(F.col("value") > 100)}
+    metrics = {"chunk": F.max("chunk"), "rows": F.count(F.lit(1)), "value_sum": F.sum("value")}
+    events = ST.stream_progress(spark, path, schema, steps, metrics)
+    return events.groupBy(F.col("chunk").cast("int").alias("chunk"), "step").agg(
+        F.sum("rows").cast("long").alias("rows"), (F.round(F.sum("value_sum"), 6) + F.lit(0.0)).alias("value_sum"))
+
+
+@query("s02_csv_stream", """
+SELECT CAST(event_id % 4 AS INTEGER) AS chunk, event_type, count(*) AS n, min(value) AS least, max(value) AS most
+FROM events GROUP BY 1, 2""", covers=("S2", "K7"))
+def csv_stream(spark, sf_dir):
+    """Chunks read as a CSV stream; the per-type report goes out as CSV and is read back."""
+    path, schema = chunk_folder(spark, sf_dir, "csv")
+    stream = SRC.read_csv_stream(spark, path, schema)
+    m = ST.run_metrics(stream, lambda b: b.groupBy("chunk", "event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("least"), F.max("value").alias("most")), "csv-stream")
+    report = scratch_path(spark, f"report-{uuid.uuid4().hex}")
+    K.write_csv(m.groupBy("chunk", "event_type").agg(F.sum("n").alias("n"), F.min("least").alias("least"), F.max("most").alias("most")),
+                report)
+    return spark.read.schema("chunk int, event_type string, n long, least double, most double").option("header", True).csv(report)
 
 
 @query("st04_chunk_evaluation", """
@@ -92,44 +118,38 @@ def chunk_evaluation(spark, sf_dir):
     return per.withColumn("accuracy", F.round(F.col("hits") / F.col("n"), 9) + F.lit(0.0))
 
 
-@query("st05_chunk_profile", """
-SELECT CAST(event_id % 4 AS INTEGER) AS chunk, count(*) AS n, round(avg(value), 6) + 0.0 AS mean,
-       round(stddev_samp(value), 6) + 0.0 AS std, min(value) AS min, max(value) AS max,
-       round(corr(value, user_id), 9) + 0.0 AS corr_user,
-       count(*) FILTER (WHERE event_type = 'purchase') AS purchases
-FROM events GROUP BY 1""", covers=("ST5", "A1", "A3", "A12"))
+PROFILED = ["value", "user_id", "event_id"]
+
+
+def _profile_sql() -> str:
+    parts = [f"""SELECT CAST(event_id % 4 AS INTEGER) AS chunk, '{c}' AS "column", count({c}) AS n, round(avg({c}), 6) + 0.0 AS mean,
+  round(stddev_samp({c}), 6) + 0.0 AS std, CAST(min({c}) AS DOUBLE) AS min, round(quantile_cont({c}, 0.25), 6) + 0.0 AS q25,
+  round(quantile_cont({c}, 0.5), 6) + 0.0 AS q50, round(quantile_cont({c}, 0.75), 6) + 0.0 AS q75, CAST(max({c}) AS DOUBLE) AS max
+FROM events GROUP BY 1""" for c in PROFILED]
+    return " UNION ALL ".join(parts)
+
+
+@query("st05_chunk_profile", _profile_sql(), covers=("ST5", "A1", "A3"))
 def chunk_profile(spark, sf_dir):
+    """Count, mean, spread, exact quartiles and ends of the first numeric columns (seven at most) of every chunk."""
     path, schema = chunk_folder(spark, sf_dir)
-
-    def per_batch(b):
-        return b.groupBy("chunk").agg(
-            F.count(F.lit(1)).alias("n"), (F.round(F.avg("value"), 6) + F.lit(0.0)).alias("mean"),
-            (F.round(F.stddev_samp("value"), 6) + F.lit(0.0)).alias("std"), F.min("value").alias("min"),
-            F.max("value").alias("max"), (F.round(F.corr("value", "user_id"), 9) + F.lit(0.0)).alias("corr_user"),
-            F.sum((F.col("event_type") == "purchase").cast("long")).alias("purchases"))
-    return ST.stream_metrics(spark, path, schema, per_batch).drop("batch_id")
+    out = ST.stream_table(spark, path, schema)
+    cols = [c for c in P.numeric_columns(out) if c != "chunk"][:7]
+    long = out.select("chunk", F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x"))
+                                                   for c in cols])).alias("s")).select("chunk", "s.*")
+    base = long.groupBy("chunk", "column").agg(
+        F.count("x").alias("n"), (F.round(F.avg("x"), 6) + F.lit(0.0)).alias("mean"),
+        (F.round(F.stddev_samp("x"), 6) + F.lit(0.0)).alias("std"), F.min("x").alias("min"), F.max("x").alias("max"))
+    q = QU.grouped_quantiles(long, ["chunk", "column"], "x", [0.25, 0.5, 0.75])
+    quartiles = [(F.round(F.col("q")[i], 6) + F.lit(0.0)).alias(n) for i, n in enumerate(("q25", "q50", "q75"))]
+    return base.join(q, ["chunk", "column"]).select("chunk", "column", "n", "mean", "std", "min", *quartiles, "max")
 
 
 @query("u05_pluggable_source", """
 SELECT chunk_no, count(*) AS n FROM (SELECT CAST(event_id % 4 AS BIGINT) AS chunk_no FROM events) GROUP BY 1""",
        covers=("U5", "S3", "O4"))
 def pluggable_source(spark, sf_dir):
-    """A named reader (``chunks``) over chunk files named merged_chunk_<n>."""
-    path = scratch_path(spark, f"named-chunks-{uuid.uuid4().hex}")
-    e = load(spark, sf_dir, "events")
-    for c in range(N_CHUNKS):
-        e.filter(F.col("event_id") % N_CHUNKS == c).write.parquet(f"{path}/tmp_{c}")
-    # rename part files to merged_chunk_<n>.parquet through the Hadoop file system
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(conf)
-    i = 0
-    for c in range(N_CHUNKS):
-        for st in fs.listStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/tmp_{c}")):
-            name = st.getPath().getName()
-            if name.endswith(".parquet"):
-                fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(f"{path}/merged_chunk_{c}_{i}.parquet"))
-                i += 1
-    df = ST.read_source(spark, "chunks", path, fmt="parquet", pattern="merged_chunk_*")
-    return df.groupBy(F.regexp_extract("chunk", r"merged_chunk_(\d+)_", 1).cast("long").alias("chunk_no")) \
-             .agg(F.count(F.lit(1)).alias("n"))
+    """A named reader (``chunks``) over folders of chunk files; a chunk's number is part of its path."""
+    path, _ = chunk_folder(spark, sf_dir)
+    df = ST.read_source(spark, "chunks", path, fmt="parquet", pattern="*.parquet")
+    return df.groupBy(F.col("chunk_no").cast("long").alias("chunk_no")).agg(F.count(F.lit(1)).alias("n"))

@@ -50,14 +50,15 @@ def read_chunks(spark: SparkSession, path: str, fmt: str = "parquet",
         raise ValueError(f"Unsupported file format: {fmt}")
     if not _has_files(spark, path):
         raise FileNotFoundError(f"Chunk directory not found: {path}")
-    r = spark.read.format(fmt).option("pathGlobFilter", f"{pattern}")
+    r = spark.read.format(fmt).option("pathGlobFilter", f"{pattern}").option("recursiveFileLookup", True)
     if fmt == "csv":
         r = r.option("header", True)
         r = r.schema(schema) if schema is not None else r.option("inferSchema", True)
     elif schema is not None:
         r = r.schema(schema)
     df = r.load(path)
-    name = F.col("_metadata.file_name")
+    # the file, with the partition folders it lies in
+    name = F.regexp_extract(F.col("_metadata.file_path"), r"((?:[^/=]+=[^/]+/)*[^/]+)$", 1)
     return df.withColumns({"chunk": name,
                            "chunk_no": F.regexp_extract(name, r"(\d+)", 1).cast("long")})
 

@@ -70,35 +70,47 @@ def stream_validate(spark: SparkSession, source: str, schema, validate, files_pe
 
 
 # ST3 ------------------------------------------------------------------------
-def stream_progress(spark: SparkSession, source: str, schema, metrics: dict[str, F.Column],
-                    files_per_batch: int = 1) -> DataFrame:
-    """Observed metrics of every micro-batch (``df.observe``) as a table:
-    batch id, input rows and the named metrics."""
-    out, ck = _paths(spark, "stream-progress")
+def stream_progress(spark: SparkSession, source: str, schema, steps: dict[str, Callable[[DataFrame], DataFrame]],
+                    metrics: dict[str, F.Column], files_per_batch: int = 1) -> DataFrame:
+    """One event (batch_id, step, metrics) per micro-batch and step.
+
+    ``steps`` run one after the other on every batch; each batch writes its own
+    events, so none is lost however many batches there are."""
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
-    observed = stream.observe("kiln_progress", *[v.alias(k) for k, v in metrics.items()])
-    q = run_available(observed, batch_writer(out), ck)
-    rows = []
-    for p in q.recentProgress:
-        m = (p.observedMetrics or {}).get("kiln_progress")
-        if p.numInputRows == 0 and m is None:
-            continue
-        rows.append((int(p.batchId), int(p.numInputRows), *[None if m is None else m[k] for k in metrics]))
-    cols = ", ".join(f"`{k}` double" for k in metrics)
-    return spark.createDataFrame([(b, n, *[None if v is None else float(v) for v in vs]) for b, n, *vs in rows],
-                                 f"batch_id long, input_rows long, {cols}")
+
+    def events(batch: DataFrame) -> DataFrame:
+        out = None
+        for name, step in steps.items():
+            batch = step(batch)
+            one = batch.agg(*[v.alias(k) for k, v in metrics.items()]).withColumn("step", F.lit(name))
+            out = one if out is None else out.unionByName(one)
+        return out
+    return run_metrics(stream, events, "stream-progress", keep_batch=True)
 
 
 # ST4 / ST5 --------------------------------------------------------------------
+def run_metrics(stream: DataFrame, per_batch: Callable[[DataFrame], DataFrame], name: str,
+                keep_batch: bool = False) -> DataFrame:
+    """Run ``per_batch`` on every micro-batch; the table of all results."""
+    out, ck = _paths(stream.sparkSession, name)
+    run_available(stream, batch_writer(out, lambda b, i: per_batch(b).withColumn("batch_id", F.lit(i))), ck)
+    df = stream.sparkSession.read.parquet(out).drop("batch")
+    return df if keep_batch else df.drop("batch_id")
+
+
 def stream_metrics(spark: SparkSession, source: str, schema, per_batch: Callable[[DataFrame], DataFrame],
                    files_per_batch: int = 1) -> DataFrame:
     """Per-chunk metrics table: ``per_batch`` aggregates one micro-batch (e.g.
     evaluation or profile operators); the overall figure is an aggregate over
     this table."""
-    out, ck = _paths(spark, "stream-metrics")
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
-    run_available(stream, batch_writer(out, lambda b, i: per_batch(b).withColumn("batch_id", F.lit(i))), ck)
-    return spark.read.parquet(out).drop("batch")
+    return run_metrics(stream, per_batch, "stream-metrics", keep_batch=True)
+
+
+def stream_table(spark: SparkSession, source: str, schema, files_per_batch: int = 1) -> DataFrame:
+    """All chunks of a stream as one table."""
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
+    return run_metrics(stream, lambda b: b, "stream-table")
 
 
 # U5 -------------------------------------------------------------------------
