@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from kiln.functions import arrays as A
 from kiln.operators import quantiles as Q
 from kiln.operators import series as S
+from kiln.session import written
 
 
 def _grp(model: str | None) -> list[str]:
@@ -29,11 +30,11 @@ def accuracy(df: DataFrame, label: str = "label", pred: str = "pred", model: str
 
 def confusion(df: DataFrame, label: str = "label", pred: str = "pred", model: str | None = None) -> DataFrame:
     """Long confusion matrix over the union of true and predicted classes, zeros
-    included.  The predictions are read once: classes come from the (small)
-    count table, which is kept in memory for its several consumers."""
+    included.  The predictions are read once: their counts, a few rows, are written
+    and read by what follows."""
     g = _grp(model)
-    counts = df.groupBy(*g, F.col(label).alias("true_label"), F.col(pred).alias("pred_label")).agg(
-        F.count(F.lit(1)).alias("count")).persist()
+    counts = written(df.groupBy(*g, F.col(label).alias("true_label"), F.col(pred).alias("pred_label")).agg(
+        F.count(F.lit(1)).alias("count")), "confusion")
     classes = (counts.select(*g, F.col("true_label").alias("c"))
                .union(counts.select(*g, F.col("pred_label").alias("c"))).distinct())
     grid = classes.withColumnRenamed("c", "true_label").join(classes.withColumnRenamed("c", "pred_label"), g or None,
@@ -43,21 +44,20 @@ def confusion(df: DataFrame, label: str = "label", pred: str = "pred", model: st
 
 # E2 / E4 --------------------------------------------------------------------
 def per_class(df: DataFrame, label: str = "label", pred: str = "pred", model: str | None = None) -> DataFrame:
-    """Precision, recall, F1 (zero division -> 0) and support per class."""
+    """Precision, recall, F1 (zero division -> 0) and support per class, over one
+    count per (true, predicted) pair that counts once for either class."""
     g = _grp(model)
-    cm = confusion(df, label, pred, model).persist()  # classes^2 rows, three consumers
-    tp = cm.filter(F.col("true_label") == F.col("pred_label")).select(*g, F.col("true_label").alias("class"),
-                                                                     F.col("count").alias("tp"))
-    sup = cm.groupBy(*g, F.col("true_label").alias("class")).agg(F.sum("count").alias("support"))
-    prd = cm.groupBy(*g, F.col("pred_label").alias("class")).agg(F.sum("count").alias("predicted_n"))
-    j = tp.join(sup, [*g, "class"]).join(prd, [*g, "class"])
-    p = F.when(F.col("predicted_n") > 0, F.col("tp") / F.col("predicted_n")).otherwise(F.lit(0.0))
-    r = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(F.lit(0.0))
-    j = j.withColumns({"precision": p, "recall": r})
-    f1 = F.when(F.col("precision") + F.col("recall") > 0,
-                2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall"))).otherwise(F.lit(0.0))
-    return j.withColumn("f1", f1).select(*g, "class", "precision", "recall", "f1",
-                                         F.col("support").cast("long").alias("support"))
+    counts = df.groupBy(*g, F.col(label).alias("t"), F.col(pred).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    none = F.lit(0).cast("long")
+    sides = F.array(F.struct(F.col("t").alias("class"), F.col("n").alias("support"), none.alias("predicted"),
+                             F.when(F.col("t") == F.col("p"), F.col("n")).otherwise(none).alias("tp")),
+                    F.struct(F.col("p").alias("class"), none.alias("support"), F.col("n").alias("predicted"), none.alias("tp")))
+    j = counts.select(*g, F.explode(sides).alias("s")).select(*g, "s.*").groupBy(*g, "class").agg(
+        *[F.sum(c).alias(c) for c in ("support", "predicted", "tp")])
+    j = j.withColumns({"precision": F.coalesce(F.try_divide("tp", "predicted"), F.lit(0.0)),
+                       "recall": F.coalesce(F.try_divide("tp", "support"), F.lit(0.0))})
+    f1 = F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")), F.lit(0.0))
+    return j.withColumn("f1", f1).select(*g, "class", "precision", "recall", "f1", "support", "tp")
 
 
 def summary(pc: DataFrame, model: str | None = None) -> DataFrame:
@@ -65,7 +65,7 @@ def summary(pc: DataFrame, model: str | None = None) -> DataFrame:
     g = _grp(model)
     n = F.sum("support")
     return pc.groupBy(*g).agg(
-        (F.sum(F.col("precision") * F.col("support")) / n).alias("precision_weighted"),
+        (F.sum("tp") / n).alias("accuracy"), (F.sum(F.col("precision") * F.col("support")) / n).alias("precision_weighted"),
         (F.sum(F.col("recall") * F.col("support")) / n).alias("recall_weighted"),
         (F.sum(F.col("f1") * F.col("support")) / n).alias("f1_weighted"),
         F.avg("f1").alias("f1_macro"))
@@ -226,4 +226,4 @@ def model_report(df: DataFrame, label: str, pred: str, probs: str, class_ev: Seq
         F.avg(F.element_at(ev, (F.col(pred) + 1).cast("int"))).alias("ev_predicted"),
         F.avg(F.element_at(ev, (F.col(label) + 1).cast("int"))).alias("ev_true"))
     scores = summary(per_class(df, label, pred, model), model)
-    return accuracy(df, label, pred, model).join(scores, model).join(parts, model)
+    return scores.join(parts, model)

@@ -76,12 +76,9 @@ SELECT f.model, round(acc, 9) AS accuracy,
        round(sum(f1 * support) / sum(support), 9) AS f1_weighted, round(avg(f1), 9) AS f1_macro
 FROM f JOIN (SELECT model, avg(CASE WHEN label = pred THEN 1.0 ELSE 0.0 END) AS acc FROM preds GROUP BY 1) a USING (model)
 GROUP BY f.model, acc""", ["accuracy", "precision_weighted", "recall_weighted", "f1_weighted", "f1_macro"]),
-       covers=("E1", "E2", "E14", "U6"))
+       covers=("E1", "E2"))
 def classification_summary(spark, sf_dir):
-    p = predictions(spark, sf_dir)
-    s = E.summary(E.per_class(p, model="model"), model="model")
-    a = E.accuracy(p, model="model")
-    j = a.join(s, "model")
+    j = E.summary(E.per_class(predictions(spark, sf_dir), model="model"), model="model")
     return j.select("model", *[_r(F.col(c), 9).alias(c) for c in
                                ("accuracy", "precision_weighted", "recall_weighted", "f1_weighted", "f1_macro")])
 
@@ -313,3 +310,24 @@ def metric_registry(spark, sf_dir):
     out = ME.evaluate(d, "y", "yhat", ["mean_absolute_error", "root_mean_squared_error"], ["part"],
                       {"overshoot": lambda y, p: F.avg((p > y).cast("double"))})
     return out.select("part", "metric", _r(F.col("value")).alias("value"))
+
+
+# E14 ------------------------------------------------------------------------------------
+CLASS_EV = [-0.02, -0.01, 0.0, 0.01, 0.02, 0.03, 0.04, 0.05, 0.06, 0.07]
+REPORT = ("accuracy", "f1_macro", "mean_p_true", "confidence", "top_2_mass", "ev_predicted", "ev_true")
+
+
+def _report_sql() -> str:
+    return "WITH " + CM_SQL + f""",
+s AS (SELECT model, round(sum(recall * support) / sum(support), 9) AS accuracy, round(avg(f1), 9) AS f1_macro FROM f GROUP BY 1),
+r AS (SELECT model, count(*) AS n, round(avg(probs[label + 1]), 9) AS mean_p_true, round(avg(list_max(probs)), 9) AS confidence,
+  round(avg(list_sum(list_reverse(list_sort(probs))[1:2])), 9) AS top_2_mass,
+  round(avg(CAST({CLASS_EV!r}[pred + 1] AS DOUBLE)), 9) AS ev_predicted,
+  round(avg(CAST({CLASS_EV!r}[label + 1] AS DOUBLE)), 9) AS ev_true FROM preds GROUP BY 1)
+SELECT model, n, accuracy, f1_macro, mean_p_true, confidence, top_2_mass, ev_predicted, ev_true FROM s JOIN r USING (model)"""
+
+
+@query("e14_model_report", unsign(_report_sql(), REPORT), covers=("E14", "E12", "E13"))
+def model_report(spark, sf_dir):
+    r = E.model_report(predictions(spark, sf_dir), "label", "pred", "probs", CLASS_EV)
+    return r.select("model", "n", *[_r(F.col(c), 9).alias(c) for c in REPORT])
