@@ -10,13 +10,14 @@ broadcast joins of small tables).
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, Transformer
 from pyspark.ml.param.shared import Param, Params, TypeConverters
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +25,7 @@ from kiln.functions import scalar as X
 from kiln.operators import aggregates as AG
 from kiln.operators import quantiles as Q
 from kiln.operators import schema as P
+from kiln.session import scratch_path
 
 
 # ------------------------------------------------------------------ U1 / U2 base
@@ -49,6 +51,39 @@ class StateModel(Model, DefaultParamsReadable, DefaultParamsWritable):
     def cfg(self) -> dict:
         return json.loads(self.getOrDefault(self.config))
 
+    def table(self, spark: SparkSession, name: str) -> DataFrame:
+        """A table of the state: what a fit learnt that may grow with the data."""
+        return spark.read.parquet(self.st["tables"][name])
+
+    def write(self) -> _StateWriter:
+        return _StateWriter(self)
+
+    @classmethod
+    def read(cls) -> _StateReader:
+        return _StateReader(cls)
+
+
+class _StateWriter(DefaultParamsWriter):
+    """Saves the tables of the state with the model."""
+
+    def saveImpl(self, path: str) -> None:
+        super().saveImpl(path)
+        spark = SparkSession.active()
+        for i, (_, at) in enumerate(sorted(self.instance.st.get("tables", {}).items())):
+            spark.read.parquet(at).write.parquet(f"{path}/tables/{i}")
+
+
+class _StateReader(DefaultParamsReader):
+    """Loads a model whose tables are those saved with it."""
+
+    def load(self, path: str) -> StateModel:
+        model = super().load(path)
+        st = model.st
+        if st.get("tables"):
+            st["tables"] = {name: f"{path}/tables/{i}" for i, name in enumerate(sorted(st["tables"]))}
+            model._set(state=json.dumps(st, sort_keys=True, default=float))
+        return model
+
 
 class StepEstimator(Estimator, DefaultParamsReadable, DefaultParamsWritable):
     """Base for user-defined fit/transform steps (U1): implement ``fit_state``."""
@@ -141,19 +176,58 @@ class Imputer(StepEstimator):
 
 
 # ------------------------------------------------------------------ F8 / F9 / F7
+INLINE = 1_000      # categories kept inside a model; longer lists become a table that is joined
+
+
+def fit_categories(df: DataFrame, cols: Sequence[str], null_text: str | None = None) -> dict:
+    """Sorted distinct values (as text) per column: ``categories`` inside the
+    state, ``tables`` (value, code) for columns with more than ``INLINE``."""
+    from kiln.operators import series as S
+    cols = list(cols)
+    if not cols:
+        return {"categories": {}, "tables": {}}
+    text = {c: F.col(f"`{c}`").cast("string") for c in cols}
+    if null_text is not None:
+        text = {c: F.coalesce(v, F.lit(null_text)) for c, v in text.items()}
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("k"), v.alias("v")) for c, v in text.items()])).alias("x"))
+    values = long.select("x.*").filter(F.col("v").isNotNull()).distinct()
+    sizes = {r["k"]: r["n"] for r in values.groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()}   # one row per column
+    short = [c for c in cols if sizes.get(c, 0) <= INLINE]
+    cats: dict[str, list] = {c: [] for c in short}
+    for r in values.filter(F.col("k").isin(short)).collect():       # at most INLINE rows per column
+        cats[r["k"]].append(r["v"])
+    tables = {}
+    for c in cols:
+        if c not in cats:
+            own = S.sequence(values.filter(F.col("k") == c), ["k"], ["v"])
+            tables[c] = scratch_path(df.sparkSession, f"categories-{uuid.uuid4().hex}")
+            own.select(F.col("v").alias("value"), (F.col(S.SEQ) - 1).cast("int").alias("code")).write.parquet(tables[c])
+    return {"categories": {c: sorted(v) for c, v in cats.items()}, "tables": tables}
+
+
+def coded(df: DataFrame, model: StateModel, col: str, value: Column, out: str) -> DataFrame:
+    """``out``: the code of ``value`` among the fitted categories of ``col``; null or unseen -> -1."""
+    if col not in model.st.get("tables", {}):
+        return df.withColumn(out, _code_expr(value, model.st["categories"].get(col, [])))
+    codes = model.table(df.sparkSession, col).select(F.col("value").alias("__value"), F.col("code").alias("__code"))
+    j = df.withColumn("__text", value.cast("string")).join(codes, F.col("__text") == F.col("__value"), "left")
+    return j.withColumn(out, F.coalesce("__code", F.lit(-1))).drop("__text", "__value", "__code")
+
+
 class CodesModel(StateModel):
     def _transform(self, df):
-        cats = self.st["categories"]
-        out = {}
-        for c, values in cats.items():
+        st = self.st
+        for c in [*st["categories"], *st.get("tables", {})]:
             if c not in df.columns:
                 continue
-            code = _code_expr(F.col(c), values)
-            if self.cfg.get("on_unseen") == "error":
-                code = F.when(code >= 0, code).otherwise(
-                    F.raise_error(F.concat(F.lit(f"unseen category in {c}: "), F.col(c).cast("string"))))
-            out[self.cfg.get("prefix", "") + c] = code
-        return df.withColumns(out)
+            source, out = F.col(f"`{c}`"), self.cfg.get("prefix", "") + c
+            if self.cfg.get("on_unseen") != "error":
+                df = coded(df, self, c, source, out)
+                continue
+            df = coded(df.withColumn("__seen", source.cast("string")), self, c, source, out)
+            failed = F.raise_error(F.concat(F.lit(f"unseen category in {c}: "), F.coalesce("__seen", F.lit("null"))))
+            df = df.withColumn(out, F.when(F.col(f"`{out}`") >= 0, F.col(f"`{out}`")).otherwise(failed)).drop("__seen")
+        return df
 
 
 class CategoryCodes(StepEstimator):
@@ -161,26 +235,11 @@ class CategoryCodes(StepEstimator):
     F9: ``on_unseen='error'`` (ordinal encoder).  One job: unpivot + distinct."""
     model_class = CodesModel
 
-    def __init__(self, cols: Sequence[str] = (), on_unseen: str = "minus_one", prefix: str = "",
-                 max_categories: int = 100_000):
-        super().__init__(cols=list(cols), on_unseen=on_unseen, prefix=prefix, max_categories=max_categories)
+    def __init__(self, cols: Sequence[str] = (), on_unseen: str = "minus_one", prefix: str = ""):
+        super().__init__(cols=list(cols), on_unseen=on_unseen, prefix=prefix)
 
     def fit_state(self, df):
-        cols = self.cfg["cols"]
-        if not cols:
-            return {"categories": {}}
-        long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("k"), F.col(c).cast("string").alias("v"))
-                                              for c in cols])).alias("x")).select("x.*")
-        distinct = long.filter(F.col("v").isNotNull()).distinct()
-        limit = self.cfg.get("max_categories", 100_000)
-        big = [r["k"] for r in distinct.groupBy("k").count().filter(F.col("count") > limit).collect()]
-        if big:  # checked before anything is gathered on the driver
-            raise ValueError(f"columns with more than {limit} categories: {big}; use own_codes")
-        vals = distinct.collect()  # at most max_categories per column
-        cats: dict[str, list] = {c: [] for c in cols}
-        for r in vals:
-            cats[r["k"]].append(r["v"])
-        return {"categories": {c: sorted(v) for c, v in cats.items()}}
+        return fit_categories(df, self.cfg["cols"])
 
 
 class OneHotModel(StateModel):
@@ -202,7 +261,10 @@ class OneHot(StepEstimator):
         super().__init__(cols=list(cols), drop=drop)
 
     def fit_state(self, df):
-        return CategoryCodes(self.cfg["cols"]).fit_state(df)
+        state = fit_categories(df, self.cfg["cols"])
+        if state["tables"]:     # every category is a column of the result
+            raise ValueError(f"one-hot encoding of over {INLINE} categories: {sorted(state['tables'])}; use CategoryCodes")
+        return state
 
 
 # ------------------------------------------------------------------ F10
@@ -219,6 +281,8 @@ class LabelCodes(StepEstimator):
         numeric = _is_numeric(df, c)
         if numeric and r["lo"] == 0 and r["hi"] == r["n"] - 1:
             return {"categories": {}, "identity": True}
+        if r["n"] > INLINE:
+            raise ValueError(f"{r['n']} labels in {c}: a target of so many values is not a class")
         vals = sorted(x[0] for x in df.select(F.col(c).cast("string")).distinct().collect() if x[0] is not None)
         if numeric:
             vals = sorted(vals, key=float)
@@ -331,10 +395,9 @@ class RawModel(StateModel):
         for c in d.columns:
             if c in st["medians"]:
                 out[c] = F.coalesce(X.lenient_double(c), F.lit(st["medians"][c]))
-            elif c in st["modes"]:
-                filled = F.coalesce(F.col(c).cast("string"), F.lit(str(st["modes"][c])))
-                out[c] = _code_expr(filled, st["categories"].get(c, []))
         d = d.withColumns(out)
+        for c in [c for c in d.columns if c in st["modes"] and c not in st["medians"]]:
+            d = coded(d, self, c, F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(str(st["modes"][c]))), c)
         for c in d.columns:
             if c in st["medians"] or c in st["modes"]:
                 continue
@@ -352,28 +415,13 @@ class RawTransformer(StepEstimator):
     unseen at fit: numbers filled with 0, text coded by its own categories."""
     model_class = RawModel
 
-    def __init__(self, max_categories: int = 100_000):
-        super().__init__(max_categories=max_categories)
-
     def fit_state(self, df):
         d = df.drop(*[c for c in RAW_DROP if c in df.columns])
         numeric = [c for c in d.columns if _is_numeric(d, c)]
         other = [c for c in d.columns if c not in numeric]
         med = Q.multi_quantiles(d, {c: [0.5] for c in numeric}) if numeric else {}
-        modes, cats = {}, {}
-        if other:
-            modes = {c: "missing" if v is None else v for c, v in AG.modes(d, other).items()}
-            long = d.select(F.explode(F.array(*[
-                F.struct(F.lit(c).alias("k"), F.coalesce(F.col(c).cast("string"), F.lit(FIT_NULL)).alias("v"))
-                for c in other])).alias("x")).select("x.*").distinct()
-            sizes = {r["k"]: r["n"] for r in long.groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()}
-            too_big = [k for k, n in sizes.items() if n > self.cfg["max_categories"]]
-            if too_big:
-                raise ValueError(f"columns with more than {self.cfg['max_categories']} categories: {too_big}")
-            for r in long.collect():  # bounded: at most max_categories per column
-                cats.setdefault(r["k"], []).append(r["v"])
-            cats = {k: sorted(v) for k, v in cats.items()}
-        return {"medians": {c: med[c][0] for c in numeric}, "modes": modes, "categories": cats,
+        modes = {c: "missing" if v is None else v for c, v in AG.modes(d, other).items()}
+        return {"medians": {c: med[c][0] for c in numeric}, "modes": modes, **fit_categories(d, other, FIT_NULL),
                 "columns": list(df.columns)}
 
 
@@ -387,7 +435,7 @@ class PassengerModel(StateModel):
                 d = d.withColumn(c, X.text_to_bool(c, null_as_false=True))
         for c in cfg["code_cols"]:
             if c in d.columns:
-                d = d.withColumn(c, _code_expr(F.col(c), st["codes"].get(c) or []))
+                d = coded(d, self, c, F.col(c), c)
         svc = [c for c in cfg["service_cols"] if c in d.columns]
         d = P.spend_features(d, svc, st["spend_categories"], st["all_zero"])
         age = cfg["age_col"]
@@ -400,8 +448,9 @@ class PassengerModel(StateModel):
         cab = cfg["cabin_col"]
         if cab in d.columns:
             deck, num, side = X.split_code(cab)
-            d = d.withColumns({"deck": _code_expr(deck, st["deck"] or []), "cabin_num": num,
-                               "side": _code_expr(side, st["side"] or [])}).drop(cab)
+            d = d.withColumns({"__deck": deck, "cabin_num": num, "__side": side})
+            d = coded(coded(d, self, "deck", F.col("__deck"), "deck"), self, "side", F.col("__side"), "side")
+            d = d.drop(cab, "__deck", "__side")
         return d.drop(*[c for c in cfg["drop_cols"] if c in d.columns])
 
 
@@ -421,7 +470,8 @@ class PassengerTransformer(StepEstimator):
 
     def fit_state(self, df):
         cfg = self.cfg
-        codes = CategoryCodes([c for c in cfg["code_cols"] if c in df.columns]).fit_state(df)["categories"]
+        fitted = fit_categories(df, [c for c in cfg["code_cols"] if c in df.columns])
+        codes, tables = fitted["categories"], dict(fitted["tables"])
         svc = [c for c in cfg["service_cols"] if c in df.columns]
         spend = SpendFeatures(svc).fit_state(df) if svc else {"categories": None, "all_zero": True}
         age = Q.column_quantiles(df, cfg["age_col"], [0.5])[0] if cfg["age_col"] in df.columns else None
@@ -429,7 +479,8 @@ class PassengerTransformer(StepEstimator):
         if cfg["cabin_col"] in df.columns:
             dk, _, sd = X.split_code(cfg["cabin_col"])
             parts = df.select(dk.alias("d"), sd.alias("s"))
-            deck = sorted(r[0] for r in parts.select("d").distinct().collect() if r[0] is not None)
-            side = sorted(r[0] for r in parts.select("s").distinct().collect() if r[0] is not None)
-        return {"codes": codes, "spend_categories": spend["categories"], "all_zero": spend["all_zero"],
-                "age_median": age, "deck": deck, "side": side}
+            found = fit_categories(parts, ["d", "s"])
+            deck, side = found["categories"].get("d"), found["categories"].get("s")
+            tables |= {k: found["tables"][v] for k, v in (("deck", "d"), ("side", "s")) if v in found["tables"]}
+        return {"categories": {**codes, "deck": deck or [], "side": side or []}, "tables": tables, "spend_categories": spend["categories"], "all_zero": spend["all_zero"],
+                "age_median": age}

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kiln.functions import special as SP
 from kiln.operators import joins as J
 from kiln.operators.features import StateModel, StepEstimator
+from kiln.session import scratch_path
 
 # Fixed value: a token is a maximal run of letters, digits and underscores
 # (the Unicode meaning of ``\b\w+\b``), taken from the lower-cased text.
@@ -42,9 +45,9 @@ def word_features(df: DataFrame, stats: DataFrame, text: str, key: str, drop_tex
     """Per row the lowest-p token with rate > 0.5 and the one with rate < 0.5
     (first occurrence wins ties; p must be below 1); defaults p = 1, prob = 0.5.
 
-    Tokens are exploded with their position and joined to the statistics table
-    (broadcast only after a size check), then reduced per row with ``min_by``."""
-    toks = df.select(F.col(key), F.posexplode(tokens(F.col(text))).alias("pos", "token"))
+    Distinct tokens are exploded in the order of their first occurrence, joined to
+    the statistics table and reduced per row with ``min_by``."""
+    toks = df.select(F.col(key), F.posexplode(F.array_distinct(tokens(F.col(text)))).alias("pos", "token"))
     # only tokens that can win (p below 1, rate off 0.5) take part in the join
     useful = stats.select("token", "class1_rate", "p_value") \
         .filter((F.col("p_value") < 1.0) & (F.col("class1_rate") != 0.5))
@@ -65,11 +68,10 @@ def word_features(df: DataFrame, stats: DataFrame, text: str, key: str, drop_tex
 
 
 class WordFeaturesModel(StateModel):
-    """Fitted word statistics, kept as a table written under the shared
-    checkpoint folder (the state holds its path, not the rows)."""
+    """Fitted word statistics: a table of the state, saved with the model."""
 
     def _transform(self, df):
-        stats = df.sparkSession.read.parquet(self.st["path"])
+        stats = self.table(df.sparkSession, "words")
         return word_features(df, stats, self.cfg["text"], self.cfg["key"], self.cfg.get("drop_text", True))
 
 
@@ -82,9 +84,7 @@ class WordFeatures(StepEstimator):
         super().__init__(text=text, label=label, key=key, min_count=min_count, drop_text=drop_text)
 
     def fit_state(self, df):
-        import uuid
-        from kiln.session import scratch_path
         c = self.cfg
         path = scratch_path(df.sparkSession, f"word-stats-{uuid.uuid4().hex}")
         word_stats(df, c["text"], c["label"], c["min_count"]).write.parquet(path)
-        return {"path": path}
+        return {"tables": {"words": path}}

@@ -180,3 +180,26 @@ def test_sequence_numbers_null_orders_first(spark):
     w = Window.partitionBy("k").orderBy("o")
     got = S.sequence(df, ["k"], ["o"], target_rows=1).withColumn("rn", F.row_number().over(w)).collect()
     assert all(r[S.SEQ] == r["rn"] for r in got) and pd.isna(min(got, key=lambda r: r[S.SEQ])["o"])
+
+
+def test_long_category_lists_are_joined_and_saved_with_the_model(spark):
+    import shutil
+
+    from pyspark.ml import PipelineModel
+
+    from kiln.operators import features as FE
+    from kiln.operators import text as TX
+    rows = [(i, f"v{i % 1500:05d}", "x y" if i % 2 else "x z", i % 2) for i in range(3_000)]
+    df = spark.createDataFrame(rows, "id long, c string, Name string, label int")
+    model = FE.chain(FE.CategoryCodes(["c"], prefix="code_"), TX.WordFeatures(key="id", drop_text=False)).fit(df)
+    assert "c" in model.stages[0].st["tables"]
+    path = scratch_path(spark, "saved-model")
+    model.write().overwrite().save(path)
+    before = sorted(map(tuple, model.transform(df).collect()))
+    assert all(r[-5] == r[0] % 1500 for r in before)
+    for stage in model.stages:
+        for at in stage.st["tables"].values():
+            shutil.rmtree(at.removeprefix("file:"))
+    assert sorted(map(tuple, PipelineModel.load(path).transform(df).collect())) == before
+    unseen = spark.createDataFrame([(0, "none", "x", 0), (1, None, None, 0)], df.schema)
+    assert {r["code_c"] for r in PipelineModel.load(path).transform(unseen).collect()} == {-1}
