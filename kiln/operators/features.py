@@ -14,7 +14,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark import keyword_only
-from pyspark.ml import Estimator, Model, Pipeline, Transformer
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.param.shared import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -112,6 +112,23 @@ def chain(*stages) -> Pipeline:
     return Pipeline(stages=list(stages))
 
 
+def fitted_states(model: PipelineModel) -> list[tuple[str, str, str]]:
+    """(step name, state, settings) of every fitted step, in order."""
+    return [(type(s).__name__, s.getOrDefault(s.state), s.getOrDefault(s.config)) for s in model.stages]
+
+
+def restored(stages: Sequence[StepEstimator], states: Sequence[tuple[str, str, str]]) -> PipelineModel:
+    """K5: the fitted chain of ``stages`` from saved states, matched by position and step name."""
+    if len(stages) != len(states):
+        raise ValueError(f"{len(states)} states for {len(stages)} steps")
+    out = []
+    for i, (stage, (name, state, config)) in enumerate(zip(stages, states, strict=True)):
+        if stage.model_class.__name__ != name:
+            raise ValueError(f"step {i} is a {stage.model_class.__name__}, its state that of a {name}")
+        out.append(stage.model_class(json.loads(state), json.loads(config)))
+    return PipelineModel(out)
+
+
 class FunctionStep(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     """Stateless scalar function over columns, given as a SQL expression with
     ``{c}`` for the column name (e.g. ``log1p({c})``)."""

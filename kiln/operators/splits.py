@@ -18,9 +18,12 @@ def top_k(df: DataFrame, score: Column, k: int, tie: Sequence[str]) -> DataFrame
 
 
 def rank_by(df: DataFrame, score: Column, tie: Sequence[str], out: str = "rank") -> DataFrame:
-    """O2 ordering as an explicit rank column (1 = largest); global ordering by
-    a range-partitioned sort, no single-partition window."""
-    return df.orderBy(score.desc_nulls_last(), *[F.col(t) for t in tie])
+    """O2: rank column, 1 for the largest score (nulls last), ties by ``tie``.
+    Numbered on the series machinery: parts of a range-partitioned order, no
+    single-task window."""
+    d = df.withColumns({"_all": F.lit(0), "_low": score.isNull(), "_neg": -score})
+    seq = S.sequence(d, ["_all"], ["_low", "_neg", *tie])
+    return seq.withColumn(out, F.col(S.SEQ)).drop("_all", "_low", "_neg", S.SEQ, S.CNT)
 
 
 # O3 -------------------------------------------------------------------------

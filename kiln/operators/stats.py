@@ -187,6 +187,30 @@ def segment_shift(train: DataFrame, val: DataFrame, cluster: str, ev: str,
                     bt.alias("category_train"), bv.alias("category_val"), shifted.alias("shifted"))
 
 
+def segment_band_test(train: DataFrame, val: DataFrame, cluster: str, ev: str, band: callable,
+                      least: int = 5, level: float = 0.05) -> DataFrame:
+    """T8, inside a segment: chi-square test that train and val spread alike over
+    the EV bands.  Per cluster with at least ``least`` EVs on either side and two
+    bands in use: statistic (corrected for two bands), degrees of freedom, p and
+    whether the spread shifted; nulls where it cannot be tested."""
+    both = train.select(cluster, ev, F.lit(1).alias("s")).unionByName(val.select(cluster, ev, F.lit(0).alias("s"))).where(
+        F.col(ev).isNotNull())
+    cells = both.groupBy(cluster, band(F.col(ev)).alias("b")).agg(
+        F.sum("s").cast("double").alias("o1"), F.sum(1 - F.col("s")).cast("double").alias("o0"))
+    sizes = cells.groupBy(cluster).agg(F.sum("o1").alias("n1"), F.sum("o0").alias("n0"), (F.count(F.lit(1)) - 1).alias("dof"))
+    j = cells.join(sizes, cluster)
+    total, parts = F.col("n1") + F.col("n0"), []
+    for o, n in (("o1", "n1"), ("o0", "n0")):
+        e = (F.col("o1") + F.col("o0")) * F.col(n) / total
+        d = F.abs(F.col(o) - e)
+        d = F.when(F.col("dof") == 1, d - F.least(F.lit(0.5), d)).otherwise(d)
+        parts.append(F.try_divide(d * d, e))
+    out = j.groupBy(cluster, "n1", "n0", "dof").agg(F.sum(parts[0] + parts[1]).alias("s"))
+    ok = (F.col("n1") >= least) & (F.col("n0") >= least) & (F.col("dof") >= 1)
+    out = out.select(cluster, F.when(ok, F.col("s")).alias("statistic"), F.when(ok, F.col("dof")).cast("long").alias("dof"))
+    return with_chi2_p(out).withColumn("shifted", F.col("p_value") <= level)
+
+
 # T9 -------------------------------------------------------------------------
 def _mahalanobis(mean: np.ndarray, inverse: np.ndarray):
     """Squared distance of an array column from ``mean``, as an Arrow function."""

@@ -208,7 +208,7 @@ KPI_SQL = _kpi_sql()
 
 
 @query("b14_backtest_kpis", unsign(KPI_SQL + "\nSELECT series, strategy, metric, round(value, 6) AS value FROM kpi",
-                                   ["value"]), covers=("B9", "B10", "B11", "B12", "B14", "J10", "E1"))
+                                   ["value"]), covers=("B9", "B10", "B11", "B12", "B14"))
 def backtest_kpis(spark, sf_dir):
     _, pos, eq = _run(spark, sf_dir, materialize=True)
     k = B.kpis(eq, pos, KEYS, PARAMS)
@@ -248,7 +248,7 @@ SELECT series, strategy, regexp_replace(string_split(trim(strategy), ' ')[-1] ||
 FROM kpi WHERE strategy NOT LIKE '%Perfect Foresight%' AND strategy NOT LIKE '%Hold Benchmark%' AND ({allowed})"""
 
 
-@query("k06_metrics_sink", unsign(_metric_sql(), ["value"]), covers=("K6", "U4", "U6"))
+@query("k06_metrics_sink", unsign(_metric_sql(), ["value"]), covers=("K6",))
 def metrics_sink(spark, sf_dir):
     _, pos, eq = _run(spark, sf_dir, materialize=True)
     rows = K.metric_rows(B.kpis(eq, pos, KEYS, PARAMS), keep=["series"])

@@ -95,7 +95,7 @@ SELECT o_orderkey, CAST(o_custkey AS DOUBLE) AS o_custkey, coalesce(o_totalprice
 FROM t JOIN codes USING (new_text), st"""
 
 
-@query("f04_raw_transformer", RAW_SQL, covers=("F4", "A7", "K5"))
+@query("f04_raw_transformer", RAW_SQL, covers=("F4", "A7"))
 def raw_transformer(spark, sf_dir):
     train, test = split_frame(spark, sf_dir)
     cols = ["o_orderkey", "o_custkey", "o_totalprice", "c_acctbal", "o_orderpriority", "c_mktsegment"]
@@ -173,3 +173,19 @@ def label_roundtrip(spark, sf_dir):
     coded = model.transform(d)
     back = FE.decode_labels(coded.withColumn("code", F.col("o_orderpriority")), model, "o_orderpriority")
     return back.select("o_orderkey", "code", F.col("o_orderpriority").alias("label"))
+
+
+# K5: states saved as rows and put back on the steps by name and position ------------------
+@query("k05_restored_steps", unsign("WITH " + SPLIT_SQL + """,
+f AS (SELECT list_sort(list_distinct(list(o_orderpriority))) AS cats, min(o_totalprice) AS lo, max(o_totalprice) AS hi FROM train)
+SELECT o_orderkey, CAST(coalesce(list_position(cats, o_orderpriority), 0) - 1 AS INTEGER) AS o_orderpriority,
+       round((o_totalprice - lo) / (hi - lo), 9) AS o_totalprice FROM test, f""", ["o_totalprice"]), covers=("K5", "U1"))
+def restored_steps(spark, sf_dir):
+    train, test = split_frame(spark, sf_dir)
+    steps = [FE.CategoryCodes(["o_orderpriority"]), FE.Scaler(["o_totalprice"], "minmax")]
+    path = scratch_path(spark, f"states-{uuid.uuid4().hex}")
+    states = FE.fitted_states(FE.chain(*steps).fit(train))
+    spark.createDataFrame([(i, *s) for i, s in enumerate(states)], "position int, step string, state string, config string").write.parquet(path)
+    saved = [tuple(r)[1:] for r in spark.read.parquet(path).orderBy("position").collect()]
+    out = FE.restored(steps, saved).transform(test)
+    return out.select("o_orderkey", "o_orderpriority", _r(F.col("o_totalprice"), 9).alias("o_totalprice"))

@@ -186,7 +186,7 @@ def sweep(spark, sf_dir):
 # M12 ----------------------------------------------------------------------------------
 @query("m12_feature_feedback", """
 SELECT 'e' || i AS feature, true AS shares, true AS ranked, true AS improves
-FROM (SELECT unnest(range(64)) AS i)""", covers=("M12", "A12", "A20", "O2"))
+FROM (SELECT unnest(range(64)) AS i)""", covers=("M12", "A12", "A20"))
 def feature_feedback(spark, sf_dir):
     """Per feature: forest importance, correlation and binned mutual information
     with the label, its rank, and whether the chosen threshold keeps it; per

@@ -102,7 +102,7 @@ SELECT o_orderkey,
 FROM orders"""
 
 
-@query("k02_prediction_file", PRED_SQL, covers=("K2", "K7"))
+@query("k02_prediction_file", PRED_SQL, covers=("K2",))
 def prediction_file(spark, sf_dir):
     o = load(spark, sf_dir, "orders")
     scored = o.withColumn("p", F.when(F.col("o_orderkey") % 5 == 0, F.lit(None))

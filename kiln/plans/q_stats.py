@@ -252,3 +252,27 @@ def outliers(spark, sf_dir):
     r = ST.robust_outliers(load(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "embedding", contamination=0.01)
     flagged = r.agg(F.count_if("outlier").cast("double").alias("flagged"))
     return r.select("vec_id", (F.col("mahalanobis") >= 0).alias("distance")).crossJoin(F.broadcast(flagged))
+
+
+# T8, the test inside a segment; critical values of chi-square at 5 % for 1 to 4 degrees ---------
+CHI2_95 = [3.841458820694124, 5.991464547107979, 7.814727903251179, 9.487729036781154]  # fixed values
+
+
+@query("t08_segment_bands", unsign(f"""
+WITH e AS (SELECT user_id % 9 AS cluster, event_id % 5 = 0 AS val, (value - 250) / 5000 AS ev FROM events WHERE event_id % 13 <> 0),
+b AS (SELECT cluster, CASE WHEN ev < -0.03 THEN 0 WHEN ev < -0.005 THEN 1 WHEN ev <= 0.005 THEN 2 WHEN ev <= 0.03 THEN 3 ELSE 4 END AS band,
+             CAST(count(*) FILTER (WHERE NOT val) AS DOUBLE) AS o1, CAST(count(*) FILTER (WHERE val) AS DOUBLE) AS o0 FROM e GROUP BY 1, 2),
+n AS (SELECT *, sum(o1) OVER w AS n1, sum(o0) OVER w AS n0, count(*) OVER w - 1 AS dof FROM b WINDOW w AS (PARTITION BY cluster)),
+x AS (SELECT *, (o1 + o0) * n1 / (n1 + n0) AS e1, (o1 + o0) * n0 / (n1 + n0) AS e0 FROM n),
+d AS (SELECT *, abs(o1 - e1) - CASE WHEN dof = 1 THEN least(0.5, abs(o1 - e1)) ELSE 0 END AS d1,
+                abs(o0 - e0) - CASE WHEN dof = 1 THEN least(0.5, abs(o0 - e0)) ELSE 0 END AS d0 FROM x),
+s AS (SELECT cluster, n1, n0, dof, sum(d1 * d1 / e1 + d0 * d0 / e0) AS st FROM d GROUP BY ALL)
+SELECT cluster, CASE WHEN n1 >= 5 AND n0 >= 5 AND dof >= 1 THEN round(st, 6) END AS statistic,
+       CAST(CASE WHEN n1 >= 5 AND n0 >= 5 AND dof >= 1 THEN dof END AS BIGINT) AS dof,
+       CASE WHEN n1 >= 5 AND n0 >= 5 AND dof >= 1 THEN st >= {CHI2_95!r}[dof] END AS shifted FROM s""", ["statistic"]), covers=("T8",))
+def segment_bands(spark, sf_dir):
+    e = load(spark, sf_dir, "events").where(F.col("event_id") % 13 != 0).select(
+        (F.col("user_id") % 9).alias("cluster"), ((F.col("value") - 250) / 5000).alias("ev"),
+        (F.col("event_id") % 5 == 0).alias("val"))
+    r = ST.segment_band_test(e.filter(~F.col("val")), e.filter("val"), "cluster", "ev", X.ev_band)
+    return r.select("cluster", _r(F.col("statistic")).alias("statistic"), "dof", "shifted")

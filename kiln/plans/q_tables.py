@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+import uuid
+
 from pyspark.sql import functions as F
 
 from kiln.functions import arrays as A
@@ -14,6 +15,8 @@ from kiln.plans import q_series
 from kiln.plans.inputs import DAILY_SQL, daily_prices
 from kiln.plans.registry import query
 from kiln.plans.sqlkit import unsign
+from kiln.session import scratch_path
+from kiln.sources import files as SRC
 from kiln.tables import load
 
 
@@ -309,7 +312,7 @@ CORR_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumb
 
 @query("a12_top_correlations", unsign("SELECT * FROM (" + " UNION ALL ".join(
     f"SELECT '{a}' AS a, 'l_partkey' AS b, round(corr({a}, l_partkey), 9) AS corr FROM lineitem" for a in CORR_COLS)
-    + ") ORDER BY abs(corr) DESC, a LIMIT 3", ["corr"]), covers=("A12", "O1", "O2"))
+    + ") ORDER BY abs(corr) DESC, a LIMIT 3", ["corr"]), covers=("A12", "O1"))
 def top_correlations(spark, sf_dir):
     c = AG.correlations(load(spark, sf_dir, "lineitem"), CORR_COLS, target="l_partkey")
     c = c.withColumn("corr", _r(F.col("corr"), 9))
@@ -532,3 +535,22 @@ def feature_suggestions(spark, sf_dir):
     dist = AG.distinct_profile(li, SUG_COLS)
     corr = AG.correlations(li, SUG_COLS, target="l_linenumber")
     return AG.feature_suggestions(mom, dist, corr).select("column", "suggestions")
+
+
+# O2 + O3: explicit ranks; the first chunks of a folder ---------------------------------
+@query("o02_ranked_orders", """
+SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS rank FROM orders""", covers=("O2",))
+def ranked_orders(spark, sf_dir):
+    o = load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return O.rank_by(o, F.col("o_totalprice"), ["o_orderkey"])
+
+
+@query("o03_first_chunks", """
+SELECT CAST(event_id % 4 AS BIGINT) AS chunk_no, count(*) AS n, round(sum(value), 4) + 0.0 AS total FROM events
+WHERE event_id % 4 < 2 GROUP BY 1""", covers=("O3", "S3"))
+def first_chunk_rows(spark, sf_dir):
+    path = scratch_path(spark, f"first-chunks-{uuid.uuid4().hex}")
+    load(spark, sf_dir, "events").withColumn("part", (F.col("event_id") % 4).cast("int")).repartition("part").write.partitionBy(
+        "part").parquet(path)
+    d = SRC.first_chunks(SRC.read_chunks(spark, path, pattern="*.parquet"), 2)
+    return d.groupBy("chunk_no").agg(F.count(F.lit(1)).alias("n"), (F.round(F.sum("value"), 4) + F.lit(0.0)).alias("total"))
