@@ -47,20 +47,24 @@ def get_session(master: str | None = None, app: str = "kiln",
     return spark
 
 
-def prepare(spark: SparkSession) -> None:
-    """Apply kiln's planner settings once per session (marked by ``kiln.prepared``)
-    and let the Python workers of a local session import this package from
-    wherever they start; on a cluster it is shipped with the job."""
-    if spark.conf.get("kiln.prepared", None):
-        return
-    for k, v in _TUNING.items():
-        spark.conf.set(k, v)
+def reachable(spark: SparkSession) -> None:
+    """Let the Python workers of a local session import this package from wherever
+    they start; on a cluster it is shipped with the job."""
     sc = spark.sparkContext
     if sc.master.startswith("local") and not sc.master.startswith("local-cluster"):
         root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
         known = sc.environment.get("PYTHONPATH", os.environ.get("PYTHONPATH", ""))
         if root not in known.split(os.pathsep):
             sc.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+
+
+def prepare(spark: SparkSession) -> None:
+    """Apply kiln's planner settings once per session (marked by ``kiln.prepared``)."""
+    if spark.conf.get("kiln.prepared", None):
+        return
+    for k, v in _TUNING.items():
+        spark.conf.set(k, v)
+    reachable(spark)
     spark.conf.set("kiln.prepared", "true")
 
 
