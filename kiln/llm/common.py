@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 from typing import Any
@@ -11,27 +10,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``, which driver and executors share.
-
-    Where the setting is absent, a plain local session (one process, so every
-    folder is shared) gets a temporary folder; any other master must name one.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        master = spark.sparkContext.master
-        if not master.startswith("local") or master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = tempfile.mkdtemp(prefix="kiln-llm-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
+from kiln.session import ensure_checkpoint_dir, reachable
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/kiln-llm/{name}-{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark)}/kiln-llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -43,6 +28,7 @@ def id_remainder(doc_id: str | Column, n: int) -> Column:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reachable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
