@@ -88,32 +88,6 @@ def expected_value(arr: Column, mids: Sequence[float]) -> Column:
     return F.when(arr.isNotNull() & (s != 0), dot(filled, mids) / s)
 
 
-def distribution_moments(arr: Column, centers: Sequence[float]) -> dict[str, Column]:
-    """Mean (dot product), median (first centre with cdf >= 0.5), exact
-    population skew and excess kurtosis of the distribution."""
-    c = lit_array(centers)
-    mean = dot(arr, centers)
-    cdf = F.aggregate(arr, F.array().cast("array<double>"),
-                      lambda acc, x: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0.0)) + x)))
-    # F.array_position is 1-based; 0 means "not found"
-    idx = F.array_position(F.transform(cdf, lambda v: v >= 0.5), True)
-    median = F.when(idx > 0, F.element_at(c, F.when(idx > 0, idx).otherwise(F.lit(1)).cast("int")))
-    s = total(arr)
-    q = F.transform(arr, lambda p: p / s)
-    mu = dot(q, centers)
-
-    def central(k):
-        return F.aggregate(F.zip_with(q, c, lambda p, x: p * F.pow(x - mu, k)), F.lit(0.0), lambda a, x: a + x)
-    m2, m3, m4 = central(2), central(3), central(4)
-    ok = arr.isNotNull() & (s > 0) & (m2 > 0)
-    return {
-        "mean": F.when(arr.isNotNull(), mean),
-        "median": F.when(arr.isNotNull(), median),
-        "skew": F.when(ok, m3 / F.pow(m2, 1.5)),
-        "kurtosis": F.when(ok, m4 / (m2 * m2) - 3.0),
-    }
-
-
 def normalize_probs(arr: Column) -> Column:
     """Clip at 0, divide by row sum + 1e-9; an all-zero row becomes uniform
     (a single-bin row becomes 0)."""
@@ -135,12 +109,6 @@ def ranked(arr: Column) -> Column:
     return F.transform(F.array_sort(pairs), lambda s: F.struct(s["idx"].alias("idx"), s["p"].alias("p")))
 
 
-def top_mass(arr: Column, n: int) -> Column:
-    """Cumulative probability of the ``n`` largest entries."""
-    r = F.slice(ranked(arr), 1, n)
-    return F.aggregate(r, F.lit(0.0), lambda a, s: a + s["p"])
-
-
 # ----------------------------------------------------------- E9 distances
 def _norm(arr: Column) -> Column:
     s = F.aggregate(arr, F.lit(0.0), lambda a, x: a + x)
@@ -157,37 +125,3 @@ def _zsum(a: Column, b: Column, f) -> Column:
 
 def _rel_entr(x: Column, y: Column) -> Column:
     return F.when(x > 0, x * F.log(x / y)).when(x == 0, F.lit(0.0))
-
-
-def distances(p_true: Column, p_pred: Column, centers: Sequence[float],
-              normalize: bool = True) -> dict[str, Column]:
-    """E9 per row.  ``normalize=True``: rows normalised then clipped to
-    [1e-9, 1-1e-9] (KL, JS, cross-entropy); ``False``: only clipped at 1e-9
-    (KL, cross-entropy) and JS on the raw rows.  KL and JS normalise their
-    inputs again (relative entropy of distributions, natural log); JS is the
-    squared Jensen-Shannon distance.  L1 / L2 are sums over bins of the raw
-    rows; earth mover = sum |cdf difference| x centre gap on normalised rows."""
-    eps = 1e-9
-    if normalize:
-        t = _clip_arr(_norm(p_true), eps, 1 - eps)
-        q = _clip_arr(_norm(p_pred), eps, 1 - eps)
-        ja, jb = t, q
-    else:
-        t = _clip_arr(p_true, eps, 1.0)
-        q = _clip_arr(p_pred, eps, 1.0)
-        ja, jb = p_true, p_pred
-    tn, qn = _norm(t), _norm(q)
-    kl = _zsum(tn, qn, lambda x, y: x * F.log(x / y))
-    a, b = _norm(ja), _norm(jb)
-    m = F.zip_with(a, b, lambda x, y: 0.5 * (x + y))
-    js = 0.5 * _zsum(a, m, _rel_entr) + 0.5 * _zsum(b, m, _rel_entr)
-    ce = -_zsum(p_true, q, lambda x, y: x * F.log(y))
-    l1 = _zsum(p_true, p_pred, lambda x, y: F.abs(x - y))
-    l2 = _zsum(p_true, p_pred, lambda x, y: (x - y) * (x - y))
-    diff = F.zip_with(_norm(p_true), _norm(p_pred), lambda x, y: x - y)
-    cum = F.aggregate(diff, F.array().cast("array<double>"),
-                      lambda acc, x: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0.0)) + x)))
-    gaps = [b_ - a_ for a_, b_ in zip(centers[:-1], centers[1:])]
-    emd = F.aggregate(F.zip_with(F.slice(cum, 1, len(gaps)), lit_array(gaps), lambda d, g: F.abs(d) * g),
-                      F.lit(0.0), lambda acc, x: acc + x)
-    return {"kl": kl, "js": js, "cross_entropy": ce, "l1": l1, "l2": l2, "emd": emd}

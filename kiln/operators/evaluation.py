@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kiln.functions import arrays as A
@@ -142,8 +142,12 @@ def distribution_losses(df: DataFrame, p_true: str, p_pred: str, centers: Sequen
                         normalize: bool = True, group: Sequence[str] = ()) -> DataFrame:
     """Row means of KL, JS, cross-entropy, L1, L2 and earth mover's distance.
 
-    Same definitions as ``arrays.distances``; every intermediate array is its
-    own projection so no lambda subtree is evaluated twice."""
+    ``normalize=True``: rows are normalised, then clipped to [1e-9, 1-1e-9] (KL,
+    JS, cross-entropy); ``False``: only clipped at 1e-9, JS on the raw rows.  KL and
+    JS normalise their inputs again; JS is the squared Jensen-Shannon distance; L1
+    and L2 are sums over the bins of the raw rows; earth mover's distance sums
+    |cdf difference| x centre gap.  Every intermediate array is its own projection
+    so no lambda subtree is evaluated twice."""
     eps = 1e-9
     t, q = F.col(p_true), F.col(p_pred)
     d = df.select(*group, t.alias("_t"), q.alias("_q"))

@@ -21,7 +21,6 @@ from kiln.plans import q_series
 from kiln.plans.registry import query
 from kiln.plans.sqlkit import unsign
 from kiln.session import scratch_path, written
-from kiln.sources import files as SRC
 from kiln.sources import sinks as K
 from kiln.tables import load
 

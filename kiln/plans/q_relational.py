@@ -10,7 +10,6 @@ from kiln.functions import arrays as A
 from kiln.functions import scalar as X
 from kiln.operators import schema as P
 from kiln.plans.registry import query
-from kiln.plans.sqlkit import unsign
 from kiln.session import scratch_path, written
 from kiln.sources import files as SRC
 from kiln.sources import sinks as K

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kiln.functions import scalar as X
-from kiln.functions import special as SP
 from kiln.operators import stats as ST
 from kiln.operators import text as TX
 from kiln.plans.registry import query
