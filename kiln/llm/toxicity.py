@@ -136,7 +136,7 @@ def fit(training: DataFrame) -> Machine:
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              label_col: str = "toxic", parts: int = 5, held: int = 0) -> DataFrame:
     """(id, held_out, score, predicted); learns from labelled rows whose id's remainder is not ``held``."""
-    known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic"))
+    known = (labels.select(F.col(id_col).alias("id"), (F.col(label_col) > 0).cast("int").alias("toxic"))
              .where("id IS NOT NULL AND toxic IS NOT NULL").where(id_remainder("id", parts) != held)
              .groupBy("id").agg(F.max("toxic").alias("toxic")))
     sample = bounded_sample(known, "toxic", PER_CLASS, "id")
