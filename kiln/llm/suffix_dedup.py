@@ -47,6 +47,8 @@ SIDE = LENGTH - SEED            # context on either side
 BUCKET = 20_000                 # suffixes of a bucket
 CROWDED = 50_000                # contexts of one seed compared in one bucket
 BITS = 1 << 23                  # of the bitmap of texts
+PART = 1 << 21                  # bytes of a text that are hashed together
+PLACE_BITS = np.uint64(23)      # hold a place in two parts and their overlaps; one value, so that all parts choose alike
 
 _rng = np.random.default_rng(7)
 _BYTE = _rng.integers(0, 2 ** 64, 256, dtype=np.uint64)
@@ -65,41 +67,74 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-def anchors_of(texts: list[bytes]) -> tuple[np.ndarray, ...]:
-    """(text, place, left, right, seed hash, context hash) of every anchor."""
-    size = np.array([len(t) for t in texts], dtype=np.int64)
+def _anchors(parts: list[tuple[bytes, int, int]]) -> tuple[np.ndarray, ...]:
+    """(part, place, left, right, seed hash, context hash) of the anchors of the
+    windows that begin at ``low`` to ``high`` of every part (bytes, low, high)."""
+    size = np.array([len(raw) for raw, _, _ in parts], dtype=np.int64)
     end = np.cumsum(size)
-    data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+    first = end - size
+    data = np.frombuffer(b"".join(raw for raw, _, _ in parts), dtype=np.uint8)
     n = len(data)
-    owner_ok = size >= LENGTH
-    if not owner_ok.any():
-        none = np.empty(0, dtype=np.int64)
-        return none, none, none, none, none, none
+    if not (size >= LENGTH).any():
+        return (np.empty(0, dtype=np.int64),) * 6
     power, back = _powers(_STEP, n + 1), _powers(_BACK, n + 1)
     prefix = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(_BYTE[data] * power[:n], dtype=np.uint64)))
     gram = _mixed((prefix[SEED:] - prefix[:-SEED]) * back[:n - SEED + 1])
-    bits = np.uint64(max(1, int(n).bit_length()))
-    # equal grams are told apart by place, the first winning; the rest of the hash decides otherwise
-    least = (gram >> bits << bits) | np.arange(len(gram), dtype=np.uint64)
+    # the upper bits of the hash decide, the first place of equals wins
+    least = (gram >> PLACE_BITS << PLACE_BITS) | np.arange(len(gram), dtype=np.uint64)
     span = 1
     while 2 * span <= SIDE + 1:
         least = np.minimum(least[:-span], least[span:])
         span *= 2
     rest = SIDE + 1 - span
     least = np.minimum(least[:len(least) - rest], least[rest:])
-    whole = np.zeros(len(least), dtype=bool)            # windows inside one text
-    for a, b in zip((end - size)[owner_ok].tolist(), end[owner_ok].tolist()):
-        whole[a:b - LENGTH + 1] = True
+    whole = np.zeros(len(least), dtype=bool)            # windows inside one part
+    for at, k, (_, low, high) in zip(first.tolist(), size.tolist(), parts, strict=True):
+        if k >= LENGTH:
+            whole[at + low:at + min(high, k - LENGTH + 1)] = True
     mark = np.zeros(n, dtype=bool)
-    mark[(least[whole] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)] = True
+    mark[(least[whole] & ((np.uint64(1) << PLACE_BITS) - np.uint64(1))).astype(np.int64)] = True
     at = np.flatnonzero(mark)
-    text = np.searchsorted(end, at, side="right")
-    left = np.minimum(SIDE, at - (end - size)[text])
-    right = np.minimum(SIDE, end[text] - at - SEED)
+    part = np.searchsorted(end, at, side="right")
+    left = np.minimum(SIDE, at - first[part])
+    right = np.minimum(SIDE, end[part] - at - SEED)
     lo = at - left
     context = (prefix[at + SEED + right] - prefix[lo]) * back[lo]
     context = _mixed(_mixed(context) + (left * 1000 + right).astype(np.uint64))
-    return text, at - (end - size)[text], left, right, gram[at].view(np.int64), context.view(np.int64)
+    return part, at - first[part], left, right, gram[at].view(np.int64), context.view(np.int64)
+
+
+def anchors_of(texts: list[bytes]) -> tuple[np.ndarray, ...]:
+    """(text, place, left, right, seed hash, context hash) of every anchor.
+
+    Long texts are worked on in overlapping parts of ``PART`` bytes, so memory does
+    not grow with a text; an anchor found from two parts is one."""
+    found: list[tuple[np.ndarray, ...]] = []
+    group: list[tuple[bytes, int, int]] = []
+    origin: list[tuple[int, int]] = []
+    held = 0
+
+    def flush() -> None:
+        if group:
+            part, place, *rest = _anchors(group)
+            text, offset = np.array(origin, dtype=np.int64).T
+            found.append((text[part], place + offset[part], *rest))
+        group.clear()
+        origin.clear()
+
+    for i, raw in enumerate(texts):
+        for at in range(0, max(1, len(raw)), PART):
+            a, b = max(0, at - SIDE), min(len(raw), at + PART + 2 * LENGTH)
+            if held + b - a > 2 * PART:
+                flush()
+                held = 0
+            group.append((raw[a:b], at - a, at - a + PART))
+            origin.append((i, a))
+            held += b - a
+    flush()
+    columns = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.empty(0, dtype=np.int64)] * 6
+    once = np.unique(np.stack(columns[:2]), axis=1, return_index=True)[1] if any(len(t) > PART for t in texts) else slice(None)
+    return tuple(c[once] for c in columns)
 
 
 def multikey_sort(rows: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -103,3 +103,13 @@ def test_anchor_of_equal_strings_is_equal():
 
 def test_merged():
     assert merged([(5, 9), (0, 3), (3, 4), (8, 12)]) == [(0, 4), (5, 12)]
+
+
+def test_long_texts_in_parts_have_the_same_anchors(monkeypatch):
+    rng = random.Random(8)
+    texts = [bytes(rng.choices(b"abcdef", k=k)) for k in (0, 150, 5_000, 900, 12_345)] + [b"xy" * 2_000]
+    whole = suffix_dedup.anchors_of(texts)
+    monkeypatch.setattr(suffix_dedup, "PART", 700)
+    parts = suffix_dedup.anchors_of(texts)
+    rows = [sorted(zip(*(c.tolist() for c in a), strict=True)) for a in (whole, parts)]
+    assert rows[0] == rows[1] and len(set(rows[0])) == len(rows[0]) > 200
