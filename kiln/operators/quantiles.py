@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kiln.session import written
+
 
 def grouped_quantiles(df: DataFrame, by: Sequence[str], col: str, probs: Sequence[float],
                       out: str = "q") -> DataFrame:
@@ -29,8 +31,9 @@ def grouped_quantiles(df: DataFrame, by: Sequence[str], col: str, probs: Sequenc
     from kiln.operators import series as S
     by = list(by)
     d = df.select(*by, F.col(col).cast("double").alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    per = d.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    size = d.groupBy(*by).agg(F.count(F.lit(1)).alias("_size"))
+    # written once: the size check, the numbering and the group sizes all read it
+    per = written(d.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c")), "values")
+    size = per.groupBy(*by).agg(F.sum("_c").alias("_size"))
     seq = S.sequence(per, by, ["_v"])
     cum = S.scan_sum(seq, by, {"_upto": F.col("_c").cast("double")})
     cum = S.keyed_join(cum, size, by, "inner", True)

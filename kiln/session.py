@@ -20,14 +20,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
-    # wide aliased projections under windows make constraint inference explode
-    # (tens of seconds of planning); explicit filters still reach the scans
-    "spark.sql.constraintPropagation.enabled": "false",
 }
 
-# Settings kiln applies once to any session it runs in (see ``prepare``).
-_TUNING = {"spark.sql.constraintPropagation.enabled": "false"}
-
 
 def get_session(master: str | None = None, app: str = "kiln",
                 shuffle_partitions: int | None = None,
@@ -58,16 +52,6 @@ def reachable(spark: SparkSession) -> None:
             sc.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
 
 
-def prepare(spark: SparkSession) -> None:
-    """Apply kiln's planner settings once per session (marked by ``kiln.prepared``)."""
-    if spark.conf.get("kiln.prepared", None):
-        return
-    for k, v in _TUNING.items():
-        spark.conf.set(k, v)
-    reachable(spark)
-    spark.conf.set("kiln.prepared", "true")
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``, which driver and executors share.
 

@@ -14,6 +14,6 @@ DEFAULT_SF_DIR = "/root/testdata/sf0.01"
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    from kiln.session import prepare
-    prepare(spark)
+    from kiln.session import reachable
+    reachable(spark)
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
