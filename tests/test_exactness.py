@@ -1,6 +1,7 @@
 """Edge cases that must not change a result: nulls, uneven orders, repeated and infinite values, many chunks."""
 
 import math
+import uuid
 
 import numpy as np
 import pandas as pd
@@ -139,7 +140,7 @@ def test_outer_align_refuses_repeated_keys(spark):
 
 
 def test_versions_are_claimed_once(spark):
-    path = scratch_path(spark, "registry-test")
+    path = scratch_path(spark, f"registry-{uuid.uuid4().hex}")
     assert [K.register_version(spark, path, "d", "t") for _ in range(3)] == ["v1", "v2", "v3"]
     # a writer that read an old maximum goes on to the next free number
     import kiln.sources.sinks as sinks
@@ -152,7 +153,7 @@ def test_versions_are_claimed_once(spark):
 
 
 def test_progress_of_more_than_a_hundred_chunks(spark):
-    path = scratch_path(spark, "many-chunks")
+    path = scratch_path(spark, f"many-chunks-{uuid.uuid4().hex}")
     df = spark.range(1_060).select("id", (F.col("id") % 106).cast("int").alias("chunk"))
     df.repartition(1).write.partitionBy("chunk").parquet(path)
     out = chunked.stream_progress(spark, path, df.schema, {"read": lambda b: b}, {"chunk": F.max("chunk"), "rows": F.count(F.lit(1))})
@@ -193,7 +194,7 @@ def test_long_category_lists_are_joined_and_saved_with_the_model(spark):
     df = spark.createDataFrame(rows, "id long, c string, Name string, label int")
     model = FE.chain(FE.CategoryCodes(["c"], prefix="code_"), TX.WordFeatures(key="id", drop_text=False)).fit(df)
     assert "c" in model.stages[0].st["tables"]
-    path = scratch_path(spark, "saved-model")
+    path = scratch_path(spark, f"saved-model-{uuid.uuid4().hex}")
     model.write().overwrite().save(path)
     before = sorted(map(tuple, model.transform(df).collect()))
     assert all(r[-5] == r[0] % 1500 for r in before)
