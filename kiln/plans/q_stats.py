@@ -17,7 +17,7 @@ def _r(c, d=6):
 
 
 # T1 ---------------------------------------------------------------------------
-def _chi_sql(src: str, row: str, col: str) -> str:
+def _chi_sql(src: str, row: str, col: str, digits: int = 6) -> str:
     return f"""
 WITH d AS (SELECT CAST({row} AS VARCHAR) AS r, CAST({col} AS VARCHAR) AS c FROM {src}),
 o AS (SELECT r, c, count(*) AS o FROM d GROUP BY 1, 2),
@@ -26,7 +26,7 @@ g AS (SELECT rr.r, cc.c, CAST(coalesce(o.o, 0) AS DOUBLE) AS o
 e AS (SELECT *, sum(o) OVER (PARTITION BY r) * sum(o) OVER (PARTITION BY c) / sum(o) OVER () AS e,
              (count(DISTINCT r) OVER () - 1) * (count(DISTINCT c) OVER () - 1) AS dof FROM g)
 SELECT round(sum(CASE WHEN dof = 1 THEN power(abs(o - e) - least(0.5, abs(o - e)), 2)
-                      ELSE power(o - e, 2) END / e), 6) + 0.0 AS statistic,
+                      ELSE power(o - e, 2) END / e), {digits}) + 0.0 AS statistic,
        CAST(any_value(dof) AS BIGINT) AS dof
 FROM e"""
 
@@ -48,8 +48,8 @@ ERFC_SQL = """(1 - 2 / sqrt(pi()) * (SELECT sum(power(-1.0, i) * power({z}, 2 *
                            FROM range(120) AS r(i)))"""
 
 
-@query("t01_chi_square_pvalue", "WITH s AS (" + _chi_sql("labels", "quality", "toxic") + """)
-SELECT statistic, dof, round(""" + ERFC_SQL.format(z="sqrt(statistic / 2)") + """, 6) + 0.0 AS p_value FROM s""", covers=("T1",))
+@query("t01_chi_square_pvalue", "WITH s AS (" + _chi_sql("labels", "quality", "toxic", 15) + """)
+SELECT round(statistic, 6) AS statistic, dof, round(""" + ERFC_SQL.format(z="sqrt(statistic / 2)") + """, 6) + 0.0 AS p_value FROM s""", covers=("T1",))
 def chi_square_p(spark, sf_dir):
     """Statistic, dof and the chi-square tail probability."""
     s = ST.with_chi2_p(ST.chi_square(load(spark, sf_dir, "labels"), "quality", "toxic"))
