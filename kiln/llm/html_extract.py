@@ -4,8 +4,9 @@ Every text node belongs to the path of tags (with class names) from the root to
 it.  Text length and punctuation are summed per path and divided by its nodes;
 the two ratios are smoothed over neighbouring paths, multiplied, and paths at or
 above a share of the spread of all scores hold content.  The smallest element
-around most of the content is the article; its blocks are the result, so that
-headings and short paragraphs stay, but blocks of links on paths below the
+around all of the content is the article, never a single block or a part of a
+text like a list; its blocks and the headings that lead to it are the result, so
+that headings and short paragraphs stay, but blocks of links on paths below the
 threshold go.  Elements that never hold an article (menus, forms, scripts,
 adverts, comments and the like, by tag, role or class) are not read.
 
@@ -18,6 +19,7 @@ give repeated results; further columns are ignored.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -33,6 +35,10 @@ BLOCK = set("""address article aside blockquote body caption center dd details d
 SPACE = set("br td th wbr img".split())
 UNREAD = set("""script style noscript template head title nav footer aside form button select textarea iframe svg canvas
     object audio video menu dialog""".split())
+HEADING = {"h1", "h2", "h3", "h4", "h5", "h6", "hgroup"}
+# Parts of a text that are never the whole of it.
+PARTS = HEADING | set("""address blockquote caption dd dl dt figcaption figure hr li ol option p pre summary table tbody tfoot
+    thead tr ul""".split())
 CLOSES_P = BLOCK - {"body", "html", "option", "caption", "tbody", "thead", "tfoot", "tr"}
 SAME = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
         "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
@@ -57,6 +63,7 @@ class _Page(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, str, int]] = []     # tag, label, element number
         self.elements = 0
+        self.tags = [""]                                # by element number, 0: the page
         self.block = 0
         self.unread = 0                                 # depth at which reading stopped, 0: reads
         self.nodes: list[tuple[str, str, tuple[int, ...], int, bool]] = []
@@ -104,6 +111,7 @@ class _Page(HTMLParser):
         if tag in VOID:
             return
         self.elements += 1
+        self.tags.append(tag)
         names = " ".join(v or "" for k, v in attrs if k == "class").split()
         unwanted = not self.unread and self._unwanted(tag, attrs)
         self.stack.append((tag, ".".join([tag, *sorted(names)]), self.elements))
@@ -152,6 +160,24 @@ def path_scores(nodes: list[tuple[str, str, tuple[int, ...], int, bool]]) -> dic
     return dict(zip(sums, np.where(chars > 0, fused, 0.0), strict=True))
 
 
+def holder(content: list[tuple[tuple[int, ...], int]], tags: list[str]) -> tuple[int, ...]:
+    """Chain of the smallest element that holds all content nodes (enclosing elements, block) and their sibling blocks."""
+    common = content[0][0]
+    for elements, _ in content:
+        n = min(len(common), len(elements))
+        common = common[:next((k for k in range(n) if common[k] != elements[k]), n)]
+
+    def outer(n: int) -> int:
+        while n and (tags[common[n - 1]] not in BLOCK or tags[common[n - 1]] in PARTS):
+            n -= 1
+        return n
+
+    n = outer(len(common))
+    if n and len({b for _, b in content}) == 1 and not any(tags[e] in BLOCK for e in content[0][0][n:]):
+        n = outer(n - 1)                # the element is a block itself
+    return common[:n]
+
+
 def main_text(html: str) -> str:
     """The article's blocks, joined by an empty line."""
     page = _Page()
@@ -161,25 +187,28 @@ def main_text(html: str) -> str:
     if not scores:
         return ""
     least = SHARE * float(np.std(list(scores.values())))
-    inside: dict[int, int] = {}         # element -> content characters
-    depth: dict[int, int] = {0: 0}
-    total = 0
-    for text, path, elements, _, _ in page.nodes:
-        size = len(text.strip()) if scores.get(path, -1.0) >= least else 0
-        if not size:
-            continue
-        total += size
-        for d, e in enumerate(elements):
-            inside[e] = inside.get(e, 0) + size
-            depth[e] = d + 1
+    content = [(elements, block) for text, path, elements, block, _ in page.nodes
+               if text.strip() and scores[path] >= least]
+    inside = Counter(e for elements, _ in content for e in elements)
     named = [e for e in page.articles if inside.get(e)]
+    chain: tuple[int, ...] = ()
     if named:                           # outermost elements that say that they are the article
         holders = set(named)
     else:
-        holders = {max((e for e in depth if inside.get(e, total) >= 0.8 * total), key=depth.get)}
+        chain = holder(content, page.tags)
+        holders = set(chain[-1:]) or {0}
+    first = content[0][1]
+
+    def kept(elements: tuple[int, ...], block: int) -> bool:
+        if 0 in holders or holders.intersection(elements):
+            return True
+        # a heading beside the holder or one of the elements around it, before the content
+        k = next((k for k, e in enumerate(elements) if e not in chain), len(elements))
+        return bool(chain) and block < first and k < len(elements) and page.tags[elements[k]] in HEADING
+
     blocks: dict[int, list] = {}
     for text, path, elements, block, link in page.nodes:
-        if 0 in holders or holders.intersection(elements):
+        if kept(elements, block):
             b = blocks.setdefault(block, [[], 0, 0, 0.0])
             b[0].append(text)
             b[1] += len(text.strip())

@@ -50,3 +50,18 @@ def test_awkward_rows(spark):
     got = sorted((str(r["page_id"]), r["text"], r["n_chars"]) for r in extract(df).collect())
     assert got == [("1", "", 0), ("2", "One.", 4), ("2", "One.", 4), ("None", "", 0)]
     assert extract(df.where("url = 'none'")).count() == 0
+
+
+def test_content_is_never_a_single_block():
+    long, short = "Many words, of a long story. " * 30, "Few words, here."
+    assert main_text(f"<body><div><h1>T</h1><p>{long}</p><p>{short}</p></div>") == f"T\n\n{long.strip()}\n\n{short}"
+    assert main_text(f"<body><div><h1>T</h1><div>{long}</div><p>{short}</p></div>") == f"T\n\n{long.strip()}\n\n{short}"
+    # paragraphs of unlike size in two elements
+    parts = [("Many words, of a long story. " * k).strip() for k in (20, 20, 20, 20, 14)]
+    two = "".join(f"<p>{p}</p>" for p in parts[:4]) + "</div><div class=b>" + f"<p>{parts[4]}</p>"
+    assert main_text(f"<body><div class=a>{two}</div>") == "\n\n".join(parts)
+    # a list between paragraphs, a heading beside the element of the text
+    assert main_text(f"<div><p>{short}</p><ul><li>{long}<li>{long}</ul><p>{short}</p></div>") == "\n\n".join(
+        [short, long.strip(), long.strip(), short])
+    assert main_text(f"<div><h1>T</h1><div class=x><p>{long}</p><p>{long}</p></div></div>") == "\n\n".join(
+        ["T", long.strip(), long.strip()])
