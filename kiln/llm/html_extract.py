@@ -3,9 +3,11 @@
 Every text node belongs to the path of tags (with class names) from the root to
 it.  Text length and punctuation are summed per path and divided by its nodes;
 the two ratios are smoothed over neighbouring paths, multiplied, and paths at or
-above a share of the spread of all scores hold content.  The smallest element
-around all of the content is the article, never a single block or a part of a
-text like a list; its blocks and the headings that lead to it are the result, so
+above a share of the spread of all scores hold content.  If one <article> or <main>
+holds most of the content characters, elements of these names are the article
+(with all such elements that hold content); otherwise the smallest element
+around all of the content is, never a single block or a part of a
+text like a list.  Its blocks and the headings that lead to it are the result, so
 that headings and short paragraphs stay, but blocks of links on paths below the
 threshold go.  Elements that never hold an article (menus, forms, scripts,
 adverts, comments and the like, by tag, role or class) are not read.
@@ -67,7 +69,7 @@ class _Page(HTMLParser):
         self.block = 0
         self.unread = 0                                 # depth at which reading stopped, 0: reads
         self.nodes: list[tuple[str, str, tuple[int, ...], int, bool]] = []
-        self.articles: dict[int, int] = {}              # element number -> depth
+        self.articles: list[int] = []                   # element numbers
 
     def _unwanted(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
         inside = any(t in ARTICLE for t, _, _ in self.stack)
@@ -118,7 +120,7 @@ class _Page(HTMLParser):
         if unwanted:
             self.unread = len(self.stack)
         elif not self.unread and tag in ARTICLE:
-            self.articles[self.elements] = len(self.stack)
+            self.articles.append(self.elements)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -187,13 +189,16 @@ def main_text(html: str) -> str:
     if not scores:
         return ""
     least = SHARE * float(np.std(list(scores.values())))
-    content = [(elements, block) for text, path, elements, block, _ in page.nodes
-               if text.strip() and scores[path] >= least]
-    inside = Counter(e for elements, _ in content for e in elements)
-    named = [e for e in page.articles if inside.get(e)]
+    content = []
+    inside: Counter[int] = Counter()    # element -> content characters, 0: the page
+    for text, path, elements, block, _ in page.nodes:
+        if text.strip() and scores[path] >= least:
+            content.append((elements, block))
+            inside.update(dict.fromkeys((0, *elements), len(text.strip())))
+    named = {e for e in page.articles if inside[e]}
     chain: tuple[int, ...] = ()
-    if named:                           # outermost elements that say that they are the article
-        holders = set(named)
+    if any(2 * inside[e] > inside[0] for e in named):
+        holders = named                 # the article by its name, with the others of that name
     else:
         chain = holder(content, page.tags)
         holders = set(chain[-1:]) or {0}

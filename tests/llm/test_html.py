@@ -65,3 +65,19 @@ def test_content_is_never_a_single_block():
         [short, long.strip(), long.strip(), short])
     assert main_text(f"<div><h1>T</h1><div class=x><p>{long}</p><p>{long}</p></div></div>") == "\n\n".join(
         ["T", long.strip(), long.strip()])
+
+
+def test_names_do_not_outvote_the_content():
+    story = ["Many words, of a long story. " * 20 + f"End {k}." for k in range(4)]
+    body = "".join(f"<p>{p}</p>" for p in story)
+    teaser = "A teaser, of some words. " * 9
+    cards = "".join(f"<article class=card><a href=x>Next {k}</a><p>{teaser}</p></article>" for k in range(3))
+    got = main_text(f"<body><div class=story><h1>T</h1>{body}</div><div class=cards>{cards}</div>")
+    assert got.startswith("\n\n".join(["T", *story]))
+    # teasers inside a named element stay with it, a page of equal articles is whole
+    assert main_text(f"<body><p>Other.</p><main>{body}</main>") == "\n\n".join(story)
+    equal = "".join(f"<article><h2>T</h2><p>{p}</p></article>" for p in story)
+    assert main_text(f"<body>{equal}") == "\n\n".join(f"T\n\n{p}" for p in story)
+    # one article with most of the text does not push out the others
+    unlike = f"<article><p>{story[0]}</p><p>{story[1]}</p></article><article><p>{story[2]}</p></article>"
+    assert main_text(f"<body>{unlike}") == "\n\n".join(story[:3])
