@@ -9,11 +9,13 @@ holds most of the content characters, elements of these names are the article
 around all of the content is, never a single block or a part of a
 text like a list.  Its blocks and the headings that lead to it are the result, so
 that headings and short paragraphs stay, but blocks of links on paths below the
-threshold go.  Elements that never hold an article (menus, forms, scripts,
-adverts, comments and the like, by tag, role or class) are not read.
+threshold go.  Menus, scripts and embedded objects are not read.  Elements that
+seldom hold an article (forms, footers, adverts, comments and the like, by tag,
+role, class or id, and hidden ones) are left out before the scores, unless one
+holds most of the page's text outside links, or there is no other text.
 
-Defined results: a null or empty page, or one without such text, gives an empty
-string; text outside any element counts as a block; unclosed tags end with
+Defined results: a null or empty page, or one without text that is read, gives
+an empty string; text outside any element counts as a block; unclosed tags end with
 their parent, an unclosed script or style at the end of the page; repeated rows
 give repeated results; further columns are ignored.
 """
@@ -35,8 +37,10 @@ BLOCK = set("""address article aside blockquote body caption center dd details d
     figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol option p pre search section summary
     table tbody tfoot thead tr ul""".split())
 SPACE = set("br td th wbr img".split())
-UNREAD = set("""script style noscript template head title nav footer aside form button select textarea iframe svg canvas
-    object audio video menu dialog""".split())
+UNREAD = set("""script style noscript template head title nav button select textarea iframe svg canvas object audio video
+    menu""".split())
+ASIDE = {"footer", "aside", "form", "dialog"}       # seldom hold the article
+IN_HEAD = set("base link meta title style script noscript template".split())
 HEADING = {"h1", "h2", "h3", "h4", "h5", "h6", "hgroup"}
 # Parts of a text that are never the whole of it.
 PARTS = HEADING | set("""address blockquote caption dd dl dt figcaption figure hr li ol option p pre summary table tbody tfoot
@@ -45,7 +49,7 @@ CLOSES_P = BLOCK - {"body", "html", "option", "caption", "tbody", "thead", "tfoo
 SAME = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
         "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
         "option": ({"option"}, {"select"})}
-# Names of classes, ids and roles that mark other matter than the article.
+# Names of classes, ids and roles that mark other matter than the article, alone or in compounds of them.
 OTHER = set("""ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner
     sidebar sidenav menu nav navbar navigation breadcrumb breadcrumbs footer masthead topbar toolbar cookie cookies
     consent gdpr notice alert popup modal overlay newsletter subscribe signup login comment comments disqus respond
@@ -70,22 +74,25 @@ class _Page(HTMLParser):
         self.unread = 0                                 # depth at which reading stopped, 0: reads
         self.nodes: list[tuple[str, str, tuple[int, ...], int, bool]] = []
         self.articles: list[int] = []                   # element numbers
+        self.others: set[int] = set()                   # elements that seldom hold the article
 
-    def _unwanted(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+    def _other(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
         inside = any(t in ARTICLE for t, _, _ in self.stack)
-        if tag in UNREAD or tag == "header" and not inside:
+        if tag in ASIDE or tag == "header" and not inside:
             return True
         if tag in ("html", "body", "article", "main"):
             return False
-        names: set[str] = set()
         for k, v in attrs:
             if k == "hidden" or k == "aria-hidden" and v == "true":
                 return True
             if k == "style" and re.search(r"display\s*:\s*none", v or "", re.I):
                 return True
             if k in ("class", "id", "role"):
-                names.update(re.split(r"[^a-z]+", (v or "").lower()))
-        return bool(names & OTHER) or not inside and bool(names & HEADER)
+                for name in (v or "").lower().split():
+                    parts = re.findall("[a-z]+", name)
+                    if not inside and name in HEADER or parts and all(n in OTHER for n in parts):
+                        return True
+        return False
 
     def _pop(self, upto: int) -> None:
         while len(self.stack) > upto:
@@ -102,6 +109,10 @@ class _Page(HTMLParser):
                 return
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if self.stack and self.stack[-1][0] == "head" and tag not in IN_HEAD:
+            self._pop(len(self.stack) - 1)
+        elif tag == "body":
+            self._close({"head"}, {"body"})
         if tag in CLOSES_P:
             self._close({"p"}, {"td", "th", "button", "object"} | BLOCK - {"p"})
         if tag in SAME:
@@ -115,11 +126,14 @@ class _Page(HTMLParser):
         self.elements += 1
         self.tags.append(tag)
         names = " ".join(v or "" for k, v in attrs if k == "class").split()
-        unwanted = not self.unread and self._unwanted(tag, attrs)
+        if not self.unread and self._other(tag, attrs):
+            self.others.add(self.elements)
         self.stack.append((tag, ".".join([tag, *sorted(names)]), self.elements))
-        if unwanted:
+        if self.unread:
+            return
+        if tag in UNREAD:
             self.unread = len(self.stack)
-        elif not self.unread and tag in ARTICLE:
+        elif tag in ARTICLE:
             self.articles.append(self.elements)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -137,11 +151,30 @@ class _Page(HTMLParser):
             self.block += 1
 
     def handle_data(self, data: str) -> None:
+        if self.stack and self.stack[-1][0] == "head" and data.strip():
+            self._pop(len(self.stack) - 1)
         if not self.unread and data:
             self.nodes.append((data, "/".join(s[1] for s in self.stack), tuple(s[2] for s in self.stack), self.block,
                                any(s[0] == "a" for s in self.stack)))
 
 
+def without_others(page: _Page) -> list[tuple[str, str, tuple[int, ...], int, bool]]:
+    """The text nodes outside elements that seldom hold the article, unless such an element holds most of the text."""
+    size = dict.fromkeys(page.others, 0)        # characters outside links
+    total = 0
+    for text, _, elements, _, link in page.nodes:
+        n = 0 if link else len(text.strip())
+        total += n
+        for e in page.others.intersection(elements) if n else ():
+            size[e] += n
+    left_out = {e for e, n in size.items() if 2 * n <= total}
+    while True:
+        nodes = [x for x in page.nodes if left_out.isdisjoint(x[2])]
+        if not total or any(x[0].strip() and not x[4] for x in nodes):
+            return nodes
+        left_out.discard(max(left_out, key=lambda e: (size[e], -e)))        # the largest, the outer one of equals
+
+
 def path_scores(nodes: list[tuple[str, str, tuple[int, ...], int, bool]]) -> dict[str, float]:
     """Fused, smoothed text and punctuation ratios of every path, text inside links counting nothing."""
     sums: dict[str, list[int]] = {}
@@ -185,16 +218,19 @@ def main_text(html: str) -> str:
     page = _Page()
     page.feed(CUT_OFF.sub("", html))
     page.close()
-    scores = path_scores(page.nodes)
+    nodes = without_others(page)
+    scores = path_scores(nodes)
     if not scores:
         return ""
     least = SHARE * float(np.std(list(scores.values())))
     content = []
     inside: Counter[int] = Counter()    # element -> content characters, 0: the page
-    for text, path, elements, block, _ in page.nodes:
+    for text, path, elements, block, _ in nodes:
         if text.strip() and scores[path] >= least:
             content.append((elements, block))
-            inside.update(dict.fromkeys((0, *elements), len(text.strip())))
+            size = len(text.strip())
+            for e in (0, *elements):
+                inside[e] += size
     named = {e for e in page.articles if inside[e]}
     chain: tuple[int, ...] = ()
     if any(2 * inside[e] > inside[0] for e in named):
@@ -212,7 +248,7 @@ def main_text(html: str) -> str:
         return bool(chain) and block < first and k < len(elements) and page.tags[elements[k]] in HEADING
 
     blocks: dict[int, list] = {}
-    for text, path, elements, block, link in page.nodes:
+    for text, path, elements, block, link in nodes:
         if kept(elements, block):
             b = blocks.setdefault(block, [[], 0, 0, 0.0])
             b[0].append(text)

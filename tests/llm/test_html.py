@@ -81,3 +81,24 @@ def test_names_do_not_outvote_the_content():
     # one article with most of the text does not push out the others
     unlike = f"<article><p>{story[0]}</p><p>{story[1]}</p></article><article><p>{story[2]}</p></article>"
     assert main_text(f"<body>{unlike}") == "\n\n".join(story[:3])
+
+
+def test_no_name_discards_the_text():
+    story = ["Many words, of a long story. " * 20 + f"End {k}." for k in range(3)]
+    body, want = "".join(f"<p>{p}</p>" for p in story), "\n\n".join(story)
+    for wrapper in ("div id=page class='no-sidebar'", "div class=has-sidebar", "div class='content with-nav'", "div class=search-result",
+                    "div class=sidebar", "form method=post action=x", "div role=dialog", "div style='display:none'"):
+        assert main_text(f"<body><{wrapper}>{body}") == want, wrapper
+    # a part that names no other matter stays, a footer and a sidebar in a form go
+    assert main_text(f"<div class=a><p>{story[0]}</p></div><div class='search-result'><p>{story[1]}</p></div>") == "\n\n".join(story[:2])
+    assert main_text(f"<body><form>{body}<div class=sidebar><p>Other, news.</p></div><footer>Foot, note.</footer></form>") == want
+    # nothing but other matter, none of it most of the text: the largest of it
+    rest = f"<div class=sidebar><p>{story[0]}</p></div><footer>{'Foot, note. ' * 45}</footer><aside>{'Aside, too. ' * 40}</aside>"
+    assert main_text(f"<body>{rest}") == story[0]
+    assert main_text(f"<body><div class=sidebar><p>Other, news.</p></div>{body}<div class='share-widget'>Tell, others.</div>") == want
+
+
+def test_head_ends_where_the_text_begins():
+    for page in ("<head><meta x><body><p>A, b.</p>", "<html><head><title>T</title><p>A, b.</p>", "<head><link x><div>A, b.</div></head>",
+                 "<head><script>x</script>A, b.", "<head><style>p{}</style></head><body>A, b.", "<head><noscript><img x></noscript><body>A, b."):
+        assert main_text(page) == "A, b.", page
