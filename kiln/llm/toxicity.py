@@ -6,7 +6,7 @@ weights tell which terms speak for the label; every term also has a short vector
 whose products weigh pairs of terms, so that a word that is harmless by itself
 counts beside another.  The machine is fitted on a bounded sample of labelled
 texts, over the terms of that sample that depend on the label by a chi-square
-test, with AdaGrad steps and an L2 penalty.
+test, or of which a pair does beyond what its terms say alone, with AdaGrad steps and an L2 penalty.
 
 Defined results: null and empty texts have no term and get the score of the
 intercept; texts are read whole; a label given more than once counts as toxic if
@@ -31,6 +31,7 @@ from kiln.llm.common import bounded_sample, id_remainder, map_texts
 PER_CLASS = 4_000           # labelled texts of either kind that are fitted, about
 STEMS = (4, 5, 6)
 CHI_SQUARE, LEAST = 25.0, 4     # a term's dependence on the label (p < 1e-6: the terms are many) and texts that hold it
+PAIR, PAIRED = 20.0, 1 << 15    # the same of a pair beyond its terms; terms whose pairs are compared
 FACTORS, EPOCHS, RATE, L2 = 8, 40, 0.2, 1e-5
 LINEAR = 25                 # epochs before the factors join: pairs only explain what single terms do not
 MEMO = 300_000              # words remembered by a worker; only saves repeated work
@@ -73,8 +74,65 @@ class Machine:
         return float(1 / (1 + np.exp(-np.clip(x, -35, 35))))
 
 
+def logit(x: np.ndarray, n: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray]:
+    """Log odds of ``x`` toxic texts among ``n``, drawn to ``share`` by one text, and their variance."""
+    toxic, clean = x + share, n - x + 1 - share
+    return np.log(toxic / clean), 1 / toxic + 1 / clean
+
+
+def paired(texts: list[np.ndarray], y: np.ndarray, terms: np.ndarray, least: float) -> np.ndarray:
+    """Terms of ``terms`` of which a pair departs from what the two say by themselves (logits add up).
+
+    Terms held by the same texts count as one; the ``PAIRED`` most frequent are compared, all with all.
+    """
+    order = np.argsort(-y, kind="stable")                       # toxic texts first
+    y, texts = y[order], [texts[i] for i in order]
+    at = [np.searchsorted(terms, np.intersect1d(t, terms, assume_unique=True)) for t in texts]
+    where, owner = np.concatenate(at), np.repeat(np.arange(len(at)), [len(a) for a in at])
+    marks = np.random.default_rng(0).integers(0, 1 << 52, len(at))
+    alike = np.zeros(len(terms), dtype=np.int64)
+    np.add.at(alike, where, marks[owner])                       # of the set of texts, modulo 2**64
+    _, example, group = np.unique(alike, return_index=True, return_inverse=True)
+    df = np.bincount(where, minlength=len(terms))[example]
+    kept = np.argsort(-df, kind="stable")[:PAIRED]
+    number = np.full(len(terms), -1)
+    number[example[kept]] = np.arange(len(kept))
+    rows = [np.sort(r[r >= 0]) for r in (number[a] for a in at)]
+    flat, owner = np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    place = np.concatenate([np.arange(len(r)) for r in rows])
+    by_term = np.argsort(flat, kind="stable")
+    cut = np.concatenate(([0], np.cumsum(np.bincount(flat, minlength=len(kept)))))
+    n, n1 = len(y), float(y.sum())
+    share = n1 / n
+    few = least / (2 * np.log(1 / min(share, 1 - share)))       # fewer common texts cannot reach it
+    total = np.diff(cut).astype(float)
+    toxic = np.bincount(flat, weights=y[owner], minlength=len(kept))
+    found = np.zeros(len(kept), dtype=bool)
+    for a in range(len(kept)):
+        own = by_term[cut[a]:cut[a + 1]]
+        if len(own) < few:
+            break
+        more = [rows[i][:k] for i, k in zip(owner[own].tolist(), place[own].tolist(), strict=True)]     # more frequent terms
+        both = np.bincount(np.concatenate(more), minlength=1)
+        b = np.flatnonzero(both >= few)
+        if not len(b):
+            continue
+        first = np.concatenate([*more[:int(toxic[a])], b])      # one too many of each b
+        o, m = (np.bincount(first, minlength=len(both))[b] - 1).astype(float), both[b].astype(float)
+        la, va = logit(toxic[a] - o, total[a] - m, share)
+        lb, vb = logit(toxic[b] - o, total[b] - m, share)
+        l0, v0 = logit(n1 - toxic[a] - toxic[b] + o, n - total[a] - total[b] + m, share)
+        p = 1 / (1 + np.exp(-np.clip(la + lb - l0, -4, 4)))
+        g = 2 * (o * np.log(np.maximum(o, 1e-9) / (m * p)) + (m - o) * np.log(np.maximum(m - o, 1e-9) / (m * (1 - p))))
+        hit = g / (1 + m * p * (1 - p) * (va + vb + v0)) >= least      # less where the expectation is uncertain
+        if hit.any():
+            found[a] = True
+            found[b[hit]] = True
+    return terms[np.isin(group, group[example[kept[found]]])]
+
+
 def choose(texts: list[np.ndarray], y: np.ndarray) -> np.ndarray:
-    """Terms whose presence depends on the label."""
+    """Terms whose presence depends on the label, alone or in a pair."""
     terms, where = np.unique(np.concatenate(texts), return_inverse=True)
     owner = np.repeat(y, [len(t) for t in texts])
     n, n1 = len(y), int(y.sum())
@@ -82,7 +140,10 @@ def choose(texts: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     both = np.bincount(where, weights=owner, minlength=len(terms))
     spread = df * (n - df) * n1 * (n - n1)
     chi = np.divide(n * (n * both - df * n1) ** 2, spread, out=np.zeros(len(terms)), where=spread > 0)
-    return terms[(df >= LEAST) & (chi >= CHI_SQUARE)]
+    often = df >= min(LEAST, max(1, n // 8))
+    # n is the most that a statistic can reach
+    alone = terms[often & (chi >= min(CHI_SQUARE, n / 4))]
+    return np.union1d(alone, paired(texts, y, terms[often], min(PAIR, n / 4))) if often.any() else alone
 
 
 def train(texts: list[np.ndarray], y: np.ndarray, seed: int = 0) -> Machine:
@@ -96,10 +157,11 @@ def train(texts: list[np.ndarray], y: np.ndarray, seed: int = 0) -> Machine:
     for epoch in range(EPOCHS):
         for i in rng.permutation(len(rows)):
             at = rows[i]
-            s = v[at].sum(axis=0)
             x = w0 + w[at].sum()
             if epoch >= LINEAR:
-                x += 0.5 * (s @ s - (v[at] ** 2).sum())
+                own = v[at]
+                s = own.sum(axis=0)
+                x += 0.5 * (s @ s - (own ** 2).sum())
             error = weight[i] * (1 / (1 + np.exp(-np.clip(x, -35, 35))) - y[i])
             g0 += error ** 2
             w0 -= RATE * error / np.sqrt(g0)
@@ -107,7 +169,7 @@ def train(texts: list[np.ndarray], y: np.ndarray, seed: int = 0) -> Machine:
             gw[at] += g ** 2
             w[at] -= RATE * g / np.sqrt(gw[at])
             if epoch >= LINEAR:
-                g = error * (s - v[at]) + L2 * v[at]
+                g = error * (s - own) + L2 * own
                 gv[at] += g ** 2
                 v[at] -= RATE * g / np.sqrt(gv[at])
     return Machine(terms, w0, w, v)

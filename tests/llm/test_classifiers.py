@@ -79,6 +79,40 @@ def test_pairs_of_terms_are_learnt():
     assert np.mean(right) > 0.98
 
 
+def test_pairs_of_terms_that_are_harmless_alone():
+    rng = random.Random(2)
+    noise = [f"{chr(97 + k // 26)}{chr(97 + k % 26)}x" for k in range(300)]
+    texts, y = [], []
+    for k in range(2_000):
+        one, two = k % 2, k // 2 % 2                    # either word is in half of the texts of either label
+        texts.append(" ".join(rng.sample(noise, 12) + ["qua"] * one + ["zor"] * two))
+        y.append(float(one != two))
+    machine = T.train([T.text_terms(t) for t in texts[:1_600]], np.array(y[:1_600]))
+    right = [(machine.score(t) >= 0.5) == (v == 1) for t, v in zip(texts[1_600:], y[1_600:], strict=True)]
+    assert np.mean(right) > 0.98
+
+
+def test_a_rare_pair_is_chosen():
+    # two words in 5 % of the texts of either label, and 40 further toxic texts that hold both
+    rng = np.random.default_rng(4)
+    texts = [np.unique(rng.integers(10, 2_000, 15)) for _ in range(8_000)]
+    y = np.repeat([1.0, 0.0], 4_000)
+    for first in (0, 4_000):
+        for k, word in ((0, 1), (190, 2)):              # ten of each label hold both by chance
+            for i in range(first + k, first + k + 200):
+                texts[i] = np.union1d(texts[i], [word])
+    for i in range(1_000, 1_040):
+        texts[i] = np.union1d(texts[i], [1, 2])
+    got = T.choose(texts, y)
+    assert {1, 2} <= set(got.tolist()) and len(got) < 100
+
+
+def test_few_labels_are_learnt():
+    texts = [T.text_terms(f"{w} {n}") for n in ("uvw", "xyz", "rst", "opq", "lmn") for w in ("bad", "fine")]
+    machine = T.train(texts, np.array([1.0, 0.0] * 5))
+    assert machine.score("bad uvw") > 0.5 > machine.score("fine uvw")
+
+
 def test_toxicity_of_awkward_rows(spark, awkward, no_docs):
     labels = spark.createDataFrame([(4, 1, 1), (5, 0, 0), (5, 0, 1), (7, None, 0), (None, 1, 1), (9, 1, None), (6, 1, 0), (13, 0, 0),
                                     (77, 1, 1)], "doc_id long, quality int, toxic int")
