@@ -83,10 +83,19 @@ def map_texts(df: DataFrame, text_col: str, carry: dict[str, str], columns: dict
     return taken.mapInArrow(run, schema)
 
 
-def bounded_sample(df: DataFrame, label: str, per_class: int, *keys: str) -> DataFrame:
-    """About ``per_class`` rows of every label (all of a smaller one), chosen by a hash of ``keys``."""
-    counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+def distinct_counts(df: DataFrame, label: str, text: str = "text") -> dict[Any, int]:
+    """Different texts of every label, told apart by a hash (only hashes are shuffled)."""
+    return {r[label]: r["n"] for r in df.select(label, F.xxhash64(text).alias("__hash")).distinct()
+            .groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def bounded_sample(df: DataFrame, label: str, sizes: dict[Any, float], text: str = "text") -> DataFrame:
+    """(label, text): about ``sizes`` different texts of every label (all of a smaller one), chosen by their hash.
+
+    Copies count once, in the choice and in the sample, so its size does not grow with them.
+    """
     share = F.lit(0.0)
-    for value, n in counts.items():
-        share = F.when(F.col(label) == F.lit(value), F.lit(min(1.0, per_class / n))).otherwise(share)
-    return df.where(F.pmod(F.xxhash64(F.lit("sample"), *keys), F.lit(1_000_000)) < share * 1_000_000)
+    for value, n in distinct_counts(df, label, text).items():
+        share = F.when(F.col(label) == F.lit(value), F.lit(min(1.0, sizes[value] / n))).otherwise(share)
+    return df.where(F.pmod(F.xxhash64(F.lit("sample"), text), F.lit(1_000_000)) < share * 1_000_000).select(
+        label, text).distinct()

@@ -2,7 +2,7 @@
 
 Document frequencies are counted over all training texts.  The regression is
 fitted by follow-the-regularised-leader with an elastic net (most weights stay
-exactly zero) on a bounded sample, ``PER_CLASS`` texts of every language and a
+exactly zero) on a bounded sample, ``PER_CLASS`` different texts of every language and a
 short stretch of each, so that short texts are known too; one in five is held
 back to fit the temperature that calibrates the scores.
 
@@ -176,13 +176,13 @@ def stretch(text: str, key: int) -> str:
 
 def fit(training: DataFrame) -> Model:
     """Learn from (text, lang) rows; ``lang`` is not null."""
-    found = training.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
-    langs = sorted(r["lang"] for r in found)
+    langs = sorted(r["lang"] for r in training.select("lang").distinct().collect())
     if not langs:
         return Model([], np.ones(BUCKETS), np.zeros((BUCKETS + 1, 1)), 1.0)
     df = _frequencies(training)
     idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
-    sample = bounded_sample(training, "lang", max(1, min(PER_CLASS, SAMPLE // len(langs))), "text").withColumn(
+    per_class = max(1, min(PER_CLASS, SAMPLE // len(langs)))
+    sample = bounded_sample(training, "lang", dict.fromkeys(langs, per_class)).withColumn(
         "key", F.pmod(F.xxhash64(F.lit("stretch"), "text"), F.lit(1 << 40)))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,7 +199,8 @@ def fit(training: DataFrame) -> Model:
                 ("lang", pa.string()), ("key", pa.int64()), ("at", pa.list_(pa.int32())), ("x", pa.list_(pa.float32()))]))
 
     got = sample.select("lang", "key", "text").mapInArrow(
-        features, "lang string, key long, at array<int>, x array<float>").toArrow().sort_by("key")
+        features, "lang string, key long, at array<int>, x array<float>").toArrow().sort_by(
+            [("key", "ascending"), ("lang", "ascending")])
     y = [langs.index(v) for v in got.column("lang").to_pylist()]
     rows = [(a.values.to_numpy(), x.values.to_numpy().astype(np.float64), c)
             for a, x, c in zip(got.column("at"), got.column("x"), y, strict=True)]

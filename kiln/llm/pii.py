@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.llm.common import map_texts
+from kiln.llm.common import bounded_sample, map_texts
 from kiln.llm.tagger import PAD, Tagger, char_ids
 
 KINDS = ("email", "ip", "card", "phone")
@@ -247,15 +247,12 @@ def train(fragments: list[str]) -> Tagger:
     return tagger
 
 
-def learnt(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Tagger:
-    """A tagger for a table: learns from some places in each of about ``SAMPLE`` texts, mostly such with marks."""
-    rows = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{id_col}`").alias("id")).where(
-        F.col("text").isNotNull())
-    rows = rows.withColumn("marked", F.col("text").rlike("[0-9@]")).withColumn("key", F.xxhash64(F.lit("place"), "id"))
-    sizes = {r["marked"]: r["n"] for r in rows.groupBy("marked").agg(F.count(F.lit(1)).alias("n")).collect()}
-    share = F.when(F.col("marked"), min(1.0, 0.8 * SAMPLE / max(1, sizes.get(True, 0)))).otherwise(
-        min(1.0, 0.2 * SAMPLE / max(1, sizes.get(False, 0))))
-    sample = rows.where(F.pmod("key", F.lit(1_000_000)) < share * 1_000_000)
+def learnt(docs: DataFrame, text_col: str = "text") -> Tagger:
+    """A tagger for a table: learns from some places in each of about ``SAMPLE`` different texts, mostly such with marks."""
+    rows = docs.select(F.col(f"`{text_col}`").cast("string").alias("text")).where(F.col("text").isNotNull())
+    rows = rows.withColumn("marked", F.col("text").rlike("[0-9@]"))
+    sample = bounded_sample(rows, "marked", {True: 0.8 * SAMPLE, False: 0.2 * SAMPLE}).withColumn(
+        "key", F.xxhash64(F.lit("place"), "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -276,7 +273,7 @@ def learnt(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> T
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, counts of pattern spans, their digest, all spans) of every row."""
-    tagger = learnt(docs, text_col, id_col)
+    tagger = learnt(docs, text_col)
 
     def run(texts: list[str]) -> dict:
         found = find(tagger, texts)
@@ -301,7 +298,7 @@ def redacted(text: str, spans: list[Span]) -> str:
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with all spans replaced by their kinds; null texts stay null."""
-    tagger = learnt(docs, text_col, id_col)
+    tagger = learnt(docs, text_col)
     names = docs.columns
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names if c != text_col]).alias("__row"),
                        F.col(f"`{text_col}`").isNull().alias("__null"), F.col(f"`{text_col}`").alias("__t"))

@@ -4,8 +4,8 @@ The terms of a text are its distinct lower-cased words and the first four, five
 and six letters of each (stems of inflected words), hashed to 32 bits.  Linear
 weights tell which terms speak for the label; every term also has a short vector
 whose products weigh pairs of terms, so that a word that is harmless by itself
-counts beside another.  The machine is fitted on a bounded sample of labelled
-texts, over the terms of that sample that depend on the label by a chi-square
+counts beside another.  The machine is fitted on a bounded sample of different
+labelled texts, over the terms of that sample that depend on the label by a chi-square
 test, or of which a pair does beyond what its terms say alone, with AdaGrad steps and an L2 penalty.
 
 Defined results: null and empty texts have no term and get the score of the
@@ -186,7 +186,7 @@ def fit(training: DataFrame) -> Machine:
                                              names=["toxic", "key", "terms"])
 
     got = training.select("text", "toxic", "key").mapInArrow(run, "toxic int, key long, terms array<int>").toArrow()
-    got = got.sort_by("key")
+    got = got.sort_by([("key", "ascending"), ("toxic", "ascending")])
     y = got.column("toxic").to_numpy().astype(float)
     if y.sum() in (0, len(y)):
         share = (y.sum() + 0.5) / (len(y) + 1)
@@ -201,11 +201,13 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     known = (labels.select(F.col(id_col).alias("id"), (F.col(label_col) > 0).cast("int").alias("toxic"))
              .where("id IS NOT NULL AND toxic IS NOT NULL").where(id_remainder("id", parts) != held)
              .groupBy("id").agg(F.max("toxic").alias("toxic")))
-    sample = bounded_sample(known, "toxic", PER_CLASS, "id")
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    # the sample holds some thousand ids by construction, whatever the tables' sizes
-    training = rows.join(F.broadcast(sample), "id").withColumn("key", F.xxhash64("id", "text"))
-    machine = fit(training)
+    # only ids and hashes are joined; the sample holds some thousand hashes by construction, whatever the tables' sizes
+    hashes = rows.where("id IS NOT NULL").select("id", F.xxhash64("text").alias("key")).distinct().join(known, "id")
+    sample = bounded_sample(hashes, "toxic", {0: PER_CLASS, 1: PER_CLASS}, "key")
+    texts = rows.where("id IS NOT NULL").select("text", F.xxhash64("text").alias("key")).join(
+        F.broadcast(sample.select("key").distinct()), "key").distinct()
+    machine = fit(texts.join(F.broadcast(sample), "key"))
 
     def run(texts: list[str]) -> dict:
         scores = list(map(machine.score, texts))

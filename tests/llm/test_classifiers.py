@@ -4,8 +4,10 @@ import random
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from kiln.llm import language_id as L
+from kiln.llm import pii
 from kiln.llm import toxicity as T
 
 SF = "/root/testdata/sf0.01"
@@ -123,3 +125,35 @@ def test_toxicity_of_awkward_rows(spark, awkward, no_docs):
     assert T.toxicity(no_docs, labels).count() == 0
     one = T.toxicity(awkward, labels.where("toxic = 0")).collect()
     assert {r["predicted"] for r in one} == {0}
+
+
+def seen_by(monkeypatch, module):
+    """The first arguments of the module's ``train``."""
+    seen, own = [], module.train
+    monkeypatch.setattr(module, "train", lambda rows, *a: seen.append(rows) or own(rows, *a))
+    return seen
+
+
+def test_copies_do_not_take_the_places_of_other_texts(spark, monkeypatch):
+    several = spark.range(60).select(F.concat(F.lit("other words "), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij"))
+                                     .alias("text"))
+    docs = several.union(spark.range(4_000).select(F.lit("the same words again"))).coalesce(2)
+    seen = seen_by(monkeypatch, L)
+    L.fit(docs.withColumn("lang", F.lit("aa")).union(several.select(F.reverse("text"), F.lit("bb"))))
+    assert 0.7 * 2 * 121 < len(seen[0]) <= 2 * 121              # a text and a stretch of it, one in five held back
+
+    # one id of many rows
+    docs = docs.select(F.lit(1).alias("doc_id"), "text").union(several.select(F.lit(2), F.reverse("text")))
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id int, toxic int")
+    seen = seen_by(monkeypatch, T)
+    T.toxicity(docs, labels, held=-1)
+    assert len(seen[0]) == 121
+
+
+def test_the_tagger_learns_from_a_sample_of_rows_without_ids(spark, monkeypatch):
+    docs = spark.range(6_000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("Mail a"), "id", F.lit("@b.example.com now"))
+                                     .alias("text"))
+    seen = []
+    monkeypatch.setattr(pii, "train", seen.append)
+    pii.learnt(docs.union(docs))
+    assert 0.5 * pii.SAMPLE < len(set(seen[0])) and len(seen[0]) < 4 * pii.SAMPLE
