@@ -7,6 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from kiln.llm import divergence as terms
+from kiln.llm import filter_audit as filters
 from kiln.llm.common import table
 from kiln.llm.decontamination import contaminated
 from kiln.llm.html_extract import extract
@@ -78,3 +80,17 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return terms.divergence(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_filter_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filters.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLE["op11_source_divergence"] = terms.ORACLE
+ORACLE["op12_filter_interaction"] = filters.ORACLE
