@@ -20,8 +20,10 @@ from kiln.llm.simhash import near_duplicates
 from kiln.llm.suffix_dedup import remove_repeats
 from kiln.llm.token_counts import token_counts
 from kiln.llm.toxicity import toxicity
+from kiln.llm.transducer import byte_bpe
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -92,5 +94,10 @@ def op12_filter_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filters.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe(table(spark, sf_dir, "documents"), RANKS)
+
+
 ORACLE["op11_source_divergence"] = terms.ORACLE
 ORACLE["op12_filter_interaction"] = filters.ORACLE

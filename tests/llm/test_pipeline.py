@@ -18,7 +18,7 @@ from tests.llm.test_simhash import classes, plain_print
 def test_stages_and_names():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "near_dedup", "decontamination", "personal_data", "packing"]
     assert [n.split("_")[0] for n in sorted(queries.QUERIES, key=lambda n: int(n[2:].split("_")[0]))] == [
-        f"op{k}" for k in range(1, 11)]
+        f"op{k}" for k in range(1, 14)]
 
 
 def test_run_against_a_plain_version(spark):
