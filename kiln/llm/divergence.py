@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from kiln.llm.common import written
 
-CHUNK, ROWS = 16 << 20, 60_000          # bytes and documents that a task counts together, about
+CHUNK, ROWS = 5 << 20, 60_000          # bytes and documents that a task counts together, about
 WIDEST = 256                            # bytes of a term in the widest bucket of arrays
 CELLS = 1 << 21                         # cells of a block of terms by sources, and of sums kept by a task
 SCALE = 1_000_000_000
