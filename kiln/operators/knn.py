@@ -1,20 +1,28 @@
 """Exact k-nearest neighbours in blocks.
 
-Donors are dealt to cells around a few sampled pivots, and cells to blocks of a
-bounded number of rows; queries are dealt to blocks as well.  A query block and
-a donor block are scored together as arrays (one matrix product), and only each
-query's k best of the block leave the task.  Two rounds keep the answer exact:
-the nearest cell gives an upper bound of the k-th distance; then only cells are
-visited whose lower bound does not exceed it.  The lower bound of a cell is the
-distance to its bounding box, and for complete vectors also the distance to its
-pivot less its radius (triangle inequality).  With missing coordinates the box
-counts only those that all donors of the cell have, which never overstates the
-nan-euclidean distance.
+Donors are dealt to cells around sampled pivots, as many as the square root of
+their number (at most ``MAX_CELLS``), found through a tree of two levels; cells
+are cut into blocks of a bounded number of rows.  Queries are dealt by their
+nearest cell, so that a block of queries is a place in space, too.  A query block
+and a donor block are scored together as arrays (one matrix product), and only
+each query's k best of the block leave the task.
+
+Two rounds keep the answer exact: the nearest cell gives an upper bound of the
+k-th distance; then only cells are visited whose lower bound does not exceed it,
+cells of a top of the tree only where the top's own bound allows.  The lower
+bound of a cell is the distance to its bounding box, and for complete vectors
+also the distance to its pivot less its radius (triangle inequality).  With
+missing coordinates the box counts only those that all donors of the cell have,
+which never overstates the nan-euclidean distance.
+
+A round first knows its visits: the distinct triples (query block, cell, donor
+block) are a directory that is joined to the donors, so a donor is copied to the
+blocks that visit it and to no other.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,7 +32,8 @@ from pyspark.sql import functions as F
 
 from kiln.session import written
 
-CELLS, BLOCK = 64, 4096
+BLOCK, MAX_CELLS = 4096, 1 << 14
+ROWS = 1024            # queries whose bounds are worked out together
 
 
 def _matrix(column) -> np.ndarray:
@@ -54,33 +63,88 @@ def _distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.sqrt(x.shape[1] / both.sum(axis=1) * s)
 
 
+def _box_gap(x: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Squared distances of all rows from all boxes, over the coordinates that a row has."""
+    out = np.empty((len(x), len(low)))
+    for c in range(len(low)):
+        gap = np.fmax(np.fmax(low[c] - x, x - high[c]), 0.0)
+        out[:, c] = np.nansum(gap * gap, axis=1)
+    return out
+
+
 @dataclass
-class Cells:
-    """Pivots, radii and boxes; a few rows whatever the number of donors."""
+class Level:
+    """Balls and boxes around a set of pivots."""
 
     pivots: np.ndarray
     radius: np.ndarray          # inf where a donor lacks a coordinate
-    low: np.ndarray             # box of the coordinates that all donors of the cell have, else -inf
+    low: np.ndarray             # box of the coordinates that all donors have, else -inf
     high: np.ndarray
-    blocks: np.ndarray
 
-    def nearest(self, x: np.ndarray) -> np.ndarray:
-        d = _squares(x, self.pivots)
-        d[:, self.blocks == 0] = np.inf
-        return d.argmin(axis=1)
-
-    def bounds(self, x: np.ndarray) -> np.ndarray:
-        """Lower bound of the distance from every row to every cell's donors."""
-        out = np.empty((len(x), len(self.pivots)))
+    def bounds(self, x: np.ndarray, which: np.ndarray | slice = slice(None)) -> np.ndarray:
+        """Lower bound of the distance from every row to every donor of the chosen pivots."""
         share = x.shape[1] / np.maximum((~np.isnan(x)).sum(axis=1), 1)
-        complete = ~np.isnan(x).any(axis=1)
-        for c in range(len(self.pivots)):
-            gap = np.fmax(np.fmax(self.low[c] - x, x - self.high[c]), 0.0)
-            out[:, c] = np.sqrt(share * np.nansum(gap * gap, axis=1))
-            if np.isfinite(self.radius[c]):
-                ball = np.sqrt(((x - self.pivots[c]) ** 2).sum(axis=1)) - self.radius[c]
-                out[:, c] = np.where(complete, np.fmax(out[:, c], ball), out[:, c])
-        return out * (1 - 1e-12) - 1e-12
+        out = np.sqrt(share[:, None] * _box_gap(x, self.low[which], self.high[which]))
+        ball = np.sqrt(_squares(x, self.pivots[which])) * (1 - 1e-9) - 1e-9 - self.radius[which]
+        complete = ~np.isnan(x).any(axis=1)[:, None] & np.isfinite(self.radius[which])
+        return np.where(complete, np.fmax(out, ball), out) * (1 - 1e-12) - 1e-12
+
+
+class Cells:
+    """A tree of two levels over the pivots; its size is that of the cells, not of the donors."""
+
+    def __init__(self, pivots: np.ndarray):
+        self.pivots = pivots
+        self.tops = pivots[:max(1, int(np.sqrt(len(pivots))))]
+        self._group()
+
+    def _group(self) -> None:
+        of = _squares(self.pivots, self.tops).argmin(axis=1)
+        self.members = [np.flatnonzero(of == t) for t in range(len(self.tops))]
+
+    def nearest(self, x: np.ndarray) -> np.ndarray:
+        """A near cell of every row: the nearest pivot below the nearest top."""
+        top = _squares(x, self.tops).argmin(axis=1)
+        out = np.empty(len(x), dtype=np.int64)
+        for t in np.unique(top):
+            rows, own = np.flatnonzero(top == t), self.members[t]
+            out[rows] = own[_squares(x[rows], self.pivots[own]).argmin(axis=1)]
+        return out
+
+    def fill(self, stats: list, block: int) -> None:
+        """Take up the donors' counts, distances and boxes; cells and tops without donors go."""
+        stats = sorted(stats, key=lambda r: r["_cell"])
+        used = np.array([r["_cell"] for r in stats], dtype=np.int64)
+        n = np.array([r["n"] for r in stats], dtype=np.int64)
+        whole = np.array([r["have"] for r in stats]) == n[:, None]
+        low = np.where(whole, np.array([r["low"] for r in stats], dtype=float), -np.inf)
+        high = np.where(whole, np.array([r["high"] for r in stats], dtype=float), np.inf)
+        radius = np.where(whole.all(axis=1), np.array([r["far"] for r in stats]) * (1 + 1e-9), np.inf)
+        self.number = np.full(len(self.pivots), -1)
+        self.number[used] = np.arange(len(used))
+        self.pivots, self.blocks = self.pivots[used], -(-n // block)
+        self.cells = Level(self.pivots, radius, low, high)
+        self._group()
+        self.tops = np.array([t for t, own in zip(self.tops, self.members, strict=True) if len(own)])
+        self.members = [own for own in self.members if len(own)]
+        reach = [(np.sqrt(_squares(self.tops[t:t + 1], self.pivots[own])[0]) * (1 + 1e-9) + 1e-9 + radius[own]).max()
+                 for t, own in enumerate(self.members)]
+        self.top = Level(self.tops, np.array(reach), np.array([low[own].min(axis=0) for own in self.members]),
+                         np.array([high[own].max(axis=0) for own in self.members]))
+
+    def within(self, x: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, cell) of the cells that may hold a donor no farther than a row's limit."""
+        rows, cells = [], []
+        for first in range(0, len(x), ROWS):
+            part, reach = x[first:first + ROWS], limit[first:first + ROWS]
+            open_tops = self.top.bounds(part) <= reach[:, None]
+            for t in np.flatnonzero(open_tops.any(axis=0)):
+                own, at = self.members[t], np.flatnonzero(open_tops[:, t])
+                row, cell = np.nonzero(self.cells.bounds(part[at], own) <= reach[at][:, None])
+                rows.append(first + at[row])
+                cells.append(own[cell])
+        none = np.empty(0, dtype=np.int64)
+        return np.concatenate([none, *rows]), np.concatenate([none, *cells])
 
 
 def _score(k: int, qk: list[str], slot: str | None):
@@ -109,19 +173,27 @@ def _score(k: int, qk: list[str], slot: str | None):
     return fn
 
 
+def _numbers(values: np.ndarray) -> Column:
+    """One literal array of whole numbers."""
+    return F.split(F.lit(",".join(map(str, values.tolist()))), ",").cast("array<int>")
+
+
 def _deal(donors: DataFrame, dims: int, cells: int, block: int) -> tuple[DataFrame, Cells]:
-    """Donors with their cell and block, and the cells' bounds."""
+    """Donors with their cell and block, and the tree of the cells."""
     some = donors.orderBy(F.xxhash64("_dk")).limit(cells)               # pivots: at most ``cells`` rows
     pivots = _matrix(some.select("_v").toArrow().column("_v"))
-    column_means = np.where(np.isnan(pivots).all(axis=0), 0.0, np.nanmean(np.where(np.isnan(pivots).all(axis=0), 0.0, pivots), axis=0))
-    pivots = np.where(np.isnan(pivots), column_means, pivots)
+    empty = np.isnan(pivots).all(axis=0)
+    column_means = np.where(empty, 0.0, np.nanmean(np.where(empty, 0.0, pivots), axis=0))
+    tree = Cells(np.where(np.isnan(pivots), column_means, pivots))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            s = _squares(_matrix(b.column("_v")), pivots)
-            cell = s.argmin(axis=1).astype(np.int32)
-            d = np.sqrt(s[np.arange(len(cell)), cell])
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell), pa.array(d)], names=["_dk", "_v", "_cell", "_far"])
+            x = _matrix(b.column("_v"))
+            cell = tree.nearest(x) if len(x) else np.empty(0, dtype=np.int64)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                far = np.nan_to_num(_distance(x, tree.pivots[cell]))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell.astype(np.int32)), pa.array(far, pa.float64())],
+                                             names=["_dk", "_v", "_cell", "_far"])
 
     kind = donors.schema["_dk"].dataType.simpleString()
     placed = written(donors.mapInArrow(assign, f"_dk {kind}, _v array<double>, _cell int, _far double"), "donors")
@@ -130,74 +202,109 @@ def _deal(donors: DataFrame, dims: int, cells: int, block: int) -> tuple[DataFra
         F.count(F.lit(1)).alias("n"), F.max("_far").alias("far"),
         F.array(*[F.min(x) for x in v]).alias("low"), F.array(*[F.max(x) for x in v]).alias("high"),
         F.array(*[F.count(x) for x in v]).alias("have")).collect()      # one row per cell
-    c = Cells(pivots, np.zeros(len(pivots)), np.full(pivots.shape, -np.inf), np.full(pivots.shape, np.inf),
-              np.zeros(len(pivots), dtype=np.int64))
-    for r in stats:
-        i, whole = r["_cell"], np.array(r["have"]) == r["n"]
-        c.blocks[i] = -(-r["n"] // block)
-        c.radius[i] = r["far"] * (1 + 1e-9) if whole.all() else np.inf
-        c.low[i] = np.where(whole, np.array(r["low"], dtype=float), -np.inf)
-        c.high[i] = np.where(whole, np.array(r["high"], dtype=float), np.inf)
-    blocks = F.element_at(F.array(*[F.lit(int(b)) for b in c.blocks]), F.col("_cell") + 1)
-    return placed.withColumn("_block", F.pmod(F.xxhash64("_dk"), blocks).cast("int")).drop("_far"), c
+    tree.fill(stats, block)
+    placed = placed.withColumn("_cell", F.element_at(_numbers(tree.number), F.col("_cell") + 1))
+    blocks = F.element_at(_numbers(tree.blocks), F.col("_cell") + 1)
+    return placed.withColumn("_block", F.pmod(F.xxhash64("_dk"), blocks).cast("int")).drop("_far"), tree
+
+
+def _map_queries(rows: DataFrame, fn, columns: dict[str, str]) -> DataFrame:
+    """``fn(vectors, batch)`` gives the rows to take and further columns."""
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema if f.name != "_kth"}
+    arrow = {"int": pa.int32()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                row, *more = fn(_matrix(b.column("_v")), b)
+                own = b.take(pa.array(row))
+                yield pa.RecordBatch.from_arrays(
+                    [*[own.column(c) for c in kinds], *[pa.array(x, arrow[t]) for x, t in zip(more, columns.values(), strict=True)]],
+                    names=[*kinds, *columns])
+    return rows.mapInArrow(run, ", ".join(f"`{c}` {t}" for c, t in (kinds | columns).items()))
+
+
+def _visits(q: DataFrame, tree: Cells) -> DataFrame:
+    """A row per query and donor block to visit: those of its near cell, or with a limit ``_kth`` all others that may
+    hold a nearer donor."""
+    first = "_kth" not in q.columns
+
+    def fn(x: np.ndarray, b: pa.RecordBatch):
+        near = b.column("_near").to_numpy()
+        if first:
+            row, cell = np.arange(len(x)), near.astype(np.int64)
+        else:
+            row, cell = tree.within(x, b.column("_kth").to_numpy(zero_copy_only=False))
+            other = cell != near[row]
+            row, cell = row[other], cell[other]
+        n = tree.blocks[cell]
+        start = np.cumsum(n) - n
+        block = np.arange(n.sum()) - np.repeat(start, n)
+        return np.repeat(row, n), np.repeat(cell, n).astype(np.int32), block.astype(np.int32)
+    return _map_queries(q, fn, {"_cell": "int", "_block": "int"})
+
+
+TRIPLE = ["_qb", "_part", "_cell", "_block"]        # the first two name the query block
+
+
+def visited_donors(placed: DataFrame, visits: DataFrame) -> DataFrame:
+    """Donors copied to the query blocks that visit their block."""
+    directory = visits.select(*[F.col(c).alias(c) for c in TRIPLE]).distinct()      # columns of their own
+    return placed.join(directory, ["_cell", "_block"])
+
+
+def deal_queries(queries: DataFrame, qk: Sequence[str], vec: str, tree: Cells, block: int) -> DataFrame:
+    """Queries with their near cell and query block: cells of one top together up to ``block`` rows, crowded cells in parts."""
+    q = queries.select(*qk, F.col(vec).cast("array<double>").alias("_v"))
+    q = written(_map_queries(q, lambda x, b: (np.arange(len(x)), tree.nearest(x).astype(np.int32)), {"_near": "int"}), "queries")
+    n = np.zeros(len(tree.blocks), dtype=np.int64)
+    for r in q.groupBy("_near").agg(F.count(F.lit(1)).alias("n")).collect():       # one row per cell
+        n[r["_near"]] = r["n"]
+    of, last = np.zeros(len(n), dtype=np.int64), -1
+    for own in tree.members:
+        held = block
+        for c in own:
+            if held + n[c] > block:
+                held, last = 0, last + 1
+            held += n[c]
+            of[c] = last
+    near = F.col("_near") + 1
+    parts = F.element_at(_numbers(np.maximum(-(-n // block), 1)), near)
+    return q.withColumn("_qb", F.element_at(_numbers(of), near)).withColumn(
+        "_part", F.pmod(F.xxhash64(*qk), parts).cast("int"))
 
 
 def neighbours(queries: DataFrame, donors: DataFrame, qkey: str, dkey: str, vec: str, k: int,
-               slot: str | None = None, cells: int = CELLS, block: int = BLOCK) -> DataFrame:
+               slot: str | None = None, cells: int | None = None, block: int = BLOCK) -> DataFrame:
     """Rows (qkey[, slot], dkey, dist, rank) of the k nearest donors per query.
 
     ``slot`` is a further query key: the coordinate that a donor must have.
-    Distances are nan-euclidean; ties go to the smaller donor key."""
+    Distances are nan-euclidean; ties go to the smaller donor key.  ``cells`` is
+    the square root of the donors unless given."""
     qk = [qkey] + ([slot] if slot else [])
     d = donors.select(F.col(dkey).alias("_dk"), F.col(vec).cast("array<double>").alias("_v"))
-    dims = int(d.agg(F.max(F.size("_v"))).first()[0] or 0)
-    if not dims:
+    size = d.agg(F.max(F.size("_v")).alias("dims"), F.count(F.lit(1)).alias("n")).first()
+    dims = int(size["dims"] or 0)
+    if dims <= 0:
         kind = donors.schema[dkey].dataType
         return queries.select(*qk, F.lit(None).cast(kind).alias(dkey), F.lit(0.0).alias("dist"), F.lit(0).alias("rank")).limit(0)
-    placed, c = _deal(d, dims, cells, block)
-    n_blocks = max(1, -(-queries.count() // block))
-    q = queries.select(*qk, F.col(vec).cast("array<double>").alias("_v")).withColumn(
-        "_qb", F.pmod(F.xxhash64(*qk), F.lit(n_blocks)).cast("int"))
+    placed, tree = _deal(d, dims, cells or min(MAX_CELLS, int(np.ceil(np.sqrt(size["n"])))), block)
+    q = deal_queries(queries, qk, vec, tree, block)
     key_ddl = ", ".join(f"`{x}` {q.schema[x].dataType.simpleString()}" for x in qk)
-
-    def visits(rows: DataFrame, first: bool) -> DataFrame:
-        """One row per query and cell to visit: the nearest one, or all others that may hold a neighbour."""
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                if not b.num_rows:
-                    continue
-                x = _matrix(b.column("_v"))
-                near = c.nearest(x)
-                if first:
-                    row, cell = np.arange(len(x)), near
-                else:
-                    limit = b.column("_kth").to_numpy(zero_copy_only=False)
-                    may = (c.bounds(x) <= limit[:, None]) & (c.blocks > 0)
-                    may[np.arange(len(x)), near] = False
-                    row, cell = np.nonzero(may)
-                own = b.take(pa.array(row))
-                yield pa.RecordBatch.from_arrays([*[own.column(n) for n in (*qk, "_v", "_qb")], pa.array(cell.astype(np.int32))],
-                                                 names=[*qk, "_v", "_qb", "_cell"])
-        return rows.mapInArrow(run, f"{key_ddl}, _v array<double>, _qb int, _cell int")
-
-    blocks = F.element_at(F.array(*[F.lit(int(b)) for b in c.blocks]), F.col("_cell") + 1)
-    dealt = placed.withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
     kind = placed.schema["_dk"].dataType.simpleString()
 
     def scored(v: DataFrame) -> DataFrame:
-        v = v.withColumn("_block", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        keys = ["_cell", "_block", "_qb"]
-        return v.groupBy(*keys).cogroup(dealt.groupBy(*keys)).applyInArrow(
+        return v.groupBy(*TRIPLE).cogroup(visited_donors(placed, v).groupBy(*TRIPLE)).applyInArrow(
             _score(k, qk, slot), f"{key_ddl}, _dk {kind}, dist double")
 
     def best(rows: DataFrame) -> DataFrame:
         w = Window.partitionBy(*qk).orderBy("dist", "_dk")
         return rows.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
-    one = written(best(scored(visits(q, True))).drop("rank"), "round-one")
+    one = written(best(scored(written(_visits(q, tree), "visits"))).drop("rank"), "round-one")
     kth = one.groupBy(*qk).agg(F.when(F.count(F.lit(1)) >= k, F.max("dist")).alias("_kth"))
     rest = q.join(kth, qk, "left").withColumn("_kth", F.coalesce("_kth", F.lit(float("inf"))))
-    two = scored(visits(rest, False))
+    two = scored(written(_visits(rest, tree), "visits"))
     return best(one.unionByName(two)).select(*qk, F.col("_dk").alias(dkey), "dist", "rank")
 
 
@@ -222,7 +329,7 @@ def knn_predict(train: DataFrame, test: DataFrame, key: str, vec: str, label: st
 
 # F6 -------------------------------------------------------------------------
 def impute_slots(train: DataFrame, data: DataFrame, key: str, vec: str, k: int = 9,
-                 cells: int = CELLS, block: int = BLOCK) -> DataFrame:
+                 cells: int | None = None, block: int = BLOCK) -> DataFrame:
     """(key, j, value) for every missing coordinate: mean over the k nearest
     donors having coordinate j, or the train mean of j without donors."""
     dims = train.select(F.max(F.size(vec))).first()[0]

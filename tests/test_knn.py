@@ -54,3 +54,56 @@ def test_imputation_matches_brute_force(spark):
             cands.sort()
             exp = np.mean([c[2] for c in cands[:3]]) if cands else means[j]
             assert abs(got[(qid, j)] - exp) < 1e-9
+
+
+def test_donors_are_copied_to_the_blocks_that_visit_them(spark):
+    rng = np.random.default_rng(9)
+    centres = rng.uniform(-100, 100, (40, 3))
+    x = centres[rng.integers(0, 40, 3000)] + rng.normal(0, 0.5, (3000, 3))
+    df = spark.createDataFrame([(i, [float(a) for a in v]) for i, v in enumerate(x)], "id long, v array<double>")
+    donors = df.filter("id % 3 != 0").select(F.col("id").alias("_dk"), F.col("v").alias("_v"))
+    placed, tree = KNN._deal(donors, 3, 45, 40)
+    q = KNN.deal_queries(df.filter("id % 3 = 0"), ["id"], "v", tree, 40)
+    blocks = q.select("_qb", "_part").distinct().count()
+    assert blocks >= 20
+    sizes = {(r["_cell"], r["_block"]): r["count"] for r in placed.groupBy("_cell", "_block").count().collect()}
+    assert sum(sizes.values()) == 2000 and max(sizes.values()) < 120
+    for visits in (KNN._visits(q, tree), KNN._visits(q.withColumn("_kth", F.lit(2.0)), tree)):
+        triples = {tuple(r) for r in visits.select(*KNN.TRIPLE).collect()}
+        copied = KNN.visited_donors(placed, visits).count()
+        assert copied == sum(sizes.get(t[2:], 0) for t in triples)
+        assert copied < 2000 * blocks / 5               # every donor to every block would be five times as many
+
+
+def test_neighbours_of_missing_empty_and_repeated_rows(spark):
+    df, _ = _data(spark, n=40)
+    donors = df.withColumnRenamed("id", "donor")
+    assert KNN.neighbours(df, donors.limit(0), "id", "donor", "v", k=2).count() == 0
+    assert KNN.neighbours(df.limit(0), donors, "id", "donor", "v", k=2).count() == 0
+    same = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(30)], "donor long, v array<double>")
+    got = KNN.neighbours(spark.createDataFrame([(7, [1.0, 2.0])], "id long, v array<double>"), same, "id", "donor", "v", k=3, block=4)
+    assert sorted((r["donor"], r["dist"], r["rank"]) for r in got.collect()) == [(0, 0.0, 1), (1, 0.0, 2), (2, 0.0, 3)]
+
+
+def test_tree_bounds_never_exceed_the_distance():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 5))
+    x[::9, 2] = np.nan
+    tree = KNN.Cells(rng.normal(size=(30, 5)))
+    cell = tree.nearest(x)
+    stats = [{"_cell": c, "n": int((cell == c).sum()), "low": np.nanmin(x[cell == c], axis=0), "high": np.nanmax(x[cell == c], axis=0),
+              "have": (~np.isnan(x[cell == c])).sum(axis=0),
+              "far": float(np.nanmax(np.nan_to_num(KNN._distance(x[cell == c], np.repeat(tree.pivots[c:c + 1], (cell == c).sum(), 0)))))}
+             for c in np.unique(cell)]
+    tree.fill(stats, 7)
+    q = np.vstack([rng.normal(size=(60, 5)) * 3, np.where(rng.random((60, 5)) < 0.3, np.nan, rng.normal(size=(60, 5)))])
+    q = q[~np.isnan(q).all(axis=1)]
+    dist = np.sqrt(KNN._squares(q, x))
+    own = tree.number[cell]
+    assert all(b.sum() >= 1 for b in tree.blocks)
+    for limit in (0.5, 2.0, 5.0):
+        row, at = tree.within(q, np.full(len(q), limit))
+        seen = set(zip(row.tolist(), at.tolist()))
+        near_row, near_donor = np.nonzero(dist <= limit)
+        assert {(r, int(own[d])) for r, d in zip(near_row.tolist(), near_donor.tolist())} <= seen
+    assert len(tree.within(q, np.full(len(q), 0.5))[0]) < len(q) * len(tree.blocks)
