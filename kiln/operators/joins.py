@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kiln.operators import series as S
 
@@ -87,17 +88,51 @@ def align_counts(a: DataFrame, b: DataFrame, on: Sequence[str] | str, count_a: s
              .withColumn(count_b, F.coalesce(F.col(count_b), F.lit(0))))
 
 
+# levels of intervals without length, and of those without end
+POINT, ENDLESS = -2000, 2000
+
+
+def _number(df: DataFrame, name: str) -> Column:
+    """Position of a value on the line (dates and times in seconds); keeps the order."""
+    col = F.col(name)
+    return (col.cast("timestamp") if isinstance(df.schema[name].dataType, (T.DateType, T.TimestampNTZType)) else col).cast("double")
+
+
+def _node(x: Column, level: Column) -> Column:
+    """Number of the dyadic node of 2^level that holds ``x``; rises with ``x``."""
+    at = x / F.pow(F.lit(2.0), level)
+    whole = F.when(F.abs(at) < F.lit(2.0 ** 52), F.floor(at).cast("double")).otherwise(at)
+    return F.when(level == POINT, x).when(level == ENDLESS, F.lit(0.0)).otherwise(whole)
+
+
+def dyadic_nodes(intervals: DataFrame, start: str, end: str) -> DataFrame:
+    """Intervals with ``_level`` and ``_node``: the two or so nodes that cover each, on the level of its own length."""
+    lo, hi = _number(intervals, start), _number(intervals, end)
+    length = hi - lo
+    level = F.when(length == 0, F.lit(POINT)).when(F.abs(length) == F.lit(float("inf")), F.lit(ENDLESS)).otherwise(
+        F.greatest(F.lit(-1000), F.ceil(F.log2(length)).cast("int")))
+    rows = intervals.filter(length >= 0).withColumn("_level", level)
+    first, last = _node(lo, F.col("_level")), _node(hi, F.col("_level"))
+    nodes = F.transform(F.sequence(F.lit(0), (last - first).cast("int")), lambda i: first + i)
+    return rows.withColumn("_node", F.explode(nodes))
+
+
 def interval_join(points: DataFrame, intervals: DataFrame, keys: Sequence[str], at: str,
-                  start: str, end: str, width: float) -> DataFrame:
+                  start: str, end: str) -> DataFrame:
     """Points falling in [start, end] of an interval with the same key.
 
-    Range join as an equi-join: both sides get a numeric bucket of ``width``;
-    an interval is copied to every bucket it spans, then the join is on
-    (key, bucket) plus the range filter.  No cross product."""
+    Range join as an equi-join on a dyadic index: an interval lies in the two or
+    so neighbouring nodes whose size is the power of two above its length, so it
+    is copied a few times however long it is; a point is copied once to every
+    level on which intervals exist (at most one per power of two).  The join is
+    on (key, level, node) plus the range filter, and a point meets no interval
+    that is not within a few interval lengths of it.  Null ends, and ends before
+    their start, match nothing.
+    """
     keys = list(keys)
-    p = points.withColumn("_b", F.floor(F.col(at).cast("double") / width).cast("long"))
-    lo = F.floor(F.col(start).cast("double") / width).cast("long")
-    hi = F.floor(F.col(end).cast("double") / width).cast("long")
-    i = intervals.withColumn("_b", F.explode(F.sequence(lo, hi)))
-    j = p.join(i, [*keys, "_b"], "inner").filter((F.col(at) >= F.col(start)) & (F.col(at) <= F.col(end)))
-    return j.drop("_b")
+    i = dyadic_nodes(intervals, start, end)
+    levels = sorted(r[0] for r in i.select("_level").distinct().collect())     # powers of two: some thousand at most
+    p = points.withColumn("_level", F.explode(F.lit(levels or [POINT]))) \
+              .withColumn("_node", _node(_number(points, at), F.col("_level")))
+    j = p.join(i, [*keys, "_level", "_node"], "inner").filter((F.col(at) >= F.col(start)) & (F.col(at) <= F.col(end)))
+    return j.drop("_level", "_node")

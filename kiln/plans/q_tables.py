@@ -168,7 +168,7 @@ def interval(spark, sf_dir):
     pts = e.select("event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("t"), "value")
     iv = w.select("event_type", "w_start", F.unix_micros(F.col("w_start").cast("timestamp")).alias("s"),
                   F.unix_micros(F.col("w_end").cast("timestamp")).alias("e"))
-    j = J.interval_join(pts, iv, ["event_type"], "t", "s", "e", width=6 * 3600 * 1e6)
+    j = J.interval_join(pts, iv, ["event_type"], "t", "s", "e")
     return j.groupBy("event_type", "w_start").agg(F.count(F.lit(1)).alias("n"),
                                                   F.round(F.sum("value"), 2).alias("total"))
 
