@@ -19,18 +19,17 @@ data.  Instead:
   many tasks and the result is exact for frames up to the halo size.
 * ``scan_*`` give unbounded (running) frames: a block-local window plus a carry
   from a small per-block table.  ``ewm`` does the same for the exponential
-  recursion y_t = (1-a) y_{t-1} + a x_t (affine maps compose).
+  recursion y_t = (1-a) y_{t-1} + a x_t: affine maps compose, so their scan is a
+  running sum inside a run of rows and an array scan over the runs.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from kiln.session import written
 
@@ -64,8 +63,9 @@ def key_stats(df: DataFrame, keys: Sequence[str]) -> tuple[int, int, bool]:
     return int(r["n"] or 0), int(r["m"] or 0), bool(r["z"])
 
 
-def _tag(col: Column, single: bool, size: int, null_keys: bool) -> Column:
-    return col.alias(SEQ, metadata={"kiln_single_block": single, "kiln_block_rows": size, "kiln_null_keys": null_keys})
+def _tag(col: Column, single: bool, size: int, null_keys: bool, most: int) -> Column:
+    return col.alias(SEQ, metadata={"kiln_single_block": single, "kiln_block_rows": size, "kiln_null_keys": null_keys,
+                                    "kiln_most_rows": most})
 
 
 def _noted(df: DataFrame, name: str, default: bool) -> bool:
@@ -75,6 +75,14 @@ def _noted(df: DataFrame, name: str, default: bool) -> bool:
         return default
 
 
+def _noted_rows(df: DataFrame) -> int | None:
+    """Rows of the largest key as ``sequence`` measured them."""
+    try:
+        return int(df.schema[SEQ].metadata["kiln_most_rows"])
+    except (KeyError, IndexError):
+        return None
+
+
 def single_block(df: DataFrame) -> bool:
     """True when ``sequence`` measured every key to fit one block."""
     return _noted(df, "kiln_single_block", False)
@@ -110,7 +118,7 @@ def sequence(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     if biggest <= target:
         w = Window.partitionBy(*keys).orderBy(*order)
         whole = Window.partitionBy(*keys)
-        return (df.withColumn(SEQ, _tag(F.row_number().over(w).cast("long"), True, target, null_keys))
+        return (df.withColumn(SEQ, _tag(F.row_number().over(w).cast("long"), True, target, null_keys, biggest))
                   .withColumn(CNT, F.count(F.lit(1)).over(whole).cast("long")))
     parts = min(-(-total // target), MAX_PARTS)
     d = written(df.repartitionByRange(parts, *keys, *order).withColumn("_part", F.spark_partition_id()), "sequenced")
@@ -122,7 +130,7 @@ def sequence(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                      F.sum("_c").over(whole).cast("long").alias(CNT))
     d = keyed_join(d, off, [*keys, "_part"], "inner", null_keys)
     w = Window.partitionBy(*keys, "_part").orderBy(*order)
-    return (d.withColumn(SEQ, _tag((F.row_number().over(w) + F.col("_off")).cast("long"), False, target, null_keys))
+    return (d.withColumn(SEQ, _tag((F.row_number().over(w) + F.col("_off")).cast("long"), False, target, null_keys, biggest))
              .drop("_part", "_off"))
 
 
@@ -216,66 +224,89 @@ def scan_sum(df: DataFrame, keys: Sequence[str], cols: dict[str, Column]) -> Dat
 
 # ------------------------------------------------------------------------- EWMA
 
-def _ewm_local(keys, specs, schema_names):
-    """Per (key, block): local responses with zero start and with first-value start."""
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(SEQ, kind="stable").reset_index(drop=True)
-        for out, (src, alpha) in specs.items():
-            x = pdf[src].astype("float64")
-            first = x.ewm(alpha=alpha, adjust=False, ignore_na=True).mean()
-            zero = (pd.concat([pd.Series([0.0]), x], ignore_index=True)
-                    .ewm(alpha=alpha, adjust=False, ignore_na=True).mean().iloc[1:]
-                    .reset_index(drop=True))
-            steps = x.notna().cumsum().to_numpy(dtype="float64")
-            pdf[f"{out}__f"] = first.where(x.notna().cummax(), np.nan)
-            pdf[f"{out}__z"] = zero
-            pdf[f"{out}__m"] = np.power(1.0 - alpha, steps)
-        return pdf[schema_names]
-    return fn
-
-
-def _ewm_carry(keys, outs):
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(BLK, kind="stable").reset_index(drop=True)
-        res = {k: pdf[k] for k in keys}
-        res[BLK] = pdf[BLK]
-        for o in outs:
-            z, f, m = (pdf[f"{o}__ze"].to_numpy(), pdf[f"{o}__fe"].to_numpy(), pdf[f"{o}__me"].to_numpy())
-            carry = np.full(len(pdf), np.nan)
-            y = np.nan
-            for i in range(len(pdf)):
-                carry[i] = y
-                y = z[i] + m[i] * y if not np.isnan(y) else f[i]
-            res[f"{o}__c"] = carry
-        return pd.DataFrame(res)
-    return fn
+STEPS_MOST = 1 << 15    # rows that one window scales together, at most
+SCAN_WIDTH = 256        # maps that one array scan composes
+DIGITS = 250            # powers of ten that a scaled weight may reach
+
+
+def _run_rows(alphas: Sequence[float]) -> int:
+    """Rows over which the weights 1 / (1-a)^t stay finite for every ``a``."""
+    return max(1, min(STEPS_MOST, *(int(-DIGITS / math.log10(1.0 - a)) for a in alphas)))
+
+
+def _composed(a: Column, b: Column) -> Column:
+    """The affine map of ``b`` after ``a``: (factor, offset, first value that either has seen)."""
+    return F.struct((a["f"] * b["f"]).alias("f"), (b["g"] + b["f"] * a["g"]).alias("g"), F.coalesce(a["l"], b["l"]).alias("l"))
+
+
+def _affine_prefix(runs: DataFrame, keys: Sequence[str], outs: int, levels: int, null_keys: bool) -> DataFrame:
+    """(keys, at, m): the maps of all runs of the key before run ``at`` as one, per output.
+
+    Up to ``SCAN_WIDTH`` consecutive runs are composed as one array; the maps of
+    those groups are scanned the same way, one level up."""
+    keys = list(keys)
+    kind = "array<struct<f:double,g:double,l:double>>"
+    unit = F.array(*[F.struct(F.lit(1.0).alias("f"), F.lit(0.0).alias("g"), F.lit(None).cast("double").alias("l"))] * outs).cast(kind)
+    both = lambda a, b: F.zip_with(a, b, _composed)
+    start = F.struct(F.array().cast(f"array<struct<at:bigint,m:{kind}>>").alias("done"), unit.alias("m"))
+    step = lambda acc, x: F.struct(F.concat(acc["done"], F.array(F.struct(x["at"].alias("at"), acc["m"].alias("m")))).alias("done"),
+                                   both(acc["m"], x["m"]).alias("m"))
+    groups = runs.withColumn("_up", F.floor(F.col("at") / F.lit(SCAN_WIDTH)).cast("long")).groupBy(*keys, "_up").agg(
+        F.sort_array(F.collect_list(F.struct("at", "m"))).alias("_own"))
+    groups = groups.select(*keys, "_up", F.aggregate("_own", start, step).alias("_scan"))
+    if levels > 1:
+        above = _affine_prefix(groups.select(*keys, F.col("_up").alias("at"), F.col("_scan.m").alias("m")), keys, outs, levels - 1,
+                               null_keys).withColumnsRenamed({"at": "_up", "m": "_before"})
+        groups = keyed_join(groups, above, [*keys, "_up"], "inner", null_keys)
+    else:
+        groups = groups.withColumn("_before", unit)
+    each = groups.select(*keys, "_before", F.explode("_scan.done").alias("_x"))
+    return each.select(*keys, F.col("_x.at").alias("at"), both(F.col("_before"), F.col("_x.m")).alias("m"))
 
 
 def ewm(df: DataFrame, keys: Sequence[str], specs: dict[str, tuple[str, float]]) -> DataFrame:
     """Exponential moving average, ``adjust=False``: y_0 = x_0, y_t = (1-a) y_{t-1} + a x_t.
 
-    ``specs`` maps output column -> (input column, alpha).  Null inputs hold the
-    previous value.  Work runs per (key, block); only a per-block carry table moves.
+    ``specs`` maps output column -> (input column, alpha).  Null and NaN inputs
+    hold the previous value; rows before the first value are null.
+
+    Inside a run of rows the recursion is a running sum of inputs that are scaled
+    by 1 / (1-a)^t (all weights positive, so nothing cancels); a run as a whole is
+    the affine map y -> f y + g of the value before it.  Where a key is longer
+    than one run, the maps are composed by array scans and joined back, one small
+    row per run.
     """
     keys = list(keys)
-    b = blocked(df)
-    extra = [T.StructField(f"{o}__{s}", T.DoubleType()) for o in specs for s in ("f", "z", "m")]
-    schema = T.StructType(list(b.schema.fields) + extra)
-    local = b.groupBy(*keys, BLK).applyInPandas(_ewm_local(keys, specs, schema.names), schema)
-    null = F.lit(None).cast("double")
-    if single_block(df):
-        out = local.withColumns({o: F.nanvl(F.col(f"{o}__f"), null) for o in specs})
-        return out.drop(*[f"{o}__{s_}" for o in specs for s_ in ("f", "z", "m")], BLK, HALO)
-    last = lambda c: F.max_by(F.col(c), F.col(SEQ))
-    blocks = local.groupBy(*keys, BLK).agg(
-        *[last(f"{o}__z").alias(f"{o}__ze") for o in specs],
-        *[last(f"{o}__f").alias(f"{o}__fe") for o in specs],
-        *[last(f"{o}__m").alias(f"{o}__me") for o in specs])
-    cschema = T.StructType([b.schema[k] for k in keys] + [T.StructField(BLK, T.LongType())]
-                           + [T.StructField(f"{o}__c", T.DoubleType()) for o in specs])
-    carry = blocks.groupBy(*keys).applyInPandas(_ewm_carry(keys, list(specs)), cschema)
-    out = _carry_join(local, carry, keys)
-    out = out.withColumns({o: F.coalesce(
-        F.col(f"{o}__z") + F.col(f"{o}__m") * F.nanvl(F.col(f"{o}__c"), null),
-        F.nanvl(F.col(f"{o}__f"), null)) for o in specs})
-    return out.drop(*[f"{o}__{s}" for o in specs for s in ("f", "z", "m", "c")], BLK, HALO)
+    held = {o: src for o, (src, alpha) in specs.items() if alpha >= 1}
+    if held:
+        df = df.withColumns({f"{o}__x": F.nanvl(F.col(c).cast("double"), F.lit(None)) for o, c in held.items()})
+        df = scan_fill(df, keys, {o: f"{o}__x" for o in held}).drop(*[f"{o}__x" for o in held])
+    specs = {o: v for o, v in specs.items() if o not in held}
+    if not specs:
+        return df
+    size = _run_rows([alpha for _, alpha in specs.values()])
+    most = _noted_rows(df)
+    w = Window.partitionBy(*keys, "_run").orderBy(SEQ).rowsBetween(Window.unboundedPreceding, 0)
+    local = df.withColumn("_run", F.floor((F.col(SEQ) - 1) / F.lit(size)).cast("long"))
+    local = local.withColumns({f"{o}__x": F.nanvl(F.col(c).cast("double"), F.lit(None)) for o, (c, _) in specs.items()})
+    local = local.withColumns({f"{o}__n": F.count(f"{o}__x").over(w).cast("double") for o in specs})
+    local = local.withColumns({f"{o}__s": F.sum(F.col(f"{o}__x") * F.pow(F.lit(1.0 - a), -F.col(f"{o}__n"))).over(w)
+                               for o, (_, a) in specs.items()}
+                              | {f"{o}__l": F.first(f"{o}__x", ignorenulls=True).over(w) for o in specs})
+    local = local.withColumns({f"{o}__f": F.pow(F.lit(1.0 - a), F.col(f"{o}__n")) for o, (_, a) in specs.items()})
+    local = local.withColumns({f"{o}__g": F.coalesce(F.lit(a) * F.col(f"{o}__f") * F.col(f"{o}__s"), F.lit(0.0))
+                               for o, (_, a) in specs.items()})
+    before = {o: F.col(f"{o}__l") for o in specs}
+    if most is None or most > size:
+        null_keys = _noted(df, "kiln_null_keys", True)
+        runs = local.groupBy(*keys, F.col("_run").alias("at")).agg(F.array(*[
+            F.struct(F.min(f"{o}__f").alias("f"), F.max_by(f"{o}__g", SEQ).alias("g"), F.max_by(f"{o}__l", SEQ).alias("l"))
+            for o in specs]).alias("m"))
+        levels = 3 if most is None else max(1, math.ceil(math.log(max(2, most / size), SCAN_WIDTH)))
+        carry = _affine_prefix(runs, keys, len(specs), levels, null_keys).withColumnsRenamed({"at": "_run", "m": "_carry"})
+        local = keyed_join(local, carry, [*keys, "_run"], "left", null_keys)
+        for i, o in enumerate(specs):
+            m = F.col("_carry")[i]
+            before[o] = F.coalesce(m["g"] + m["f"] * m["l"], F.col(f"{o}__l"))
+    out = local.withColumns({o: F.col(f"{o}__g") + F.col(f"{o}__f") * before[o] for o in specs})
+    return out.drop(*[f"{o}__{c}" for o in specs for c in "xnslfg"], "_run", "_carry")

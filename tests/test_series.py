@@ -1,6 +1,7 @@
 """Series machinery: the multi-block path must equal plain per-key windows."""
 
 import numpy as np
+import pytest
 import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -55,6 +56,34 @@ def test_rolling_and_scans_match_pandas(spark, small_blocks):
         np.testing.assert_allclose(mine["e"], xf.ewm(alpha=0.3, adjust=False).mean(), rtol=1e-10)
 
 
+@pytest.mark.parametrize("size,run,width", [(1 << 20, 1 << 15, 256), (1 << 20, 5, 3), (7, 4, 2), (7, 1, 2), (50, 1000, 4)])
+def test_ewm_is_the_same_at_every_run_and_block_size(spark, monkeypatch, size, run, width):
+    monkeypatch.setattr(S, "STEPS_MOST", run)
+    monkeypatch.setattr(S, "SCAN_WIDTH", width)
+    rng = np.random.default_rng(2)
+    rows = [(k, i, None if i < 3 or rng.random() < 0.2 else float("nan") if rng.random() < 0.05 else float(rng.normal() * 10 ** rng.integers(0, 6)))
+            for k, n in (("a", 120), (None, 40), ("one", 1), ("none", 3)) for i in range(n)]
+    df = spark.createDataFrame(rows, "k string, ts int, x double")
+    spark.conf.set("kiln.series.blockRows", str(size))
+    try:
+        got = S.ewm(S.sequence(df, ["k"], ["ts"]), ["k"], {"e": ("x", 0.3), "s": ("x", 0.01), "q": ("x", 0.97), "h": ("x", 1.0)})
+        plan = got._jdf.queryExecution().toString()
+        got = {(r["k"], r["ts"]): r for r in got.collect()}
+    finally:
+        spark.conf.unset("kiln.series.blockRows")
+    assert "Pandas" not in plan and "Python" not in plan and "Arrow" not in plan
+    assert len(got) == len(rows)
+    for k in ("a", None, "one", "none"):
+        x = [v for key, _, v in rows if key == k]
+        for name, alpha in (("e", 0.3), ("s", 0.01), ("q", 0.97), ("h", 1.0)):
+            y = None
+            for t, v in enumerate(x):
+                if v is not None and v == v:
+                    y = v if y is None else (1 - alpha) * y + alpha * v
+                mine = got[k, t][name]
+                assert (mine is None) == (y is None) and (y is None or abs(mine - y) <= 1e-9 * max(1, abs(y), max(map(abs, filter(None, x))) * 1e-3))
+
+
 def test_interpolate_matches_pandas(spark, small_blocks):
     df = _frame(spark)
     s = S.sequence(df, ["k"], ["ts"])
