@@ -2,14 +2,16 @@
 
 MLlib estimators behind one factory (distributed training), a Gaussian naive
 Bayes written as a plain aggregate + join (exact, SQL-checkable), class
-weights as window counts, multi-output regression as one regressor per bin,
-chunk-wise training / scoring and per-chunk ensembles keyed by a chunk column.
+weights as window counts, multi-output regression as one forest of vector
+leaves, chunk-wise training / scoring and per-chunk ensembles whose models grow
+in the same passes.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier)
@@ -20,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kiln.functions import arrays as A
+from kiln.operators import trees as TR
 
 FEATURES = "features"
 
@@ -33,8 +36,8 @@ def estimator(name: str, task: str, n_features: int = 0, n_classes: int = 2, lab
               weight: str | None = None, seed: int = 42, **kw):
     """Model factory; ``task`` is ``classification`` or ``regression``.
 
-    xgboost / lightgbm both map to MLlib gradient-boosted trees (one-vs-rest for
-    more than two classes); svm is the linear SVC (one-vs-rest); mlp is the
+    xgboost / lightgbm both map to gradient-boosted trees (MLlib's for two classes
+    and regression, softmax boosting of all classes together otherwise); svm is the linear SVC (one-vs-rest); mlp is the
     multilayer perceptron (hidden layers = hidden x num_layers)."""
     common = {"featuresCol": FEATURES, "labelCol": label}
     wc = {"weightCol": weight} if weight else {}
@@ -48,9 +51,7 @@ def estimator(name: str, task: str, n_features: int = 0, n_classes: int = 2, lab
         if name == "svm":
             return OneVsRest(classifier=LinearSVC(**kw), **common, **wc)
         if name in ("xgboost", "lightgbm", "gbt"):
-            base = GBTClassifier(seed=seed, **kw)
-            return base.setFeaturesCol(FEATURES).setLabelCol(label) if n_classes <= 2 else \
-                OneVsRest(classifier=base, **common, **wc)
+            return GBTClassifier(seed=seed, **common, **wc, **kw) if n_classes <= 2 else TR.Boosting(**common, **wc, **kw)
         if name == "mlp":
             hidden = kw.pop("hidden", 32)
             layers = kw.pop("num_layers", 2)
@@ -128,29 +129,26 @@ def gaussian_nb(train: DataFrame, test: DataFrame, cols: Sequence[str], label: s
 
 
 # M9 -------------------------------------------------------------------------
-def multi_output(train: DataFrame, test: DataFrame, target: str, n_out: int, name: str, key: str) -> DataFrame:
-    """One regressor per vector component on one cached feature frame, then
-    the P22 normaliser on the predicted row."""
-    tr = train.cache()
-    preds = test.select(key, FEATURES)
-    for i in range(n_out):
-        est = estimator(name, "regression", label=f"_y{i}")
-        m = est.fit(tr.withColumn(f"_y{i}", F.element_at(target, i + 1)))
-        preds = m.transform(preds).withColumnRenamed("prediction", f"_p{i}")
-    vec = F.array(*[F.col(f"_p{i}") for i in range(n_out)])
-    out = preds.select(key, A.normalize_probs(vec).alias("probs"))
-    tr.unpersist()
-    return out
+def multi_output(train: DataFrame, test: DataFrame, target: str, key: str, **kw) -> DataFrame:
+    """(key, probs): one forest whose leaves hold vectors, fitted on the array column ``target``, then the P22
+    normaliser on the predicted row."""
+    model = TR.VectorForest(targetCol=target, keyCol=key, featuresCol=FEATURES, **kw).fit(train)
+    return model.transform(test).select(key, A.normalize_probs(vector_to_array("probability")).alias("probs"))
 
 
 # M11 ------------------------------------------------------------------------
-def sweep(build, grid: Sequence[dict], train: DataFrame, test: DataFrame, score) -> DataFrame:
+def fitted(estimators: Sequence, train: DataFrame, at_once: int = 4) -> list:
+    """Fits of several estimators on the same rows, ``at_once`` of them at a time."""
+    with ThreadPoolExecutor(max(1, at_once)) as pool:
+        return list(pool.map(lambda est: est.fit(train), estimators))
+
+
+def sweep(build, grid: Sequence[dict], train: DataFrame, test: DataFrame, score, at_once: int = 4) -> DataFrame:
     """Cartesian settings -> one metrics row each: ``build(**setting)`` gives an
     estimator, ``score(pred_df)`` a one-row metrics DataFrame."""
     out = None
-    for i, setting in enumerate(grid):
-        pred = build(**setting).fit(train).transform(test)
-        m = score(pred).withColumn("run", F.lit(i)).withColumn("setting", F.lit(str(sorted(setting.items()))))
+    for i, (setting, model) in enumerate(zip(grid, fitted([build(**g) for g in grid], train, at_once), strict=True)):
+        m = score(model.transform(test)).withColumn("run", F.lit(i)).withColumn("setting", F.lit(str(sorted(setting.items()))))
         out = m if out is None else out.unionByName(m)
     return out
 
@@ -193,14 +191,16 @@ def feature_feedback(train: DataFrame, test: DataFrame, cols: Sequence[str], lab
     mi = mi.groupBy("feature").agg(F.sum(F.col("nxy") / F.col("n") * F.log(
         F.col("nxy") * F.col("n") / (F.col("nx") * F.col("ny")))).alias("mi"))
     mi = {r["feature"]: max(0.0, r["mi"]) for r in mi.collect()}
-    scores = []
     n_classes = train.select(label).distinct().count()
-    for t in thresholds:
-        keep = [c for c in cols if imp[c] >= t] or cols
+    keeps = [[c for c in cols if imp[c] >= t] or cols for t in thresholds]
+
+    def scored(keep: list[str]) -> float:
         tr, te = (assemble(d.drop(FEATURES), keep) for d in (train, test))
         model = estimator("gbt", "classification", n_classes=n_classes, label=label, maxIter=5, maxDepth=3).fit(tr)
-        pred = model.transform(te).withColumnRenamed("prediction", "pred")
-        scores.append((float(t), keep, float(E.accuracy(pred, label, "pred").first()[0])))
+        return float(E.accuracy(model.transform(te).withColumnRenamed("prediction", "pred"), label, "pred").first()[0])
+
+    with ThreadPoolExecutor(max(1, len(keeps))) as pool:
+        scores = [(float(t), keep, s) for t, keep, s in zip(thresholds, keeps, pool.map(scored, keeps), strict=True)]
     best = max(scores, key=lambda s: (s[2], -len(s[1])))
     order = sorted(cols, key=lambda c: -imp[c])
     rows = [(c, imp[c], float(corr.get(c) or 0.0), mi.get(c, 0.0), order.index(c) + 1, c in best[1]) for c in cols]
@@ -216,15 +216,15 @@ def first_chunk_model(df: DataFrame, chunk: str, est):
     return est.fit(df.filter(F.col(chunk) == first)), first
 
 
-def ensemble_scores(train: DataFrame, test: DataFrame, chunk: str, key: str, make_est, positive_index: int = 1
-                    ) -> DataFrame:
-    """One model per chunk (a handful of chunks), test rows scored by each; the
-    positive-class probabilities are averaged ignoring nulls, 0.5 when none."""
-    chunks = [r[0] for r in train.select(chunk).distinct().orderBy(chunk).collect()]
-    scores = None
-    for c in chunks:
-        m = make_est().fit(train.filter(F.col(chunk) == c))
-        s = m.transform(test).select(key, vector_to_array("probability")[positive_index].alias("p"))
-        scores = s if scores is None else scores.unionByName(s)
-    avg = scores.groupBy(key).agg(F.avg("p").alias("p"))
-    return test.select(key).join(avg, key, "left").select(key, F.coalesce("p", F.lit(0.5)).alias("probability"))
+def ensemble_scores(train: DataFrame, test: DataFrame, chunk: str, key: str, label: str = "label", n_classes: int = 2,
+                    positive_index: int = 1, **kw) -> DataFrame:
+    """(key, probability): a forest per chunk, all grown in the same passes, each learning from its chunk alone; the
+    positive-class probabilities are averaged over the chunks, 0.5 for rows without features."""
+    chunks = [r[0] for r in train.select(chunk).distinct().orderBy(chunk).collect()]        # as many as there are models
+    number = F.coalesce(*[F.when(F.col(chunk).eqNullSafe(F.lit(c)), F.lit(i)) for i, c in enumerate(chunks)])
+    rows = train.withColumn("_part", number).withColumn(
+        "_target", F.array(*[(F.col(label) == c).cast("double") for c in range(n_classes)]))
+    model = TR.VectorForest(targetCol="_target", keyCol=key, groupCol="_part", groups=tuple(range(len(chunks))),
+                            featuresCol=FEATURES, **kw).fit(rows)
+    p = F.when(F.col(FEATURES).isNotNull(), vector_to_array("probability")[positive_index])
+    return model.transform(test).select(key, F.coalesce(p, F.lit(0.5)).alias("probability"))

@@ -226,11 +226,11 @@ def robust_outliers(df: DataFrame, vec: str, contamination: float = 0.01, passes
     the driver per pass), Mahalanobis distance, keep the ``keep`` share closest;
     after the last pass flag the ``contamination`` share with the largest
     distance.  Missing coordinates count as 0."""
-    from kiln.operators.clustering import second_moments
+    from kiln.operators.passes import moments
     x = df.withColumn("_x", F.transform(vec, lambda v: F.coalesce(v.cast("double"), F.lit(0.0))))
     kept, scored = x, None
     for _ in range(passes):
-        n, mean, cov = second_moments(kept, "_x")
+        n, mean, cov = moments(kept, "_x")
         inv = np.linalg.pinv(cov * n / max(1, n - 1))
 
         scored = x.withColumn("mahalanobis", _mahalanobis(mean, inv)("_x"))

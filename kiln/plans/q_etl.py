@@ -19,7 +19,7 @@ from kiln.operators import stats as ST
 from kiln.operators import text as TX
 from kiln.plans import q_series
 from kiln.plans.registry import query
-from kiln.plans.sqlkit import unsign
+from kiln.plans.sqlkit import robust_sql, unsign
 from kiln.session import scratch_path, written
 from kiln.sources import sinks as K
 from kiln.tables import load
@@ -38,76 +38,70 @@ def _emb(spark, sf_dir):
     return d.filter("split = 'train'"), d.filter("split = 'test'")
 
 
-# Fits have no SQL form; the invariants of their output have: a row per test row, each
-# on its nearest centre, probabilities that sum to one, components as whitened.
-TEST_SQL = """embeddings WHERE CAST(('0x' || substr(md5(CAST(vec_id AS VARCHAR) || '42'), 1, 8)) AS BIGINT) % 100 < 20"""
+# Fits have no SQL form: tests/test_clustering.py holds each against a plain version.
+def _r(c, digits: int = 6):
+    return F.round(c, digits) + F.lit(0.0)
 
 
-def _sums_to_one(col):
-    return (F.abs(F.aggregate(col, F.lit(0.0), lambda a, x: a + x) - 1) < 1e-6)
+def _rounded(name: str, digits: int = 6):
+    return F.transform(name, lambda x: F.round(x, digits) + F.lit(0.0)).alias(name)
 
 
-@query("f16_kmeans_features", f"SELECT vec_id, true AS nearest, true AS known FROM {TEST_SQL}", covers=("F16", "F12"))
+@query("f16_kmeans_features", covers=("F16", "F12"))
 def kmeans(spark, sf_dir):
     train, test = _emb(spark, sf_dir)
     out = CL.kmeans_features(train, test, "x", k=5)
-    dist = F.array(*[F.col(f"kmeans_dist_{i}") for i in range(5)])
-    return out.select("vec_id", (F.element_at(dist, F.col("kmeans_cluster") + 1) - F.array_min(dist) < 1e-9).alias("nearest"),
-                      F.col("kmeans_cluster").between(0, 4).alias("known"))
+    return out.select("vec_id", "kmeans_cluster", *[_r(f"kmeans_dist_{i}").alias(f"kmeans_dist_{i}") for i in range(5)])
 
 
-@query("f17_gmm_features", f"SELECT vec_id, true AS sums, true AS likeliest FROM {TEST_SQL}", covers=("F17",))
+@query("f17_gmm_features", covers=("F17",))
 def gmm(spark, sf_dir):
-    """On eight principal axes of all coordinates: full covariances in 64 dimensions are singular on so few rows."""
+    """Five components with full covariances in all 64 coordinates."""
     train, test = _emb(spark, sf_dir)
-    axes = [CL.pca_projection(train, d, "x", k=8) for d in (train, test)]
-    out = CL.gmm_features(*axes, "pca", k=5)
-    return out.select("vec_id", _sums_to_one("gmm_probs").alias("sums"),
-                      (F.element_at("gmm_probs", F.col("gmm_cluster") + 1) == F.array_max("gmm_probs")).alias("likeliest"))
+    out = CL.gmm_features(train, test, "x", k=5)
+    return out.select("vec_id", "gmm_cluster", _rounded("gmm_probs"), _r("gmm_loglik").alias("gmm_loglik"))
 
 
-@query("f18_ica_components", f"""
-SELECT vec_id, CAST(7 AS INTEGER) AS components, true AS finite, true AS whitened FROM {TEST_SQL}""", covers=("F18",))
+@query("f18_ica_components", covers=("F18",))
 def ica(spark, sf_dir):
-    """Seven components, up to 300 iterations; on the rows of the fit each has mean 0 and variance 1."""
+    """Seven independent components of the 64 coordinates."""
     train, test = _emb(spark, sf_dir)
-    mean, Kw, W = CL.fast_ica(train, "x", n_components=7, max_iter=300, tol=1e-3)
-    names = [f"ica_{i + 1}" for i in range(7)]
-    unit = [(F.abs(F.avg(c)) < 1e-6) & (F.abs(F.var_pop(c) - 1) < 1e-6) for c in names]
-    whitened = CL.ica_features(train, "x", mean, Kw, W).agg(F.array_min(F.array(*unit)).alias("whitened"))
-    values = F.array(*names)
-    out = CL.ica_features(test, "x", mean, Kw, W)
-    return out.select("vec_id", F.size(values).alias("components"), F.forall(values, lambda x: F.abs(x) < 1e9).alias("finite")
-                      ).crossJoin(F.broadcast(whitened))
+    out = CL.ica_features(test, "x", CL.fast_ica(train, "x", n_components=7, tol=1e-3))
+    return out.select("vec_id", *[_r(f"ica_{i + 1}").alias(f"ica_{i + 1}") for i in range(7)])
 
 
-@query("f19_pca_projection", f"SELECT vec_id, CAST(2 AS INTEGER) AS axes, true AS ordered FROM {TEST_SQL}", covers=("F19",))
+@query("f19_pca_projection", covers=("F19",))
 def pca(spark, sf_dir):
     train, test = _emb(spark, sf_dir)
-    both = CL.pca_projection(train, train, "x", k=2).agg(
-        (F.var_pop(F.col("pca")[0]) >= F.var_pop(F.col("pca")[1])).alias("ordered"))
-    return CL.pca_projection(train, test, "x", k=2).select("vec_id", F.size("pca").alias("axes")).crossJoin(F.broadcast(both))
+    out = CL.pca_projection(train, test, "x", k=2)
+    return out.select("vec_id", *[_r(F.col("pca")[i]).alias(f"pca_{i + 1}") for i in range(2)])
 
 
-@query("f22_distribution_clusters", "WITH " + q_series.FWD_CTES + """,
+def _distribution_split(spark, sf_dir):
+    s = q_series.forward_frame(spark, sf_dir).filter(F.col("y_bins").isNotNull()).drop("_seq", "_n")
+    split = written(O.chronological_split(s, ["series"], "ts", 0.2, 0.2), "split")     # read by the fit and by the scoring
+    return split.withColumn("EV", A.expected_value(F.col("y_bins"), A.bin_midpoints()))
+
+
+@query("f22_expected_values", "WITH " + q_series.FWD_CTES + """,
 r AS (SELECT series, ts, row_number() OVER (PARTITION BY series ORDER BY ts) AS rn, count(*) OVER (PARTITION BY series) AS n,
              list_sum(list_transform(list_zip(y_bins, """ + repr(A.bin_midpoints()) + """), lambda z: z[1] * z[2])) / list_sum(y_bins) AS ev
       FROM v WHERE y_bins IS NOT NULL),
 s AS (SELECT *, n - ceil(n * 0.2) AS m FROM r)
 SELECT series, ts, CASE WHEN rn > m THEN 'test' WHEN rn > m - ceil(m * 0.2) THEN 'val' ELSE 'train' END AS split,
-       round(ev, 6) + 0.0 AS EV, true AS known, true AS sums, true AS likeliest FROM s""", covers=("F22", "W18", "O8"))
+       round(ev, 6) + 0.0 AS EV FROM s""", covers=("F22", "W18", "O8"))
+def expected_values(spark, sf_dir):
+    """EV and chronological part of each forward-return vector."""
+    return _distribution_split(spark, sf_dir).select("series", "ts", "split", _r("EV").alias("EV"))
+
+
+@query("f22_distribution_clusters", covers=("F22", "W18", "O8"))
 def distribution_clusters(spark, sf_dir):
     """EV of each forward-return vector, a 9-component mixture fitted on the
     chronological train part, cluster and probabilities on train/val/test."""
-    s = q_series.forward_frame(spark, sf_dir).filter(F.col("y_bins").isNotNull()).drop("_seq", "_n")
-    split = written(O.chronological_split(s, ["series"], "ts", 0.2, 0.2), "split")     # read by the fit and by the scoring
-    v = split.withColumn("EV", A.expected_value(F.col("y_bins"), A.bin_midpoints())) \
-             .withColumn("yv", F.transform("y_bins", lambda x: F.coalesce(x, F.lit(0.0))))
+    v = _distribution_split(spark, sf_dir).withColumn("yv", F.transform("y_bins", lambda x: F.coalesce(x, F.lit(0.0))))
     out = CL.gmm_features(v.filter("split = 'train'"), v, "yv", k=9, prefix="gmm")
-    p = F.col("gmm_probs")
-    return out.select("series", "ts", "split", (F.round("EV", 6) + F.lit(0.0)).alias("EV"),
-                      F.col("gmm_cluster").between(0, 8).alias("known"), _sums_to_one(p).alias("sums"),
-                      (F.element_at(p, F.col("gmm_cluster") + 1) == F.array_max(p)).alias("likeliest"))
+    return out.select("series", "ts", "split", _r("EV").alias("EV"), "gmm_cluster", _rounded("gmm_probs"))
 
 
 # F5 ----------------------------------------------------------------------------------
@@ -253,13 +247,16 @@ def _recommend_sql() -> str:
         parts.append(f"""SELECT '{c}', CASE WHEN count(DISTINCT {c}) <= 1 THEN 'drop' WHEN count(DISTINCT {c}) <= 10 THEN 'one_hot_encode'
   ELSE 'label_encode' END FROM d""")
     parts += [f"SELECT '{c}', CASE WHEN count(DISTINCT {c}) <= 1 THEN 'drop' ELSE 'inspect_manually' END FROM d" for c in OTHER]
-    return "WITH " + ",\n".join(ctes) + "\nSELECT *, true AS second_known FROM (" + "\nUNION ALL ".join(parts) + ")"
+    ctes.append(robust_sql("d", NUMERIC))
+    wide = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", stddev_samp({c}) FILTER (outlier) > 2 * stddev_samp({c}) AS wide FROM robust"
+                              for c in NUMERIC)
+    return ("WITH " + ",\n".join(ctes) + f",\nw AS ({wide}),\nfirst AS (" + "\nUNION ALL ".join(parts) + """)
+SELECT first."column", suggestion_1, CASE WHEN wide THEN 'check_outliers' END AS suggestion_2 FROM first LEFT JOIN w USING ("column")""")
 
 
 @query("f20_transformation_recommendations", _recommend_sql(), covers=("F20", "A2", "A11", "A12", "A20", "T9"))
 def recommend(spark, sf_dir):
-    r = recommendations(orders_frame(spark, sf_dir), "target", NUMERIC, CATEG, OTHER)
-    return r.select("column", "suggestion_1", F.coalesce(F.col("suggestion_2") == "check_outliers", F.lit(True)).alias("second_known"))
+    return recommendations(orders_frame(spark, sf_dir), "target", NUMERIC, CATEG, OTHER)
 
 
 def pipeline_from(rec_rows) -> list:
@@ -282,19 +279,33 @@ def pipeline_from(rec_rows) -> list:
     return stages, by.get("drop", [])
 
 
-@query("f21_recommended_pipeline", """
-SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS target, true AS finite, 'v1' AS version
-FROM orders JOIN customer ON o_custkey = c_custkey
-WHERE CAST(('0x' || substr(md5(CAST(o_orderkey AS VARCHAR) || '42'), 1, 8)) AS BIGINT) % 100 < 20""",
-       covers=("F21", "F23", "K4", "O6", "U2"))
+# What the rules recommend for these columns (f20): scale both amounts, drop the parity and the
+# constant text, one column per priority and segment; the date is for inspection and stays.
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+def _recommended_sql() -> str:
+    hot = [f"""CAST(c_mktsegment = '{v}' AS DOUBLE) AS "c_mktsegment_{v}\"""" for v in SEGMENTS]
+    hot += [f"""CAST(o_orderpriority = '{v}' AS DOUBLE) AS "o_orderpriority_{v}\"""" for v in PRIORITIES]
+    scaled = [f"round((d.{c} - lo_{c}) / (hi_{c} - lo_{c}), 9) + 0.0 AS {c}" for c in ("o_totalprice", "c_acctbal")]
+    ends = [f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in ("o_totalprice", "c_acctbal")]
+    return f"""
+WITH d AS (SELECT *, CAST(('0x' || substr(md5(CAST(o_orderkey AS VARCHAR) || '42'), 1, 8)) AS BIGINT) % 100 < 20 AS is_test
+  FROM orders JOIN customer ON o_custkey = c_custkey),
+s AS (SELECT {', '.join(ends)} FROM d WHERE NOT is_test)
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS target, o_orderdate, {', '.join(scaled + hot)}, 'v1' AS version
+FROM d, s WHERE is_test"""
+
+
+@query("f21_recommended_pipeline", _recommended_sql(), covers=("F21", "F23", "K4", "O6", "U2"))
 def recommended_pipeline(spark, sf_dir):
     d = O.random_split(orders_frame(spark, sf_dir), "o_orderkey", 20)
     train, test = d.filter("split = 'train'").drop("split"), d.filter("split = 'test'").drop("split")
     out, version = default_etl(spark, train, test, "target", NUMERIC, CATEG, OTHER,
                                scratch_path(spark, f"registry-{uuid.uuid4().hex}"))
-    numeric = [c for c in out.columns if c not in ("o_orderkey", "target", *OTHER)]
-    finite = F.forall(F.array(*[F.col(f"`{c}`").cast("double") for c in numeric]), lambda x: F.abs(x) < 1e12)
-    return out.select("o_orderkey", "target", finite.alias("finite"), F.lit(version).alias("version"))
+    scaled = {c: _r(c, 9) for c in ("o_totalprice", "c_acctbal") if c in out.columns}
+    return out.withColumns(scaled).withColumn("version", F.lit(version))
 
 
 def default_etl(spark, train, test, target: str, numeric, categorical, other, registry: str):
@@ -345,32 +356,38 @@ def custom_etl(spark, train, test, registry: str):
     tr, te = tr.withColumn("x", scale), te.withColumn("x", scale)
     out = CL.kmeans_features(tr, te, "x", k=5)
     out = CL.gmm_features(tr, out, "x", k=5)
-    mean, kw, w = CL.fast_ica(tr, "x", n_components=min(7, len(BLOCK)), max_iter=300)
-    out = CL.ica_features(out, "x", mean, kw, w)
+    out = CL.ica_features(out, "x", CL.fast_ica(tr, "x", n_components=min(7, len(BLOCK))))
     version = K.register_version(spark, registry, "custom ETL", "Transported", {"clusters": 5, "mixture": 5, "components": len(BLOCK)})
     return out, version
 
 
+def _custom_etl_test(spark, sf_dir):
+    d = O.random_split(passengers(spark, sf_dir), "PassengerId", 20)
+    train = d.filter("split = 'train'").drop("split")
+    test = d.filter("split = 'test'").drop("split", "Transported")      # unlabelled
+    return custom_etl(spark, train, test, scratch_path(spark, f"registry-{uuid.uuid4().hex}"))
+
+
 @query("f24_custom_etl", unsign("WITH " + PASSENGER_SQL + """,
 t AS (SELECT quantile_cont(room, [0.25, 0.5, 0.75]) AS r, quantile_cont(spa, [0.25, 0.5, 0.75]) AS s FROM tr)
 SELECT pid AS "PassengerId", round(total, 6) AS total_spent, room > 0 AS "RoomService_used", room > r[1] AS "RoomService_above_q25",
   room > r[3] AS "RoomService_above_q75", spa > s[2] AS "Spa_above_q50",
   CASE WHEN num IS NOT NULL THEN round((num - (SELECT min(num) FROM tr)) / ((SELECT max(num) FROM tr) - (SELECT min(num) FROM tr)), 6) END AS cabin_scaled,
-  true AS complete, true AS nearest, true AS sums, true AS finite, true AS words, 'v1' AS version FROM te, t""", ["total_spent", "cabin_scaled"]),
-       covers=("F24", "F25", "F6", "F14", "F15", "F12", "F16", "F17", "F18", "P18", "K4"))
+  'v1' AS version FROM te, t""", ["total_spent", "cabin_scaled"]),
+       covers=("F24", "F25", "P18", "K4"))
 def custom_etl_query(spark, sf_dir):
-    d = O.random_split(passengers(spark, sf_dir), "PassengerId", 20)
-    train = d.filter("split = 'train'").drop("split")
-    test = d.filter("split = 'test'").drop("split", "Transported")      # unlabelled
-    out, version = custom_etl(spark, train, test, scratch_path(spark, f"registry-{uuid.uuid4().hex}"))
-    dist = F.array(*[F.col(f"kmeans_dist_{i}") for i in range(5)])
-    comps = F.array(*[F.col(c) for c in out.columns if c.startswith("ica_")])
-    r = lambda c: F.round(c, 6) + F.lit(0.0)
+    """The columns of the composition that have an SQL form."""
+    out, version = _custom_etl_test(spark, sf_dir)
     return out.select(
-        "PassengerId", r("total_spent").alias("total_spent"), "RoomService_used", "RoomService_above_q25", "RoomService_above_q75",
-        "Spa_above_q50", F.when(F.col("cabin_num").isNotNull(), r(F.col("x")[BLOCK.index("cabin_num")])).alias("cabin_scaled"),
-        F.forall("x", lambda x: x.isNotNull()).alias("complete"),
-        (F.element_at(dist, F.col("kmeans_cluster") + 1) - F.array_min(dist) < 1e-9).alias("nearest"),
-        _sums_to_one("gmm_probs").alias("sums"), F.forall(comps, lambda x: F.abs(x) < 1e9).alias("finite"),
-        (F.col("name_corr_pos_p_value").between(0, 1) & F.col("name_corr_neg_prob").between(0, 1)).alias("words"),
+        "PassengerId", _r("total_spent").alias("total_spent"), "RoomService_used", "RoomService_above_q25", "RoomService_above_q75",
+        "Spa_above_q50", F.when(F.col("cabin_num").isNotNull(), _r(F.col("x")[BLOCK.index("cabin_num")])).alias("cabin_scaled"),
         F.lit(version).alias("version"))
+
+
+@query("f24_custom_etl_features", covers=("F24", "F25", "F6", "F14", "F15", "F12", "F16", "F17", "F18"))
+def custom_etl_features(spark, sf_dir):
+    """Imputed block, clusters, distances, mixture, components and word features of the same composition."""
+    out, _ = _custom_etl_test(spark, sf_dir)
+    values = [*[f"kmeans_dist_{i}" for i in range(5)], *[c for c in out.columns if c.startswith("ica_")]]
+    return out.select("PassengerId", _rounded("x"), "kmeans_cluster", "gmm_cluster", _rounded("gmm_probs"),
+                      *[_r(c).alias(c) for c in values], "name_corr_pos_p_value", "name_corr_neg_prob")

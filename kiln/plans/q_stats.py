@@ -8,7 +8,7 @@ from kiln.functions import scalar as X
 from kiln.operators import stats as ST
 from kiln.operators import text as TX
 from kiln.plans.registry import query
-from kiln.plans.sqlkit import unsign
+from kiln.plans.sqlkit import robust_sql, unsign
 from kiln.tables import load
 
 
@@ -244,13 +244,21 @@ def segment_shift(spark, sf_dir):
 
 
 # T9 ---------------------------------------------------------------------------
-@query("t09_robust_outliers", """
-SELECT vec_id, true AS distance, ceil(0.01 * (count(*) OVER () - 1)) AS flagged FROM embeddings""", covers=("T9",))
+@query("t09_robust_outliers", covers=("T9",))
 def outliers(spark, sf_dir):
     """All 64 coordinates; the rows above the exact 99 % quantile are flagged."""
     r = ST.robust_outliers(load(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "embedding", contamination=0.01)
-    flagged = r.agg(F.count_if("outlier").cast("double").alias("flagged"))
-    return r.select("vec_id", (F.col("mahalanobis") >= 0).alias("distance")).crossJoin(F.broadcast(flagged))
+    return r.select("vec_id", _r(F.col("mahalanobis")).alias("mahalanobis"), "outlier")
+
+
+@query("t09_line_outliers", "WITH " + robust_sql("lineitem", ["l_quantity", "l_extendedprice", "l_discount"]) + """
+SELECT l_orderkey, l_linenumber, round(mahalanobis, 6) + 0.0 AS mahalanobis, outlier FROM robust""", covers=("T9",))
+def line_outliers(spark, sf_dir):
+    """The same on three columns, whose inverse covariance has a closed form."""
+    line = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.array(
+        "l_quantity", "l_extendedprice", "l_discount").alias("v"))
+    r = ST.robust_outliers(line, "v", contamination=0.01)
+    return r.select("l_orderkey", "l_linenumber", _r(F.col("mahalanobis")).alias("mahalanobis"), "outlier")
 
 
 # T8, the test inside a segment; critical values of chi-square at 5 % for 1 to 4 degrees ---------

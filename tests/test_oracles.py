@@ -61,8 +61,15 @@ def test_query_matches_its_statement(spark, con, name):
         assert all(_close(a, b) for a, b in pairs)
 
 
-def test_every_query_has_a_statement():
-    assert set(catalog.QUERIES) == set(catalog.ORACLE)
+# Fits have no SQL form; test_models.py, test_trees.py and test_clustering.py compare them with plain versions.
+FITS = {"m01_decision_tree", "m02_random_forest_weighted", "m03_logistic_regression", "m03_linear_regression", "m04_linear_svc",
+        "m07_boosted_trees", "m08_multilayer_perceptron", "m09_multi_output_regression", "m11_parameter_sweep", "m12_feature_feedback",
+        "m12_threshold_scores", "m13_first_chunk_scoring", "m14_chunk_ensemble", "f16_kmeans_features", "f17_gmm_features",
+        "f18_ica_components", "f19_pca_projection", "f22_distribution_clusters", "f24_custom_etl_features", "t09_robust_outliers"}
+
+
+def test_every_other_query_has_a_statement():
+    assert set(catalog.QUERIES) - set(catalog.ORACLE) == FITS
 
 
 def test_entry(spark):
