@@ -24,22 +24,25 @@ import base64
 import hashlib
 from collections.abc import Iterable, Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
-import regex
 from pyspark.sql import DataFrame
 
-from kiln.llm.bpe import SPLIT, UNCERTAIN
 from kiln.llm.common import map_texts
 
-ARCS = 2_000_000            # arcs kept by a worker, about; beyond that the transducer is grown anew
-MEMO, SHORT = 300_000, 64   # pieces remembered by a worker, and their bytes; only saves repeated work
+ARCS = 700_000              # arcs kept by a worker, about; beyond that the transducer is grown anew
+MEMO, SHORT = 200_000, 64   # pieces remembered by a worker, and their bytes; only saves repeated work
 BLOCK = 65_536              # ids decoded at a time
 START = -1
 
 
 class Transducer:
-    """The encoder of one table of ranks, grown as texts need it."""
+    """The encoder of one table of ranks, grown as texts need it.
+
+    A state is the tuple of its readings, each a node of the trie and a path; a
+    path is a number that stands for the last emitted token and the tokens since.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
@@ -53,16 +56,21 @@ class Transducer:
                 if node == len(self.token):
                     self.token.append(-1)
             self.token[node] = rank
-        self.inner = {key >> 8 for key in self.child}
-        self.stays: dict[tuple[int, int], bool] = {}
+        self.inner = bytearray(len(self.token))
+        for key in self.child:
+            self.inner[key >> 8] = 1
+        self.stays: dict[int, bool] = {}
         self._grow_anew()
 
     def _grow_anew(self) -> None:
-        self.number: dict[tuple, int] = {}
-        self.states: list[tuple] = []
-        self.rest: list[list[int]] = []
-        self.arcs: dict[int, tuple[int, tuple[int, ...]]] = {}
-        self._state(((0, (START,)),))
+        self.path_of: dict[int, int] = {}
+        self.path_token: list[int] = []         # last token of a path
+        self.path_before: list[int] = []        # the path without it, -1 at an emitted token
+        self.path_first: list[int] = []         # its first token that is not emitted, -1 if there is none
+        self.number: dict[tuple[int, ...], int] = {}
+        self.states: list[tuple[int, ...]] = []
+        self.arcs: dict[int, int | tuple[int, list[int]]] = {}
+        self._state((0, self._path(-1, START)))
 
     def merged(self, data: bytes) -> list[int]:
         """Tokens of ``data`` by merging the neighbours of least rank, the leftmost first."""
@@ -80,42 +88,76 @@ class Transducer:
 
     def fits(self, left: int, token: int) -> bool:
         """Whether merging leaves these neighbours (or ``token`` alone, at the start) as they are."""
-        known = self.stays.get((left, token))
+        key = (left + 1) << 32 | token
+        known = self.stays.get(key)
         if known is None:
             if len(self.stays) > ARCS:
                 self.stays.clear()
             pair = [token] if left == START else [left, token]
-            known = self.stays[left, token] = self.merged(b"".join(self.bytes_of[t] for t in pair)) == pair
+            known = self.stays[key] = self.merged(b"".join([self.bytes_of[t] for t in pair])) == pair
         return known
 
-    def _state(self, readings: tuple) -> int:
+    def _path(self, before: int, token: int) -> int:
+        key = (before + 1) << 32 | token + 1
+        at = self.path_of.get(key)
+        if at is None:
+            at = self.path_of[key] = len(self.path_token)
+            self.path_token.append(token)
+            self.path_before.append(before)
+            first = -1 if before < 0 else self.path_first[before]
+            self.path_first.append(token if first < 0 <= before else first)
+        return at
+
+    def _tokens(self, path: int) -> list[int]:
+        """Tokens of a path, the emitted one first."""
+        out = []
+        while path >= 0:
+            out.append(self.path_token[path])
+            path = self.path_before[path]
+        return out[::-1]
+
+    def _state(self, readings: tuple[int, ...]) -> int:
         at = self.number.get(readings)
         if at is None:
             at = self.number[readings] = len(self.states)
             self.states.append(readings)
-            self.rest.append(list(readings[-1][1][1:]))
         return at
 
-    def _arc(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
+    def _arc(self, state: int, byte: int) -> int | tuple[int, list[int]]:
         """The arc of ``byte``: every reading moved on, and the tokens that all readings share."""
-        alive, ended = [], None
-        for node, path in self.states[state]:
-            node = self.child.get(node << 8 | byte)
+        child, token, inner, stays, first = self.child, self.token, self.inner, self.stays, self.path_first
+        readings, alive, ended = self.states[state], [], -1
+        for k in range(0, len(readings), 2):
+            node = child.get(readings[k] << 8 | byte)
             if node is None:
                 continue
-            token = self.token[node]
-            if ended is None and token >= 0 and self.fits(path[-1], token) and self.fits(START, token):
-                ended = (*path, token)
-            if node in self.inner:
-                alive.append((node, path))
-        alive.append((0, ended))
-        agreed = 1
-        shortest = min(len(path) for _, path in alive)
-        while agreed < shortest and len({path[agreed] for _, path in alive}) == 1:
-            agreed += 1
-        emitted = ended[1:agreed]
-        arc = self.arcs[state << 8 | byte] = self._state(tuple((node, path[agreed - 1:]) for node, path in alive)), emitted
-        return arc
+            path = readings[k + 1]
+            if ended < 0 and (own := token[node]) >= 0:
+                last = self.path_token[path]
+                known = stays.get((last + 1) << 32 | own)
+                if (self.fits(last, own) if known is None else known) and self.fits(START, own):
+                    ended = self._path(path, own)
+            if inner[node]:
+                alive += (node, path)
+        alive += (0, ended)
+        shared = first[ended]
+        for k in range(1, len(alive), 2):
+            if first[alive[k]] != shared:
+                to = self._state(tuple(alive))
+                break
+        else:
+            paths = [self._tokens(path) for path in alive[1::2]]
+            agreed = 1
+            while all(len(p) > agreed and p[agreed] == paths[-1][agreed] for p in paths):
+                agreed += 1
+            for k, p in enumerate(paths):
+                path = -1
+                for t in p[agreed - 1:]:
+                    path = self._path(path, t)
+                alive[2 * k + 1] = path
+            to = self._state(tuple(alive)), paths[-1][1:agreed]
+        self.arcs[state << 8 | byte] = to
+        return to
 
     def encode(self, piece: bytes) -> list[int]:
         """Ids of one piece; a piece that is a token is that token, as the library has it."""
@@ -126,11 +168,15 @@ class Transducer:
             self._grow_anew()
         arcs, state, out = self.arcs, 0, []
         for byte in piece:
-            arc = arcs.get(state << 8 | byte) or self._arc(state, byte)
-            state, emitted = arc
-            if emitted:
+            to = arcs.get(state << 8 | byte)
+            if to is None:
+                to = self._arc(state, byte)
+            if type(to) is int:
+                state = to
+            else:
+                state, emitted = to
                 out += emitted
-        return out + self.rest[state]
+        return out + self._tokens(self.states[state][-1])[1:]
 
 
 def _utf8() -> np.ndarray:
@@ -210,21 +256,95 @@ class Decoder:
         return out
 
 
+LETTER, NUMBER, SPACE, OTHER, EDGE, UNKNOWN = range(6)
+
+
+@cache
+def _probes() -> list:
+    """The library's own classes: per class an encoding that keeps only its characters."""
+    import tiktoken
+    single = {bytes([b]): b for b in range(256)}
+    return [(tiktoken.Encoding(name, pat_str=name, mergeable_ranks=single, special_tokens={}), kind)
+            for name, kind in ((r"\p{L}", LETTER), (r"\p{N}", NUMBER), (r"\s", SPACE))]
+
+
+class Splitter:
+    """Matches of the split pattern, found on the classes of the characters of many texts at once.
+
+    The pattern is that of the vocabulary, ``bpe.SPLIT``.  A piece is a run of
+    letters, of numbers or of other characters, with the blank before it; of
+    white space before a character the last one stands alone unless it is such a
+    blank; an apostrophe that begins a piece and a contraction is one with it.
+    Classes are asked of the library, once per character.
+    """
+
+    CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")     # fixed values
+
+    def __init__(self):
+        self.classes = np.full(0x110000, UNKNOWN, dtype=np.uint8)
+
+    def _classes(self, points: np.ndarray) -> np.ndarray:
+        out = self.classes[points]
+        unknown = out == UNKNOWN
+        if unknown.any():
+            for c in np.unique(points[unknown]).tolist():
+                self.classes[c] = next((kind for probe, kind in _probes() if probe.encode_ordinary(chr(c))), OTHER)
+            out = self.classes[points]
+        return out
+
+    def starts(self, points: np.ndarray, edges: np.ndarray) -> np.ndarray:
+        """Where pieces start, edges (the place after each text) included."""
+        kind = self._classes(points)
+        kind[edges] = EDGE
+        begin = np.ones(len(kind), dtype=bool)
+        begin[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == EDGE)
+        # the last white space before a character is cut off; a blank begins the run that follows
+        last = np.flatnonzero((kind[:-1] == SPACE) & (kind[1:] < EDGE) & (kind[1:] != SPACE))
+        begin[last] = True
+        begin[last[points[last] == 32] + 1] = False
+        # an apostrophe that begins a piece, before the letters of a contraction
+        mark = np.flatnonzero((points[:-1] == 39) & begin[:-1] & (kind[1:] == LETTER))
+        second = mark + 1
+        third = np.where(kind[second + 1] == LETTER, points[second + 1], 0)        # a text ends in an edge at the latest
+        for c in self.CONTRACTIONS:
+            own = points[second] == ord(c[1])
+            if len(c) > 2:
+                own &= third == ord(c[2])
+            begin[second[own]] = False
+            begin[mark[own] + len(c)] = True
+        return np.flatnonzero(begin)
+
+    def pieces(self, texts: list[str]) -> list[list[str]]:
+        """Pieces of every text."""
+        if not texts:
+            return []
+        joined = "\0".join([*texts, ""])
+        ends = np.cumsum([len(t) + 1 for t in texts]) - 1
+        starts = self.starts(np.frombuffer(joined.encode("utf-32-le"), dtype="<u4"), ends)
+        cut = np.searchsorted(starts, ends).tolist()            # the number of the edge after each text
+        starts = starts.tolist()
+        out, first = [], 0
+        for k in cut:
+            own = starts[first:k + 1]
+            out.append([joined[a:b] for a, b in zip(own, own[1:])])
+            first = k + 1
+        return out
+
+
 class Codec:
     """Encoder and decoder of a file of ranks (lines of a base64 token and its rank)."""
 
-    def __init__(self, path: str, pattern: str = SPLIT):
+    def __init__(self, path: str):
         with open(path, "rb") as f:
             ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f if line.strip())}
         self.transducer = Transducer(ranks)
-        self.split = regex.compile(pattern)
+        self.splitter = Splitter()
         self.names: list[bytes] = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.names[rank] = token
         self.decimal = [str(i) for i in range(len(self.names))]
         self.partial = np.array([self._ends(name) for name in self.names])
         self.memo: dict[str, list[int]] = {}
-        self.classes: dict[str, str] = {}
 
     @staticmethod
     def _ends(name: bytes) -> bool:
@@ -235,35 +355,22 @@ class Codec:
         except UnicodeDecodeError:
             return True
 
-    def _class(self, c: str) -> str:
-        """A character that every version of Unicode classes as the library does ``c``."""
-        known = self.classes.get(c)
-        if known is None:
-            alike = next((sign for probe, sign in _probes() if probe.encode_ordinary(c)), "!")
-            known = self.classes[c] = alike
-        return known
-
-    def pieces(self, text: str) -> Iterator[str]:
-        """Matches of the pattern in a text, classes of rare characters asked of the library."""
-        if not UNCERTAIN.search(text):
-            return (m.group() for m in self.split.finditer(text)) if len(text) > 1_000_000 else iter(self.split.findall(text))
-        plain = UNCERTAIN.sub(lambda m: self._class(m.group()), text)
-        return (text[m.start():m.end()] for m in self.split.finditer(plain))
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of every text."""
+        memo, encode = self.memo, self.transducer.encode
+        out = []
+        for pieces in self.splitter.pieces(texts):
+            long: dict[str, list[int]] = {}
+            if len(memo) > MEMO:
+                memo.clear()
+            for piece in set(pieces).difference(memo):
+                (memo if len(piece) <= SHORT else long)[piece] = encode(piece.encode())
+            found = [memo[p] for p in pieces] if not long else [long[p] if p in long else memo[p] for p in pieces]
+            out.append(np.array(list(chain.from_iterable(found)), dtype=np.int64))
+        return out
 
     def encode(self, text: str) -> np.ndarray:
-        """Ids of a text."""
-        out: list[int] = []
-        memo = self.memo
-        for piece in self.pieces(text):
-            ids = memo.get(piece)
-            if ids is None:
-                ids = self.transducer.encode(piece.encode())
-                if len(piece) <= SHORT:
-                    if len(memo) >= MEMO:
-                        memo.clear()
-                    memo[piece] = ids
-            out += ids
-        return np.array(out, dtype=np.int64)
+        return self.encode_all([text])[0]
 
     def decode(self, ids: np.ndarray) -> Iterator[bytes]:
         """Bytes of ``ids``, as a stream of whole characters."""
@@ -276,15 +383,6 @@ class Codec:
         return ",".join(map(self.decimal.__getitem__, ids))
 
 
-@cache
-def _probes() -> list:
-    """The library's own classes: an encoding that keeps only characters of one class, and a character of that class."""
-    import tiktoken
-    single = {bytes([b]): b for b in range(256)}
-    return [(tiktoken.Encoding(name, pat_str=pattern, mergeable_ranks=single, special_tokens={}), sign)
-            for name, pattern, sign in (("letter", r"\p{L}", "à"), ("number", r"\p{N}", "1"), ("space", r"\s", " "))]
-
-
 @cache
 def codec(path: str) -> Codec:
     return Codec(path)
@@ -296,8 +394,7 @@ def byte_bpe(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     def run(texts: list[str]) -> dict:
         own = codec(path)
         out: dict[str, list] = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
-        for text in texts:
-            ids = own.encode(text)
+        for ids in own.encode_all(texts):
             decoded = hashlib.sha256()
             for part in own.decode(ids):
                 decoded.update(part)
@@ -313,4 +410,4 @@ def byte_bpe(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids): little-endian unsigned 32-bit ids of every row, as bytes."""
     return map_texts(docs, text_col, {id_col: id_col}, {"ids": "binary"},
-                     lambda texts: {"ids": [codec(path).encode(t).astype("<u4").tobytes() for t in texts]})
+                     lambda texts: {"ids": [ids.astype("<u4").tobytes() for ids in codec(path).encode_all(texts)]})
