@@ -6,7 +6,10 @@ weights tell which terms speak for the label; every term also has a short vector
 whose products weigh pairs of terms, so that a word that is harmless by itself
 counts beside another.  The machine is fitted on a bounded sample of different
 labelled texts, over the terms of that sample that depend on the label by a chi-square
-test, or of which a pair does beyond what its terms say alone, with AdaGrad steps and an L2 penalty.
+test, or of which a pair does beyond what its terms say alone; both limits rise with
+the logarithm of the tests that are made.  It learns in AdaGrad steps on small batches
+with an L2 penalty.  What machines of the other folds say of each fold scales the
+scores, so that 0.5 is where both labels, weighed alike, are told apart best.
 
 Defined results: null and empty texts have no term and get the score of the
 intercept; texts are read whole; a label given more than once counts as toxic if
@@ -30,10 +33,10 @@ from kiln.llm.common import bounded_sample, id_remainder, map_texts
 
 PER_CLASS = 4_000           # labelled texts of either kind that are fitted, about
 STEMS = (4, 5, 6)
-CHI_SQUARE, LEAST = 25.0, 4     # a term's dependence on the label (p < 1e-6: the terms are many) and texts that hold it
-PAIR, PAIRED = 20.0, 1 << 15    # the same of a pair beyond its terms; terms whose pairs are compared
-FACTORS, EPOCHS, RATE, L2 = 8, 40, 0.2, 1e-5
-LINEAR = 25                 # epochs before the factors join: pairs only explain what single terms do not
+LEAST, PAIR = 4, 20.0       # texts that hold a term; a pair's departure from its terms, at least
+FACTORS, EPOCHS, RATE, L2 = 8, 30, 0.2, 0.1
+BATCH, FOLDS = 128, 5       # texts of a step; parts that are held back in turn to place the cut
+LINEAR = 15                 # epochs before the factors join: pairs only explain what single terms do not
 MEMO = 300_000              # words remembered by a worker; only saves repeated work
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -80,10 +83,16 @@ def logit(x: np.ndarray, n: np.ndarray, share: float) -> tuple[np.ndarray, np.nd
     return np.log(toxic / clean), 1 / toxic + 1 / clean
 
 
-def paired(texts: list[np.ndarray], y: np.ndarray, terms: np.ndarray, least: float) -> np.ndarray:
+def beyond(tests: float) -> float:
+    """A statistic with one degree of freedom that chance reaches less than once in so many tests."""
+    return 2 * float(np.log(max(tests, 2)))
+
+
+def paired(texts: list[np.ndarray], y: np.ndarray, terms: np.ndarray) -> np.ndarray:
     """Terms of ``terms`` of which a pair departs from what the two say by themselves (logits add up).
 
-    Terms held by the same texts count as one; the ``PAIRED`` most frequent are compared, all with all.
+    Terms held by the same texts count as one.  All pairs that share enough texts
+    to show it are compared; the limit rises with the logarithm of their number.
     """
     order = np.argsort(-y, kind="stable")                       # toxic texts first
     y, texts = y[order], [texts[i] for i in order]
@@ -94,7 +103,11 @@ def paired(texts: list[np.ndarray], y: np.ndarray, terms: np.ndarray, least: flo
     np.add.at(alike, where, marks[owner])                       # of the set of texts, modulo 2**64
     _, example, group = np.unique(alike, return_index=True, return_inverse=True)
     df = np.bincount(where, minlength=len(terms))[example]
-    kept = np.argsort(-df, kind="stable")[:PAIRED]
+    n, n1 = len(y), float(y.sum())
+    share = n1 / n
+    few = PAIR / (2 * np.log(1 / min(share, 1 - share)))        # fewer common texts cannot reach the least limit
+    kept = np.argsort(-df, kind="stable")
+    kept = kept[df[kept] >= few]
     number = np.full(len(terms), -1)
     number[example[kept]] = np.arange(len(kept))
     rows = [np.sort(r[r >= 0]) for r in (number[a] for a in at)]
@@ -102,21 +115,17 @@ def paired(texts: list[np.ndarray], y: np.ndarray, terms: np.ndarray, least: flo
     place = np.concatenate([np.arange(len(r)) for r in rows])
     by_term = np.argsort(flat, kind="stable")
     cut = np.concatenate(([0], np.cumsum(np.bincount(flat, minlength=len(kept)))))
-    n, n1 = len(y), float(y.sum())
-    share = n1 / n
-    few = least / (2 * np.log(1 / min(share, 1 - share)))       # fewer common texts cannot reach it
     total = np.diff(cut).astype(float)
     toxic = np.bincount(flat, weights=y[owner], minlength=len(kept))
-    found = np.zeros(len(kept), dtype=bool)
+    best, compared = np.zeros(len(kept)), 0                     # a term's best pair
     for a in range(len(kept)):
         own = by_term[cut[a]:cut[a + 1]]
-        if len(own) < few:
-            break
         more = [rows[i][:k] for i, k in zip(owner[own].tolist(), place[own].tolist(), strict=True)]     # more frequent terms
         both = np.bincount(np.concatenate(more), minlength=1)
         b = np.flatnonzero(both >= few)
         if not len(b):
             continue
+        compared += len(b)
         first = np.concatenate([*more[:int(toxic[a])], b])      # one too many of each b
         o, m = (np.bincount(first, minlength=len(both))[b] - 1).astype(float), both[b].astype(float)
         la, va = logit(toxic[a] - o, total[a] - m, share)
@@ -124,10 +133,10 @@ def paired(texts: list[np.ndarray], y: np.ndarray, terms: np.ndarray, least: flo
         l0, v0 = logit(n1 - toxic[a] - toxic[b] + o, n - total[a] - total[b] + m, share)
         p = 1 / (1 + np.exp(-np.clip(la + lb - l0, -4, 4)))
         g = 2 * (o * np.log(np.maximum(o, 1e-9) / (m * p)) + (m - o) * np.log(np.maximum(m - o, 1e-9) / (m * (1 - p))))
-        hit = g / (1 + m * p * (1 - p) * (va + vb + v0)) >= least      # less where the expectation is uncertain
-        if hit.any():
-            found[a] = True
-            found[b[hit]] = True
+        g /= 1 + m * p * (1 - p) * (va + vb + v0)               # less where the expectation is uncertain
+        best[a] = max(best[a], g.max())
+        best[b] = np.maximum(best[b], g)
+    found = best >= max(PAIR, beyond(compared))
     return terms[np.isin(group, group[example[kept[found]]])]
 
 
@@ -140,39 +149,110 @@ def choose(texts: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     both = np.bincount(where, weights=owner, minlength=len(terms))
     spread = df * (n - df) * n1 * (n - n1)
     chi = np.divide(n * (n * both - df * n1) ** 2, spread, out=np.zeros(len(terms)), where=spread > 0)
-    often = df >= min(LEAST, max(1, n // 8))
-    # n is the most that a statistic can reach
-    alone = terms[often & (chi >= min(CHI_SQUARE, n / 4))]
-    return np.union1d(alone, paired(texts, y, terms[often], min(PAIR, n / 4))) if often.any() else alone
+    often = df >= LEAST
+    alone = terms[often & (chi >= beyond(often.sum()))]
+    return np.union1d(alone, paired(texts, y, terms[often])) if often.any() else alone
 
 
-def train(texts: list[np.ndarray], y: np.ndarray, seed: int = 0) -> Machine:
-    terms = choose(texts, y)
-    rows = [np.searchsorted(terms, np.intersect1d(t, terms, assume_unique=True)) for t in texts]
+class Rows:
+    """Places of the chosen terms of many texts, one after the other."""
+
+    def __init__(self, texts: list[np.ndarray], terms: np.ndarray):
+        at = [np.searchsorted(terms, np.intersect1d(t, terms, assume_unique=True)) for t in texts]
+        self.size = np.array([len(a) for a in at])
+        self.start = np.concatenate(([0], np.cumsum(self.size)))
+        self.flat = np.concatenate([*at, np.empty(0, dtype=np.int64)]).astype(np.int64)
+
+    def of(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(term places, number in ``which`` of the text that holds each)."""
+        size = self.size[which]
+        owner = np.repeat(np.arange(len(which)), size)
+        place = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(self.start[which], size)
+        return self.flat[place], owner
+
+
+def raw_scores(w0: float, w: np.ndarray, v: np.ndarray, term: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(scores, summed factors) of ``n`` texts."""
+    s = np.zeros((n, v.shape[1]))
+    for f in range(v.shape[1]):
+        s[:, f] = np.bincount(owner, weights=v[term, f], minlength=n)
+    squares = np.bincount(owner, weights=(v[term] ** 2).sum(axis=1), minlength=n)
+    return w0 + np.bincount(owner, weights=w[term], minlength=n) + 0.5 * ((s * s).sum(axis=1) - squares), s
+
+
+def balanced(y: np.ndarray) -> np.ndarray:
+    """Weights under which both kinds weigh alike."""
+    return np.where(y > 0, len(y) / (2 * max(y.sum(), 1)), len(y) / (2 * max(len(y) - y.sum(), 1)))
+
+
+def descend(rows: Rows, y: np.ndarray, terms: int, which: np.ndarray, seed: int) -> tuple[float, np.ndarray, np.ndarray]:
+    """(intercept, weights, factors) learnt from the texts ``which``, in AdaGrad steps on small batches."""
     rng = np.random.default_rng(seed)
-    w, v = np.zeros(len(terms)), rng.normal(0, 0.01, (len(terms), FACTORS))
-    w0, g0 = 0.0, 1.0
-    gw, gv = np.full(len(terms), 1.0), np.full(v.shape, 1.0)
-    weight = np.where(y > 0, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))    # both kinds weigh alike
+    w0, w, v = 0.0, np.zeros(terms), rng.normal(0, 0.01, (terms, FACTORS))
+    g0, gw, gv = 1.0, np.ones(terms), np.ones(v.shape)
+    weight = np.zeros(len(y))
+    weight[which] = balanced(y[which])
     for epoch in range(EPOCHS):
-        for i in rng.permutation(len(rows)):
-            at = rows[i]
-            x = w0 + w[at].sum()
-            if epoch >= LINEAR:
-                own = v[at]
-                s = own.sum(axis=0)
-                x += 0.5 * (s @ s - (own ** 2).sum())
-            error = weight[i] * (1 / (1 + np.exp(-np.clip(x, -35, 35))) - y[i])
-            g0 += error ** 2
-            w0 -= RATE * error / np.sqrt(g0)
-            g = error + L2 * w[at]
-            gw[at] += g ** 2
-            w[at] -= RATE * g / np.sqrt(gw[at])
+        order = rng.permutation(which)
+        for low in range(0, len(order), BATCH):
+            own = order[low:low + BATCH]
+            term, owner = rows.of(own)
+            x, s = raw_scores(w0, w, v if epoch >= LINEAR else v[:, :0], term, owner, len(own))
+            error = weight[own] * (1 / (1 + np.exp(-np.clip(x, -35, 35))) - y[own])
+            g0 += error.sum() ** 2
+            w0 -= RATE * error.sum() / np.sqrt(g0)
+            if not len(term):
+                continue
+            held = L2 * np.bincount(term, minlength=terms)
+            e = np.bincount(term, weights=error[owner], minlength=terms)
+            g = e + held * w
+            gw += g ** 2
+            w -= RATE * g / np.sqrt(gw)
             if epoch >= LINEAR:
-                g = error * (s - own) + L2 * own
-                gv[at] += g ** 2
-                v[at] -= RATE * g / np.sqrt(gv[at])
-    return Machine(terms, w0, w, v)
+                pulled = error[:, None] * s
+                g = (held - e)[:, None] * v
+                for f in range(FACTORS):
+                    g[:, f] += np.bincount(term, weights=pulled[owner, f], minlength=terms)
+                gv += g ** 2
+                v -= RATE * g / np.sqrt(gv)
+    return w0, w, v
+
+
+def cut_at_half(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+    """(scale, bias) by which scores ``x`` of texts that were not learnt from say best which are toxic, both kinds weighed
+    alike; drawn to (1, 0) by the weight of one text."""
+    a, b, weight = 1.0, 0.0, balanced(y)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(a * x + b, -35, 35)))
+        g = np.array([(weight * (p - y) * x).sum() + a - 1, (weight * (p - y)).sum() + b])
+        h = weight * p * (1 - p)
+        hessian = np.array([[(h * x * x).sum() + 1, (h * x).sum()], [(h * x).sum(), h.sum() + 1]])
+        step = np.linalg.solve(hessian, g)
+        step /= max(1.0, np.abs(step).max())
+        a, b = max(1e-3, a - step[0]), b - step[1]
+        if np.abs(step).max() < 1e-9:
+            break
+    return a, b
+
+
+def train(texts: list[np.ndarray], y: np.ndarray, seed: int = 0) -> Machine:
+    """The machine of all texts, its scores scaled by what machines of the others say of each fold."""
+    terms = choose(texts, y)
+    rows = Rows(texts, terms)
+    everything = np.arange(len(y))
+    fold = np.empty(len(y), dtype=np.int64)
+    for kind in (0.0, 1.0):             # either kind is dealt evenly
+        own = np.flatnonzero(y == kind)
+        fold[np.random.default_rng(seed).permutation(own)] = np.arange(len(own)) % FOLDS
+    held, known = np.zeros(len(y)), np.zeros(len(y), dtype=bool)
+    for k in range(FOLDS):
+        out, rest = np.flatnonzero(fold == k), np.flatnonzero(fold != k)
+        if len(out) and 0 < y[rest].sum() < len(rest):
+            held[out] = raw_scores(*descend(rows, y, len(terms), rest, seed), *rows.of(out), len(out))[0]
+            known[out] = True
+    w0, w, v = descend(rows, y, len(terms), everything, seed)
+    scale, bias = cut_at_half(held[known], y[known]) if 0 < y[known].sum() < known.sum() else (1.0, 0.0)
+    return Machine(terms, scale * w0 + bias, scale * w, np.sqrt(scale) * v)
 
 
 def fit(training: DataFrame) -> Machine:

@@ -157,3 +157,64 @@ def test_the_tagger_learns_from_a_sample_of_rows_without_ids(spark, monkeypatch)
     monkeypatch.setattr(pii, "train", seen.append)
     pii.learnt(docs.union(docs))
     assert 0.5 * pii.SAMPLE < len(set(seen[0])) and len(seen[0]) < 4 * pii.SAMPLE
+
+
+def test_scores_equal_the_explicit_sum_over_pairs():
+    rng = np.random.default_rng(3)
+    terms = np.sort(rng.choice(10_000, 30, replace=False))
+    texts = [np.sort(rng.choice(terms, rng.integers(0, 9), replace=False)) for _ in range(40)]
+    w0, w, v = 0.3, rng.normal(size=30), rng.normal(size=(30, T.FACTORS))
+    machine = T.Machine(terms, w0, w, v)
+    rows = T.Rows(texts, terms)
+    together = T.raw_scores(w0, w, v, *rows.of(np.arange(40)), 40)[0]
+    for k, text in enumerate(texts):
+        at = np.searchsorted(terms, text)
+        want = w0 + sum(w[i] for i in at) + sum(float(v[i] @ v[j]) for i in at for j in at if i < j)
+        assert abs(machine.raw(at) - want) < 1e-9 and abs(together[k] - want) < 1e-9
+
+
+def test_gradients_equal_finite_differences(monkeypatch):
+    # one step from a known place moves against the gradient of the loss
+    monkeypatch.setattr(T, "EPOCHS", 1)
+    monkeypatch.setattr(T, "LINEAR", 0)
+    monkeypatch.setattr(T, "L2", 0.0)
+    monkeypatch.setattr(T, "RATE", 1e-4)
+    rng = np.random.default_rng(4)
+    terms = np.arange(12)
+    texts = [np.sort(rng.choice(12, 5, replace=False)) for _ in range(30)]
+    y = (rng.random(30) < 0.3).astype(float)
+    rows, everything = T.Rows(texts, terms), np.arange(30)
+    v0 = np.random.default_rng(0).normal(0, 0.01, (12, T.FACTORS))
+
+    def loss(w0, w, v):
+        x = T.raw_scores(w0, w, v, *rows.of(everything), 30)[0]
+        return (T.balanced(y) * (np.log1p(np.exp(x)) - y * x)).sum()
+    w0, w, v = T.descend(rows, y, 12, everything, 0)
+    start = (0.0, np.zeros(12), v0)
+    for i in range(12):
+        bump = np.zeros(12)
+        bump[i] = 1e-6
+        g = (loss(0.0, bump, v0) - loss(0.0, -bump, v0)) / 2e-6
+        assert abs(w[i] + 1e-4 * g / np.sqrt(1 + g * g)) < 1e-9
+        # the factors of the step see the weights of before
+        for f in (0, 3):
+            bump = np.zeros_like(v0)
+            bump[i, f] = 1e-6
+            g = (loss(*start[:2], v0 + bump) - loss(*start[:2], v0 - bump)) / 2e-6
+            assert abs(v[i, f] - v0[i, f] + 1e-4 * g / np.sqrt(1 + g * g)) < 1e-8
+
+
+def test_the_cut_is_where_held_back_texts_part():
+    rng = np.random.default_rng(5)
+    y = (rng.random(4_000) < 0.1).astype(float)
+    x = 3 * (2 * y - 1) + rng.normal(0, 1, 4_000) + 2
+    scale, bias = T.cut_at_half(x, y)
+    assert abs(-bias / scale - 2) < 0.3                 # the raw score that becomes 0.5
+    assert T.cut_at_half(np.zeros(10), np.arange(10) % 2.0)[0] > 0
+
+
+def test_limits_rise_with_the_number_of_tests():
+    assert T.beyond(10) < T.beyond(1_000) < T.beyond(10 ** 8) and abs(T.beyond(10 ** 8) - 36.8) < 0.1
+    rng = np.random.default_rng(6)
+    noise = [np.unique(rng.integers(0, 3_000, 40)) for _ in range(600)]
+    assert len(T.choose(noise, (rng.random(600) < 0.2).astype(float))) <= 6       # of millions of pairs
