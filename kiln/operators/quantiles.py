@@ -1,16 +1,19 @@
 """Quantiles with linear interpolation (NumPy / ``quantile_cont`` semantics).
 
-``column_quantiles`` is exact and distributed for one global group: it narrows
-each target rank with bucket-count passes (each pass one aggregate over the
-data, only bucket counts come back), so no task ever holds the whole column.
+``multi_quantiles`` is exact and distributed for whole columns: a mergeable sketch
+brackets every rank in a first scan, and a second takes the rows of the brackets,
+so no task ever holds a whole column.
 ``grouped_quantiles`` numbers distinct values per group on the series machinery.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,128 +59,163 @@ def grouped_quantiles(df: DataFrame, by: Sequence[str], col: str, probs: Sequenc
     return g.select(*by, F.array(*vals).alias(out))
 
 
-def column_quantiles(df: DataFrame, col: str, probs: Sequence[float],
-                     fanout: int = 4096, max_collect: int = 2_000) -> list[float | None]:
+def column_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> list[float | None]:
     """Exact quantiles of one numeric column (nulls and NaN skipped)."""
-    return multi_quantiles(df, {col: probs}, fanout, max_collect)[col]
-
-
-def multi_quantiles(df: DataFrame, spec: dict[str, Sequence[float]], fanout: int = 4096,
-                    max_collect: int = 2_000) -> dict[str, list[float | None]]:
-    """Exact quantiles for several columns with shared passes over the data.
-
-    Pass 1 gets count/min/max per column.  Each later pass is one aggregate that
-    counts rows per (target rank, bucket) inside the bucket chain known to hold
-    the target; only bucket counts reach the driver.  A target whose bucket holds
-    at most ``max_collect`` rows is finished by sorting just those rows.  Infinite
-    values count at their end of the order and take no part in the passes."""
-    cols = list(spec)
-    d = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    inf = float("inf")
-    ok = {c: F.col(c).isNotNull() & ~F.isnan(F.col(c)) & (F.abs(F.col(c)) < inf) for c in cols}
-    aggs = []
-    for c in cols:
-        aggs += [F.count(F.when(ok[c], 1)).alias(f"n_{c}"),
-                 F.min(F.when(ok[c], F.col(c))).alias(f"lo_{c}"),
-                 F.max(F.when(ok[c], F.col(c))).alias(f"hi_{c}"),
-                 F.count_if(F.col(c) == -inf).alias(f"under_{c}"), F.count_if(F.col(c) == inf).alias(f"over_{c}")]
-    st = d.agg(*aggs).first().asDict()
-    targets, found, state = [], {}, {}
-    for c in cols:
-        finite, under, lo, hi = st[f"n_{c}"], st[f"under_{c}"], st[f"lo_{c}"], st[f"hi_{c}"]
-        n = st[f"n_{c}"] = finite + under + st[f"over_{c}"]
-        if not n:
-            continue
+    return multi_quantiles(df, {col: probs})[col]
+
+
+SKETCH = 10_000         # the sketch places a rank within one such part of the rows
+INSIDE = 20_000         # values of one bracket that are gathered as an array, about
+
+
+@dataclass
+class _Column:
+    """What the first pass knows of a column: counts, ends, and a bracket by probability."""
+
+    n: int                  # finite and infinite values
+    under: int              # -inf
+    over: int               # inf
+    lo: float
+    hi: float
+    brackets: dict[float, tuple[float, float]]
+
+    def ranks(self, p: float) -> tuple[int, int]:
+        h = (self.n - 1) * p
+        return math.floor(h), math.ceil(h)
+
+
+def _first_pass(d: DataFrame, spec: dict[str, Sequence[float]]) -> dict[str, _Column]:
+    inf, aggs = float("inf"), []
+    for i, (c, probs) in enumerate(spec.items()):
+        x = F.col(c)
+        finite = F.when(x.isNotNull() & ~F.isnan(x) & (F.abs(x) < inf), x)
+        sides = [min(1.0, max(0.0, p + s * 3 / SKETCH)) for p in probs for s in (-1, 1)]
+        aggs += [F.count(finite).alias(f"n{i}"), F.min(finite).alias(f"lo{i}"), F.max(finite).alias(f"hi{i}"),
+                 F.count_if(x == -inf).alias(f"under{i}"), F.count_if(x == inf).alias(f"over{i}"),
+                 F.percentile_approx(finite, sides or [0.5], SKETCH).alias(f"q{i}")]
+    r, out = d.agg(*aggs).first(), {}
+    for i, (c, probs) in enumerate(spec.items()):
+        n, under, over, q = r[f"n{i}"], r[f"under{i}"], r[f"over{i}"], r[f"q{i}"] or []
+        whole = n <= INSIDE or under or over        # few rows, or probabilities that count infinite ones too
+        brackets = {p: (r[f"lo{i}"], r[f"hi{i}"]) if whole else (q[2 * j], q[2 * j + 1]) for j, p in enumerate(probs)} if n else {}
+        out[c] = _Column(n + under + over, under, over, r[f"lo{i}"], r[f"hi{i}"], brackets)
+    return out
+
+
+def multi_quantiles(df: DataFrame, spec: dict[str, Sequence[float]], inside: int = INSIDE) -> dict[str, list[float | None]]:
+    """Exact quantiles of several columns in two scans (nulls and NaN skipped).
+
+    The first scan merges one sketch per column, whose error is bounded, so that
+    two values bracket every rank.  The second counts the rows below and at the
+    ends of every bracket and takes the values between them: as arrays where the
+    brackets are short by their counts, otherwise as a written table of value
+    counts, in which the ranks are found by running counts.  Infinite values count
+    at their end of the order.  Columns with infinite values and over ``inside``
+    rows take their ends as bracket, and so the second way.
+    """
+    cols = {f"c{i}": c for i, c in enumerate(spec)}
+    d = df.select(*[F.col(f"`{c}`").cast("double").alias(k) for k, c in cols.items()])
+    known = _first_pass(d, {k: list(spec[c]) for k, c in cols.items()})
+    brackets: list[tuple[str, float, float]] = []
+    for k, c in cols.items():
+        brackets += [b for b in dict.fromkeys((k, *known[k].brackets[p]) for p in spec[c] if known[k].n > known[k].under + known[k].over)]
+    wide = {(k, lo, hi) for k, lo, hi in brackets if (lo, hi) == (known[k].lo, known[k].hi) and known[k].n > inside}
+    ranks = {b: set() for b in brackets}
+    for k, c in cols.items():
         for p in spec[c]:
-            for r in (math.floor((n - 1) * p), math.ceil((n - 1) * p)):
-                if (c, r) in state:
-                    continue
-                targets.append((c, r))
-                state[(c, r)] = {}
-                if not under <= r < under + finite:
-                    found[(c, r)] = -inf if r < under else inf
-                    continue
-                if lo == hi:
-                    found[(c, r)] = lo
-                w = (hi - lo) / fanout if hi > lo else 1.0
-                state[(c, r)] = {"chain": [], "lo": lo, "w": w, "below": under, "count": finite}
-
-    def bucket(c, lo, w):
-        return F.least(F.greatest(F.floor((F.col(c) - F.lit(lo)) / F.lit(w)), F.lit(0)),
-                       F.lit(fanout - 1)).cast("long")
-
-    def member(c, chain):
-        m = ok[c]
-        for lo, w, b in chain:
-            m = m & (bucket(c, lo, w) == F.lit(b))
-        return m
-
-    while len(found) < len(targets):
-        todo = [t for t in targets if t not in found]
-        groups: dict[tuple, list] = {}
-        for t in [t for t in todo if state[t]["count"] <= max_collect]:
-            groups.setdefault((t[0], tuple(state[t]["chain"])), []).append(t)
-        if groups:
-            # one job for every finished bucket: (group id, value) pairs, each
-            # bucket holding at most max_collect values
-            keys = list(groups)
-            tags = [F.when(member(c, list(chain)), F.struct(F.lit(gi).alias("g"), F.col(c).alias("v")))
-                    for gi, (c, chain) in enumerate(keys)]
-            got: dict[int, list] = {}
-            for row in d.select(F.explode(F.array_compact(F.array(*tags))).alias("x")).select("x.*").collect():
-                got.setdefault(row["g"], []).append(row["v"])
-            for gi, key in enumerate(keys):
-                vals = sorted(got.get(gi, []))
-                for t in groups[key]:
-                    found[t] = vals[t[1] - state[t]["below"]]
-        wide = [t for t in todo if t not in found]
-        if not wide:
-            break
-        # one tag per (column, bucket chain): targets in the same bucket share it
-        wgroups: dict[tuple, list] = {}
-        for t in wide:
-            wgroups.setdefault((t[0], tuple(state[t]["chain"])), []).append(t)
-        gkeys = list(wgroups)
-        tags = []
-        for gi, (c, chain) in enumerate(gkeys):
-            t0 = wgroups[(c, chain)][0]
-            tags.append(F.when(member(c, list(chain)),
-                               F.struct(F.lit(gi).alias("t"), bucket(c, state[t0]["lo"], state[t0]["w"]).alias("b"),
-                                        F.col(c).alias("v"))))
-        rows = (d.select(F.explode(F.array_compact(F.array(*tags))).alias("x"))
-                 .groupBy("x.t", "x.b").agg(F.count(F.lit(1)).alias("c"), F.min("x.v").alias("mn"),
-                                            F.max("x.v").alias("mx"))
-                 .collect())  # at most groups * fanout rows
-        per: dict[int, list] = {}
-        for row in rows:
-            per.setdefault(row["t"], []).append((row["b"], row["c"], row["mn"], row["mx"]))
-        for gi, key in enumerate(gkeys):
-            for t in wgroups[key]:
-                c, r = t
-                s_ = state[t]
-                acc = s_["below"]
-                for b, cnt, mn, mx in sorted(per.get(gi, [])):
-                    if acc + cnt > r:
-                        if mn == mx:
-                            found[t] = mn
-                        else:
-                            state[t] = {"chain": s_["chain"] + [(s_["lo"], s_["w"], b)],
-                                        "lo": s_["lo"] + b * s_["w"], "w": s_["w"] / fanout,
-                                        "below": acc, "count": cnt}
-                        break
-                    acc += cnt
+            for r in known[k].ranks(p) if known[k].n else ():
+                if known[k].under <= r < known[k].n - known[k].over:
+                    ranks[k, *known[k].brackets[p]].add(r - known[k].under)
+    short = [b for b in brackets if b not in wide]
+    rows = max((6 * known[k].n / SKETCH if known[k].n > inside else known[k].n for k, *_ in short), default=0)
+    # the sketch's bound on the rows between the ends of a bracket decides
+    found = _by_array(d, short) if rows <= inside else _by_value(d, short, ranks)
+    found |= _by_value(d, sorted(wide), ranks)
     out: dict[str, list[float | None]] = {}
-    for c in cols:
-        n = st[f"n_{c}"]
-        res = []
+    for k, c in cols.items():
+        at, res = known[k], []
         for p in spec[c]:
-            if not n:
+            if not at.n:
                 res.append(None)
                 continue
-            h = (n - 1) * p
-            lo_r, hi_r = math.floor(h), math.ceil(h)
-            a, b = found[(c, lo_r)], found[(c, hi_r)]
+            a, b = at.ranks(p)
+            lo, hi = _value(at, found, k, p, a), _value(at, found, k, p, b)
+            h = (at.n - 1) * p
             # same interpolation form as Spark's percentile and quantile_cont
-            res.append(a if lo_r == hi_r else (hi_r - h) * a + (h - lo_r) * b)
+            res.append(lo if a == b else (b - h) * lo + (h - a) * hi)
         out[c] = res
     return out
+
+
+def _value(at: _Column, found: dict, k: str, p: float, rank: int) -> float:
+    """The value of a rank (from 0): infinite, an end of the bracket, or inside it."""
+    if rank < at.under:
+        return -math.inf
+    if rank >= at.n - at.over:
+        return math.inf
+    rank -= at.under
+    if rank in (0, at.n - at.over - at.under - 1):
+        return at.lo if rank == 0 else at.hi
+    lo, hi = at.brackets[p]
+    return found[k, lo, hi](rank)
+
+
+def _by_array(d: DataFrame, brackets: list) -> dict:
+    """By bracket a function from rank to value: counts below and at the ends, and the sorted values between, in one scan."""
+    if not brackets:
+        return {}
+    of: dict[str, list[int]] = {}
+    for i, (k, _, _) in enumerate(brackets):
+        of.setdefault(k, []).append(i)
+    ends = {k: np.array([brackets[i][1:] for i in own]).T for k, own in of.items()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, inner = np.zeros((len(brackets), 2), dtype=np.int64), [[] for _ in brackets]
+        for b in batches:
+            for k, own in of.items():
+                x = b.column(k).drop_null().to_numpy()
+                x = np.sort(x[np.isfinite(x)])
+                lo, hi = ends[k]
+                first, last = np.searchsorted(x, lo, "right"), np.searchsorted(x, hi, "left")
+                below = np.searchsorted(x, lo, "left")
+                counts[own] += np.stack((below, first - below), axis=1)
+                for i, a, z in zip(own, first.tolist(), last.tolist(), strict=True):
+                    if a < z:
+                        inner[i].append(x[a:z])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(len(brackets)), pa.int32()), pa.array(counts[:, 0]), pa.array(counts[:, 1]),
+             pa.array([np.concatenate(v) if v else np.empty(0) for v in inner], pa.list_(pa.float64()))], names=["g", "below", "at", "v"])
+
+    parts = d.select(*of).mapInArrow(run, "g int, below long, at long, v array<double>")
+    rows = parts.groupBy("g").agg(F.sum("below").alias("below"), F.sum("at").alias("at"), F.flatten(F.collect_list("v")).alias("v"))
+    return {brackets[r["g"]]: _ranked(brackets[r["g"]], r["below"], r["at"], sorted(r["v"])) for r in rows.collect()}
+
+
+def _ranked(bracket: tuple, below: int, at_lo: int, values: list[float]):
+    _, lo, hi = bracket
+
+    def value(rank: int) -> float:
+        if rank < below:
+            raise ArithmeticError("the sketch missed a rank")
+        rank -= below + at_lo
+        return lo if rank < 0 else values[rank] if rank < len(values) else hi
+    return value
+
+
+def _by_value(d: DataFrame, brackets: list, ranks: dict[tuple, set[int]]) -> dict:
+    """The same for brackets of any size: counts by value, written once, and running counts over them; the rows below a
+    bracket are one of its values."""
+    from kiln.operators import series as S
+    if not brackets:
+        return {}
+    tags = [F.when((F.col(k) <= hi) & (F.abs(F.col(k)) < math.inf), F.struct(
+        F.lit(i).alias("g"), F.when(F.col(k) >= lo, F.col(k)).otherwise(F.lit(-math.inf)).alias("v")))
+        for i, (k, lo, hi) in enumerate(brackets)]
+    counts = written(d.select(F.explode(F.array_compact(F.array(*tags))).alias("x")).groupBy("x.g", "x.v").agg(
+        F.count(F.lit(1)).alias("n")), "bracket")
+    upto = S.scan_sum(S.sequence(counts, ["g"], ["v"]), ["g"], {"upto": F.col("n").cast("double")})
+    wanted = F.create_map(*[x for i, b in enumerate(brackets) for x in (F.lit(i), F.lit(sorted(ranks[b])) if ranks[b] else F.array(F.lit(-1)))])
+    held = F.filter(F.element_at(wanted, F.col("g")), lambda r: (r < F.col("upto")) & (r >= F.col("upto") - F.col("n")))
+    rows = upto.select("g", "v", F.explode(held).alias("r")).collect()        # a row per wanted rank
+    at = {(r["g"], r["r"]): r["v"] for r in rows}
+    return {b: (lambda rank, i=i: at[i, rank]) for i, b in enumerate(brackets)}

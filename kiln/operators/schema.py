@@ -21,7 +21,7 @@ def split_target(df: DataFrame, target: str, on_missing: str = "error") -> tuple
     if target in df.columns:
         return df, target
     if on_missing == "error":
-        raise ValueError(f"Target column '{target}' not found in the dataset.")
+        raise ValueError(f"no column {target!r} to predict; columns: {df.columns}")
     if on_missing == "null":
         return df.withColumn(target, F.lit(None).cast("double")), target
     return df, None

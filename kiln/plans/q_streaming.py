@@ -12,6 +12,7 @@ from kiln.operators import quantiles as QU
 from kiln.operators import schema as P
 from kiln.plans.registry import query
 from kiln.session import scratch_path
+from kiln.sources import chunk_source as CS
 from kiln.sources import files as SRC
 from kiln.sources import sinks as K
 from kiln.streaming import chunked as ST
@@ -153,3 +154,27 @@ def pluggable_source(spark, sf_dir):
     path, _ = chunk_folder(spark, sf_dir)
     df = ST.read_source(spark, "chunks", path, fmt="parquet", pattern="*.parquet")
     return df.groupBy(F.col("chunk_no").cast("long").alias("chunk_no")).agg(F.count(F.lit(1)).alias("n"))
+
+
+CHUNK_SUMS_SQL = """
+SELECT CAST(event_id % 4 AS BIGINT) AS chunk_no, count(*) AS n, round(sum(value), 6) + 0.0 AS total, max(ts) AS last
+FROM events WHERE event_id % 4 > 0 GROUP BY 1"""
+
+
+def _chunk_sums(df):
+    return df.filter("chunk_no > 0").groupBy("chunk_no").agg(
+        F.count(F.lit(1)).alias("n"), (F.round(F.sum("value"), 6) + F.lit(0.0)).alias("total"), F.max("ts").alias("last"))
+
+
+@query("u05_chunk_source", CHUNK_SUMS_SQL, covers=("U5", "S3"))
+def chunk_source(spark, sf_dir):
+    """The chunk files through the library's own data source: a partition per file, the chunk filter in its planner."""
+    path, schema = chunk_folder(spark, sf_dir)
+    return _chunk_sums(ST.read_source(spark, "kiln_chunks", path, schema=schema, pattern=r"\.parquet$"))
+
+
+@query("u05_chunk_source_stream", CHUNK_SUMS_SQL, covers=("U5", "ST4"))
+def chunk_source_stream(spark, sf_dir):
+    """The same source as a stream."""
+    path, schema = chunk_folder(spark, sf_dir)
+    return _chunk_sums(ST.run_metrics(CS.stream_chunk_source(spark, path, schema, pattern=r"\.parquet$"), lambda b: b, "chunk-source"))

@@ -5,13 +5,11 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kiln.sources.files import _has_files
-
 
 # K1 -------------------------------------------------------------------------
 def write_chunks(df: DataFrame, path: str, fmt: str = "parquet", rows_per_file: int = 50_000,
@@ -52,26 +50,62 @@ REGISTRY_SCHEMA = T.StructType([
 ])
 
 
+def claim(spark: SparkSession, path: str) -> bool:
+    """Create an empty file unless it exists; of any number of writers exactly one is told that it did.
+
+    The file system decides: an exclusive create of the local system, otherwise of
+    the Hadoop file system (HDFS; object stores whose puts can be conditional)."""
+    jvm = spark._jvm
+    hadoop = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        if fs.getUri().getScheme() == "file":       # Hadoop's local create checks first and creates then
+            none = spark.sparkContext._gateway.new_array(jvm.java.nio.file.attribute.FileAttribute, 0)
+            file = jvm.java.nio.file.Paths.get(fs.makeQualified(hadoop).toUri())
+            jvm.java.nio.file.Files.createDirectories(file.getParent(), none)
+            jvm.java.nio.file.Files.createFile(file, none)
+        else:
+            fs.create(hadoop, False).close()
+    except Py4JJavaError as e:
+        if "AlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
+def _claimed(spark: SparkSession, path: str) -> int:
+    """The highest number claimed so far."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return 0
+    names = (f.getPath().getName() for f in fs.listStatus(folder))
+    return max((int(n) for n in names if n.isdigit()), default=0)
+
+
 def register_version(spark: SparkSession, path: str, description: str, target: str,
                      config: dict | None = None) -> str:
     """Claim the next free version at ``path`` and return its name.
 
-    Every version is a folder of its own that must not exist yet; Spark refuses
-    to write over one, so of two writers after the same number one goes on to
-    the next."""
-    cur = 0
-    if _has_files(spark, path):
-        cur = spark.read.schema(REGISTRY_SCHEMA).parquet(path).agg(F.max("version_no").alias("m")).first()["m"] or 0
-    while True:
-        cur = int(cur) + 1
-        row = spark.createDataFrame([(f"v{cur}", cur, description, target, json.dumps(config or {}, sort_keys=True))],
-                                    REGISTRY_SCHEMA)
-        try:
-            row.coalesce(1).write.mode("error").parquet(f"{path}/entry={cur}")
-            return f"v{cur}"
-        except AnalysisException as e:
-            if "ALREADY_EXISTS" not in str(e):
-                raise
+    A number belongs to the writer whose create of its claim file succeeded; the
+    others go on to the next.  A writer that dies after its claim leaves a number
+    unused, never one used twice."""
+    number = max(_claimed(spark, f"{path}/_claims"), _latest(spark, path)) + 1
+    while not claim(spark, f"{path}/_claims/{number}"):
+        number += 1
+    row = spark.createDataFrame([(f"v{number}", number, description, target, json.dumps(config or {}, sort_keys=True))], REGISTRY_SCHEMA)
+    row.coalesce(1).write.mode("overwrite").parquet(f"{path}/entry={number}")
+    return f"v{number}"
+
+
+def _latest(spark: SparkSession, path: str) -> int:
+    """The highest number of an entry; those from before there were claims have none."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return 0
+    names = (f.getPath().getName() for f in fs.listStatus(folder))
+    return max((int(n[6:]) for n in names if n.startswith("entry=") and n[6:].isdigit()), default=0)
 
 
 # K5 -------------------------------------------------------------------------

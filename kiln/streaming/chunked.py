@@ -14,8 +14,9 @@ import os
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kiln.session import scratch_path
 
@@ -33,7 +34,7 @@ def batch_writer(path: str, transform: Callable[[DataFrame, int], DataFrame] | N
     return fn
 
 
-def run_available(stream: DataFrame, fn, checkpoint: str, observe: str | None = None):
+def run_available(stream: DataFrame, fn, checkpoint: str):
     """Process every file available now, one trigger per chunk, then stop."""
     q = (stream.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
@@ -74,18 +75,27 @@ def stream_progress(spark: SparkSession, source: str, schema, steps: dict[str, C
                     metrics: dict[str, F.Column], files_per_batch: int = 1) -> DataFrame:
     """One event (batch_id, step, metrics) per micro-batch and step.
 
-    ``steps`` run one after the other on every batch; each batch writes its own
-    events, so none is lost however many batches there are."""
+    ``steps`` run one after the other on every batch and are observed on the way:
+    the batch is computed once, whatever the number of steps, and each step's
+    metrics are taken from the rows that pass it.  A batch writes its own events,
+    so none is lost however many batches there are, and a batch that runs again
+    replaces them."""
+    out, ck = _paths(spark, "stream-progress")
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
 
-    def events(batch: DataFrame) -> DataFrame:
-        out = None
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        seen = {}
         for name, step in steps.items():
-            batch = step(batch)
-            one = batch.agg(*[v.alias(k) for k, v in metrics.items()]).withColumn("step", F.lit(name))
-            out = one if out is None else out.unionByName(one)
-        return out
-    return run_metrics(stream, events, "stream-progress", keep_batch=True)
+            seen[name] = Observation(f"{name}-{batch_id}")
+            batch = step(batch).observe(seen[name], *[v.alias(k) for k, v in metrics.items()])
+        kinds = T.StructType([T.StructField("step", T.StringType())] + [
+            T.StructField(k, kind.dataType) for k, kind in zip(metrics, batch.agg(*metrics.values()).schema, strict=True)])
+        batch.write.format("noop").mode("overwrite").save()
+        rows = [(name, *[o.get.get(k) for k in metrics]) for name, o in seen.items()]
+        events = batch.sparkSession.createDataFrame(rows, kinds).coalesce(1)
+        events.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(os.path.join(out, f"batch={batch_id}"))
+    run_available(stream, fn, ck)
+    return spark.read.parquet(out).drop("batch")
 
 
 # ST4 / ST5 --------------------------------------------------------------------
@@ -137,5 +147,11 @@ def _chunks(spark, path, **kw):
     return read_chunks(spark, path, **kw)
 
 
+@register_source("kiln_chunks")
+def _chunk_source(spark, path, **kw):
+    from kiln.sources.chunk_source import read_chunk_source
+    return read_chunk_source(spark, path, **kw)
+
+
 def read_source(spark: SparkSession, name: str, path: str, **kw) -> DataFrame:
     return SOURCES[name](spark, path, **kw)

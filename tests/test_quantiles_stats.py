@@ -1,19 +1,43 @@
 import math
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from kiln.functions import special as SP
 from kiln.operators import quantiles as Q
 
 
-def test_exact_quantiles_multi_pass(spark):
+PROBS = [0.0, 0.001, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
+
+
+@pytest.mark.parametrize("inside", [20_000, 100])
+def test_exact_quantiles_of_few_rows(spark, inside):
     rng = np.random.default_rng(3)
     vals = np.concatenate([rng.normal(size=3000), np.full(500, 1.25), [np.nan] * 10])
-    df = spark.createDataFrame([(float(v),) for v in vals], "v double")
-    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
-    got = Q.multi_quantiles(df, {"v": probs}, fanout=8, max_collect=50)["v"]
-    exp = np.quantile(vals[~np.isnan(vals)], probs)
-    np.testing.assert_allclose(got, exp, rtol=0, atol=1e-12)
+    df = spark.createDataFrame([(float(v), 7.0, None) for v in vals], "v double, `a.b` double, z double").repartition(3)
+    got = Q.multi_quantiles(df, {"v": PROBS, "a.b": [0.5], "z": [0.5, 1.0]}, inside=inside)
+    np.testing.assert_allclose(got["v"], np.quantile(vals[~np.isnan(vals)], PROBS), rtol=0, atol=1e-12)
+    assert got["a.b"] == [7.0] and got["z"] == [None, None]
+    assert Q.multi_quantiles(df.limit(0), {"v": PROBS})["v"] == [None] * len(PROBS)
+
+
+@pytest.mark.parametrize("inside", [20_000, 30])
+def test_exact_quantiles_of_many_rows_in_two_scans(spark, inside):
+    df = spark.range(60_000).select(
+        F.pow((F.col("id") * 7919) % 60_000, 3).cast("double").alias("u"),
+        F.when(F.col("id") % 3 == 0, 5.0).otherwise(F.sin("id")).alias("w"), (F.col("id") % 2).cast("double").alias("b")).persist()
+    rows = df.toPandas()
+    got = Q.multi_quantiles(df, {c: PROBS for c in "uwb"}, inside=inside)
+    for c in "uwb":
+        np.testing.assert_allclose(got[c], np.quantile(rows[c], PROBS), rtol=1e-12)
+
+
+def test_infinite_values_of_many_rows(spark):
+    df = spark.range(30_000).select(F.when(F.col("id") < 6_000, float("-inf")).when(F.col("id") >= 27_000, float("inf")).otherwise(
+        F.col("id").cast("double")).alias("v"))
+    got = Q.column_quantiles(df, "v", [0.0, 0.1, 0.5, 0.85, 1.0])
+    np.testing.assert_allclose(got, [-np.inf, -np.inf, 14999.5, 25499.15, np.inf])
 
 
 def test_special_functions():
