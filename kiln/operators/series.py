@@ -19,8 +19,8 @@ data.  Instead:
   many tasks and the result is exact for frames up to the halo size.
 * ``scan_*`` give unbounded (running) frames: a block-local window plus a carry
   from a small per-block table.  ``ewm`` does the same for the exponential
-  recursion y_t = (1-a) y_{t-1} + a x_t: affine maps compose, so their scan is a
-  running sum inside a run of rows and an array scan over the runs.
+  recursion y_t = (1-a) y_{t-1} + a x_t: an array scan inside a run of rows, and
+  affine maps, which compose, over the runs.
 """
 
 from __future__ import annotations
@@ -224,14 +224,9 @@ def scan_sum(df: DataFrame, keys: Sequence[str], cols: dict[str, Column]) -> Dat
 
 # ------------------------------------------------------------------------- EWMA
 
-STEPS_MOST = 1 << 15    # rows that one window scales together, at most
+RUN_ROWS = 1 << 14      # rows of a key that one array holds
+SCAN_CHUNK = 64         # of these, rows that one inner scan appends to
 SCAN_WIDTH = 256        # maps that one array scan composes
-DIGITS = 250            # powers of ten that a scaled weight may reach
-
-
-def _run_rows(alphas: Sequence[float]) -> int:
-    """Rows over which the weights 1 / (1-a)^t stay finite for every ``a``."""
-    return max(1, min(STEPS_MOST, *(int(-DIGITS / math.log10(1.0 - a)) for a in alphas)))
 
 
 def _composed(a: Column, b: Column) -> Column:
@@ -264,49 +259,84 @@ def _affine_prefix(runs: DataFrame, keys: Sequence[str], outs: int, levels: int,
     return each.select(*keys, F.col("_x.at").alias("at"), both(F.col("_before"), F.col("_x.m")).alias("m"))
 
 
+def _scanned(rows: Column, alphas: Sequence[float]) -> Column:
+    """Array of (y, n) per row of ``rows`` in order: averages that start at the first value, and values seen, per input.
+
+    The scan is an aggregate over chunks of an aggregate over rows, so that appending
+    a result copies a chunk and not the whole array."""
+    kind = "array<struct<y:array<double>,n:array<bigint>>>"
+    start = F.struct(F.array(*[F.lit(None).cast("double")] * len(alphas)).alias("y"), F.array(*[F.lit(0).cast("long")] * len(alphas)).alias("n"))
+
+    def next_state(state: Column, x: Column) -> Column:
+        y = [F.when(x[i].isNull(), state["y"][i]).when(state["y"][i].isNull(), x[i]).otherwise(
+            F.lit(1.0 - a) * state["y"][i] + F.lit(a) * x[i]) for i, a in enumerate(alphas)]
+        n = [state["n"][i] + x[i].isNotNull().cast("long") for i in range(len(alphas))]
+        return F.struct(F.array(*y).alias("y"), F.array(*n).alias("n"))
+
+    def row(acc: Column, x: Column) -> Column:
+        return F.struct(acc["now"].alias("now"), acc["done"].alias("done"), next_state(acc["now"], x["x"]).alias("new"))
+
+    def chunk(acc: Column, own: Column) -> Column:
+        inner = F.aggregate(own, F.struct(acc["now"].alias("now"), F.array().cast(kind).alias("done")),
+                            lambda a, e: _appended(row(a, e)))
+        return F.struct(inner["now"].alias("now"), F.concat(acc["done"], F.array(inner["done"])).alias("done"))
+
+    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(rows) - 1) / SCAN_CHUNK).cast("int")),
+                         lambda i: F.slice(rows, i * SCAN_CHUNK + 1, SCAN_CHUNK))
+    return F.flatten(F.aggregate(chunks, F.struct(start.alias("now"), F.array().cast(f"array<{kind}>").alias("done")), chunk)["done"])
+
+
+def _appended(acc: Column) -> Column:
+    return F.struct(acc["new"].alias("now"), F.concat(acc["done"], F.array(acc["new"])).alias("done"))
+
+
 def ewm(df: DataFrame, keys: Sequence[str], specs: dict[str, tuple[str, float]]) -> DataFrame:
     """Exponential moving average, ``adjust=False``: y_0 = x_0, y_t = (1-a) y_{t-1} + a x_t.
 
     ``specs`` maps output column -> (input column, alpha).  Null and NaN inputs
     hold the previous value; rows before the first value are null.
 
-    Inside a run of rows the recursion is a running sum of inputs that are scaled
-    by 1 / (1-a)^t (all weights positive, so nothing cancels); a run as a whole is
-    the affine map y -> f y + g of the value before it.  Where a key is longer
-    than one run, the maps are composed by array scans and joined back, one small
-    row per run.
+    A run of ``RUN_ROWS`` rows of a key is scanned as one array, row by row, so a
+    key that fits one run has the very values of the recursion.  A run as a whole
+    is an affine map of the value before it; where a key is longer, these maps are
+    composed by array scans and joined back, one small row per run.
     """
-    keys = list(keys)
-    held = {o: src for o, (src, alpha) in specs.items() if alpha >= 1}
-    if held:
-        df = df.withColumns({f"{o}__x": F.nanvl(F.col(c).cast("double"), F.lit(None)) for o, c in held.items()})
-        df = scan_fill(df, keys, {o: f"{o}__x" for o in held}).drop(*[f"{o}__x" for o in held])
-    specs = {o: v for o, v in specs.items() if o not in held}
-    if not specs:
-        return df
-    size = _run_rows([alpha for _, alpha in specs.values()])
-    most = _noted_rows(df)
-    w = Window.partitionBy(*keys, "_run").orderBy(SEQ).rowsBetween(Window.unboundedPreceding, 0)
-    local = df.withColumn("_run", F.floor((F.col(SEQ) - 1) / F.lit(size)).cast("long"))
-    local = local.withColumns({f"{o}__x": F.nanvl(F.col(c).cast("double"), F.lit(None)) for o, (c, _) in specs.items()})
-    local = local.withColumns({f"{o}__n": F.count(f"{o}__x").over(w).cast("double") for o in specs})
-    local = local.withColumns({f"{o}__s": F.sum(F.col(f"{o}__x") * F.pow(F.lit(1.0 - a), -F.col(f"{o}__n"))).over(w)
-                               for o, (_, a) in specs.items()}
-                              | {f"{o}__l": F.first(f"{o}__x", ignorenulls=True).over(w) for o in specs})
-    local = local.withColumns({f"{o}__f": F.pow(F.lit(1.0 - a), F.col(f"{o}__n")) for o, (_, a) in specs.items()})
-    local = local.withColumns({f"{o}__g": F.coalesce(F.lit(a) * F.col(f"{o}__f") * F.col(f"{o}__s"), F.lit(0.0))
-                               for o, (_, a) in specs.items()})
-    before = {o: F.col(f"{o}__l") for o in specs}
-    if most is None or most > size:
-        null_keys = _noted(df, "kiln_null_keys", True)
-        runs = local.groupBy(*keys, F.col("_run").alias("at")).agg(F.array(*[
-            F.struct(F.min(f"{o}__f").alias("f"), F.max_by(f"{o}__g", SEQ).alias("g"), F.max_by(f"{o}__l", SEQ).alias("l"))
-            for o in specs]).alias("m"))
-        levels = 3 if most is None else max(1, math.ceil(math.log(max(2, most / size), SCAN_WIDTH)))
-        carry = _affine_prefix(runs, keys, len(specs), levels, null_keys).withColumnsRenamed({"at": "_run", "m": "_carry"})
-        local = keyed_join(local, carry, [*keys, "_run"], "left", null_keys)
-        for i, o in enumerate(specs):
-            m = F.col("_carry")[i]
-            before[o] = F.coalesce(m["g"] + m["f"] * m["l"], F.col(f"{o}__l"))
-    out = local.withColumns({o: F.col(f"{o}__g") + F.col(f"{o}__f") * before[o] for o in specs})
-    return out.drop(*[f"{o}__{c}" for o in specs for c in "xnslfg"], "_run", "_carry")
+    keys, outs = list(keys), list(specs)
+    alphas = [a for _, a in specs.values()]
+    most, null_keys = _noted_rows(df), _noted(df, "kiln_null_keys", True)
+    others = [F.col(f"`{c}`") for c in df.columns if c not in (*keys, SEQ)]
+    x = F.array(*[F.nanvl(F.col(c).cast("double"), F.lit(None)) for c, _ in specs.values()])
+    rows = df.select(*keys, F.floor((F.col(SEQ) - 1) / F.lit(RUN_ROWS)).cast("long").alias("_run"),
+                     F.struct(F.col(SEQ), x.alias("x"), F.struct(F.lit(0).alias("_"), *others).alias("row")).alias("_e"))
+    runs = rows.groupBy(*keys, "_run").agg(F.sort_array(F.collect_list("_e")).alias("_rows"))
+    runs = runs.withColumn("_y", _scanned(F.col("_rows"), alphas))
+    if most is None or most > RUN_ROWS:
+        def first(i: int) -> Column:
+            return F.get(F.filter("_rows", lambda e: e["x"][i].isNotNull()), 0)["x"][i]
+        runs = runs.withColumn("_first", F.array(*map(first, range(len(outs)))))
+        end = F.element_at("_y", -1)
+        powers = [F.pow(F.lit(1.0 - a), end["n"][i]) for i, a in enumerate(alphas)]
+        maps = runs.select(*keys, F.col("_run").alias("at"), F.array(*[
+            F.struct(f.alias("f"), F.coalesce(end["y"][i] - f * F.col("_first")[i], F.lit(0.0)).alias("g"), F.col("_first")[i].alias("l"))
+            for i, f in enumerate(powers)]).alias("m"))
+        levels = 3 if most is None else max(1, math.ceil(math.log(max(2, most / RUN_ROWS), SCAN_WIDTH)))
+        carry = _affine_prefix(maps, keys, len(outs), levels, null_keys).withColumnsRenamed({"at": "_run", "m": "_carry"})
+        runs = keyed_join(runs, carry, [*keys, "_run"], "left", null_keys)
+        before = [m["g"] + m["f"] * m["l"] for m in (F.col("_carry")[i] for i in range(len(outs)))]
+    else:
+        before = None
+    each = runs.select(*keys, *([F.array(*before).alias("_before"), "_first"] if before else []),
+                       F.explode(F.arrays_zip("_rows", "_y")).alias("_z"))
+
+    def value(i: int, a: float) -> Column:
+        y, n = F.col("_z._y.y")[i], F.col("_z._y.n")[i]
+        if not before:
+            return y
+        since = F.col("_before")[i]
+        # y starts at the run's first value instead of the one before the run
+        return F.when(since.isNull(), y).when(n == 0, since).otherwise(y + F.pow(F.lit(1.0 - a), n) * (since - F.col("_first")[i]))
+
+    columns = {c: F.col(f"_z._rows.row.`{c}`").alias(c, metadata=df.schema[c].metadata) for c in df.columns if c not in (*keys, SEQ)}
+    columns[SEQ] = F.col(f"_z._rows.{SEQ}").alias(SEQ, metadata=df.schema[SEQ].metadata)
+    return each.select(*[F.col(c) if c in keys else columns[c] for c in df.columns if c not in outs],
+                       *[value(i, a).alias(o) for i, (o, (_, a)) in enumerate(specs.items())])

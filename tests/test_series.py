@@ -58,7 +58,8 @@ def test_rolling_and_scans_match_pandas(spark, small_blocks):
 
 @pytest.mark.parametrize("size,run,width", [(1 << 20, 1 << 15, 256), (1 << 20, 5, 3), (7, 4, 2), (7, 1, 2), (50, 1000, 4)])
 def test_ewm_is_the_same_at_every_run_and_block_size(spark, monkeypatch, size, run, width):
-    monkeypatch.setattr(S, "STEPS_MOST", run)
+    monkeypatch.setattr(S, "RUN_ROWS", run)
+    monkeypatch.setattr(S, "SCAN_CHUNK", 3)
     monkeypatch.setattr(S, "SCAN_WIDTH", width)
     rng = np.random.default_rng(2)
     rows = [(k, i, None if i < 3 or rng.random() < 0.2 else float("nan") if rng.random() < 0.05 else float(rng.normal() * 10 ** rng.integers(0, 6)))
