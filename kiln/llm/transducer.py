@@ -5,7 +5,8 @@ up to one of its token boundaries is the sequence of that prefix.  A sequence is
 that of its string exactly if every token and every two neighbours are left as
 they are when merged on their own.  So a reader need only hold, for each place
 where the current token may have begun, the tokens up to there and the bytes
-since as a node of the trie of tokens: a state of the transducer.  A byte moves
+since as a node of the trie of tokens: a state of the transducer.  A place whose two
+bytes would be merged first, whatever token follows, is no place where one begins.  A byte moves
 all of them on, ends the one token that fits its neighbour, and emits the tokens
 on which all agree; no more bytes are ever waited for than a token has.  States
 and arcs are made when a text first needs them and kept by the worker.
@@ -24,7 +25,6 @@ import base64
 import hashlib
 from collections.abc import Iterable, Iterator
 from functools import cache
-from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -32,9 +32,9 @@ from pyspark.sql import DataFrame
 from kiln.llm.common import map_texts
 
 ARCS = 700_000              # arcs kept by a worker, about; beyond that the transducer is grown anew
-MEMO, SHORT = 200_000, 64   # pieces remembered by a worker, and their bytes; only saves repeated work
+MEMO, SHORT = 300_000, 64   # pieces remembered by a worker (twice as many at most), and their length; only saves repeated work
 BLOCK = 65_536              # ids decoded at a time
-START = -1
+START, NEVER = -1, 1 << 60      # no token before; no merge
 
 
 class Transducer:
@@ -49,16 +49,26 @@ class Transducer:
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.child: dict[int, int] = {}
         self.token = [-1]
+        # when a token is merged on its own: the rank at which its first and its last byte first take part
+        size = max(ranks.values()) + 2
+        self.last_byte, self.last_merge, self.first_merge = [0] * size, [-1] * size, [NEVER] * size
+        self.lead, self.least = [0], [NEVER]        # of a node: its first byte, the earliest such rank of a token below it
         for token, rank in ranks.items():
+            first, last = self._merge_times(token)
+            self.last_byte[rank], self.last_merge[rank], self.first_merge[rank] = token[-1], last, first
             node = 0
             for b in token:
                 node = self.child.setdefault(node << 8 | b, len(self.token))
                 if node == len(self.token):
                     self.token.append(-1)
+                    self.lead.append(token[0])
+                    self.least.append(NEVER)
+                self.least[node] = min(self.least[node], first)
             self.token[node] = rank
         self.inner = bytearray(len(self.token))
         for key in self.child:
             self.inner[key >> 8] = 1
+        self.pairs = [ranks.get(bytes([x, y]), NEVER) for x in range(256) for y in range(256)]
         self.stays: dict[int, bool] = {}
         self._grow_anew()
 
@@ -75,15 +85,15 @@ class Transducer:
     def merged(self, data: bytes) -> list[int]:
         """Tokens of ``data`` by merging the neighbours of least rank, the leftmost first."""
         parts = [data[i:i + 1] for i in range(len(data))]
-        ranks = [self.ranks.get(data[i:i + 2], 1 << 60) for i in range(len(data) - 1)]
-        while ranks and (best := min(ranks)) < 1 << 60:
+        ranks = [self.ranks.get(data[i:i + 2], NEVER) for i in range(len(data) - 1)]
+        while ranks and (best := min(ranks)) < NEVER:
             i = ranks.index(best)
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
             del ranks[i]
             if i:
-                ranks[i - 1] = self.ranks.get(parts[i - 1] + parts[i], 1 << 60)
+                ranks[i - 1] = self.ranks.get(parts[i - 1] + parts[i], NEVER)
             if i < len(ranks):
-                ranks[i] = self.ranks.get(parts[i] + parts[i + 1], 1 << 60)
+                ranks[i] = self.ranks.get(parts[i] + parts[i + 1], NEVER)
         return [self.ranks[p] for p in parts]
 
     def fits(self, left: int, token: int) -> bool:
@@ -97,6 +107,23 @@ class Transducer:
             known = self.stays[key] = self.merged(b"".join([self.bytes_of[t] for t in pair])) == pair
         return known
 
+    def _merge_times(self, token: bytes) -> tuple[int, int]:
+        """Ranks of the first merges of a token's first and last byte."""
+        parts = [token[i:i + 1] for i in range(len(token))]
+        first = last = NEVER
+        while len(parts) > 1:
+            ranks = [self.ranks.get(a + b, NEVER) for a, b in zip(parts, parts[1:])]
+            best = min(ranks)
+            if best == NEVER:
+                break
+            i = ranks.index(best)
+            if i == 0 and first == NEVER:
+                first = best
+            if i == len(ranks) - 1 and last == NEVER:
+                last = best
+            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+        return first, last
+
     def _path(self, before: int, token: int) -> int:
         key = (before + 1) << 32 | token + 1
         at = self.path_of.get(key)
@@ -126,19 +153,29 @@ class Transducer:
     def _arc(self, state: int, byte: int) -> int | tuple[int, list[int]]:
         """The arc of ``byte``: every reading moved on, and the tokens that all readings share."""
         child, token, inner, stays, first = self.child, self.token, self.inner, self.stays, self.path_first
+        last_byte, last_merge, first_merge = self.last_byte, self.last_merge, self.first_merge
+        lead, least, pairs = self.lead, self.least, self.pairs
         readings, alive, ended = self.states[state], [], -1
         for k in range(0, len(readings), 2):
             node = child.get(readings[k] << 8 | byte)
             if node is None:
                 continue
             path = readings[k + 1]
-            if ended < 0 and (own := token[node]) >= 0:
-                last = self.path_token[path]
+            last = self.path_token[path]
+            across = pairs[last_byte[last] << 8 | lead[node]]
+            joins = across < last_merge[last]
+            if joins and across < least[node]:
+                continue        # the bytes at the boundary would be merged before anything parts them
+            if ended < 0 and (own := token[node]) >= 0 and not (joins and across < first_merge[own]):
                 known = stays.get((last + 1) << 32 | own)
                 if (self.fits(last, own) if known is None else known) and self.fits(START, own):
                     ended = self._path(path, own)
             if inner[node]:
                 alive += (node, path)
+        if not alive:               # all is settled but the last token, whose neighbour is still to come
+            emitted = self._tokens(ended)[1:]
+            to = self.arcs[state << 8 | byte] = self._state((0, self._path(-1, emitted[-1]))), emitted
+            return to
         alive += (0, ended)
         shared = first[ended]
         for k in range(1, len(alive), 2):
@@ -228,24 +265,45 @@ class Decoder:
                 self.held.clear()
         return bytes(out)
 
+    def _effect(self, token: int) -> tuple[int, int] | None:
+        """(state after a token, bytes of it that are unfinished then), None if it breaks a character; kept by the codec."""
+        key = self.state << 24 | token
+        effects = self.codec.effects
+        if key not in effects:
+            state, whole, name = self.state, 0, self.codec.names[token]
+            for k, byte in enumerate(name, 1):
+                state = _STEPS[state][byte] if state < 8 else 8
+                whole = k if not state else whole
+            effects[key] = None if state == 8 else (state, len(name) - whole)
+        return effects[key]
+
     def feed(self, ids: np.ndarray) -> bytes:
         """Whole characters up to and with ``ids``; tokens of whole characters need no steps of their own."""
-        names = self.codec.names
+        names, held = self.codec.names, self.held
         cut = np.flatnonzero(self.codec.partial[ids]).tolist()
         ids = ids.tolist()
         out, at, k = [], 0, 0
         while at < len(ids):
-            if self.state:
-                out.append(self._step(names[ids[at]]))
-                at += 1
-                continue
-            while k < len(cut) and cut[k] < at:
-                k += 1
-            end = cut[k] if k < len(cut) else len(ids)
-            out.append(b"".join(map(names.__getitem__, ids[at:end])))
-            if end < len(ids):
-                out.append(self._step(names[ids[end]]))
-            at = end + 1
+            if not self.state:
+                while k < len(cut) and cut[k] < at:
+                    k += 1
+                end = cut[k] if k < len(cut) else len(ids)
+                if end > at:
+                    out.append(b"".join(map(names.__getitem__, ids[at:end])))
+                if end == len(ids):
+                    break
+                at = end
+            token = ids[at]
+            effect = self._effect(token)
+            if effect is None:
+                out.append(self._step(names[token]))
+            else:
+                self.state, left = effect
+                held += names[token]
+                if left < len(names[token]):
+                    out.append(bytes(held[:len(held) - left]))
+                    del held[:len(held) - left]
+            at += 1
         return b"".join(out)
 
     def close(self) -> bytes:
@@ -344,7 +402,9 @@ class Codec:
             self.names[rank] = token
         self.decimal = [str(i) for i in range(len(self.names))]
         self.partial = np.array([self._ends(name) for name in self.names])
-        self.memo: dict[str, list[int]] = {}
+        self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}           # what was remembered before the memo was full
+        self.effects: dict[int, tuple[int, int] | None] = {}
 
     @staticmethod
     def _ends(name: bytes) -> bool:
@@ -357,16 +417,18 @@ class Codec:
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of every text."""
-        memo, encode = self.memo, self.transducer.encode
         out = []
         for pieces in self.splitter.pieces(texts):
-            long: dict[str, list[int]] = {}
-            if len(memo) > MEMO:
-                memo.clear()
+            if len(self.memo) > MEMO:
+                self.older, self.memo = self.memo, {}
+            memo, older, long = self.memo, self.older, {}
             for piece in set(pieces).difference(memo):
-                (memo if len(piece) <= SHORT else long)[piece] = encode(piece.encode())
-            found = [memo[p] for p in pieces] if not long else [long[p] if p in long else memo[p] for p in pieces]
-            out.append(np.array(list(chain.from_iterable(found)), dtype=np.int64))
+                ids = older.get(piece)
+                if ids is None:
+                    ids = np.array(self.transducer.encode(piece.encode()), dtype="<u4").tobytes()
+                (memo if len(piece) <= SHORT else long)[piece] = ids
+            found = map(memo.__getitem__, pieces) if not long else [long[p] if p in long else memo[p] for p in pieces]
+            out.append(np.frombuffer(b"".join(found), dtype="<u4"))
         return out
 
     def encode(self, text: str) -> np.ndarray:
@@ -410,4 +472,4 @@ def byte_bpe(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids): little-endian unsigned 32-bit ids of every row, as bytes."""
     return map_texts(docs, text_col, {id_col: id_col}, {"ids": "binary"},
-                     lambda texts: {"ids": [ids.astype("<u4").tobytes() for ids in codec(path).encode_all(texts)]})
+                     lambda texts: {"ids": [ids.tobytes() for ids in codec(path).encode_all(texts)]})
