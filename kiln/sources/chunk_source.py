@@ -108,7 +108,9 @@ class _Reading:
         if self.format not in FORMATS:
             raise ValueError(f"unknown chunk format {self.format}; known: {sorted(FORMATS)}")
 
-    def read(self, partition: Chunk) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: Chunk | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:       # what Spark plans where there are no chunks
+            return
         target = to_arrow_schema(self.schema)
         with _store(self.path)[0].open_input_file(partition.path) as file:
             for batch in FORMATS[self.format](file, target.names):
