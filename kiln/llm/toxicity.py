@@ -96,8 +96,8 @@ def paired(texts: list[np.ndarray], y: np.ndarray, terms: np.ndarray) -> np.ndar
     """
     order = np.argsort(-y, kind="stable")                       # toxic texts first
     y, texts = y[order], [texts[i] for i in order]
-    at = [np.searchsorted(terms, np.intersect1d(t, terms, assume_unique=True)) for t in texts]
-    where, owner = np.concatenate(at), np.repeat(np.arange(len(at)), [len(a) for a in at])
+    at = [places(t, terms) for t in texts]
+    where, owner = np.concatenate(at), np.repeat(np.arange(len(at), dtype=np.int32), [len(a) for a in at])
     marks = np.random.default_rng(0).integers(0, 1 << 52, len(at))
     alike = np.zeros(len(terms), dtype=np.int64)
     np.add.at(alike, where, marks[owner])                       # of the set of texts, modulo 2**64
@@ -110,10 +110,11 @@ def paired(texts: list[np.ndarray], y: np.ndarray, terms: np.ndarray) -> np.ndar
     kept = kept[df[kept] >= few]
     number = np.full(len(terms), -1)
     number[example[kept]] = np.arange(len(kept))
-    rows = [np.sort(r[r >= 0]) for r in (number[a] for a in at)]
-    flat, owner = np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    place = np.concatenate([np.arange(len(r)) for r in rows])
-    by_term = np.argsort(flat, kind="stable")
+    rows = [np.sort(r[r >= 0]).astype(np.int32) for r in (number[a] for a in at)]
+    del at, where
+    flat, owner = np.concatenate(rows), np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
+    place = np.concatenate([np.arange(len(r), dtype=np.int32) for r in rows])
+    by_term = np.argsort(flat, kind="stable").astype(np.int32)
     cut = np.concatenate(([0], np.cumsum(np.bincount(flat, minlength=len(kept)))))
     total = np.diff(cut).astype(float)
     toxic = np.bincount(flat, weights=y[owner], minlength=len(kept))
@@ -142,11 +143,11 @@ def paired(texts: list[np.ndarray], y: np.ndarray, terms: np.ndarray) -> np.ndar
 
 def choose(texts: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     """Terms whose presence depends on the label, alone or in a pair."""
-    terms, where = np.unique(np.concatenate(texts), return_inverse=True)
-    owner = np.repeat(y, [len(t) for t in texts])
+    terms, df = np.unique(np.concatenate(texts), return_counts=True)
     n, n1 = len(y), int(y.sum())
-    df = np.bincount(where, minlength=len(terms)).astype(float)
-    both = np.bincount(where, weights=owner, minlength=len(terms))
+    df, both = df.astype(float), np.zeros(len(terms))
+    for text in (t for t, toxic in zip(texts, y, strict=True) if toxic):
+        both[np.searchsorted(terms, text)] += 1
     spread = df * (n - df) * n1 * (n - n1)
     chi = np.divide(n * (n * both - df * n1) ** 2, spread, out=np.zeros(len(terms)), where=spread > 0)
     often = df >= LEAST
@@ -154,14 +155,20 @@ def choose(texts: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     return np.union1d(alone, paired(texts, y, terms[often])) if often.any() else alone
 
 
+def places(text: np.ndarray, terms: np.ndarray) -> np.ndarray:
+    """Places in ``terms`` of those that a text holds; both are sorted."""
+    at = np.minimum(np.searchsorted(terms, text), max(len(terms) - 1, 0))
+    return at[terms[at] == text].astype(np.int32) if len(terms) else np.empty(0, dtype=np.int32)
+
+
 class Rows:
     """Places of the chosen terms of many texts, one after the other."""
 
     def __init__(self, texts: list[np.ndarray], terms: np.ndarray):
-        at = [np.searchsorted(terms, np.intersect1d(t, terms, assume_unique=True)) for t in texts]
+        at = [places(t, terms) for t in texts]
         self.size = np.array([len(a) for a in at])
         self.start = np.concatenate(([0], np.cumsum(self.size)))
-        self.flat = np.concatenate([*at, np.empty(0, dtype=np.int64)]).astype(np.int64)
+        self.flat = np.concatenate([*at, np.empty(0, dtype=np.int32)])
 
     def of(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(term places, number in ``which`` of the text that holds each)."""
@@ -271,7 +278,7 @@ def fit(training: DataFrame) -> Machine:
     if y.sum() in (0, len(y)):
         share = (y.sum() + 0.5) / (len(y) + 1)
         return Machine(np.empty(0, dtype=np.int64), float(np.log(share / (1 - share))), np.zeros(0), np.zeros((0, FACTORS)))
-    texts = [t.values.to_numpy().view(np.uint32).astype(np.int64) for t in got.column("terms")]
+    texts = [t.values.to_numpy().view(np.uint32) for t in got.column("terms")]
     return train(texts, y)
 
 
