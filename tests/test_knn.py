@@ -1,10 +1,14 @@
 """Exact k-NN under heavy pruning (many buckets, round two and edge cases)."""
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from kiln.operators import knn as KNN
 
+spark_schema = StructType.fromDDL
+
 
 def _data(spark, n=300, dims=4, holes=False, seed=5):
     rng = np.random.default_rng(seed)
@@ -107,3 +111,55 @@ def test_tree_bounds_never_exceed_the_distance():
         near_row, near_donor = np.nonzero(dist <= limit)
         assert {(r, int(own[d])) for r, d in zip(near_row.tolist(), near_donor.tolist())} <= seen
     assert len(tree.within(q, np.full(len(q), 0.5))[0]) < len(q) * len(tree.blocks)
+
+
+def test_visits_leave_in_small_batches_whatever_the_blocks():
+    rng = np.random.default_rng(4)
+    pivots = rng.normal(size=(60, 16))
+    tree = KNN.Cells(pivots)
+    tree.fill([{"_cell": c, "n": 50, "low": [-5.0] * 16, "high": [5.0] * 16, "have": [50] * 16, "far": 9.0} for c in range(60)], 50)
+
+    class Rows:
+        schema = spark_schema("id long, _v array<double>, _near int, _qb int, _part int, _kth double")
+        columns = schema.names
+
+        def mapInArrow(self, run, ddl):
+            return run
+
+    x = rng.normal(size=(2000, 16))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(2000)), pa.array(list(x)), pa.array(tree.nearest(x), pa.int32()), pa.array([0] * 2000, pa.int32()),
+         pa.array([0] * 2000, pa.int32()), pa.array([99.0] * 2000)], names=["id", "_v", "_near", "_qb", "_part", "_kth"])
+    sizes = [b.num_rows for b in KNN._visits(Rows(), tree)([batch])]
+    assert sum(sizes) == 2000 * 59 and max(sizes) <= KNN.SENT
+
+
+def test_scores_hold_few_distances_at_once(monkeypatch):
+    rng = np.random.default_rng(8)
+    x, y = rng.integers(0, 2, (300, 3)).astype(float), rng.integers(0, 2, (500, 3)).astype(float)     # many equal distances
+    x[rng.random(x.shape) < 0.2] = y[rng.random(y.shape) < 0.2] = np.nan
+    sizes, squares = [], KNN._squares
+
+    def counted(a, b):
+        sizes.append(len(a) * len(b))
+        return squares(a, b)
+    monkeypatch.setattr(KNN, "_squares", counted)
+    monkeypatch.setattr(KNN, "PAIRS", 10_000)
+    left = pa.table({"id": range(300), "_v": pa.array([[None if np.isnan(a) else a for a in v] for v in x], pa.list_(pa.float64())),
+                     "_j": pa.array([[int(j) for j in np.flatnonzero(np.isnan(v))] for v in x], pa.list_(pa.int32()))})
+    right = pa.table({"_dk": range(500), "_v": pa.array([[None if np.isnan(a) else a for a in v] for v in y], pa.list_(pa.float64()))})
+    plain = {}
+    for q in range(300):
+        for j in np.flatnonzero(np.isnan(x[q])):
+            d = squares(x[q:q + 1], y)[0]
+            near = sorted((round(float(np.sqrt(d[i])), 9), i) for i in range(500) if np.isfinite(d[i]) and not np.isnan(y[i, j]))[:4]
+            if near:
+                plain[q, int(j)] = near
+    far = {q: max(n[-1][0] for (p, _), n in plain.items() if p == q) for q, _ in plain}
+    limits = pa.array([far.get(q, np.inf) if q % 3 else np.inf for q in range(300)])
+    for table in (left, left.append_column("_kth", limits)):
+        got = {}
+        for r in KNN._score(4, "id", "_j")(table, right).to_pylist():
+            got.setdefault((r["id"], r["_j"]), []).append((round(r["dist"], 9), r["_dk"]))
+        assert got == plain
+    assert sizes and max(sizes) <= 10_000
