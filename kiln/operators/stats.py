@@ -7,11 +7,12 @@ get a p-value through the Arrow UDFs in ``functions.special``.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kiln.functions import special as SP
+from kiln.operators import passes as P
 from kiln.operators import quantiles as Q
 from kiln.operators import series as S
 
@@ -212,13 +213,40 @@ def segment_band_test(train: DataFrame, val: DataFrame, cluster: str, ev: str, b
 
 
 # T9 -------------------------------------------------------------------------
+FEW = 8                 # coordinates up to which sums of products are Spark expressions
+
+
 def _mahalanobis(mean: np.ndarray, inverse: np.ndarray):
-    """Squared distance of an array column from ``mean``, as an Arrow function."""
-    @F.pandas_udf("double")
-    def distance(v: pd.Series) -> pd.Series:
-        z = np.stack(v.to_numpy()) - mean if len(v) else np.zeros((0, len(mean)))
-        return pd.Series(np.einsum("ij,jk,ik->i", z, inverse, z))
-    return distance
+    """Squared distance of an array column from ``mean``: an expression, or an Arrow function in many coordinates."""
+    def expression(v: str) -> Column:
+        z = [F.col(v)[i] - F.lit(float(m)) for i, m in enumerate(mean)]
+        total = F.lit(0.0)
+        for i, a in enumerate(z):
+            for j, b in enumerate(z):
+                total = total + a * F.lit(float(inverse[i, j])) * b
+        return total
+
+    @F.arrow_udf("double")
+    def distance(v: pa.Array) -> pa.Array:
+        z = P.vectors(v) - mean if len(v) else np.zeros((0, len(mean)))
+        return pa.array(((z @ inverse) * z).sum(axis=1))
+    return expression if len(mean) <= FEW else distance
+
+
+def _moments(df: DataFrame, vec: str) -> tuple[int, np.ndarray, np.ndarray]:
+    """``passes.moments``; in few coordinates by Spark's sums."""
+    first = df.select(vec).head()
+    if first is None or len(first[0]) > FEW:
+        return P.moments(df, vec)
+    origin = np.array(first[0], dtype=float)
+    d = len(origin)
+    y = [F.col(vec)[i] - F.lit(float(a)) for i, a in enumerate(origin)]
+    pairs = [(i, j) for i in range(d) for j in range(i, d)]
+    r = df.agg(F.count(F.lit(1)), *[F.sum(a) for a in y], *[F.sum(y[i] * y[j]) for i, j in pairs]).first()
+    n, mean, products = r[0], np.array(r[1:1 + d], dtype=float) / r[0], np.empty((d, d))
+    for (i, j), s in zip(pairs, r[1 + d:], strict=True):
+        products[i, j] = products[j, i] = s / n
+    return n, origin + mean, products - np.outer(mean, mean)
 
 
 def robust_outliers(df: DataFrame, vec: str, contamination: float = 0.01, passes: int = 4, keep: float = 0.75) -> DataFrame:
@@ -226,11 +254,10 @@ def robust_outliers(df: DataFrame, vec: str, contamination: float = 0.01, passes
     the driver per pass), Mahalanobis distance, keep the ``keep`` share closest;
     after the last pass flag the ``contamination`` share with the largest
     distance.  Missing coordinates count as 0."""
-    from kiln.operators.passes import moments
     x = df.withColumn("_x", F.transform(vec, lambda v: F.coalesce(v.cast("double"), F.lit(0.0))))
     kept, scored = x, None
     for _ in range(passes):
-        n, mean, cov = moments(kept, "_x")
+        n, mean, cov = _moments(kept, "_x")
         inv = np.linalg.pinv(cov * n / max(1, n - 1))
 
         scored = x.withColumn("mahalanobis", _mahalanobis(mean, inv)("_x"))
