@@ -113,7 +113,7 @@ def test_tree_bounds_never_exceed_the_distance():
     assert len(tree.within(q, np.full(len(q), 0.5))[0]) < len(q) * len(tree.blocks)
 
 
-def test_visits_leave_in_small_batches_whatever_the_blocks():
+def test_visits_leave_in_small_batches_whatever_the_blocks(spark):
     rng = np.random.default_rng(4)
     pivots = rng.normal(size=(60, 16))
     tree = KNN.Cells(pivots)
