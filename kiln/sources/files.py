@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 FORMATS = ("parquet", "csv", "json", "orc")
+CHUNK_NAME = r"(?<![^/])((?:[^/=]++=[^/]++/)*+[^/]++)$"
 
 
 def _has_files(spark: SparkSession, path: str) -> bool:
@@ -56,8 +57,8 @@ def read_chunks(spark: SparkSession, path: str, fmt: str = "parquet",
     elif schema is not None:
         r = r.schema(schema)
     df = r.load(path)
-    # the file, with the partition folders it lies in
-    name = F.regexp_extract(F.col("_metadata.file_path"), r"((?:[^/=]+=[^/]+/)*[^/]+)$", 1)
+    # the file, with the partition folders it lies in; tried at the start of a folder only, and nothing is tried twice
+    name = F.regexp_extract(F.col("_metadata.file_path"), CHUNK_NAME, 1)
     return df.withColumns({"chunk": name,
                            "chunk_no": F.regexp_extract(name, r"(\d+)", 1).cast("long")})
 
