@@ -346,9 +346,12 @@ def custom_etl(spark, train, test, registry: str):
 
     def filled(df):
         slots = KNN.impute_slots(tr, df, "_row", "v", 9)
-        fill = slots.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("j", "value"))).alias("_fill"))
-        return df.join(fill, "_row", "left").withColumn(
-            "v", F.transform("v", lambda x, i: F.coalesce(x, F.try_element_at(F.col("_fill"), i)))).drop("_fill", "_row")
+        # rows stay where the passenger's number puts them: k-means starts from places
+        fill = slots.withColumn("PassengerId", F.regexp_extract("_row", "^(.*)/", 1)).groupBy("PassengerId").agg(
+            F.map_from_entries(F.collect_list(F.struct(F.struct("_row", "j"), "value"))).alias("_fill"))
+        return df.join(fill, "PassengerId", "left").withColumn(
+            "v", F.transform("v", lambda x, i: F.coalesce(x, F.try_element_at(F.col("_fill"), F.struct("_row", i.alias("j")))))
+        ).drop("_fill", "_row")
 
     tr, te = written(filled(tr), "train-filled"), written(filled(te), "test-filled")
     lo, hi = CL.minmax_arrays(tr.select(*[F.col("v")[i].alias(c) for i, c in enumerate(BLOCK)]), BLOCK)
