@@ -51,14 +51,21 @@ def _matrix(column) -> np.ndarray:
 
 def _squares(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Squared nan-euclidean distances of all rows (plain euclidean without NaN); inf without a shared coordinate."""
-    hx, hy = ~np.isnan(x), ~np.isnan(y)
+    dims, hx, hy = x.shape[1], ~np.isnan(x), ~np.isnan(y)
+    shared = hx.any(axis=0) & hy.any(axis=0)        # a coordinate that all rows of a side lack counts nowhere
+    if not shared.all():
+        x, y, hx, hy = x[:, shared], y[:, shared], hx[:, shared], hy[:, shared]
     if x.shape[1] and hx.all() and hy.all():
-        return np.maximum((x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1) - 2 * (x @ y.T), 0)
+        s = (x @ y.T) * -2.0
+        s += (x * x).sum(axis=1)[:, None]
+        s += (y * y).sum(axis=1)
+        np.maximum(s, 0, out=s)
+        return s if x.shape[1] == dims else np.multiply(s, dims / x.shape[1], out=s)
     x0, y0 = np.where(hx, x, 0.0), np.where(hy, y, 0.0)
     s = (x0 * x0) @ hy.T + hx @ (y0 * y0).T - 2 * (x0 @ y0.T)
     p = hx.astype(float) @ hy.T.astype(float)
     with np.errstate(divide="ignore", invalid="ignore"):
-        return np.where(p > 0, np.maximum(s, 0) * x.shape[1] / p, np.inf)
+        return np.where(p > 0, np.maximum(s, 0) * dims / p, np.inf)
 
 
 def _distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -239,13 +246,13 @@ def _numbers(values: np.ndarray) -> Column:
     return F.split(F.lit(",".join(map(str, values.tolist()))), ",").cast("array<int>")
 
 
-def _deal(donors: DataFrame, dims: int, cells: int, block: int) -> tuple[DataFrame, Cells]:
-    """Donors with their cell and block, and the tree of the cells."""
+def _deal(donors: DataFrame, dims: int, cells: int, block: int, known: np.ndarray | None = None) -> tuple[DataFrame, Cells]:
+    """Donors with their cell and block, and the tree of the cells, which lie apart in the ``known`` coordinates (all unless given)."""
     some = donors.orderBy(F.xxhash64("_dk")).limit(cells)               # pivots: at most ``cells`` rows
     pivots = _matrix(some.select("_v").toArrow().column("_v"))
     empty = np.isnan(pivots).all(axis=0)
     column_means = np.where(empty, 0.0, np.nanmean(np.where(empty, 0.0, pivots), axis=0))
-    tree = Cells(np.where(np.isnan(pivots), column_means, pivots))
+    tree = Cells(np.where(np.isnan(pivots) | (False if known is None else ~known), column_means, pivots))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -330,6 +337,15 @@ def deal_queries(queries: DataFrame, qk: Sequence[str], vec: str, tree: Cells, b
         "_part", F.pmod(F.xxhash64(*qk), parts).cast("int"))
 
 
+def _asked(queries: DataFrame, vec: str, slot: str | None, dims: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which coordinates some query has, and which some query wants."""
+    has = [F.max(F.get(vec, F.lit(i)).isNotNull()) for i in range(dims)]
+    wants = [F.max(F.array_contains(F.col(slot).cast("array<int>"), i)) for i in range(dims)] if slot else []
+    row = list(queries.agg(*[c.alias(f"c{i}") for i, c in enumerate([*has, *wants])]).first())
+    known, wanted = (np.array([bool(v) for v in part], dtype=bool) for part in (row[:dims], row[dims:]))
+    return known if known.any() else np.ones(dims, dtype=bool), wanted
+
+
 def neighbours(queries: DataFrame, donors: DataFrame, qkey: str, dkey: str, vec: str, k: int,
                slot: str | None = None, cells: int | None = None, block: int = BLOCK) -> DataFrame:
     """Rows (qkey[, slot], dkey, dist, rank) of the k nearest donors per query.
@@ -341,12 +357,17 @@ def neighbours(queries: DataFrame, donors: DataFrame, qkey: str, dkey: str, vec:
     qk = [qkey] + ([slot] if slot else [])
     d = donors.select(F.col(dkey).alias("_dk"), F.col(vec).cast("array<double>").alias("_v"))
     size = d.agg(F.max(F.size("_v")).alias("dims"), F.count(F.lit(1)).alias("n")).first()
-    dims = int(size["dims"] or 0)
-    if dims <= 0:
+    dims, n = int(size["dims"] or 0), size["n"]
+    # coordinates that no query has count in no distance, and donors without any wanted one are nobody's
+    known, wanted = _asked(queries, vec, slot, dims) if dims > 0 else (None, np.zeros(0, dtype=bool))
+    if wanted.any() and not wanted.all():
+        d = d.filter(F.exists(_numbers(np.flatnonzero(wanted)), lambda j: F.get("_v", j).isNotNull()))
+        n = d.count()
+    if dims <= 0 or not n:
         kind = donors.schema[dkey].dataType
         none = queries.withColumn(slot, F.explode(slot)) if slot else queries
         return none.select(*qk, F.lit(None).cast(kind).alias(dkey), F.lit(0.0).alias("dist"), F.lit(0).alias("rank")).limit(0)
-    placed, tree = _deal(d, dims, cells or min(MAX_CELLS, int(np.ceil(np.sqrt(size["n"])))), block)
+    placed, tree = _deal(d, dims, cells or min(MAX_CELLS, int(np.ceil(np.sqrt(n)))), block, known)
     q = deal_queries(queries.withColumn(slot, F.col(slot).cast("array<int>")) if slot else queries, qk, vec, tree, block)
     kind, key_kind = placed.schema["_dk"].dataType.simpleString(), q.schema[qkey].dataType.simpleString()
     ddl = f"`{qkey}` {key_kind}, " + (f"`{slot}` int, " if slot else "") + f"_dk {kind}, dist double"

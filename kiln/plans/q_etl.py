@@ -367,7 +367,7 @@ def custom_etl(spark, train, test, registry: str):
 
 
 def _custom_etl_test(spark, sf_dir):
-    d = O.random_split(passengers(spark, sf_dir), "PassengerId", 20)
+    d = written(O.random_split(passengers(spark, sf_dir), "PassengerId", 20), "passengers")      # read by every part of the fit
     train = d.filter("split = 'train'").drop("split")
     test = d.filter("split = 'test'").drop("split", "Transported")      # unlabelled
     return custom_etl(spark, train, test, scratch_path(spark, f"registry-{uuid.uuid4().hex}"))

@@ -163,3 +163,46 @@ def test_scores_hold_few_distances_at_once(monkeypatch):
             got.setdefault((r["id"], r["_j"]), []).append((round(r["dist"], 9), r["_dk"]))
         assert got == plain
     assert sizes and max(sizes) <= 10_000
+
+
+def test_cells_lie_apart_in_what_queries_have(spark, monkeypatch):
+    """Queries without a widely spread coordinate visit the few blocks that are near in the others."""
+    rng = np.random.default_rng(8)
+    x = rng.uniform(size=(3000, 3)) * [1, 1, 1000]
+    train = spark.createDataFrame([(i, [*map(float, v[:2]), None if i % 9 == 0 else float(v[2])]) for i, v in enumerate(x)],
+                                  "id long, v array<double>")
+    queries = rng.uniform(size=(100, 2))
+    data = spark.createDataFrame([(i, [float(a), float(b), None]) for i, (a, b) in enumerate(queries)], "id long, v array<double>")
+    visits, real = [], KNN.written
+
+    def counted(df, name):
+        out = real(df, name)
+        if name == "visits":
+            visits.append(out.count())
+        return out
+    monkeypatch.setattr(KNN, "written", counted)
+    got = {r["id"]: r["value"] for r in KNN.impute_slots(train, data, "id", "v", k=3, block=40).collect()}
+    assert sum(visits) < 1500           # of 7,500 pairs of a query and a block
+    own = np.array([i for i in range(3000) if i % 9])
+    for i, q in enumerate(queries):
+        near = own[np.lexsort((own, ((x[own, :2] - q) ** 2).sum(axis=1)))[:3]]
+        assert abs(got[i] - x[near, 2].mean()) < 1e-9
+
+
+def test_imputation_where_no_donor_has_the_coordinate(spark):
+    train = spark.createDataFrame([(i, [float(i), None]) for i in range(9)], "id long, v array<double>")
+    data = spark.createDataFrame([(1, [0.5, None])], "id long, v array<double>")
+    assert [tuple(r) for r in KNN.impute_slots(train, data, "id", "v", k=3).collect()] == [(1, 1, None)]
+
+
+def test_squares_leave_out_coordinates_that_a_side_lacks():
+    rng = np.random.default_rng(4)
+    x, y = rng.normal(size=(20, 5)), rng.normal(size=(30, 5))
+    x[:, 1], y[:, 3] = np.nan, np.nan
+    for holes in (False, True):
+        if holes:
+            x[3, 0] = y[4, 2] = np.nan
+        d = (x[:, None] - y) ** 2
+        expected = np.nansum(d, axis=2) * 5 / (~np.isnan(d)).sum(axis=2)
+        assert np.allclose(KNN._squares(x, y), expected)
+    assert np.isinf(KNN._squares(np.full((2, 5), np.nan), y)).all()

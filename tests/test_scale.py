@@ -83,3 +83,15 @@ def test_chunk_names_take_no_longer_in_long_folders(spark):
         assert spark.range(2000).select(F.regexp_extract(path, CHUNK_NAME, 1).alias("n")).distinct().count() == 4
         spent.append(time.time() - start)
     assert spent[1] < spent[0] + 4
+
+
+def test_custom_etl_reads_passengers_that_were_written(spark, shop, monkeypatch):
+    seen = []
+
+    def stopped(spark, train, test, registry):
+        seen.extend([_plan(train), _plan(test)])
+        raise InterruptedError
+    monkeypatch.setattr(q_etl, "custom_etl", stopped)
+    with pytest.raises(InterruptedError):
+        q_etl.custom_etl_features(spark, shop)
+    assert len(seen) == 2 and not any("Join" in p for p in seen)
