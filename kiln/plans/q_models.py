@@ -194,14 +194,14 @@ def threshold_scores(spark, sf_dir):
 
 # M13 + M14 -----------------------------------------------------------------------------
 def _doc_features(spark, sf_dir):
-    """Hashed word counts of the whole text and its length."""
+    """Hashed word counts of the whole text and its length, written once: every pass of a fit reads them."""
     from pyspark.ml.feature import HashingTF
     d = load(spark, sf_dir, "documents").join(load(spark, sf_dir, "labels"), "doc_id")
     d = d.select("doc_id", F.col("quality").cast("double").alias("label"), (F.col("doc_id") % 4).alias("chunk"),
                  TX.tokens(F.col("text")).alias("words"), F.length("text").cast("double").alias("length"),
                  (F.length(F.regexp_replace("text", r"[^#*$%&|<>]", "")) / (F.length("text") + 1)).alias("symbols"))
     d = HashingTF(numFeatures=256, inputCol="words", outputCol="counts").transform(d)
-    return M.assemble(d, ["counts", "length", "symbols"]).drop("words", "counts")
+    return written(M.assemble(d, ["counts", "length", "symbols"]).drop("words", "counts"), "doc-features")
 
 
 @query("m13_first_chunk_scoring", covers=("M13", "ST4"))

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kiln.operators import stats as ST
-from kiln.plans import q_etl
+from kiln.plans import q_etl, q_models
 
 
 def _plan(df):
@@ -95,3 +95,12 @@ def test_custom_etl_reads_passengers_that_were_written(spark, shop, monkeypatch)
     with pytest.raises(InterruptedError):
         q_etl.custom_etl_features(spark, shop)
     assert len(seen) == 2 and not any("Join" in p for p in seen)
+
+
+def test_document_features_are_made_once(spark, tmp_path):
+    spark.createDataFrame([(i, "red blue " * (i + 1)) for i in range(8)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, i % 2) for i in range(8)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    d = q_models._doc_features(spark, str(tmp_path))
+    plan = _plan(d)
+    assert "Join" not in plan and "regexp" not in plan
+    assert [r["features"][256] for r in d.orderBy("doc_id").collect()] == [9.0 * (i + 1) for i in range(8)]
