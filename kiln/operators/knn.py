@@ -20,13 +20,20 @@ which never overstates the nan-euclidean distance.
 
 A round first knows its visits: the distinct triples (query block, group, donor
 block) are a directory that is joined to the donors, so a donor is copied to the
-blocks that visit it and to no other.
+blocks that visit it and to no other.  Before that, the queries that visit a donor
+block are taken together up to a block's rows, so that there are no more copies of
+donors than donors and visits.
+
+Queries are answered in waves of neighbouring blocks, and what a wave writes is
+deleted when its answers are written: the disk holds the donors, the queries, the
+answers and one wave.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,11 +41,12 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kiln.session import written
+from kiln.session import passing, settled, written
 
 BLOCK, MAX_CELLS = 4096, 1 << 14
 ROWS = 1024            # queries whose bounds are worked out together
 PAIRS = 1 << 20         # distances, or bounds, held at once
+WAVE = 1 << 20          # queries that are answered together, about
 SENT = 1 << 13          # rows of a batch that leaves a task
 
 
@@ -195,10 +203,11 @@ def _kth(s: np.ndarray, k: int) -> np.ndarray:
 
 
 def _score(k: int, key: str, slot: str | None):
-    """Each query's k nearest of a donor block; where queries have a limit ``_kth``, only those within."""
+    """Each query's k nearest of a donor block, with their ``value`` of the slot; where queries have a limit ``_kth``, only
+    those within."""
     def fn(left: pa.Table, right: pa.Table) -> pa.Table:
         schema = pa.schema([left.schema.field(key)] + ([pa.field(slot, pa.int32())] if slot else [])
-                           + [right.schema.field("_dk"), ("dist", pa.float64())])
+                           + [right.schema.field("_dk"), ("dist", pa.float64())] + ([("value", pa.float64())] if slot else []))
         if not left.num_rows or not right.num_rows:
             return schema.empty_table()
         # donors in the order of their keys, so that a place is a rank
@@ -237,7 +246,8 @@ def _score(k: int, key: str, slot: str | None):
         none = np.empty(0, dtype=np.int64)
         row, col, dist, j = (np.concatenate(c) for c in zip((none, none, none.astype(float), none), *found, strict=True))
         return pa.Table.from_arrays([key_of.take(pa.array(row))] + ([pa.array(j, pa.int32())] if slot else [])
-                                    + [donor_of.take(pa.array(col)), pa.array(dist, pa.float64())], schema=schema)
+                                    + [donor_of.take(pa.array(col)), pa.array(dist, pa.float64())]
+                                    + ([pa.array(y[col, j], pa.float64())] if slot else []), schema=schema)
     return fn
 
 
@@ -321,20 +331,45 @@ TRIPLE = ["_qb", "_part", "_cell", "_block"]        # the first two name the que
 def visited_donors(placed: DataFrame, visits: DataFrame) -> DataFrame:
     """Donors copied to the query blocks that visit their block."""
     directory = visits.select(*[F.col(c).alias(c) for c in TRIPLE]).distinct()      # columns of their own
-    return placed.join(directory, ["_cell", "_block"])
+    return placed.join(F.broadcast(directory), ["_cell", "_block"])     # a row per donor block, and per block's rows of visits
 
 
-def deal_queries(queries: DataFrame, qk: Sequence[str], vec: str, tree: Cells, block: int) -> DataFrame:
-    """Queries with their near cell and query block: cells of one top together up to ``block`` rows, crowded cells in parts."""
+def shared_blocks(visits: DataFrame, key: str, tree: Cells, block: int) -> DataFrame:
+    """Visits with other query blocks: all that visit a donor block together up to ``block`` rows, about."""
+    blocks = np.ones(int(tree.group.max()) + 1, dtype=np.int64)
+    blocks[tree.group] = tree.blocks
+    first = np.cumsum(blocks) - blocks
+    n = np.zeros(blocks.sum(), dtype=np.int64)
+    for r in visits.groupBy("_cell", "_block").agg(F.count(F.lit(1)).alias("n")).collect():       # one row per donor block
+        n[first[r["_cell"]] + r["_block"]] = r["n"]
+    at = F.element_at(_numbers(first), F.col("_cell") + 1) + F.col("_block")
+    parts = F.element_at(_numbers(np.maximum(-(-n // block), 1)), at + 1)
+    return visits.withColumn("_qb", F.lit(0)).withColumn("_part", F.pmod(F.xxhash64(key, "_v"), parts).cast("int"))
+
+
+def deal_queries(queries: DataFrame, qk: Sequence[str], vec: str, tree: Cells, block: int, wave: int = 0) -> DataFrame:
+    """Queries with their near cell and query block: cells of one top together up to ``block`` rows, crowded cells in parts.
+    With ``wave``, query blocks are numbered off in waves of about so many rows."""
     q = queries.select(*qk, F.col(vec).cast("array<double>").alias("_v"))
     q = written(_map_queries(q, lambda x, b: [(np.arange(len(x)), tree.nearest(x))], {"_near": "int"}), "queries")
     n = np.zeros(len(tree.blocks), dtype=np.int64)
     for r in q.groupBy("_near").agg(F.count(F.lit(1)).alias("n")).collect():       # one row per cell
         n[r["_near"]] = r["n"]
     of, near = tree.packed(n, block), F.col("_near") + 1
-    parts = F.element_at(_numbers(np.maximum(-(-n // block), 1)), near)
-    return q.withColumn("_qb", F.element_at(_numbers(of), near)).withColumn(
-        "_part", F.pmod(F.xxhash64(*qk), parts).cast("int"))
+    parts = np.maximum(-(-n // block), 1)
+    q = q.withColumn("_qb", F.element_at(_numbers(of), near)).withColumn(
+        "_part", F.pmod(F.xxhash64(*qk), F.element_at(_numbers(parts), near)).cast("int"))
+    if not wave:
+        return q
+    inside = np.ones(max(int(of.max()) + 1, 1), dtype=np.int64)        # query blocks by group
+    np.maximum.at(inside, of, parts)
+    place = F.element_at(_numbers((np.cumsum(inside) - inside)[of]), near) + F.col("_part")
+    held = max(1, wave // block)
+    q = q.withColumn("_wave", F.floor(place / held).cast("int"))
+    if inside.sum() <= held:
+        return q
+    # rows of one key are answered together
+    return written(q.withColumn("_wave", F.min("_wave").over(Window.partitionBy(qk[0]))), "queries")
 
 
 def _asked(queries: DataFrame, vec: str, slot: str | None, dims: int) -> tuple[np.ndarray, np.ndarray]:
@@ -347,14 +382,22 @@ def _asked(queries: DataFrame, vec: str, slot: str | None, dims: int) -> tuple[n
 
 
 def neighbours(queries: DataFrame, donors: DataFrame, qkey: str, dkey: str, vec: str, k: int,
-               slot: str | None = None, cells: int | None = None, block: int = BLOCK) -> DataFrame:
-    """Rows (qkey[, slot], dkey, dist, rank) of the k nearest donors per query.
+               slot: str | None = None, cells: int | None = None, block: int = BLOCK,
+               then: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
+    """Rows (qkey[, slot], dkey, dist, rank[, value]) of the k nearest donors per query.
 
     ``slot`` is an array of coordinates: for each of them a query has k nearest of
-    its own, among the donors that have that coordinate.  Distances are
-    nan-euclidean; ties go to the smaller donor key.  ``cells`` is the square root
-    of the donors unless given."""
+    its own, among the donors that have that coordinate, and ``value`` is theirs.
+    Distances are nan-euclidean; ties go to the smaller donor key.  ``cells`` is the
+    square root of the donors unless given.  ``then`` is what is made of the rows of
+    some queries before they are written."""
+    with passing(queries.sparkSession) as keep:
+        return _neighbours(queries, donors, qkey, dkey, vec, k, slot, cells, block, then, keep)
+
+
+def _neighbours(queries, donors, qkey, dkey, vec, k, slot, cells, block, then, keep) -> DataFrame:
     qk = [qkey] + ([slot] if slot else [])
+    columns = [*qk, F.col("_dk").alias(dkey), "dist", "rank", *(["value"] if slot else [])]
     d = donors.select(F.col(dkey).alias("_dk"), F.col(vec).cast("array<double>").alias("_v"))
     size = d.agg(F.max(F.size("_v")).alias("dims"), F.count(F.lit(1)).alias("n")).first()
     dims, n = int(size["dims"] or 0), size["n"]
@@ -363,32 +406,43 @@ def neighbours(queries: DataFrame, donors: DataFrame, qkey: str, dkey: str, vec:
     if wanted.any() and not wanted.all():
         d = d.filter(F.exists(_numbers(np.flatnonzero(wanted)), lambda j: F.get("_v", j).isNotNull()))
         n = d.count()
+    if slot:
+        queries = queries.withColumn(slot, F.col(slot).cast("array<int>"))
+    none = (queries.withColumn(slot, F.explode(slot)) if slot else queries).select(
+        *qk, F.lit(None).cast(donors.schema[dkey].dataType).alias("_dk"), F.lit(0.0).alias("dist"), F.lit(0).alias("rank"),
+        F.lit(0.0).alias("value")).select(*columns).limit(0)
     if dims <= 0 or not n:
-        kind = donors.schema[dkey].dataType
-        none = queries.withColumn(slot, F.explode(slot)) if slot else queries
-        return none.select(*qk, F.lit(None).cast(kind).alias(dkey), F.lit(0.0).alias("dist"), F.lit(0).alias("rank")).limit(0)
+        return then(none)
     placed, tree = _deal(d, dims, cells or min(MAX_CELLS, int(np.ceil(np.sqrt(n)))), block, known)
-    q = deal_queries(queries.withColumn(slot, F.col(slot).cast("array<int>")) if slot else queries, qk, vec, tree, block)
+    q = deal_queries(queries, qk, vec, tree, block, WAVE)
     kind, key_kind = placed.schema["_dk"].dataType.simpleString(), q.schema[qkey].dataType.simpleString()
-    ddl = f"`{qkey}` {key_kind}, " + (f"`{slot}` int, " if slot else "") + f"_dk {kind}, dist double"
+    ddl = f"`{qkey}` {key_kind}, " + (f"`{slot}` int, " if slot else "") + f"_dk {kind}, dist double" + (", value double" if slot else "")
 
-    def scored(v: DataFrame) -> DataFrame:
+    def scored(rows: DataFrame) -> DataFrame:
+        v = shared_blocks(written(_visits(rows, tree), "visits"), qkey, tree, block)
         return v.groupBy(*TRIPLE).cogroup(visited_donors(placed, v).groupBy(*TRIPLE)).applyInArrow(_score(k, qkey, slot), ddl)
 
     def best(rows: DataFrame) -> DataFrame:
         w = Window.partitionBy(*qk).orderBy("dist", "_dk")
         return rows.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
-    one = written(best(scored(written(_visits(q, tree), "visits"))).drop("rank"), "round-one")
-    kth, far = one.groupBy(*qk).agg(F.when(F.count(F.lit(1)) >= k, F.max("dist")).alias("_kth")), F.lit(float("inf"))
-    if slot:        # a query's limit is that of its farthest coordinate
-        kth = kth.filter("_kth IS NOT NULL").groupBy(qkey).agg(F.map_from_entries(F.collect_list(F.struct(slot, "_kth"))).alias("_of"))
-        limit = F.array_max(F.transform(slot, lambda j: F.coalesce(F.try_element_at("_of", j), far)))
-        rest = q.join(kth, qkey, "left").withColumn("_kth", F.coalesce(limit, far)).drop("_of")
-    else:
-        rest = q.join(kth, qkey, "left").withColumn("_kth", F.coalesce("_kth", far))
-    two = scored(written(_visits(rest, tree), "visits"))
-    return best(one.unionByName(two)).select(*qk, F.col("_dk").alias(dkey), "dist", "rank")
+    def answered(q: DataFrame) -> DataFrame:
+        one = written(best(scored(q)).drop("rank"), "round-one")
+        kth, far = one.groupBy(*qk).agg(F.when(F.count(F.lit(1)) >= k, F.max("dist")).alias("_kth")), F.lit(float("inf"))
+        if slot:        # a query's limit is that of its farthest coordinate
+            kth = kth.filter("_kth IS NOT NULL").groupBy(qkey).agg(F.map_from_entries(F.collect_list(F.struct(slot, "_kth"))).alias("_of"))
+            limit = F.array_max(F.transform(slot, lambda j: F.coalesce(F.try_element_at("_of", j), far)))
+            rest = q.join(kth, qkey, "left").withColumn("_kth", F.coalesce(limit, far)).drop("_of")
+        else:
+            rest = q.join(kth, qkey, "left").withColumn("_kth", F.coalesce("_kth", far))
+        return then(best(one.unionByName(scored(rest))).select(*columns))
+
+    waves = q.agg(F.max("_wave")).first()[0]
+    if waves is None:
+        return then(none)
+    found = [keep(settled(q.sparkSession, lambda i=i: answered(q.filter(F.col("_wave") == i).drop("_wave")), "neighbours"))
+             for i in range(waves + 1)]
+    return reduce(DataFrame.unionByName, found)
 
 
 # M6 -------------------------------------------------------------------------
@@ -421,10 +475,8 @@ def impute_slots(train: DataFrame, data: DataFrame, key: str, vec: str, k: int =
     lacking = data.select(key, vec, F.filter(F.sequence(F.lit(0), F.lit(dims - 1)), lambda i: F.col(vec)[i].isNull()).alias("_j"))
     miss = lacking.select(key, F.explode("_j").alias("_j"))
     donors = train.select(F.col(key).alias("_donor"), vec)
-    nb = neighbours(lacking.filter(F.size("_j") > 0), donors, key, "_donor", vec, k, slot="_j", cells=cells, block=block)
-    vals = nb.join(donors.withColumnRenamed(vec, "_dv"), "_donor") \
-             .withColumn("_y", F.element_at("_dv", (F.col("_j") + 1).cast("int")))
-    filled = vals.groupBy(key, "_j").agg(F.avg("_y").alias("value"))
+    filled = neighbours(lacking.filter(F.size("_j") > 0), donors, key, "_donor", vec, k, slot="_j", cells=cells, block=block,
+                        then=lambda nb: nb.groupBy(key, "_j").agg(F.avg(F.when(F.col("_donor").isNotNull(), F.col("value"))).alias("value")))
     out = miss.select(key, "_j").join(filled, [key, "_j"], "left")
     return out.select(key, F.col("_j").alias("j"),
                       F.coalesce("value", F.element_at(mean_arr, (F.col("_j") + 1).cast("int"))).alias("value"))

@@ -8,7 +8,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+import weakref
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -81,8 +85,58 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/kiln-tables/{name}"
 
 
+_open = threading.local()                           # the tables of the innermost ``passing`` of a thread
+_paths: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table below the shared folder and read it back."""
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    if getattr(_open, "paths", None) is not None:
+        _open.paths.append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _paths[out] = path
+    return out
+
+
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """A span of work whose tables pass: those ``written`` inside are deleted at its end, but for those given to the
+    function it yields.  Shuffle files go with the action that made them, not whenever the driver collects its garbage.
+    What leaves the span must read no table but those kept."""
+    outer, own, kept = getattr(_open, "paths", None), [], set()
+    before = spark.conf.get(RELEASE, None)
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.add(_paths[df])
+        return df
+    _open.paths = own
+    spark.conf.set(RELEASE, "true")
+    try:
+        yield keep
+    finally:
+        _open.paths = outer
+        if before is None:
+            spark.conf.unset(RELEASE)
+        else:
+            spark.conf.set(RELEASE, before)
+        for path in own:
+            if path not in kept:
+                _delete(spark, path)
+            elif outer is not None:
+                outer.append(path)
+
+
+def settled(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """The frame that ``make`` returns as a written table; tables that it wrote on the way are deleted."""
+    with passing(spark) as keep:
+        return keep(written(make(), name))
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)

@@ -206,3 +206,50 @@ def test_squares_leave_out_coordinates_that_a_side_lacks():
         expected = np.nansum(d, axis=2) * 5 / (~np.isnan(d)).sum(axis=2)
         assert np.allclose(KNN._squares(x, y), expected)
     assert np.isinf(KNN._squares(np.full((2, 5), np.nan), y)).all()
+
+
+def _tables(spark):
+    from kiln.session import scratch_path
+    import os
+    at = scratch_path(spark, "")
+    return {n for n in os.listdir(at)} if os.path.isdir(at) else set()
+
+
+def test_waves_give_the_same_answers_and_leave_only_these(spark, monkeypatch):
+    df, _ = _data(spark, holes=True)
+    train = df.filter("id % 3 != 0")
+    data = df.filter("id % 3 = 0").withColumn("id", F.when(F.col("id") % 30 == 3, 3).otherwise(F.col("id")))      # a key that repeats
+
+    def rows():
+        before = _tables(spark)
+        near = KNN.neighbours(data.filter(F.forall("v", lambda x: x.isNotNull())), train.withColumnRenamed("id", "donor"),
+                              "id", "donor", "v", k=4, cells=12, block=8)
+        slots = KNN.impute_slots(train, data, "id", "v", k=3, cells=12, block=8)
+        out = sorted(map(str, near.collect())), sorted((r["id"], r["j"], round(r["value"], 12)) for r in slots.collect())
+        return out, {n.rpartition("-")[0] for n in _tables(spark) - before}, len(_tables(spark) - before)
+    one, left, count = rows()
+    assert left == {"neighbours"} and count == 2
+    monkeypatch.setattr(KNN, "WAVE", 16)
+    many, left, count = rows()
+    assert many == one and left == {"neighbours"} and count > 6
+
+
+def test_a_donor_block_is_copied_once_for_few_queries(spark, monkeypatch):
+    """Queries of many blocks that visit the same donors are scored against one copy."""
+    rng = np.random.default_rng(11)
+    x = rng.uniform(size=(4020, 2))
+    df = spark.createDataFrame([(i, [float(a) for a in v]) for i, v in enumerate(x)], "id long, v array<double>")
+    copies, real = [], KNN.visited_donors
+
+    def counted(placed, v):
+        out = real(placed, v)
+        copies.append(out.count())
+        return out
+    monkeypatch.setattr(KNN, "visited_donors", counted)
+    got = KNN.neighbours(df.filter("id < 20"), df.filter("id >= 20").withColumnRenamed("id", "donor"), "id", "donor", "v", k=200, block=20)
+    near = {}
+    for r in got.collect():
+        near.setdefault(r["id"], set()).add(r["donor"])
+    for i in range(20):
+        assert near[i] == set((20 + np.argsort(((x[20:] - x[i]) ** 2).sum(axis=1))[:200]).tolist())
+    assert len(copies) == 2 and 0 < max(copies) <= 4000

@@ -67,6 +67,26 @@ def test_custom_etl_takes_repeated_passenger_numbers(spark, shop):
     out.unpersist()
 
 
+def test_passing_tables_are_deleted_but_those_kept(spark):
+    import os
+
+    from kiln import session as S
+
+    def there(df):
+        return os.path.isdir(S._paths[df])
+    before = spark.conf.get(S.RELEASE)
+    with S.passing(spark) as keep:
+        a, b = S.written(spark.range(3), "a"), keep(S.written(spark.range(4), "b"))
+        c = S.settled(spark, lambda: S.written(spark.range(5), "inner").filter("id > 1"), "c")
+        assert there(a) and there(b) and c.count() == 3
+        with pytest.raises(InterruptedError), S.passing(spark):
+            d = S.written(spark.range(6), "d")
+            raise InterruptedError
+        assert not there(d) and there(a) and spark.conf.get(S.RELEASE) == "true"
+    assert not there(a) and there(b) and not there(c) and b.count() == 4
+    assert spark.conf.get(S.RELEASE) == before and there(S.written(spark.range(2), "e"))
+
+
 def test_chunk_names_take_no_longer_in_long_folders(spark):
     import time
 
