@@ -20,7 +20,7 @@ from kiln.operators import text as TX
 from kiln.plans import q_series
 from kiln.plans.registry import query
 from kiln.plans.sqlkit import robust_sql, unsign
-from kiln.session import scratch_path, written
+from kiln.session import passing, scratch_path, written
 from kiln.sources import sinks as K
 from kiln.tables import load
 
@@ -330,40 +330,51 @@ def custom_etl(spark, train, test, registry: str):
     min-max, five k-means clusters with distances, five mixture probabilities,
     seven independent components; a registry entry.  Returns the transformed
     unlabelled test rows (ids kept) and the version."""
+    with passing(spark) as keep:
+        tr, te = _imputed(spark, train, test, keep)
+        lo, hi = CL.minmax_arrays(tr.select(*[F.col("v")[i].alias(c) for i, c in enumerate(BLOCK)]), BLOCK)
+
+        span = A.lit_array([b - a for a, b in zip(lo, hi, strict=True)])
+        scale = F.zip_with(F.zip_with("v", A.lit_array(lo), lambda x, a: x - a), span, lambda x, s: F.coalesce(F.try_divide(x, s), F.lit(0.0)))
+        tr, te = tr.withColumn("x", scale), te.withColumn("x", scale)
+        out = CL.kmeans_features(tr, te, "x", k=5)
+        out = CL.gmm_features(tr, out, "x", k=5)
+        out = CL.ica_features(out, "x", CL.fast_ica(tr, "x", n_components=min(7, len(BLOCK))))
+        version = K.register_version(spark, registry, "custom ETL", "Transported", {"clusters": 5, "mixture": 5, "components": len(BLOCK)})
+        return out, version
+
+
+def _imputed(spark, train, test, keep):
+    """The imputed block of the train rows, which is all that the models take, and the transformed test rows."""
     words = TX.WordFeatures(text="Name", label="Transported", key="PassengerId", min_count=5, drop_text=False).fit(train)
     flags = FE.SpendFeatures(SERVICES).fit(train)
     raw = FE.PassengerTransformer(id_col="_none", service_cols=SERVICES).fit(train)
 
-    def shaped(df):
+    def shaped(df, tag=""):
         services = {c: F.coalesce(X.lenient_double(c), F.lit(0.0)) for c in SERVICES}
         flagged = P.threshold_flags(df.withColumns(services), SERVICES, flags.st["thresholds"], drop_originals=False)
         out = raw.transform(words.transform(flagged))
         # passenger numbers may repeat: a row is known by its number and place, in the order of the numbers
-        row = F.concat_ws("/", F.coalesce("PassengerId", F.lit("")), F.lpad(F.monotonically_increasing_id().cast("string"), 20, "0"))
+        place = F.concat(F.lpad(F.monotonically_increasing_id().cast("string"), 20, "0"), F.lit(tag))
+        row = F.concat_ws("/", F.coalesce("PassengerId", F.lit("")), place)
         return out.withColumn("v", F.array(*[F.col(c).cast("double") for c in BLOCK])).withColumn("_row", row)
 
-    tr, te = written(shaped(train), "train"), written(shaped(test), "test")
-
-    def filled(df):
-        slots = KNN.impute_slots(tr, df, "_row", "v", 9)
-        # rows stay where the passenger's number puts them: k-means starts from places
-        fill = slots.withColumn("PassengerId", F.regexp_extract("_row", "^(.*)/", 1)).groupBy("PassengerId").agg(
-            F.map_from_entries(F.collect_list(F.struct(F.struct("_row", "j"), "value"))).alias("_fill"))
-        return df.join(fill, "PassengerId", "left").withColumn(
-            "v", F.transform("v", lambda x, i: F.coalesce(x, F.try_element_at(F.col("_fill"), F.struct("_row", i.alias("j")))))
-        ).drop("_fill", "_row")
-
-    tr, te = written(filled(tr), "train-filled"), written(filled(te), "test-filled")
-    lo, hi = CL.minmax_arrays(tr.select(*[F.col("v")[i].alias(c) for i, c in enumerate(BLOCK)]), BLOCK)
-
-    span = A.lit_array([b - a for a, b in zip(lo, hi, strict=True)])
-    scale = F.zip_with(F.zip_with("v", A.lit_array(lo), lambda x, a: x - a), span, lambda x, s: F.coalesce(F.try_divide(x, s), F.lit(0.0)))
-    tr, te = tr.withColumn("x", scale), te.withColumn("x", scale)
-    out = CL.kmeans_features(tr, te, "x", k=5)
-    out = CL.gmm_features(tr, out, "x", k=5)
-    out = CL.ica_features(out, "x", CL.fast_ica(tr, "x", n_components=min(7, len(BLOCK))))
-    version = K.register_version(spark, registry, "custom ETL", "Transported", {"clusters": 5, "mixture": 5, "components": len(BLOCK)})
-    return out, version
+    with passing(spark) as hold:
+        tr, te = written(shaped(train), "train"), written(shaped(test, "t"), "test")
+        # train and test rows have their donors in common
+        slots = KNN.impute_slots(tr, tr.select("_row", "v").unionByName(te.select("_row", "v")), "_row", "v", 9)
+
+        def filled(df, own):
+            # rows stay where the passenger's number puts them: k-means starts from places
+            fill = slots.filter(own).withColumn("PassengerId", F.regexp_extract("_row", "^(.*)/", 1)).groupBy("PassengerId").agg(
+                F.map_from_entries(F.collect_list(F.struct(F.struct("_row", "j"), "value"))).alias("_fill"))
+            return df.join(fill, "PassengerId", "left").withColumn(
+                "v", F.transform("v", lambda x, i: F.coalesce(x, F.try_element_at(F.col("_fill"), F.struct("_row", i.alias("j")))))
+            ).drop("_fill", "_row")
+
+        of_test = F.col("_row").endswith("t")
+        tr = hold(written(filled(tr, ~of_test), "train-filled"))
+        return tr, keep(hold(written(filled(te, of_test), "test-filled")))
 
 
 def _custom_etl_test(spark, sf_dir):

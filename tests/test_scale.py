@@ -87,6 +87,17 @@ def test_passing_tables_are_deleted_but_those_kept(spark):
     assert spark.conf.get(S.RELEASE) == before and there(S.written(spark.range(2), "e"))
 
 
+def test_custom_etl_leaves_the_passengers_and_its_result(spark, shop):
+    import os
+
+    at = q_etl.scratch_path(spark, "")
+    before = set(os.listdir(at)) if os.path.isdir(at) else set()
+    out = q_etl.custom_etl_features(spark, shop)
+    left = sorted(n.rpartition("-")[0] for n in set(os.listdir(at)) - before)
+    assert left == ["passengers", "registry", "test-filled", "word-stats"]
+    assert out.filter("x IS NULL OR gmm_cluster IS NULL").count() == 0 < out.count()
+
+
 def test_chunk_names_take_no_longer_in_long_folders(spark):
     import time
 
