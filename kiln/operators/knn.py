@@ -475,8 +475,20 @@ def impute_slots(train: DataFrame, data: DataFrame, key: str, vec: str, k: int =
     lacking = data.select(key, vec, F.filter(F.sequence(F.lit(0), F.lit(dims - 1)), lambda i: F.col(vec)[i].isNull()).alias("_j"))
     miss = lacking.select(key, F.explode("_j").alias("_j"))
     donors = train.select(F.col(key).alias("_donor"), vec)
-    filled = neighbours(lacking.filter(F.size("_j") > 0), donors, key, "_donor", vec, k, slot="_j", cells=cells, block=block,
-                        then=lambda nb: nb.groupBy(key, "_j").agg(F.avg(F.when(F.col("_donor").isNotNull(), F.col("value"))).alias("value")))
+    repeated = donors.filter("_donor IS NOT NULL").groupBy("_donor").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_donor")
+    of_key = None
+    if not repeated.isEmpty():
+        of_key = donors.join(repeated, "_donor").select("_donor", F.posexplode(vec).alias("_j", "_y")).groupBy("_donor", "_j").agg(
+            F.sum("_y").alias("_sum"), F.count("_y").alias("_n"))
+
+    def averaged(nb: DataFrame) -> DataFrame:
+        value, n = F.col("value"), F.lit(1)
+        if of_key is not None:      # a neighbour counts with all rows of its key
+            nb, value, n = nb.join(of_key, ["_donor", "_j"], "left"), F.coalesce("_sum", "value"), F.coalesce("_n", F.lit(1))
+        own = F.col("_donor").isNotNull()
+        return nb.groupBy(key, "_j").agg((F.sum(F.when(own, value)) / F.sum(F.when(own, n))).alias("value"))
+
+    filled = neighbours(lacking.filter(F.size("_j") > 0), donors, key, "_donor", vec, k, slot="_j", cells=cells, block=block, then=averaged)
     out = miss.select(key, "_j").join(filled, [key, "_j"], "left")
     return out.select(key, F.col("_j").alias("j"),
                       F.coalesce("value", F.element_at(mean_arr, (F.col("_j") + 1).cast("int"))).alias("value"))

@@ -253,3 +253,12 @@ def test_a_donor_block_is_copied_once_for_few_queries(spark, monkeypatch):
     for i in range(20):
         assert near[i] == set((20 + np.argsort(((x[20:] - x[i]) ** 2).sum(axis=1))[:200]).tolist())
     assert len(copies) == 2 and 0 < max(copies) <= 4000
+
+
+def test_imputation_counts_neighbours_with_all_rows_of_their_key(spark):
+    train = spark.createDataFrame([(1, [0.0, 10.0]), (1, [9.0, 30.0]), (2, [0.5, 5.0]), (None, [0.1, 99.0]), (3, [50.0, 70.0])],
+                                  "id long, v array<double>")
+    data = spark.createDataFrame([(8, [0.0, None]), (9, [50.0, None])], "id long, v array<double>")
+    got = {r["id"]: r["value"] for r in KNN.impute_slots(train, data, "id", "v", k=3).collect()}
+    # 8: row 1 with both rows of its key, row 2, the row without a key not; 9: rows 3, 1 (the second) and 2
+    assert abs(got[8] - (10 + 30 + 5) / 3) < 1e-12 and abs(got[9] - (70 + 10 + 30 + 5) / 4) < 1e-12
